@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from giniflow.operators.prefix import ordered_running_sum, quantile_bucket, running_sum
+from giniflow.operators.prefix import next_in_order, ordered_running_sum, quantile_bucket, running_sum, small_table
 
 
 def score_histogram(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
@@ -84,22 +84,27 @@ def roc_points(df: DataFrame, features: Sequence[str], label: str, n_buckets: in
     """ROC per feature at each distinct value, descending, plus the sentinel point ``idx = 0`` (0, 0).
 
     Columns: feature, idx (0 = sentinel, then 1.. in descending value), value (NULL at the sentinel), tps, fps, tpr,
-    fpr, mass (= (tps + fps) / n, the population share at or above the value). An interior point whose next point has
-    the same (pos, neg) increment lies on a straight line with its neighbours and is dropped, which is exactly the
-    second-difference rule of the usual ROC thinning.
+    fpr, mass (= (tps + fps) / n, the population share at or above the value), base_rate. An interior point whose next
+    point has the same (pos, neg) increment lies on a straight line with its neighbours and is dropped, which is exactly
+    the second-difference rule of the usual ROC thinning.
     """
     long = unpivot_numeric(df, features, [label])
-    hist = score_histogram(long, "value", label, ["feature"]).withColumn("__desc", -F.col("value"))
+    return roc_from_histogram(score_histogram(long, "value", label, ["feature"]), n_buckets, drop_intermediate)
+
+
+def roc_from_histogram(hist: DataFrame, n_buckets: int = 64, drop_intermediate: bool = True) -> DataFrame:
+    """ROC points from a histogram ``(feature, value, pos, neg)`` (one row per distinct value)."""
+    hist = hist.withColumn("__desc", -F.col("value"))
     hist = quantile_bucket(hist, ["feature"], "__desc", n_buckets)
     cum = running_sum(hist, ["feature"], ["__desc"], "__bucket", ["pos", "neg"], inclusive=True)
-    totals = hist.groupBy("feature").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    pts = cum.join(totals, "feature")
+    totals = small_table(hist.groupBy("feature").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")))
+    pts = cum.join(F.broadcast(totals), "feature")
     if drop_intermediate:
-        nxt = _next_in_order(pts, "feature", "__desc", "__bucket", ["pos", "neg"])
-        first_last = (F.col("pos_cum") == F.col("pos")) & (F.col("neg_cum") == F.col("neg"))
+        nxt = next_in_order(pts, "feature", "__desc", "__bucket", ["pos", "neg"])
+        first = (F.col("pos_cum") == F.col("pos")) & (F.col("neg_cum") == F.col("neg"))
         is_last = F.col("__next_pos").isNull()
         same_step = (F.col("__next_pos") == F.col("pos")) & (F.col("__next_neg") == F.col("neg"))
-        pts = nxt.where(first_last | is_last | ~same_step)
+        pts = nxt.where(first | is_last | ~same_step)
     body = pts.select("feature", "value", "__desc", "__bucket",
                       F.col("pos_cum").alias("tps"), F.col("neg_cum").alias("fps"), "P", "N")
     body = body.withColumn("__one", F.lit(1).cast("long"))
@@ -115,19 +120,6 @@ def roc_points(df: DataFrame, features: Sequence[str], label: str, n_buckets: in
         (F.col("P") / (F.col("P") + F.col("N"))).alias("base_rate"))
 
 
-def _next_in_order(df: DataFrame, group: str, order: str, bucket: str, cols: Sequence[str]) -> DataFrame:
-    """``__next_<c>`` = value of ``c`` on the next row of the group in ``order`` (bucketed lead, no global window)."""
-    w = Window.partitionBy(group, bucket).orderBy(order)
-    local = df.select("*", *[F.lead(c).over(w).alias(f"__next_{c}") for c in cols])
-    firsts = df.groupBy(group, bucket).agg(
-        *[F.min_by(F.col(c), F.col(order)).alias(f"__first_{c}") for c in cols])
-    wb = Window.partitionBy(group).orderBy(bucket)
-    nxt_bucket = firsts.select(group, bucket, *[F.lead(f"__first_{c}").over(wb).alias(f"__nb_{c}") for c in cols])
-    out = local.join(nxt_bucket, [group, bucket])
-    return out.select(*df.columns, *[F.coalesce(F.col(f"__next_{c}"), F.col(f"__nb_{c}")).alias(f"__next_{c}")
-                                     for c in cols])
-
-
 def roc_weights(points: DataFrame) -> DataFrame:
     """Population mass between successive ROC points, ``br*dTPR + (1-br)*dFPR``; telescopes to ``mass``."""
     w = Window.partitionBy("feature").orderBy("idx")
@@ -138,8 +130,8 @@ def roc_weights(points: DataFrame) -> DataFrame:
 def edge_compaction(points: DataFrame, min_size: float) -> DataFrame:
     """Keep the sentinel, the last point and every interior point with mass from the start > min_size and mass to the
     end > min_size (strict), i.e. the net effect of merging the thin tails of the ROC into one segment each."""
-    last = points.groupBy("feature").agg(F.max("idx").alias("__last"))
-    p = points.join(last, "feature")
+    last = small_table(points.groupBy("feature").agg(F.max("idx").alias("__last")))
+    p = points.join(F.broadcast(last), "feature")
     keep = ((F.col("idx") == 0) | (F.col("idx") == F.col("__last"))
             | ((F.col("mass") > F.lit(min_size)) & ((F.lit(1.0) - F.col("mass")) > F.lit(min_size))))
     return p.where(keep).drop("__last")

@@ -1,13 +1,16 @@
 """Running sums and exact ranks without a single-task global window.
 
 ``Window.orderBy`` with no partition (or a partition that holds a third of the data, such as one class of the target)
-moves every row through one task. Both helpers here split the ordered domain into buckets that are monotone in the
+moves every row through one task. The helpers here split the ordered domain into buckets that are monotone in the
 order, so that:
 
-1. bucket totals are a small table (groups x buckets) whose cumulative offsets come from a window over that small table;
+1. bucket totals are a small table (groups x buckets); their cumulative offsets are computed from that table;
 2. the running sum inside a bucket is a window partitioned by ``(group, bucket)``, spread over many tasks;
-3. the offset is joined back (AQE turns the join into a broadcast after measuring the small side at run time).
+3. the offsets are joined back as a broadcast of a table whose row count was just measured (groups x buckets).
 
+The small tables (quantile bounds, bucket offsets) are computed by their own small job and re-enter the plan as local
+relations. This keeps every plan linear in the number of steps: reusing a DataFrame on both sides of a join would
+double the plan at every nested step.
 The result is exact; the buckets only decide how work is spread.
 """
 
@@ -17,8 +20,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ALL = "__all"
+SMALL_LIMIT = 2_000_000   # rows a side table may have before it is refused as "small"
+
+
+def small_table(df: DataFrame, limit: int = SMALL_LIMIT) -> DataFrame:
+    """Materialise a bounded aggregate as a local relation (checked row count) so it can be broadcast safely."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"side table exceeds {limit} rows; refusing to broadcast it")
+    return df.sparkSession.createDataFrame(rows, df.schema)
 
 
 def _group_cols(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[str], bool]:
@@ -28,6 +41,16 @@ def _group_cols(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[str],
     return df.withColumn(ALL, F.lit(0)), [ALL], True
 
 
+def bucket_offsets(df: DataFrame, by: Sequence[str], bucket_col: str, values: Sequence[str]) -> DataFrame:
+    """Small table ``(by..., bucket, __o_<v>)``: sum of v over the earlier buckets of the same group."""
+    keys = [*by, bucket_col]
+    totals = df.groupBy(*keys).agg(*[F.sum(v).alias(f"__t_{v}") for v in values])
+    w = Window.partitionBy(*by).orderBy(bucket_col).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, *[F.coalesce(F.sum(f"__t_{v}").over(w), F.lit(0)).alias(f"__o_{v}")
+                                     for v in values])
+    return small_table(offsets)
+
+
 def running_sum(df: DataFrame, by: Sequence[str], order_cols: Sequence[str], bucket_col: str,
                 values: Sequence[str], inclusive: bool = True, suffix: str = "_cum") -> DataFrame:
     """Add ``<v><suffix>`` = sum of ``v`` over earlier rows of the same group in ``order_cols`` order.
@@ -37,14 +60,11 @@ def running_sum(df: DataFrame, by: Sequence[str], order_cols: Sequence[str], buc
     """
     df, by, added = _group_cols(df, by)
     keys = [*by, bucket_col]
-    totals = df.groupBy(*keys).agg(*[F.sum(v).alias(f"__t_{v}") for v in values])
-    w_bucket = Window.partitionBy(*by).orderBy(bucket_col).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, *[F.coalesce(F.sum(f"__t_{v}").over(w_bucket), F.lit(0)).alias(f"__o_{v}")
-                                     for v in values])
+    offsets = bucket_offsets(df, by, bucket_col, values)
     end = Window.currentRow if inclusive else -1
     w_local = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, end)
     local = df.select("*", *[F.coalesce(F.sum(v).over(w_local), F.lit(0)).alias(f"__l_{v}") for v in values])
-    out = local.join(offsets, keys).select(
+    out = local.join(F.broadcast(offsets), keys).select(
         *df.columns, *[(F.col(f"__l_{v}") + F.col(f"__o_{v}")).alias(f"{v}{suffix}") for v in values])
     return out.drop(ALL) if added else out
 
@@ -65,15 +85,18 @@ def exact_rank(df: DataFrame, by: Sequence[str], hash_col: str, tiebreak: str, o
 
 def quantile_bucket(df: DataFrame, by: Sequence[str], col: str, n_buckets: int = 64, out: str = "__bucket",
                     accuracy: int = 10000) -> DataFrame:
-    """Bucket = number of approximate per-group quantile bounds <= value (monotone in ``col``)."""
+    """Bucket = number of approximate per-group quantile bounds <= value (monotone in ``col``).
+
+    The bounds (groups x n_buckets doubles) are computed by one small aggregation and broadcast back."""
     df, keys, added = _group_cols(df, by)
     if n_buckets <= 1:
         out_df = df.withColumn(out, F.lit(0))
         return out_df.drop(ALL) if added else out_df
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = df.groupBy(*keys).agg(F.percentile_approx(col, probs, accuracy).alias("__bounds"))
+    bounds = small_table(df.groupBy(*keys).agg(
+        F.percentile_approx(F.col(col).cast("double"), probs, accuracy).alias("__bounds")))
     value = F.col(col)
-    out_df = (df.join(bounds, keys)
+    out_df = (df.join(F.broadcast(bounds), keys)
               .withColumn(out, F.size(F.filter("__bounds", lambda b: b <= value)))
               .drop("__bounds"))
     return out_df.drop(ALL) if added else out_df
@@ -91,3 +114,21 @@ def ordered_running_sum(df: DataFrame, by: Sequence[str], order_col: str, values
     b = quantile_bucket(src, by, order, n_buckets)
     r = running_sum(b, by, [order], "__bucket", values, inclusive=inclusive, suffix=suffix).drop("__bucket")
     return r.drop("__neg_order") if descending else r
+
+
+def next_in_order(df: DataFrame, group: str, order: str, bucket: str, cols: Sequence[str]) -> DataFrame:
+    """``__next_<c>`` = value of ``c`` on the next row of the group in ``order`` (bucketed lead, no global window).
+    The first row of every bucket is a small table; the next bucket's first row fills the bucket's last row."""
+    w = Window.partitionBy(group, bucket).orderBy(order)
+    local = df.select("*", *[F.lead(c).over(w).alias(f"__next_{c}") for c in cols])
+    firsts = df.groupBy(group, bucket).agg(*[F.min_by(F.col(c), F.col(order)).alias(f"__first_{c}") for c in cols])
+    wb = Window.partitionBy(group).orderBy(bucket)
+    nxt = small_table(firsts.select(group, bucket, *[F.lead(f"__first_{c}").over(wb).alias(f"__nb_{c}")
+                                                     for c in cols]))
+    out = local.join(F.broadcast(nxt), [group, bucket])
+    return out.select(*df.columns, *[F.coalesce(F.col(f"__next_{c}"), F.col(f"__nb_{c}")).alias(f"__next_{c}")
+                                     for c in cols])
+
+
+__all__ = ["running_sum", "exact_rank", "quantile_bucket", "ordered_running_sum", "next_in_order", "small_table",
+           "hash_bucket", "bucket_offsets", "T"]
