@@ -57,3 +57,28 @@ def gini_report(metrics: DataFrame, row: str = "pool", column: str = "model", va
     g = metrics.groupBy(row)
     piv = g.pivot(column, list(columns)) if columns is not None else g.pivot(column)
     return piv.agg(F.first(value))
+
+
+def result_report(ginis: DataFrame, stability: DataFrame, uplift: DataFrame) -> DataFrame:
+    """One row per model: number of features, Gini per pool, stability verdict and uplift verdicts.
+
+    ``ginis``: (model, step, pool, gini); ``stability``: (model, stability); ``uplift``: (pool, verdict) for the
+    step sequence (at most four rows, added as literals). A missing verdict stays NULL."""
+    wide = ginis.groupBy("model").agg(
+        F.max("step").cast("int").alias("nfeats"),
+        *[F.max(F.when(F.col("pool") == p, F.col("gini"))).alias(p.lower())
+          for p in ("TRAIN", "VALID", "TEST", "OOT")])
+    verdicts = {r["pool"]: r["verdict"] for r in uplift.collect()}
+    out = wide.join(stability, "model", "left")
+    for p in ("TRAIN", "TEST", "OOT"):
+        out = out.withColumn(f"uplift_{p.lower()}", F.lit(verdicts.get(p)).cast("string"))
+    return out.select("model", "nfeats", "train", "valid", "test", "oot", "stability", "uplift_train", "uplift_test",
+                      "uplift_oot")
+
+
+def selection_report(runs: DataFrame) -> DataFrame:
+    """One row per selection run with its parameters; ``start_from`` is shown only in fast mode."""
+    return runs.select(
+        F.col("run_id").alias("selections"), "bins", "size", "fast",
+        F.when(F.col("fast"), F.col("start_from")).alias("start_from"), "vif_cutoff", "n_splits", "perm_iter",
+        "n_dropped").orderBy("selections")

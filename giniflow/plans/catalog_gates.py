@@ -26,7 +26,7 @@ def _scorecard_steps(spark, sf_dir):
     enc = model.transform(p, keep=[KEY, "pool", Y], drop_incomplete=False)
     steps = []
     for k in range(1, len(ranked) + 1):
-        s = -sum((F.col(f"woe_{f}") for f in ranked[:k]), F.lit(0.0))
+        s = F.round(-sum((F.col(f"woe_{f}") for f in ranked[:k]), F.lit(0.0)), 9)
         steps.append(F.struct(F.lit(k).alias("step"), F.lit(ranked[k - 1]).alias("feature"), s.alias("score")))
     long = enc.select("pool", Y, F.explode(F.array(*steps)).alias("s")).select("pool", Y, "s.*")
     g = metrics.gini(long, "score", Y, by=["pool", "step", "feature"])
@@ -55,7 +55,7 @@ _w2 AS (SELECT feature, bin, gd / G AS gr, bd / B AS br, ln((gd / G) / (bd / B))
 _rank AS (SELECT feature, row_number() OVER (ORDER BY sum(woe * (gr - br)) DESC) AS rk FROM _w2 GROUP BY feature),
 _rows AS (SELECT b.epk_id, b.pool, b.{Y}, r.rk, w.woe FROM _b2 b JOIN _w2 w ON w.feature = b.feature AND w.bin = b.bin
           JOIN _rank r ON r.feature = b.feature),
-_steps AS (SELECT r.epk_id, r.pool, r.{Y}, s.rk AS step, f.feature, -sum(r.woe) AS score
+_steps AS (SELECT r.epk_id, r.pool, r.{Y}, s.rk AS step, f.feature, round(-sum(r.woe), 9) AS score
            FROM _rows r JOIN (SELECT DISTINCT rk FROM _rank) s ON r.rk <= s.rk JOIN _rank f ON f.rk = s.rk
            GROUP BY r.epk_id, r.pool, r.{Y}, s.rk, f.feature),
 _gini AS ({gini_sql("_steps", "score", Y, ["pool", "step", "feature"])})"""

@@ -23,3 +23,134 @@ def grid_cells(spark: SparkSession, models: Sequence[str], samplers: Sequence[tu
             feasible = s == "ORIG" or frac / 100.0 >= minority_share
             rows.append((m, s, int(frac), cell_label(m, s, int(frac)), bool(feasible)))
     return spark.createDataFrame(rows, "model string, sampler string, frac int, label string, feasible boolean")
+
+
+# ---------------------------------------------------------------------------------------------------------------------
+# Stages
+
+from pyspark import StorageLevel  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from giniflow.operators import binning, collinear, gates, importance, metrics, models, reports, sampling  # noqa: E402
+from giniflow.operators.tuning import candidates, gbt_space, tune  # noqa: E402
+from giniflow.spec import BinnerConfig, SampleSpec  # noqa: E402
+
+
+def pool_gini(fitted, pools_df: DataFrame, spec: SampleSpec, features: Sequence[str]) -> DataFrame:
+    """Gini per pool of a fitted pipeline (one transform, one grouped metric)."""
+    num = [f for f in features if f in spec.numeric]
+    cat = [f for f in features if f in spec.categorical]
+    scored = models.score(fitted, pools_df, num, cat)
+    return metrics.gini(scored, "score", spec.target, by=["pool"])
+
+
+def fit_on_pools(pools_df: DataFrame, spec: SampleSpec, features: Sequence[str], name: str = "GBT",
+                 params: dict | None = None, seed: int = 19):
+    num = [f for f in features if f in spec.numeric]
+    cat = [f for f in features if f in spec.categorical]
+    train = pools_df.where(F.col("pool") == "TRAIN")
+    valid = pools_df.where(F.col("pool") == "VALID")
+    return models.fit(train, num, cat, spec.target, name, params, seed, valid)
+
+
+def preselect(pools_df: DataFrame, spec: SampleSpec, n_top: int, name: str = "GBT", params: dict | None = None,
+              seed: int = 19) -> tuple[DataFrame, DataFrame]:
+    """M4: fit on every feature, rank by importance, refit on the top n; Gini per pool before and after.
+    Returns (ranked importance, report pool x {gini_all, gini_top})."""
+    spark = pools_df.sparkSession
+    p = pools_df.persist(StorageLevel.MEMORY_AND_DISK)
+    full = fit_on_pools(p, spec, spec.features, name, params, seed)
+    imp = reports.rank_importance(models.importance(full, spark))
+    top = [r["feature"] for r in reports.top_features(imp, n_top).collect()]
+    small = fit_on_pools(p, spec, top, name, params, seed)
+    g_all = pool_gini(full, p, spec, spec.features).withColumnRenamed("gini", "gini_all")
+    g_top = pool_gini(small, p, spec, top).withColumnRenamed("gini", f"gini_top_{n_top}")
+    return imp, g_all.join(g_top, "pool")
+
+
+def search_grid(sample_df: DataFrame, spec: SampleSpec, cells: DataFrame, k: int = 5, seed: int = 19,
+                bands: bool = False, n_bs: int = 2000, params: dict | None = None) -> DataFrame:
+    """M6: cross-validate every feasible grid cell (learner x resampling) and rank by lower band, else Gini.
+    Infeasible cells are reported with NULL metrics."""
+    spark = sample_df.sparkSession
+    d = sample_df.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = []
+    for c in cells.collect():
+        if not c["feasible"]:
+            rows.append((c["label"], None, None, None, "infeasible"))
+            continue
+        sampler = {"ORIG": "NONE", "US": "UNDER", "OS": "OVER"}[c["sampler"]]
+        oof, fm = models.cross_validate(d, list(spec.numeric), list(spec.categorical), spec.target, spec.key,
+                                        c["model"], params, k, seed, sampler, c["frac"] / 100.0 if c["frac"] else 0.25)
+        s = models.cv_summary(oof, fm, spec.target, bands, n_bs, seed)
+        rows.append((c["label"], s["gini"], s["gini_low"], s["gini_upp"], "ok"))
+    rep = spark.createDataFrame(rows, "label string, gini double, gini_low double, gini_upp double, status string")
+    return reports.rank_pipelines(rep)
+
+
+def fine_select(sample_df: DataFrame, spec: SampleSpec, binner: BinnerConfig = BinnerConfig(),
+                vif_cutoff: float = 1.7, n_splits: int = 5, n_iter: int = 3, seed: int = 19,
+                name: str = "GBT", params: dict | None = None) -> dict:
+    """WoE binning -> iterative VIF removal on the WoE columns -> k-fold permutation importance of the kept
+    features. Returns the binning model, dropped features, the VIF table and the importance table."""
+    spark = sample_df.sparkSession
+    d = sample_df.persist(StorageLevel.MEMORY_AND_DISK)
+    bm = binning.fit_binning(d, spec.numeric, spec.categorical, spec.target, binner)
+    woe = bm.transform(d, keep=[spec.key, spec.target]).persist(StorageLevel.MEMORY_AND_DISK)
+    woe_cols = [f"woe_{f}" for f in bm.features]
+    dropped, vif_final = collinear.vif_select(woe, woe_cols, vif_cutoff)
+    drop_names = [f[len("woe_"):] for f, _ in dropped]
+    kept = [f for f in spec.features if f in bm.features and f not in drop_names]
+    imp = fold_permutation_importance(d, spec.with_features(kept), n_splits, n_iter, seed, name, params)
+    return {"binning": bm, "dropped": dropped, "vif": vif_final, "importance": imp, "kept": kept,
+            "woe": woe, "spark": spark}
+
+
+def fold_permutation_importance(df: DataFrame, spec: SampleSpec, n_splits: int = 5, n_iter: int = 3,
+                                seed: int = 19, name: str = "GBT", params: dict | None = None) -> DataFrame:
+    """Stratified folds; fit on k-1 folds, permutation importance on the held-out fold; mean over folds."""
+    folded = sampling.stratified_folds(df, spec.target, n_splits, spec.key, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    num, cat = list(spec.numeric), list(spec.categorical)
+    parts = None
+    for j in range(n_splits):
+        train = folded.where(F.col("fold") != j)
+        held = folded.where(F.col("fold") == j)
+        fitted = models.fit(train, num, cat, spec.target, name, params, seed)
+        imp = importance.permutation_importance(
+            held, spec.features, spec.target, spec.key, lambda fr: models.score(fitted, fr, num, cat), n_iter,
+            f"{seed}-{j}")
+        parts = imp if parts is None else parts.unionByName(imp)
+    return parts.groupBy("feature").agg(F.avg("importance").alias("importance")).orderBy(F.desc("importance"))
+
+
+def fine_tune(pools_df: DataFrame, spec: SampleSpec, ranked: Sequence[str], n_top: int = 10, n_evals: int = 4,
+              seed: int = 19, kfold_fine: float = 0.25, k: int = 3) -> dict:
+    """M21 (compact): OOT subsample -> uplift steps over the ranked features -> seeded search of GBT parameters by
+    the k-fold score (M8) -> final fit -> Gini per pool -> stability and uplift gates."""
+    spark = pools_df.sparkSession
+    p = sampling.oot_subsample(pools_df, 0.25, spec.key, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    feats = list(ranked)[:n_top]
+
+    def step_scores(prefix):
+        return pool_gini(fit_on_pools(p, spec, prefix, seed=seed), p, spec, prefix)
+
+    steps = gates.uplift_steps(spark, feats, step_scores).persist()
+    flagged, verdict = gates.uplift_gate(steps)
+    dev = p.where(F.col("pool").isin("TRAIN", "VALID"))
+    sub = spec.with_features(feats)
+
+    def objective(c):
+        params = {"depth": c["depth"], "learning_rate": min(c["learning_rate"], 1.0), "subsample": c["subsample"],
+                  "rsm": c["rsm"], "n_iter": 30}
+        _, fm = models.cross_validate(dev, list(sub.numeric), list(sub.categorical), spec.target, spec.key, "GBT",
+                                      params, k, seed, valid_size=None)
+        return gates.kfold_score(fm, kfold_fine).first()["kfold_score"]
+
+    best, trials = tune(candidates(spark, n_evals, gbt_space(), seed), objective)
+    params = {"depth": best["depth"], "learning_rate": min(best["learning_rate"], 1.0),
+              "subsample": best["subsample"], "rsm": best["rsm"]}
+    final = fit_on_pools(p, spec, feats, "GBT", params, seed)
+    g = pool_gini(final, p, spec, feats)
+    stab = gates.stability_gate(g.select(F.lit("FINAL").alias("model"), "pool", "gini"))
+    return {"steps": steps, "uplift": verdict, "flagged": flagged, "trials": trials, "best": best, "gini": g,
+            "stability": stab, "model": final}
