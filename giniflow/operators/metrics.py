@@ -26,9 +26,37 @@ def score_histogram(df: DataFrame, score: str, label: str, by: Sequence[str] = (
             .agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")))
 
 
+LOCAL_CELLS = 200_000   # histogram cells finished in one small step; above this the running sum stays distributed
+
+
+def _auc_local(pdf: pd.DataFrame, score: str, by: list[str]) -> pd.DataFrame:
+    out = []
+    groups = pdf.groupby(by, dropna=False, sort=False) if by else [((), pdf)]
+    for key, g in groups:
+        g = g.sort_values(score)
+        pos = g["pos"].to_numpy(np.float64)
+        neg = g["neg"].to_numpy(np.float64)
+        below = np.concatenate([[0.0], np.cumsum(neg)[:-1]])
+        P, N = pos.sum(), neg.sum()
+        auc = float((pos * (below + neg / 2.0)).sum() / (P * N)) if P > 0 and N > 0 else float("nan")
+        key = key if isinstance(key, tuple) else (key,)
+        out.append((*key[:len(by)], auc))
+    return pd.DataFrame(out, columns=[*by, "auc"])
+
+
 def auc_from_histogram(hist: DataFrame, score: str, by: Sequence[str] = (), n_buckets: int = 64) -> DataFrame:
-    """AUC with mid-rank ties: sum(pos * (neg strictly below + neg/2)) / (P * N), per group."""
+    """AUC with mid-rank ties: sum(pos * (neg strictly below + neg/2)) / (P * N), per group.
+
+    The histogram has one row per (group, distinct score). When it has at most ``LOCAL_CELLS`` rows (checked with a
+    bounded ``limit``) the ordered sum is finished on that small table in one step; otherwise it runs distributed with
+    bucketed running sums, so a continuous score over a huge table never funnels through one task."""
     by = list(by)
+    spark = hist.sparkSession
+    head = hist.limit(LOCAL_CELLS + 1).toPandas()
+    if len(head) <= LOCAL_CELLS:
+        schema = T.StructType([*[hist.schema[c] for c in by], T.StructField("auc", T.DoubleType())])
+        res = _auc_local(head, score, by)
+        return spark.createDataFrame([tuple(r) for r in res.itertuples(index=False)], schema)
     below = ordered_running_sum(hist, by, score, ["neg"], inclusive=False, n_buckets=n_buckets, suffix="_below")
     pos = F.col("pos").cast("double")
     term = pos * (F.col("neg_below").cast("double") + F.col("neg").cast("double") / F.lit(2.0))

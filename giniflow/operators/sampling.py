@@ -31,30 +31,43 @@ def _group_filter(by: Sequence[str], group: tuple) -> Column:
 
 
 def order_statistics(df: DataFrame, by: Sequence[str], hash_col: str, key_col: str,
-                     wanted: Sequence[tuple[tuple, int]]) -> dict[tuple[tuple, int], tuple[int, str]]:
+                     wanted) -> dict[tuple[tuple, int], tuple[int, str]]:
     """For each (group, r) return the (hash, key) of the r-th smallest row (1-based) of the group.
 
-    r <= 0 returns ``BEFORE_ALL``. ``key_col`` must be unique within a group (it breaks hash ties)."""
+    ``wanted`` is a list of (group, r) or a function of the group sizes ``{group: n}`` returning such a list (the sizes
+    come for free from the first histogram pass). r <= 0 returns ``BEFORE_ALL``. ``key_col`` must be unique within a
+    group (it breaks hash ties)."""
     by = list(by)
     result: dict = {}
     todo = {}
-    for g, r in wanted:
-        if r <= 0:
-            result[(g, r)] = BEFORE_ALL
-        else:
-            todo[(g, r)] = (0, r)          # (known hash prefix, residual rank within that prefix)
-    if not todo:
-        return result
     narrow = df.select(*by, hash_col, key_col).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         prev_shift = 32
+        first = True
         for shift, bits in LEVELS:
-            prefixes = {(g, pref) for (g, _), (pref, _) in todo.items()}
-            cond = F.lit(False)
-            for g, pref in prefixes:
-                cond = cond | (_group_filter(by, g) & (F.shiftright(F.col(hash_col), prev_shift) == F.lit(pref)))
-            part = F.shiftright(F.col(hash_col), shift).alias("__p")
-            rows = narrow.where(cond).groupBy(*by, part).count().collect()
+            if first:
+                part = F.shiftright(F.col(hash_col), shift).alias("__p")
+                rows = narrow.groupBy(*by, part).count().collect()
+                sizes: dict = {}
+                for row in rows:
+                    g = tuple(row[c] for c in by)
+                    sizes[g] = sizes.get(g, 0) + row["count"]
+                want = wanted(sizes) if callable(wanted) else wanted
+                for g, r in want:
+                    if r <= 0:
+                        result[(g, r)] = BEFORE_ALL
+                    else:
+                        todo[(g, r)] = (0, r)
+                if not todo:
+                    return result
+                first = False
+            else:
+                prefixes = {(g, pref) for (g, _), (pref, _) in todo.items()}
+                cond = F.lit(False)
+                for g, pref in prefixes:
+                    cond = cond | (_group_filter(by, g) & (F.shiftright(F.col(hash_col), prev_shift) == F.lit(pref)))
+                part = F.shiftright(F.col(hash_col), shift).alias("__p")
+                rows = narrow.where(cond).groupBy(*by, part).count().collect()
             counts: dict = {}
             for row in rows:
                 g = tuple(row[c] for c in by)
@@ -103,9 +116,8 @@ def split_holdout(df: DataFrame, frac: float, key: str, seed: int | str, salt: s
     d = df.withColumn(hcol, row_hash(key, f"{salt}-{seed}"))
     if not exact:
         return d.withColumn(out, F.col(hcol) < F.lit(int(frac * 4294967296.0))).drop(hcol)
-    n = d.count()
-    k = math.ceil(frac * n)
-    bound = order_statistics(d, [], hcol, key, [((), k)])[((), k)]
+    stats = order_statistics(d, [], hcol, key, lambda sizes: [((), math.ceil(frac * sizes.get((), 0)))])
+    bound = next(iter(stats.values())) if stats else BEFORE_ALL
     return d.withColumn(out, at_or_below(hcol, key, bound)).drop(hcol)
 
 
@@ -115,9 +127,8 @@ def sample_rows(df: DataFrame, frac: float, key: str, seed: int | str, exact: bo
     d = df.withColumn(hcol, row_hash(key, f"sample-{seed}"))
     if not exact:
         return d.where(F.col(hcol) < F.lit(int(frac * 4294967296.0))).drop(hcol)
-    n = d.count()
-    k = int(round(frac * n))
-    bound = order_statistics(d, [], hcol, key, [((), k)])[((), k)]
+    stats = order_statistics(d, [], hcol, key, lambda sizes: [((), int(round(frac * sizes.get((), 0))))])
+    bound = next(iter(stats.values())) if stats else BEFORE_ALL
     return d.where(at_or_below(hcol, key, bound)).drop(hcol)
 
 
@@ -134,12 +145,22 @@ def undersample_target(n_min: int, n_maj: int, frac: float) -> int:
 def undersample(df: DataFrame, label: str, frac: float, key: str, seed: int | str,
                 counts: dict | None = None) -> DataFrame:
     """Keep every minority row and exactly ``int(n_min/ratio)`` majority rows (smallest hash), without replacement."""
-    counts = counts or _group_counts(df, [label])
-    (minority, n_min), (majority, n_maj) = sorted(((g[0], c) for g, c in counts.items()), key=lambda t: (t[1], t[0]))
-    keep = undersample_target(n_min, n_maj, frac)
     hcol = "__h_under"
     d = df.withColumn(hcol, row_hash(key, f"under-{seed}"))
-    bound = order_statistics(d, [label], hcol, key, [((majority,), keep)])[((majority,), keep)]
+    chosen: dict = {}
+
+    def wanted(sizes):
+        c = counts or {g: n for g, n in sizes.items()}
+        if len(c) != 2:
+            raise ValueError("undersampling needs exactly two classes")
+        (_, n_min), (majority, n_maj) = sorted(((g[0], n) for g, n in c.items()), key=lambda t: (t[1], t[0]))
+        chosen["majority"] = majority
+        chosen["keep"] = undersample_target(n_min, n_maj, frac)
+        return [((majority,), chosen["keep"])]
+
+    stats = order_statistics(d, [label], hcol, key, wanted)
+    majority = chosen["majority"]
+    bound = stats[((majority,), chosen["keep"])]
     return d.where((F.col(label) != F.lit(majority)) | at_or_below(hcol, key, bound)).drop(hcol)
 
 
@@ -189,8 +210,12 @@ def stratified_folds(df: DataFrame, label: str, k: int, key: str, seed: int | st
     row of rank r in a class of n rows gets fold ``ceil(r*k/n) - 1``. Class share per fold is within one row."""
     hcol = "__h_fold"
     d = df.withColumn(hcol, row_hash(key, f"fold-{seed}"))
-    counts = _group_counts(d, [label])
-    wanted = [(g, (j * n) // k) for g, n in counts.items() for j in range(1, k)]
+    counts: dict = {}
+
+    def wanted(sizes):
+        counts.update(sizes)
+        return [(g, (j * n) // k) for g, n in sizes.items() for j in range(1, k)]
+
     bounds = order_statistics(d, [label], hcol, key, wanted)
     fold = F.lit(0)
     for g, n in counts.items():

@@ -48,9 +48,12 @@ def fit_on_pools(pools_df: DataFrame, spec: SampleSpec, features: Sequence[str],
                  params: dict | None = None, seed: int = 19):
     num = [f for f in features if f in spec.numeric]
     cat = [f for f in features if f in spec.categorical]
-    train = pools_df.where(F.col("pool") == "TRAIN")
+    train = pools_df.where(F.col("pool") == "TRAIN").persist(StorageLevel.MEMORY_AND_DISK)
     valid = pools_df.where(F.col("pool") == "VALID")
-    return models.fit(train, num, cat, spec.target, name, params, seed, valid)
+    try:
+        return models.fit(train, num, cat, spec.target, name, params, seed, valid)
+    finally:
+        train.unpersist()
 
 
 def preselect(pools_df: DataFrame, spec: SampleSpec, n_top: int, name: str = "GBT", params: dict | None = None,

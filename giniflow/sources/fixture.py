@@ -32,6 +32,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition a scan on its join key when it yields fewer splits than the cluster can run (e.g. a file with a
+    single row group). Large inputs already have enough splits and are left untouched."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)
+
+
 def _logit() -> Column:
     segment = (F.when(F.col("c_mktsegment") == "BUILDING", F.lit(0.9))
                .when(F.col("c_mktsegment") == "MACHINERY", F.lit(-0.6)).otherwise(F.lit(0.0)))
@@ -40,8 +49,9 @@ def _logit() -> Column:
 
 
 def scoring_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_extendedprice")
+    li = spread(table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_extendedprice"),
+        "l_orderkey")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     cu = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
     pa = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")

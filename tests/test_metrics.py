@@ -64,3 +64,12 @@ def test_bootstrap_band_covers_point_and_repeats(rnd):
     b, b2 = band.first(), band2.first()
     assert b["gini_low"] < point < b["gini_upp"]
     assert (b["gini_low"], b["gini_upp"]) == (b2["gini_low"], b2["gini_upp"])
+
+
+def test_distributed_auc_path_matches_local(rnd, monkeypatch):
+    df, s, y, g = rnd
+    monkeypatch.setattr(metrics, "LOCAL_CELLS", 0)
+    got = metrics.gini(df.repartition(5), "s", "y", by=["g"], digits=None, n_buckets=8).collect()
+    for r in got:
+        k = r["g"]
+        assert r["gini"] == pytest.approx((2 * brute_auc(s[g == k], y[g == k]) - 1) * 100, abs=1e-9)
