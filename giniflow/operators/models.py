@@ -86,6 +86,19 @@ class FitResult:
     model: PipelineModel
     features: list[str]
     n_iter: int | None = None
+    slots: list[str] | None = None     # source feature of every slot of the assembled vector
+
+
+def slot_features(assembled: DataFrame, features: Sequence[str]) -> list[str]:
+    """Map every slot of the ``features`` vector to its source column via the assembler's attribute metadata."""
+    attrs = assembled.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
+    flat = sorted((a["idx"], a.get("name", "")) for group in attrs.values() for a in group)
+    out = []
+    for _, name in flat:
+        src = next((f for f in features if name in (f"__imp_{f}", f"__idx_{f}") or name.startswith(f"__oh_{f}_")
+                    or name == f"__oh_{f}"), name)
+        out.append(src)
+    return out
 
 
 def fit(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str, name: str = "GBT",
@@ -95,17 +108,23 @@ def fit(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], targe
     est = make_estimator(name, params, seed)
     pipe = build_pipeline(numeric, categorical, est, one_hot=name.upper() == "LR")
     train = prepare(df, numeric, categorical, target)
-    model = pipe.fit(train)
-    n_iter = None
-    if valid is not None and name.upper() == "GBT":
-        v = prepare(valid, numeric, categorical, target)
-        assembled = PipelineModel(model.stages[:-1]).transform(v)
-        losses = model.stages[-1].evaluateEachIteration(assembled)
-        n_iter = int(min(range(len(losses)), key=lambda i: losses[i])) + 1
-        if n_iter < len(losses):
-            est2 = make_estimator(name, {**(params or {}), "n_iter": n_iter}, seed)
-            model = build_pipeline(numeric, categorical, est2).fit(train)
-    return FitResult(model, [*numeric, *categorical], n_iter)
+    # feature stages are fitted once; the assembled vectors are cached for the learner (and its early-stop refit)
+    feature_model = Pipeline(stages=pipe.getStages()[:-1]).fit(train)
+    assembled = feature_model.transform(train).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    slots = slot_features(assembled, [*numeric, *categorical])
+    try:
+        learner = est.fit(assembled)
+        n_iter = None
+        if valid is not None and name.upper() == "GBT":
+            v = feature_model.transform(prepare(valid, numeric, categorical, target))
+            losses = learner.evaluateEachIteration(v)
+            n_iter = int(min(range(len(losses)), key=lambda i: losses[i])) + 1
+            if n_iter < len(losses):
+                learner = make_estimator(name, {**(params or {}), "n_iter": n_iter}, seed).fit(assembled)
+    finally:
+        assembled.unpersist()
+    model = PipelineModel(stages=[*feature_model.stages, learner])
+    return FitResult(model, [*numeric, *categorical], n_iter, slots)
 
 
 def score(fitted: FitResult | PipelineModel, df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
@@ -129,7 +148,12 @@ def importance(fitted: FitResult, spark: SparkSession) -> DataFrame:
         coefs = [abs(c) for c in est.coefficients.toArray().tolist()]
         total = sum(coefs) or 1.0
         vals = [c / total for c in coefs]
-    rows = [(n, float(vals[i]) if i < len(vals) else 0.0) for i, n in enumerate(names)]
+    slots = fitted.slots or names
+    per = {n: 0.0 for n in names}
+    for i, v in enumerate(vals):
+        if i < len(slots) and slots[i] in per:
+            per[slots[i]] += float(v)
+    rows = [(n, per[n]) for n in names]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
