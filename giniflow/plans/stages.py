@@ -127,7 +127,7 @@ def fold_permutation_importance(df: DataFrame, spec: SampleSpec, n_splits: int =
 
 
 def fine_tune(pools_df: DataFrame, spec: SampleSpec, ranked: Sequence[str], n_top: int = 10, n_evals: int = 4,
-              seed: int = 19, kfold_fine: float = 0.25, k: int = 3) -> dict:
+              seed: int = 19, kfold_fine: float = 0.25, k: int = 3, n_iter: int = 30) -> dict:
     """M21 (compact): OOT subsample -> uplift steps over the ranked features -> seeded search of GBT parameters by
     the k-fold score (M8) -> final fit -> Gini per pool -> stability and uplift gates."""
     spark = pools_df.sparkSession
@@ -135,7 +135,7 @@ def fine_tune(pools_df: DataFrame, spec: SampleSpec, ranked: Sequence[str], n_to
     feats = list(ranked)[:n_top]
 
     def step_scores(prefix):
-        return pool_gini(fit_on_pools(p, spec, prefix, seed=seed), p, spec, prefix)
+        return pool_gini(fit_on_pools(p, spec, prefix, params={"n_iter": n_iter}, seed=seed), p, spec, prefix)
 
     steps = gates.uplift_steps(spark, feats, step_scores).persist()
     flagged, verdict = gates.uplift_gate(steps)
@@ -144,14 +144,14 @@ def fine_tune(pools_df: DataFrame, spec: SampleSpec, ranked: Sequence[str], n_to
 
     def objective(c):
         params = {"depth": c["depth"], "learning_rate": min(c["learning_rate"], 1.0), "subsample": c["subsample"],
-                  "rsm": c["rsm"], "n_iter": 30}
+                  "rsm": c["rsm"], "n_iter": n_iter}
         _, fm = models.cross_validate(dev, list(sub.numeric), list(sub.categorical), spec.target, spec.key, "GBT",
                                       params, k, seed, valid_size=None)
         return gates.kfold_score(fm, kfold_fine).first()["kfold_score"]
 
     best, trials = tune(candidates(spark, n_evals, gbt_space(), seed), objective)
     params = {"depth": best["depth"], "learning_rate": min(best["learning_rate"], 1.0),
-              "subsample": best["subsample"], "rsm": best["rsm"]}
+              "subsample": best["subsample"], "rsm": best["rsm"], "n_iter": n_iter}
     final = fit_on_pools(p, spec, feats, "GBT", params, seed)
     g = pool_gini(final, p, spec, feats)
     stab = gates.stability_gate(g.select(F.lit("FINAL").alias("model"), "pool", "gini"))
