@@ -158,9 +158,11 @@ def importance(fitted: FitResult, spark: SparkSession) -> DataFrame:
 
 
 def train_medians(train: DataFrame, numeric: Sequence[str]) -> DataFrame:
-    """Exact, interpolating median of every numeric column of the training rows (A12), one aggregation."""
-    row = train.agg(*[F.percentile(F.col(c).cast("double"), 0.5).alias(c) for c in numeric])
-    return row.unpivot([], list(numeric), "feature", "median")
+    """Exact, interpolating median of every numeric column of the training rows (A12), all columns at once
+    (sketch bracket + bounded histogram, see ``quantiles.py``)."""
+    from giniflow.operators.quantiles import exact_quantiles
+    med = exact_quantiles(train, numeric, 0.5)
+    return train.sparkSession.createDataFrame([(c, med[c]) for c in numeric], "feature string, median double")
 
 
 def median_impute(df: DataFrame, medians: DataFrame) -> DataFrame:

@@ -73,3 +73,13 @@ def test_distributed_auc_path_matches_local(rnd, monkeypatch):
     for r in got:
         k = r["g"]
         assert r["gini"] == pytest.approx((2 * brute_auc(s[g == k], y[g == k]) - 1) * 100, abs=1e-9)
+
+
+@pytest.mark.parametrize("q", [0.5, 0.1, 0.97])
+def test_exact_quantiles_equal_percentile(fixture_df, q):
+    from giniflow.operators.quantiles import exact_quantiles
+    cols = ["quantity", "price", "acct_bal", "tax_sparse"]
+    got = exact_quantiles(fixture_df, cols, q, accuracy=200)
+    ref = fixture_df.agg(*[F.percentile(c, q).alias(c) for c in cols]).first()
+    for c in cols:
+        assert got[c] == pytest.approx(ref[c], rel=1e-12, abs=1e-12)
