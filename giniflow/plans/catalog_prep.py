@@ -160,9 +160,14 @@ def q_apply_codes(spark, sf_dir):
 
 
 ONE_HOT = ["priority_group", "client_segm"]
+# The order-priority and market-segment domains of the driver tables, plus the missing marker.
+ONE_HOT_VALUES = {"priority_group": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"],
+                  "client_segm": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "nan"]}
 
 
-@register("one_hot", None)
+@register("one_hot", with_fixture("SELECT epk_id, " + ", ".join(
+    f"CAST(coalesce(CAST({c} AS VARCHAR), 'nan') = '{v}' AS INTEGER) AS \"{c}_{v}\""
+    for c in ONE_HOT for v in ONE_HOT_VALUES[c]) + " FROM scoring_sample"))
 def q_one_hot(spark, sf_dir):
     df = sample(spark, sf_dir)
     return encode.one_hot(df, df.select(KEY, *ONE_HOT), ONE_HOT)

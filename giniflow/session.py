@@ -31,7 +31,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
                .config("spark.driver.memory", driver_memory))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    prepare_session(spark)
     return spark
 
 
@@ -52,6 +52,39 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``giniflow`` importable in the Python workers (grouped-map and mapInPandas functions are pickled by
+    reference): the package is zipped once per application and distributed with ``addPyFile``, the programmatic form
+    of ``--py-files``."""
+    import os
+    import zipfile
+
+    import giniflow
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(giniflow.__file__)
+    root = os.path.dirname(pkg)
+    path = os.path.join(tempfile.mkdtemp(prefix="giniflow-pyfiles-"), "giniflow.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
+def prepare_session(spark: SparkSession) -> str:
+    """Checkpoint folder + package shipped to the workers; returns the checkpoint folder."""
+    ship_package(spark)
+    return ensure_checkpoint_dir(spark)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (written to the shared checkpoint folder), so lost executors recompute from the copy."""
     ensure_checkpoint_dir(df.sparkSession)
