@@ -40,10 +40,9 @@ def rank_pipelines(report: DataFrame) -> DataFrame:
 
 
 def worst(df: DataFrame, value: str, key: str, exclude: Sequence[str] = ()) -> DataFrame:
-    """Top-1 row by ``value`` (ties: smallest key), excluding some keys: ``max_by`` in one aggregation."""
+    """Top-1 row by ``value`` (ties: smallest key), excluding some keys: a bounded top-k (TakeOrderedAndProject)."""
     d = df.where(~F.col(key).isin(list(exclude))) if exclude else df
-    return d.agg(F.max_by(F.col(key), F.struct(F.col(value), -F.hash(F.col(key)))).alias(key),
-                 F.max(value).alias(value))
+    return d.orderBy(F.col(value).desc(), F.col(key)).limit(1).select(key, value)
 
 
 def deployable(results: DataFrame, stability_col: str = "stability") -> DataFrame:

@@ -235,3 +235,60 @@ def q_bootstrap_band(spark, sf_dir):
     reps, band = metrics.bootstrap_gini(sample(spark, sf_dir), "quantity", Y, n_bs=2000, seed=SEED)
     point = metrics.gini(sample(spark, sf_dir), "quantity", Y).first()["gini"]
     return band.select(F.lit(point).alias("gini"), "gini_low", "gini_upp")
+
+
+# ---------------------------------------------------------------------------------------------------------------------
+# Ranking and prefix steps over the fitted IV table
+
+def _iv_table(spark, sf_dir):
+    p = pools(spark, sf_dir)
+    train = p.where(F.col("pool") == "TRAIN")
+    model = binning.fit_binning(train, CARD, [], Y, BinnerConfig(min_size=MIN_SIZE), fixed_thresholds=FIXED)
+    return spark.createDataFrame([(f, float(model.numeric[f].iv)) for f in CARD], "feature string, importance double")
+
+
+IV_CTE = SCORECARD_CTE + ",\n_iv AS (SELECT feature, sum(woe * (gr - br)) AS importance FROM _w2 GROUP BY feature)"
+
+
+@register("top_features", with_fixture(
+    "SELECT feature, round(importance, 6) AS importance FROM _iv ORDER BY importance DESC, feature LIMIT 3", IV_CTE))
+def q_top_features(spark, sf_dir):
+    from giniflow.operators import reports
+    t = reports.top_features(_iv_table(spark, sf_dir), 3)
+    return t.select("feature", F.round("importance", 6).alias("importance"))
+
+
+@register("uplift_prefix", with_fixture("""
+SELECT CAST(rk AS INTEGER) AS step, feature,
+       string_agg(feature, ',') OVER (ORDER BY rk ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS features
+FROM (SELECT feature, row_number() OVER (ORDER BY importance DESC, feature) AS rk FROM _iv)""", IV_CTE))
+def q_uplift_prefix(spark, sf_dir):
+    from giniflow.operators import reports
+    ranked = reports.rank_importance(_iv_table(spark, sf_dir))
+    pre = gates.uplift_prefix(ranked)
+    return pre.select(F.col("step").cast("int").alias("step"), "feature", F.array_join("features", ",").alias("features"))
+
+
+@register("relative_to_last", with_fixture("""
+SELECT pool, CAST(step AS INTEGER) AS step, round(gini / last_value(gini) OVER (PARTITION BY pool ORDER BY step
+       ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 6) AS ratio FROM _gini""", SCORECARD_CTE))
+def q_relative_to_last(spark, sf_dir):
+    g = _scorecard_steps(spark, sf_dir).withColumn("step", F.col("step").cast("int"))
+    r = gates.relative_to_last(g)
+    return r.select("pool", "step", F.round("ratio", 6).alias("ratio"))
+
+
+@register("worst_vif", with_fixture("""
+SELECT feature, round(vif, 6) AS vif FROM (
+  SELECT 'quantity' AS feature, (1 - b*b) / d AS vif FROM _r
+  UNION ALL SELECT 'quantity_x', (1 - c*c) / d FROM _r
+  UNION ALL SELECT 'discount', (1 - a*a) / d FROM _r) ORDER BY vif DESC, feature LIMIT 1""", """
+_r AS (SELECT a, b, c, 1 + 2*a*b*c - a*a - b*b - c*c AS d FROM (
+        SELECT corr(quantity, quantity_x) AS a, corr(quantity_x, discount) AS b, corr(quantity, discount) AS c
+        FROM scoring_sample))"""))
+def q_worst_vif(spark, sf_dir):
+    from giniflow.operators import reports
+    values, _ = collinear.vif(sample(spark, sf_dir), VIF_COLS)
+    t = collinear.vif_table(spark, values)
+    w = reports.worst(t, "vif", "feature", exclude=[collinear.CONST])
+    return w.select("feature", F.round("vif", 6).alias("vif"))

@@ -213,3 +213,30 @@ def q_union_scores(spark, sf_dir):
     parts = [p.where(F.col("pool") == x).select("pool", "quantity") for x in ("VALID", "TEST")]
     u = parts[0].unionByName(parts[1])
     return u.groupBy("pool").agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("quantity"), 6).alias("sum_score"))
+
+
+@register("numeric_projection", with_fixture(
+    "SELECT epk_id, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in NUMERIC) + " FROM scoring_sample"))
+def q_numeric_projection(spark, sf_dir):
+    """P8 + P12 + P5: ids + numeric features only, cast to double with NaN as NULL."""
+    d = prep.select_features(sample(spark, sf_dir), [KEY], NUMERIC + CATEGORICAL)
+    nums = [c for c in prep.numeric_only(d).columns]
+    return prep.normalize_numeric(d.select(KEY, *nums), nums)
+
+
+@register("period_report_csv", with_fixture(f"""
+SELECT CASE WHEN grouping(report_dt) = 1 THEN 'TOTAL' ELSE CAST(report_dt AS VARCHAR) END AS period,
+       CAST(CASE WHEN grouping(report_dt) = 1 THEN count(*) ELSE count({Y}) END AS BIGINT) AS volume,
+       CAST(sum({Y}) AS BIGINT) AS n_response,
+       round(avg(CAST({Y} AS DOUBLE)), 6) AS trg_rate
+FROM scoring_sample GROUP BY GROUPING SETS ((report_dt), ())"""))
+def q_period_report_csv(spark, sf_dir):
+    """S4 round trip: the period report written as one CSV file with a header and read back with its schema."""
+    import uuid
+    from giniflow.operators import reports
+    from giniflow.session import ensure_checkpoint_dir
+    from giniflow.sources import io
+    path = f"{ensure_checkpoint_dir(spark)}/giniflow-report-{uuid.uuid4().hex[:8]}"
+    rep = reports.period_report(sample(spark, sf_dir), DATE, Y)
+    io.write_report(rep, path, "csv")
+    return spark.read.schema(rep.schema).option("header", True).csv(path)
