@@ -171,6 +171,37 @@ def edge_compaction(points: DataFrame, min_size: float) -> DataFrame:
 BOOTSTRAP_SCHEMA = T.StructType([T.StructField("replicate", T.LongType()), T.StructField("gini", T.DoubleType())])
 
 
+def poisson_bootstrap(hist: DataFrame, score: str, n_bs: int, seed: int, cells_per_block: int = 20_000,
+                      chunk: int = 100) -> DataFrame:
+    """Replicate histograms for a histogram too large to broadcast: every row gets an independent Poisson(1) weight
+    per replicate, so a cell with (pos, neg) rows becomes (Poisson(pos), Poisson(neg)). Cells are grouped into
+    deterministic blocks by a hash of the score (the draws do not depend on physical partitioning) and each block draws
+    its replicates in ``applyInPandas``. Output: (replicate, score, pos, neg)."""
+    n_cells = hist.count()
+    blocks = max(1, n_cells // cells_per_block)
+    schema = T.StructType([T.StructField("replicate", T.LongType()), T.StructField(score, T.DoubleType()),
+                           T.StructField("pos", T.LongType()), T.StructField("neg", T.LongType())])
+
+    def draw(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(score)
+        s = pdf[score].to_numpy(np.float64)
+        p, q = pdf["pos"].to_numpy(np.float64), pdf["neg"].to_numpy(np.float64)
+        block = int(pdf["__block"].iloc[0])
+        out = []
+        for r0 in range(0, n_bs, chunk):
+            reps = np.arange(r0, min(n_bs, r0 + chunk))
+            rng = np.random.default_rng([seed, block, r0])
+            pp = rng.poisson(p[None, :], size=(len(reps), len(s)))
+            qq = rng.poisson(q[None, :], size=(len(reps), len(s)))
+            out.append(pd.DataFrame({"replicate": np.repeat(reps, len(s)), score: np.tile(s, len(reps)),
+                                     "pos": pp.ravel(), "neg": qq.ravel()}))
+        return pd.concat(out)
+
+    keyed = hist.select(F.col(score).cast("double").alias(score), "pos", "neg").withColumn(
+        "__block", F.pmod(F.xxhash64(score), F.lit(blocks)))
+    return keyed.groupBy("__block").applyInPandas(draw, schema)
+
+
 def bootstrap_gini(df: DataFrame, score: str, label: str, n_bs: int = 2000, seed: int = 19,
                    max_cells: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
     """Bootstrap of the Gini: returns (replicates, band).
@@ -178,16 +209,20 @@ def bootstrap_gini(df: DataFrame, score: str, label: str, n_bs: int = 2000, seed
     AUC depends on the rows only through the histogram ``(score, label) -> count``, and a with-replacement resample of
     n rows is a multinomial draw of n over those cells. The cluster builds the histogram; each replicate draws one
     multinomial vector in a Python task (``spark.range(n_bs).mapInPandas``), so the work is spread over replicates and
-    no row-level data moves. The histogram is broadcast; its size is checked against ``max_cells`` first, and a score
-    with more distinct values is first rounded to a coarser grid by the caller.
+    no row-level data moves. The histogram is broadcast only after its size is checked against ``max_cells``; a larger
+    histogram switches to the distributed Poisson bootstrap (``poisson_bootstrap``), whose replicate AUCs run on the
+    bucketed running sums.
     Band = sorted replicate Ginis at 0-based positions ``int(n_bs*0.025)`` and ``int(n_bs*0.975)``.
     """
     spark = df.sparkSession
-    hist = score_histogram(df, score, label).orderBy(score)
-    n_cells = hist.count()
-    if n_cells > max_cells:
-        raise ValueError(f"score histogram has {n_cells} cells (> {max_cells}); quantise the score first")
-    h = hist.toPandas()
+    hist = score_histogram(df, score, label)
+    h = hist.limit(max_cells + 1).toPandas()
+    if len(h) > max_cells:
+        reps_hist = poisson_bootstrap(hist, score, n_bs, seed)
+        auc = auc_from_histogram(reps_hist, score, ["replicate"])
+        reps = auc.select("replicate", ((F.lit(2.0) * F.col("auc") - F.lit(1.0)) * F.lit(100.0)).alias("gini"))
+        return reps, bootstrap_band(reps, n_bs)
+    h = h.sort_values(score)
     bc = spark.sparkContext.broadcast((h["pos"].to_numpy(np.int64), h["neg"].to_numpy(np.int64)))
 
     def replicate(batches):

@@ -83,3 +83,16 @@ def test_exact_quantiles_equal_percentile(fixture_df, q):
     ref = fixture_df.agg(*[F.percentile(c, q).alias(c) for c in cols]).first()
     for c in cols:
         assert got[c] == pytest.approx(ref[c], rel=1e-12, abs=1e-12)
+
+
+def test_poisson_bootstrap_path(rnd):
+    df, *_ = rnd
+    point = metrics.gini(df, "s", "y").first()["gini"]
+    reps, band = metrics.bootstrap_gini(df, "s", "y", n_bs=100, seed=5, max_cells=10)
+    b = band.first()
+    assert reps.count() == 100
+    assert b["gini_low"] < point < b["gini_upp"]
+    reps2, _ = metrics.bootstrap_gini(df.repartition(3), "s", "y", n_bs=100, seed=5, max_cells=10)
+    a = sorted(r["gini"] for r in reps.collect())
+    c = sorted(r["gini"] for r in reps2.collect())
+    assert a == pytest.approx(c, abs=1e-9)
