@@ -87,6 +87,7 @@ class FitResult:
     features: list[str]
     n_iter: int | None = None
     slots: list[str] | None = None     # source feature of every slot of the assembled vector
+    slot_std: list[float] | None = None
 
 
 def slot_features(assembled: DataFrame, features: Sequence[str]) -> list[str]:
@@ -112,6 +113,10 @@ def fit(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], targe
     feature_model = Pipeline(stages=pipe.getStages()[:-1]).fit(train)
     assembled = feature_model.transform(train).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
     slots = slot_features(assembled, [*numeric, *categorical])
+    slot_std = None
+    if name.upper() == "LR":
+        from pyspark.ml.stat import Summarizer
+        slot_std = assembled.select(Summarizer.std(F.col("features")).alias("s")).first()["s"].toArray().tolist()
     try:
         learner = est.fit(assembled)
         n_iter = None
@@ -124,7 +129,7 @@ def fit(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], targe
     finally:
         assembled.unpersist()
     model = PipelineModel(stages=[*feature_model.stages, learner])
-    return FitResult(model, [*numeric, *categorical], n_iter, slots)
+    return FitResult(model, [*numeric, *categorical], n_iter, slots, slot_std)
 
 
 def score(fitted: FitResult | PipelineModel, df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
@@ -139,13 +144,14 @@ def score(fitted: FitResult | PipelineModel, df: DataFrame, numeric: Sequence[st
 
 def importance(fitted: FitResult, spark: SparkSession) -> DataFrame:
     """(feature, importance) sorted descending. Trees: ``featureImportances`` summed over the slots of a feature;
-    linear model: |coefficient| share."""
+    linear model: share of |coefficient| x slot standard deviation (scale-free), summed over a feature's slots."""
     est = fitted.model.stages[-1]
     names = fitted.features
     if hasattr(est, "featureImportances"):
         vals = est.featureImportances.toArray().tolist()
     else:
-        coefs = [abs(c) for c in est.coefficients.toArray().tolist()]
+        std = fitted.slot_std or [1.0] * est.coefficients.size
+        coefs = [abs(c) * (std[i] if i < len(std) else 1.0) for i, c in enumerate(est.coefficients.toArray().tolist())]
         total = sum(coefs) or 1.0
         vals = [c / total for c in coefs]
     slots = fitted.slots or names
