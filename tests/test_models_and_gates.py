@@ -97,3 +97,12 @@ def test_read_through_writes_snapshot_once(spark, tmp_path):
     io.read_through(spark, snap, load, lambda d: calls.append(d.count()))
     io.read_through(spark, snap, load, lambda d: calls.append(d.count()))
     assert calls == [5]
+
+
+def test_vif_wide_path_matches_pairwise(fixture_df, monkeypatch):
+    cols = ["quantity", "quantity_x", "discount", "tax", "price"]
+    a, _ = collinear.vif(fixture_df, cols)
+    monkeypatch.setattr(collinear, "WIDE", 2)
+    b, _ = collinear.vif(fixture_df, cols)
+    for k in a:
+        assert b[k] == pytest.approx(a[k], rel=1e-6)
