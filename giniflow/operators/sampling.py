@@ -40,7 +40,8 @@ def order_statistics(df: DataFrame, by: Sequence[str], hash_col: str, key_col: s
     by = list(by)
     result: dict = {}
     todo = {}
-    narrow = df.select(*by, hash_col, key_col).persist(StorageLevel.MEMORY_AND_DISK)
+    # only (group, hash) is kept for the histogram passes; the key is read back for the few rows of the tied hashes
+    narrow = df.select(*by, hash_col).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         prev_shift = 32
         first = True
@@ -86,7 +87,7 @@ def order_statistics(df: DataFrame, by: Sequence[str], hash_col: str, key_col: s
         for (g, _), (h, _) in todo.items():
             cond = cond | (_group_filter(by, g) & (F.col(hash_col) == F.lit(h)))
         ties: dict = {}
-        for row in narrow.where(cond).select(*by, hash_col, key_col).collect():
+        for row in df.where(cond).select(*by, hash_col, key_col).collect():
             ties.setdefault((tuple(row[c] for c in by), row[hash_col]), []).append(row[key_col])
         for (g, r), (h, resid) in todo.items():
             keys = sorted(ties[(g, h)])
