@@ -35,6 +35,15 @@ from giniflow.operators import binning, collinear, gates, importance, metrics, m
 from giniflow.operators.tuning import candidates, gbt_space, tune  # noqa: E402
 from giniflow.spec import BinnerConfig, SampleSpec  # noqa: E402
 
+from concurrent.futures import ThreadPoolExecutor  # noqa: E402
+
+THREADS = 4   # independent fits (grid cells, folds, uplift steps) submitted concurrently from the driver
+
+
+def _parallel(fn, items, threads: int = THREADS):
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(items) or 1))) as pool:
+        return list(pool.map(fn, items))
+
 
 def pool_gini(fitted, pools_df: DataFrame, spec: SampleSpec, features: Sequence[str]) -> DataFrame:
     """Gini per pool of a fitted pipeline (one transform, one grouped metric)."""
@@ -77,16 +86,18 @@ def search_grid(sample_df: DataFrame, spec: SampleSpec, cells: DataFrame, k: int
     Infeasible cells are reported with NULL metrics."""
     spark = sample_df.sparkSession
     d = sample_df.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
-    for c in cells.collect():
+
+    def run_cell(c):
         if not c["feasible"]:
-            rows.append((c["label"], None, None, None, "infeasible"))
-            continue
+            return (c["label"], None, None, None, "infeasible")
         sampler = {"ORIG": "NONE", "US": "UNDER", "OS": "OVER"}[c["sampler"]]
         oof, fm = models.cross_validate(d, list(spec.numeric), list(spec.categorical), spec.target, spec.key,
-                                        c["model"], params, k, seed, sampler, c["frac"] / 100.0 if c["frac"] else 0.25)
+                                        c["model"], params, k, seed, sampler, c["frac"] / 100.0 if c["frac"] else 0.25,
+                                        threads=2)
         s = models.cv_summary(oof, fm, spec.target, bands, n_bs, seed)
-        rows.append((c["label"], s["gini"], s["gini_low"], s["gini_upp"], "ok"))
+        return (c["label"], s["gini"], s["gini_low"], s["gini_upp"], "ok")
+
+    rows = _parallel(run_cell, cells.collect())
     rep = spark.createDataFrame(rows, "label string, gini double, gini_low double, gini_upp double, status string")
     return reports.rank_pipelines(rep)
 
@@ -114,16 +125,27 @@ def fold_permutation_importance(df: DataFrame, spec: SampleSpec, n_splits: int =
     """Stratified folds; fit on k-1 folds, permutation importance on the held-out fold; mean over folds."""
     folded = sampling.stratified_folds(df, spec.target, n_splits, spec.key, seed).persist(StorageLevel.MEMORY_AND_DISK)
     num, cat = list(spec.numeric), list(spec.categorical)
-    parts = None
-    for j in range(n_splits):
+
+    def one_fold(j):
         train = folded.where(F.col("fold") != j)
         held = folded.where(F.col("fold") == j)
         fitted = models.fit(train, num, cat, spec.target, name, params, seed)
         imp = importance.permutation_importance(
             held, spec.features, spec.target, spec.key, lambda fr: models.score(fitted, fr, num, cat), n_iter,
             f"{seed}-{j}")
-        parts = imp if parts is None else parts.unionByName(imp)
-    return parts.groupBy("feature").agg(F.avg("importance").alias("importance")).orderBy(F.desc("importance"))
+        return small_result(imp)
+
+    parts = _parallel(one_fold, list(range(n_splits)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy("feature").agg(F.avg("importance").alias("importance")).orderBy(F.desc("importance"))
+
+
+def small_result(df: DataFrame) -> DataFrame:
+    """Materialise a per-feature result table (bounded by the feature count) so later unions do not re-run fits."""
+    from giniflow.operators.prefix import small_table
+    return small_table(df)
 
 
 def fine_tune(pools_df: DataFrame, spec: SampleSpec, ranked: Sequence[str], n_top: int = 10, n_evals: int = 4,
@@ -134,10 +156,15 @@ def fine_tune(pools_df: DataFrame, spec: SampleSpec, ranked: Sequence[str], n_to
     p = sampling.oot_subsample(pools_df, 0.25, spec.key, seed).persist(StorageLevel.MEMORY_AND_DISK)
     feats = list(ranked)[:n_top]
 
-    def step_scores(prefix):
-        return pool_gini(fit_on_pools(p, spec, prefix, params={"n_iter": n_iter}, seed=seed), p, spec, prefix)
+    def step_scores(k):
+        prefix = feats[:k]
+        g = pool_gini(fit_on_pools(p, spec, prefix, params={"n_iter": n_iter}, seed=seed), p, spec, prefix)
+        return small_result(g.select(F.lit(k).alias("step"), F.lit(feats[k - 1]).alias("feature"), "pool", "gini"))
 
-    steps = gates.uplift_steps(spark, feats, step_scores).persist()
+    parts = _parallel(step_scores, list(range(1, len(feats) + 1)))
+    steps = parts[0]
+    for part in parts[1:]:
+        steps = steps.unionByName(part)
     flagged, verdict = gates.uplift_gate(steps)
     dev = p.where(F.col("pool").isin("TRAIN", "VALID"))
     sub = spec.with_features(feats)

@@ -56,15 +56,15 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``giniflow`` importable in the Python workers (grouped-map and mapInPandas functions are pickled by
-    reference): the package is zipped once per application and distributed with ``addPyFile``, the programmatic form
-    of ``--py-files``."""
+    """Make ``giniflow`` importable in the Python workers of a local session (grouped-map and mapInPandas functions are
+    pickled by reference): the package is zipped once per application and distributed with ``addPyFile``. On a
+    cluster the package is deployed with the job (wheel or ``--py-files``), so nothing is written here."""
     import os
     import zipfile
 
     import giniflow
     sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
+    if sc.applicationId in _SHIPPED or not sc.master.startswith("local"):
         return
     pkg = os.path.dirname(giniflow.__file__)
     root = os.path.dirname(pkg)
