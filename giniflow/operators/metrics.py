@@ -117,7 +117,47 @@ def roc_points(df: DataFrame, features: Sequence[str], label: str, n_buckets: in
     the second-difference rule of the usual ROC thinning.
     """
     long = unpivot_numeric(df, features, [label])
-    return roc_from_histogram(score_histogram(long, "value", label, ["feature"]), n_buckets, drop_intermediate)
+    hist = score_histogram(long, "value", label, ["feature"])
+    if drop_intermediate and hist.limit(ROC_LOCAL_CELLS + 1).count() <= ROC_LOCAL_CELLS:
+        return roc_grouped(hist)
+    return roc_from_histogram(hist, n_buckets, drop_intermediate)
+
+
+ROC_LOCAL_CELLS = 2_000_000   # histogram rows for which the ROC is built per feature in one grouped step
+
+ROC_SCHEMA = T.StructType([
+    T.StructField("feature", T.StringType()), T.StructField("idx", T.LongType()),
+    T.StructField("value", T.DoubleType()), T.StructField("tps", T.LongType()), T.StructField("fps", T.LongType()),
+    T.StructField("tpr", T.DoubleType()), T.StructField("fpr", T.DoubleType()), T.StructField("mass", T.DoubleType()),
+    T.StructField("base_rate", T.DoubleType())])
+
+
+def roc_numpy(values: np.ndarray, pos: np.ndarray, neg: np.ndarray):
+    """ROC of one feature from its histogram: descending values, collinear interior points dropped, sentinel first.
+    Returns (value, tps, fps) arrays with the sentinel (NaN, 0, 0) at index 0."""
+    order = np.argsort(-values, kind="stable")
+    v, p, n = values[order], pos[order], neg[order]
+    L = len(v)
+    keep = np.ones(L, dtype=bool)
+    if L > 2:
+        keep[1:-1] = ~((p[2:] == p[1:-1]) & (n[2:] == n[1:-1]))
+    tps = np.concatenate([[0], np.cumsum(p)[keep]])
+    fps = np.concatenate([[0], np.cumsum(n)[keep]])
+    return np.concatenate([[np.nan], v[keep]]), tps, fps
+
+
+def roc_grouped(hist: DataFrame) -> DataFrame:
+    """ROC points per feature in one ``applyInPandas`` (used when the whole histogram is provably small)."""
+
+    def per_feature(pdf: pd.DataFrame) -> pd.DataFrame:
+        v, tps, fps = roc_numpy(pdf["value"].to_numpy(np.float64), pdf["pos"].to_numpy(np.int64),
+                                pdf["neg"].to_numpy(np.int64))
+        P, N = float(tps[-1]), float(fps[-1])
+        return pd.DataFrame({"feature": pdf["feature"].iloc[0], "idx": np.arange(len(v), dtype=np.int64),
+                             "value": v, "tps": tps.astype(np.int64), "fps": fps.astype(np.int64),
+                             "tpr": tps / P, "fpr": fps / N, "mass": (tps + fps) / (P + N), "base_rate": P / (P + N)})
+
+    return hist.groupBy("feature").applyInPandas(per_feature, ROC_SCHEMA)
 
 
 def roc_from_histogram(hist: DataFrame, n_buckets: int = 64, drop_intermediate: bool = True) -> DataFrame:

@@ -96,3 +96,18 @@ def test_poisson_bootstrap_path(rnd):
     a = sorted(r["gini"] for r in reps.collect())
     c = sorted(r["gini"] for r in reps2.collect())
     assert a == pytest.approx(c, abs=1e-9)
+
+
+def test_grouped_and_distributed_roc_agree(spark, fixture_df, monkeypatch):
+    feats = ["quantity", "price", "acct_bal"]
+    cols = ["feature", "idx", "value", "tps", "fps", "tpr", "fpr", "mass"]
+    a = {(r["feature"], r["idx"]): r for r in metrics.roc_points(fixture_df, feats, "trg_flag").select(*cols).collect()}
+    monkeypatch.setattr(metrics, "ROC_LOCAL_CELLS", 0)
+    b = {(r["feature"], r["idx"]): r for r in metrics.roc_points(fixture_df, feats, "trg_flag").select(*cols).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        ra, rb = a[k], b[k]
+        assert (ra["tps"], ra["fps"]) == (rb["tps"], rb["fps"])
+        assert (ra["value"] is None and rb["value"] is None) or ra["value"] == rb["value"] or \
+            (ra["value"] != ra["value"] and rb["value"] is None)
+        assert ra["mass"] == pytest.approx(rb["mass"], abs=1e-15)
