@@ -187,14 +187,17 @@ FROM (
                last_value(CASE WHEN e THEN fpr END IGNORE NULLS) OVER w1 AS a_fpr,
                first_value(CASE WHEN e THEN tpr END IGNORE NULLS) OVER w2 AS b_tpr,
                first_value(CASE WHEN e THEN fpr END IGNORE NULLS) OVER w2 AS b_fpr
-        FROM (SELECT *, idx = 0 OR idx = max(idx) OVER (PARTITION BY feature) OR idx % 7 = 0 AS e FROM _p) p
+        FROM (SELECT _p.*, idx = 0 OR idx = max(idx) OVER (PARTITION BY feature)
+                     OR idx IN (SELECT min(q.idx) FROM _p q, (VALUES (0.25), (0.5), (0.75)) t(m)
+                                WHERE q.feature = _p.feature AND q.mass >= t.m GROUP BY t.m) AS e FROM _p) p
         WINDOW w1 AS (PARTITION BY feature ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
                w2 AS (PARTITION BY feature ORDER BY idx ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)) q
 ) x GROUP BY feature""", ROC_CTE))
 def q_segment_loss(spark, sf_dir):
     pts = _roc(spark, sf_dir).persist()
-    breaks = (pts.where((F.col("idx") % 7 == 0) & (F.col("idx") > 0)).groupBy("feature")
-              .agg(F.collect_list("idx").alias("break_idx")))
+    # fixed breaks: the first ROC point at or past each quartile of population mass
+    quart = [F.min(F.when(F.col("mass") >= F.lit(m), F.col("idx"))) for m in (0.25, 0.5, 0.75)]
+    breaks = pts.groupBy("feature").agg(F.array_distinct(F.array(*quart)).alias("break_idx"))
     loss = binning.segment_loss(pts, breaks)
     return loss.select("feature", F.round("loss", 9).alias("loss"))
 
