@@ -38,7 +38,7 @@ def _auc_local(pdf: pd.DataFrame, score: str, by: list[str]) -> pd.DataFrame:
         neg = g["neg"].to_numpy(np.float64)
         below = np.concatenate([[0.0], np.cumsum(neg)[:-1]])
         P, N = pos.sum(), neg.sum()
-        auc = float((pos * (below + neg / 2.0)).sum() / (P * N)) if P > 0 and N > 0 else float("nan")
+        auc = float((pos * (below + neg / 2.0)).sum() / (P * N)) if P > 0 and N > 0 else None
         key = key if isinstance(key, tuple) else (key,)
         out.append((*key[:len(by)], auc))
     return pd.DataFrame(out, columns=[*by, "auc"])
@@ -62,7 +62,8 @@ def auc_from_histogram(hist: DataFrame, score: str, by: Sequence[str] = (), n_bu
     term = pos * (F.col("neg_below").cast("double") + F.col("neg").cast("double") / F.lit(2.0))
     agg = below.groupBy(*by).agg(F.sum(term).alias("__num"), F.sum("pos").cast("double").alias("__p"),
                                  F.sum("neg").cast("double").alias("__n"))
-    return agg.select(*by, (F.col("__num") / (F.col("__p") * F.col("__n"))).alias("auc"))
+    # a group with one class only has no AUC: NULL (try_divide keeps ANSI mode from raising)
+    return agg.select(*by, F.try_divide(F.col("__num"), F.col("__p") * F.col("__n")).alias("auc"))
 
 
 def gini(df: DataFrame, score: str, label: str, by: Sequence[str] = (), digits: int | None = 2,
@@ -153,9 +154,12 @@ def roc_grouped(hist: DataFrame) -> DataFrame:
         v, tps, fps = roc_numpy(pdf["value"].to_numpy(np.float64), pdf["pos"].to_numpy(np.int64),
                                 pdf["neg"].to_numpy(np.int64))
         P, N = float(tps[-1]), float(fps[-1])
+        with np.errstate(divide="ignore", invalid="ignore"):
+            tpr = tps / P if P > 0 else np.full(len(v), np.nan)
+            fpr = fps / N if N > 0 else np.full(len(v), np.nan)
         return pd.DataFrame({"feature": pdf["feature"].iloc[0], "idx": np.arange(len(v), dtype=np.int64),
                              "value": v, "tps": tps.astype(np.int64), "fps": fps.astype(np.int64),
-                             "tpr": tps / P, "fpr": fps / N, "mass": (tps + fps) / (P + N), "base_rate": P / (P + N)})
+                             "tpr": tpr, "fpr": fpr, "mass": (tps + fps) / (P + N), "base_rate": P / (P + N)})
 
     return hist.groupBy("feature").applyInPandas(per_feature, ROC_SCHEMA)
 
@@ -183,7 +187,7 @@ def roc_from_histogram(hist: DataFrame, n_buckets: int = 64, drop_intermediate:
     allp = body.select("feature", "idx", "value", "tps", "fps", "P", "N").unionByName(sentinel)
     return allp.select(
         "feature", "idx", "value", "tps", "fps",
-        (F.col("tps") / F.col("P")).alias("tpr"), (F.col("fps") / F.col("N")).alias("fpr"),
+        F.try_divide(F.col("tps"), F.col("P")).alias("tpr"), F.try_divide(F.col("fps"), F.col("N")).alias("fpr"),
         ((F.col("tps") + F.col("fps")) / (F.col("P") + F.col("N"))).alias("mass"),
         (F.col("P") / (F.col("P") + F.col("N"))).alias("base_rate"))
 

@@ -111,3 +111,12 @@ def test_grouped_and_distributed_roc_agree(spark, fixture_df, monkeypatch):
         assert (ra["value"] is None and rb["value"] is None) or ra["value"] == rb["value"] or \
             (ra["value"] != ra["value"] and rb["value"] is None)
         assert ra["mass"] == pytest.approx(rb["mass"], abs=1e-15)
+
+
+def test_one_class_group_gives_null_not_error(spark, monkeypatch):
+    df = spark.createDataFrame([(1.0, 1, "a"), (2.0, 0, "a"), (3.0, 1, "b"), (4.0, 1, "b")], "s double, y int, g string")
+    for cells in (metrics.LOCAL_CELLS, 0):
+        monkeypatch.setattr(metrics, "LOCAL_CELLS", cells)
+        got = {r["g"]: r["gini"] for r in metrics.gini(df, "s", "y", by=["g"]).collect()}
+        assert got["a"] == -100.0
+        assert got["b"] is None
