@@ -56,7 +56,8 @@ def auc_from_histogram(hist: DataFrame, score: str, by: Sequence[str] = (), n_bu
     if len(head) <= LOCAL_CELLS:
         schema = T.StructType([*[hist.schema[c] for c in by], T.StructField("auc", T.DoubleType())])
         res = _auc_local(head, score, by)
-        return spark.createDataFrame([tuple(r) for r in res.itertuples(index=False)], schema)
+        rows = [tuple(None if isinstance(x, float) and x != x else x for x in r) for r in res.itertuples(index=False)]
+        return spark.createDataFrame(rows, schema)
     below = ordered_running_sum(hist, by, score, ["neg"], inclusive=False, n_buckets=n_buckets, suffix="_below")
     pos = F.col("pos").cast("double")
     term = pos * (F.col("neg_below").cast("double") + F.col("neg").cast("double") / F.lit(2.0))
