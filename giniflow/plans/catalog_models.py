@@ -233,3 +233,13 @@ def q_stream_woe(spark, sf_dir):
                      f"woe-{uuid.uuid4().hex[:6]}")
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out")
+
+
+@register("backtest_refit", None)
+def q_backtest_refit(spark, sf_dir):
+    """M7 with a refit per date: the logistic pipeline is fitted on all earlier report dates and scored on them (DEV)
+    and on the date itself (OOT); plus the stability score of the resulting table."""
+    d = sample(spark, sf_dir)
+    bt = stages.backtest_refit(d, SPEC, ["quantity", "discount", "client_segm"], "LR", None, SEED)
+    score = gates.stability_score(bt, 25.0, 1.5, 5.0).first()["stability_score"]
+    return bt.withColumn("stability_score", F.lit(score))

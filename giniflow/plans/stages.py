@@ -148,8 +148,35 @@ def small_result(df: DataFrame) -> DataFrame:
     return small_table(df)
 
 
+def backtest_refit(df: DataFrame, spec: SampleSpec, features: Sequence[str], name: str = "GBT",
+                   params: dict | None = None, seed: int = 19) -> DataFrame:
+    """M7 backtest with a refit per step: for the i-th report date, fit on all earlier dates and take the Gini on
+    those dev rows and on the date itself. Returns (report_dt, dev, oot)."""
+    from giniflow.operators.backtest import backtest_models
+    num = [f for f in features if f in spec.numeric]
+    cat = [f for f in features if f in spec.categorical]
+    base = df.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def fit_and_score(dev, oot):
+        fitted = models.fit(dev, num, cat, spec.target, name, params, seed)
+        both = dev.withColumn("role", F.lit("DEV")).unionByName(oot.withColumn("role", F.lit("OOT")))
+        return metrics.gini(models.score(fitted, both, num, cat), "score", spec.target, by=["role"])
+
+    return small_result(backtest_models(base, spec.date_col, fit_and_score))
+
+
+def stable_score(df: DataFrame, spec: SampleSpec, features: Sequence[str], params: dict | None = None,
+                 name: str = "GBT", seed: int = 19, accept_lvl: float = 25.0, actuality: float = 1.5,
+                 stable_fine: float = 5.0) -> float:
+    """Objective of the STABLE design (M7): stability score of the refit backtest (lower is better, +inf when the
+    mean OOT Gini is below ACCEPT_LVL)."""
+    bt = backtest_refit(df, spec, features, name, params, seed)
+    return gates.stability_score(bt, accept_lvl, actuality, stable_fine).first()["stability_score"]
+
+
 def fine_tune(pools_df: DataFrame, spec: SampleSpec, ranked: Sequence[str], n_top: int = 10, n_evals: int = 4,
-              seed: int = 19, kfold_fine: float = 0.25, k: int = 3, n_iter: int = 30) -> dict:
+              seed: int = 19, kfold_fine: float = 0.25, k: int = 3, n_iter: int = 30, design: str = "KFOLD",
+              f_lower: int = 4, f_upper: int = 10) -> dict:
     """M21 (compact): OOT subsample -> uplift steps over the ranked features -> seeded search of GBT parameters by
     the k-fold score (M8) -> final fit -> Gini per pool -> stability and uplift gates."""
     spark = pools_df.sparkSession
@@ -172,11 +199,16 @@ def fine_tune(pools_df: DataFrame, spec: SampleSpec, ranked: Sequence[str], n_to
     def objective(c):
         params = {"depth": c["depth"], "learning_rate": min(c["learning_rate"], 1.0), "subsample": c["subsample"],
                   "rsm": c["rsm"], "n_iter": n_iter}
+        if design.upper() == "STABLE":
+            return stable_score(dev, spec, list(c["features"]), params, "GBT", seed)
         _, fm = models.cross_validate(dev, list(sub.numeric), list(sub.categorical), spec.target, spec.key, "GBT",
                                       params, k, seed, valid_size=None)
         return gates.kfold_score(fm, kfold_fine).first()["kfold_score"]
 
-    best, trials = tune(candidates(spark, n_evals, gbt_space(), seed), objective)
+    subsets = feats if design.upper() == "STABLE" else None
+    best, trials = tune(candidates(spark, n_evals, gbt_space(), seed, subsets, f_lower, f_upper), objective)
+    if design.upper() == "STABLE":
+        feats = list(best["features"])
     params = {"depth": best["depth"], "learning_rate": min(best["learning_rate"], 1.0),
               "subsample": best["subsample"], "rsm": best["rsm"], "n_iter": n_iter}
     final = fit_on_pools(p, spec, feats, "GBT", params, seed)

@@ -106,3 +106,14 @@ def test_vif_wide_path_matches_pairwise(fixture_df, monkeypatch):
     b, _ = collinear.vif(fixture_df, cols)
     for k in a:
         assert b[k] == pytest.approx(a[k], rel=1e-6)
+
+
+def test_backtest_refit_steps(spark, fixture_df):
+    from giniflow.plans import stages
+    from giniflow.sources.fixture import FIXTURE_SPEC
+    spec = FIXTURE_SPEC.with_features(["quantity", "discount"])
+    bt = stages.backtest_refit(fixture_df, spec, ["quantity", "discount"], "LR")
+    dates = sorted(r[0] for r in fixture_df.select("report_dt").distinct().collect())
+    got = sorted(r["report_dt"] for r in bt.collect())
+    assert got == dates[1:]
+    assert all(r["oot"] is not None and r["dev"] > 20 for r in bt.collect())
