@@ -18,7 +18,8 @@ from giniflow.spec import BinnerConfig
 CARD = list(FIXED)     # quantity, discount, acct_bal, part_size
 
 
-def _scorecard_steps(spark, sf_dir):
+def _scorecard_rows(spark, sf_dir):
+    """(epk_id, pool, trg_flag, step, feature, score) of the WoE-sum scorecard."""
     p = pools(spark, sf_dir).persist()
     train = p.where(F.col("pool") == "TRAIN")
     model = binning.fit_binning(train, CARD, [], Y, BinnerConfig(min_size=MIN_SIZE), fixed_thresholds=FIXED)
@@ -28,9 +29,11 @@ def _scorecard_steps(spark, sf_dir):
     for k in range(1, len(ranked) + 1):
         s = F.round(-sum((F.col(f"woe_{f}") for f in ranked[:k]), F.lit(0.0)), 9)
         steps.append(F.struct(F.lit(k).alias("step"), F.lit(ranked[k - 1]).alias("feature"), s.alias("score")))
-    long = enc.select("pool", Y, F.explode(F.array(*steps)).alias("s")).select("pool", Y, "s.*")
-    g = metrics.gini(long, "score", Y, by=["pool", "step", "feature"])
-    return g
+    return enc.select(KEY, "pool", Y, F.explode(F.array(*steps)).alias("s")).select(KEY, "pool", Y, "s.*")
+
+
+def _scorecard_steps(spark, sf_dir):
+    return metrics.gini(_scorecard_rows(spark, sf_dir), "score", Y, by=["pool", "step", "feature"])
 
 
 SCORECARD_CTE = POOLS_CTE + ",\n_binned AS (\n" + "\nUNION ALL\n".join(
@@ -292,3 +295,12 @@ def q_worst_vif(spark, sf_dir):
     t = collinear.vif_table(spark, values)
     w = reports.worst(t, "vif", "feature", exclude=[collinear.CONST])
     return w.select("feature", F.round("vif", 6).alias("vif"))
+
+
+@register("pools_with_scores", with_fixture(
+    "SELECT epk_id, pool, " + Y + ", score FROM _steps WHERE step = 4", SCORECARD_CTE))
+def q_pools_with_scores(spark, sf_dir):
+    """The full scorecard's scores joined back to the pool rows by key."""
+    from giniflow.operators.joins import pools_with_scores
+    rows = _scorecard_rows(spark, sf_dir).where(F.col("step") == 4)
+    return pools_with_scores(pools(spark, sf_dir), rows.select(KEY, Y, "score"), KEY)

@@ -95,10 +95,10 @@ SELECT 'OOT' AS part, CAST(count(*) AS BIGINT) AS n_rows FROM scoring_sample WHE
 UNION ALL
 SELECT 'DEV', CAST(count(*) AS BIGINT) FROM scoring_sample WHERE report_dt NOT IN ({OOT_SQL}) OR report_dt IS NULL"""))
 def q_dates_semi_anti(spark, sf_dir):
+    from giniflow.operators.joins import dates_anti, dates_semi
     df = sample(spark, sf_dir)
-    dates = spark.createDataFrame([(d,) for d in OOT_DATES], "report_dt date")
-    semi = df.join(F.broadcast(dates), DATE, "left_semi").agg(F.count(F.lit(1)).alias("n_rows"))
-    anti = df.join(F.broadcast(dates), DATE, "left_anti").agg(F.count(F.lit(1)).alias("n_rows"))
+    semi = dates_semi(df, DATE, OOT_DATES).agg(F.count(F.lit(1)).alias("n_rows"))
+    anti = dates_anti(df, DATE, OOT_DATES).agg(F.count(F.lit(1)).alias("n_rows"))
     return semi.select(F.lit("OOT").alias("part"), "n_rows").unionByName(
         anti.select(F.lit("DEV").alias("part"), "n_rows"))
 
@@ -177,9 +177,8 @@ def q_one_hot(spark, sf_dir):
     f"SELECT epk_id, {Y}, quantity, discount FROM scoring_sample"))
 def q_align_labels(spark, sf_dir):
     df = sample(spark, sf_dir)
-    features = df.select(KEY, "quantity", "discount")
-    labels = df.select(KEY, Y)
-    return features.join(labels, KEY, "inner")
+    from giniflow.operators.joins import align_labels
+    return align_labels(df.select(KEY, "quantity", "discount"), df.select(KEY, Y), KEY)
 
 
 @register("grid_cells", with_fixture(f"""

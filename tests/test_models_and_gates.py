@@ -117,3 +117,11 @@ def test_backtest_refit_steps(spark, fixture_df):
     got = sorted(r["report_dt"] for r in bt.collect())
     assert got == dates[1:]
     assert all(r["oot"] is not None and r["dev"] > 20 for r in bt.collect())
+
+
+def test_concat_columns_keeps_rows_and_left_copy(spark):
+    from giniflow.operators.joins import concat_columns
+    a = spark.createDataFrame([(1, 1.0, "x"), (2, 2.0, "y")], "k int, a double, s string")
+    b = spark.createDataFrame([(2, 20.0, "z"), (1, 10.0, "w")], "k int, b double, s string")
+    out = sorted(tuple(r) for r in concat_columns(a, b, "k").collect())
+    assert out == [(1, 1.0, "x", 10.0), (2, 2.0, "y", 20.0)]
