@@ -114,9 +114,9 @@ def q_tuning_candidates(spark, sf_dir):
 
 @register("fine_tuning", None)
 def q_fine_tuning(spark, sf_dir):
-    """Uplift steps over the top 3 features, 2 tuning candidates by 3-fold score, final fit, gates."""
+    """Uplift steps over the top 3 features, 2 tuning candidates by 2-fold score, final fit, gates."""
     res = stages.fine_tune(pools(spark, sf_dir), SPEC, ["quantity", "discount", "client_segm"], n_top=3, n_evals=2,
-                           seed=SEED, k=3, n_iter=20)
+                           seed=SEED, k=2, n_iter=10)
     return res["gini"].join(res["uplift"], "pool", "left")
 
 
