@@ -44,11 +44,11 @@ def make_estimator(name: str, params: dict | None = None, seed: int = 19, label:
     if name == "GBT":
         return GBTClassifier(featuresCol="features", labelCol=label, maxIter=int(p["n_iter"]), maxDepth=int(p["depth"]),
                              stepSize=float(p["learning_rate"]), subsamplingRate=float(p["subsample"]),
-                             featureSubsetStrategy=_subset_strategy(p["rsm"]), seed=seed, maxBins=64)
+                             featureSubsetStrategy=_subset_strategy(p["rsm"]), seed=seed, maxBins=32)
     if name == "RF":
         return RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=int(p["n_iter"]),
                                       maxDepth=int(p["depth"]), subsamplingRate=float(p["subsample"]),
-                                      featureSubsetStrategy=_subset_strategy(p["rsm"]), seed=seed, maxBins=64)
+                                      featureSubsetStrategy=_subset_strategy(p["rsm"]), seed=seed, maxBins=32)
     if name == "LR":
         return LogisticRegression(featuresCol="features", labelCol=label, maxIter=int(p["n_iter"]),
                                   regParam=float(p["l2"]), elasticNetParam=0.0)

@@ -239,3 +239,26 @@ def q_period_report_csv(spark, sf_dir):
     rep = reports.period_report(sample(spark, sf_dir), DATE, Y)
     io.write_report(rep, path, "csv")
     return spark.read.schema(rep.schema).option("header", True).csv(path)
+
+
+@register("read_through_report", with_fixture(f"""
+SELECT CASE WHEN grouping(report_dt) = 1 THEN 'TOTAL' ELSE CAST(report_dt AS VARCHAR) END AS period,
+       CAST(CASE WHEN grouping(report_dt) = 1 THEN count(*) ELSE count({Y}) END AS BIGINT) AS volume,
+       CAST(sum({Y}) AS BIGINT) AS n_response,
+       round(avg(CAST({Y} AS DOUBLE)), 6) AS trg_rate
+FROM scoring_sample GROUP BY GROUPING SETS ((report_dt), ())"""))
+def q_read_through_report(spark, sf_dir):
+    """S2 + A1: the first read writes a parquet snapshot of the sample (in the shared checkpoint folder) and emits the
+    period report from it; a second read is served by the snapshot alone."""
+    import uuid
+    from giniflow.operators import reports
+    from giniflow.session import ensure_checkpoint_dir
+    from giniflow.sources import io
+    snap = f"{ensure_checkpoint_dir(spark)}/giniflow-snapshot-{uuid.uuid4().hex[:8]}"
+    first_reports = []
+    load = lambda: sample(spark, sf_dir)
+    io.read_through(spark, snap, load, lambda d: first_reports.append(reports.period_report(d, DATE, Y)))
+    again = io.read_through(spark, snap, load, lambda d: first_reports.append(None))
+    if len(first_reports) != 1:
+        raise RuntimeError("snapshot was not reused")
+    return reports.period_report(again, DATE, Y)
