@@ -51,8 +51,11 @@ def deployable(results: DataFrame, stability_col: str = "stability") -> DataFram
 
 
 def gini_report(metrics: DataFrame, row: str = "pool", column: str = "model", value: str = "gini",
-                columns: Sequence[str] | None = None) -> DataFrame:
-    """Pools x models table of Gini values (pivot with an explicit value list, so no extra distinct job)."""
+                columns: Sequence[str] | None = None, extended: bool = True) -> DataFrame:
+    """Pools x models table of Gini values (pivot with an explicit value list, so no extra distinct job).
+    The non-extended report (before the final fit) shows only TRAIN and VALID."""
+    if not extended:
+        metrics = metrics.where(F.col(row).isin("TRAIN", "VALID"))
     g = metrics.groupBy(row)
     piv = g.pivot(column, list(columns)) if columns is not None else g.pivot(column)
     return piv.agg(F.first(value))

@@ -66,17 +66,28 @@ def fit_on_pools(pools_df: DataFrame, spec: SampleSpec, features: Sequence[str],
 
 
 def preselect(pools_df: DataFrame, spec: SampleSpec, n_top: int, name: str = "GBT", params: dict | None = None,
-              seed: int = 19) -> tuple[DataFrame, DataFrame]:
+              seed: int = 19, importance_cache: str | None = None) -> tuple[DataFrame, DataFrame]:
     """M4: fit on every feature, rank by importance, refit on the top n; Gini per pool before and after.
-    Returns (ranked importance, report pool x {gini_all, gini_top})."""
+    With ``importance_cache`` (a parquet path) a stored importance table is reused and the wide fit is skipped;
+    otherwise the computed table is written there. Returns (ranked importance, report pool x {gini_all, gini_top})."""
+    from giniflow.sources.io import read_registry
     spark = pools_df.sparkSession
     p = pools_df.persist(StorageLevel.MEMORY_AND_DISK)
-    full = fit_on_pools(p, spec, spec.features, name, params, seed)
-    imp = reports.rank_importance(models.importance(full, spark))
+    cached = read_registry(spark, importance_cache) if importance_cache else None
+    full = None
+    if cached is not None:
+        imp = cached
+    else:
+        full = fit_on_pools(p, spec, spec.features, name, params, seed)
+        imp = small_result(reports.rank_importance(models.importance(full, spark)))
+        if importance_cache:
+            imp.write.mode("overwrite").parquet(importance_cache)
     top = [r["feature"] for r in reports.top_features(imp, n_top).collect()]
     small = fit_on_pools(p, spec, top, name, params, seed)
-    g_all = pool_gini(full, p, spec, spec.features).withColumnRenamed("gini", "gini_all")
     g_top = pool_gini(small, p, spec, top).withColumnRenamed("gini", f"gini_top_{n_top}")
+    if full is None:
+        return imp, g_top
+    g_all = pool_gini(full, p, spec, spec.features).withColumnRenamed("gini", "gini_all")
     return imp, g_all.join(g_top, "pool")
 
 

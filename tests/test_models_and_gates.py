@@ -125,3 +125,22 @@ def test_concat_columns_keeps_rows_and_left_copy(spark):
     b = spark.createDataFrame([(2, 20.0, "z"), (1, 10.0, "w")], "k int, b double, s string")
     out = sorted(tuple(r) for r in concat_columns(a, b, "k").collect())
     assert out == [(1, 1.0, "x", 10.0), (2, 2.0, "y", 20.0)]
+
+
+def test_preselect_reuses_cached_importance(spark, fixture_df, tmp_path):
+    import datetime as dt
+    from giniflow.operators import sampling
+    from giniflow.plans import stages
+    from giniflow.sources.fixture import FIXTURE_SPEC
+    spec = FIXTURE_SPEC.with_features(["quantity", "discount", "tax", "client_segm"])
+    p = sampling.four_pools(fixture_df, "epk_id", "report_dt", [dt.date(2001, 12, 31)], seed=19)
+    cache = str(tmp_path / "imp")
+    imp1, rep1 = stages.preselect(p, spec, 2, "GBT", {"n_iter": 5}, 19, cache)
+    imp2, rep2 = stages.preselect(p, spec, 2, "GBT", {"n_iter": 5}, 19, cache)
+    assert "gini_all" in rep1.columns and "gini_all" not in rep2.columns
+    assert [r["feature"] for r in imp1.orderBy("rank").collect()] == [r["feature"] for r in imp2.orderBy("rank").collect()]
+
+
+def test_gini_report_hides_test_and_oot_before_final(spark):
+    g = spark.createDataFrame([(p, "m", 1.0) for p in ("TRAIN", "VALID", "TEST", "OOT")], "pool string, model string, gini double")
+    assert sorted(r["pool"] for r in reports.gini_report(g, columns=["m"], extended=False).collect()) == ["TRAIN", "VALID"]
