@@ -269,10 +269,14 @@ def four_pools(df: DataFrame, key: str, date_col: str, oot_dates: Sequence, dev_
 
 
 def oot_subsample(pools: DataFrame, frac: float, key: str, seed: int | str, pool_col: str = "pool") -> DataFrame:
-    """Down-sample the OOT pool only (hash threshold ``u < frac``), when frac < 1."""
+    """Down-sample the OOT pool only, when frac < 1: exactly ``round(frac * n_oot)`` OOT rows (half-even, as a
+    fractional row sample does), the ones with the smallest hash; the other pools are untouched."""
     if frac >= 1.0:
         return pools
     hcol = "__h_oot"
     d = pools.withColumn(hcol, row_hash(key, f"oot-{seed}"))
-    keep = (F.col(pool_col) != F.lit("OOT")) | (F.col(hcol) < F.lit(int(frac * 4294967296.0)))
+    oot = d.where(F.col(pool_col) == F.lit("OOT"))
+    stats = order_statistics(oot, [], hcol, key, lambda sizes: [((), int(round(frac * sizes.get((), 0))))])
+    bound = next(iter(stats.values())) if stats else BEFORE_ALL
+    keep = (F.col(pool_col) != F.lit("OOT")) | at_or_below(hcol, key, bound)
     return d.where(keep).drop(hcol)

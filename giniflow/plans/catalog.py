@@ -149,7 +149,7 @@ def q_split_holdout(spark, sf_dir):
 SELECT epk_id, {Y} FROM (
   SELECT *, row_number() OVER (ORDER BY {duck_hash('epk_id', f'sample-{SEED}')}, epk_id) AS _rn,
          count(*) OVER () AS _n FROM scoring_sample)
-WHERE _rn <= round(CAST(0.5 AS DOUBLE) * _n)"""))
+WHERE _rn <= round_even(CAST(0.5 AS DOUBLE) * _n, 0)"""))
 def q_sample_rows(spark, sf_dir):
     return sampling.sample_rows(sample(spark, sf_dir), 0.5, KEY, SEED).select(KEY, Y)
 
@@ -192,8 +192,10 @@ def q_stratified_folds(spark, sf_dir):
 
 
 @register("oot_subsample", with_fixture(f"""
-SELECT pool, CAST(count(*) AS BIGINT) AS n_rows FROM pools
-WHERE pool <> 'OOT' OR {duck_hash('epk_id', f'oot-{SEED}')} < {int(0.25 * 4294967296.0)}
+SELECT pool, CAST(count(*) AS BIGINT) AS n_rows FROM (
+  SELECT *, row_number() OVER (PARTITION BY pool ORDER BY {duck_hash('epk_id', f'oot-{SEED}')}, epk_id) AS _rn,
+         count(*) OVER (PARTITION BY pool) AS _n FROM pools)
+WHERE pool <> 'OOT' OR _rn <= round_even(CAST(0.25 AS DOUBLE) * _n, 0)
 GROUP BY pool""", POOLS_CTE))
 def q_oot_subsample(spark, sf_dir):
     p = sampling.oot_subsample(pools(spark, sf_dir), 0.25, KEY, SEED)
