@@ -102,10 +102,24 @@ def slot_features(assembled: DataFrame, features: Sequence[str]) -> list[str]:
     return out
 
 
+def best_iteration(losses: Sequence[float], patience: int | None = None) -> int:
+    """Number of trees to keep: the iteration with the lowest validation loss, scanning until ``patience`` iterations
+    pass without improvement (None: the whole sequence)."""
+    best_i, best = 0, float("inf")
+    for i, loss in enumerate(losses):
+        if loss < best:
+            best, best_i = loss, i
+        elif patience is not None and i - best_i >= patience:
+            break
+    return best_i + 1
+
+
 def fit(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str, name: str = "GBT",
-        params: dict | None = None, seed: int = 19, valid: DataFrame | None = None) -> FitResult:
+        params: dict | None = None, seed: int = 19, valid: DataFrame | None = None,
+        patience: int | None = None) -> FitResult:
     """Fit the pipeline; for GBT with a validation frame, early stop = best prefix of trees by validation loss
-    (``evaluateEachIteration``), refitted with that many trees (a shorter fit with the same seed is the prefix)."""
+    (``evaluateEachIteration``, optionally with a patience), refitted with that many trees (a shorter fit with the
+    same seed is the prefix)."""
     est = make_estimator(name, params, seed)
     pipe = build_pipeline(numeric, categorical, est, one_hot=name.upper() == "LR")
     train = prepare(df, numeric, categorical, target)
@@ -123,7 +137,7 @@ def fit(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], targe
         if valid is not None and name.upper() == "GBT":
             v = feature_model.transform(prepare(valid, numeric, categorical, target))
             losses = learner.evaluateEachIteration(v)
-            n_iter = int(min(range(len(losses)), key=lambda i: losses[i])) + 1
+            n_iter = best_iteration(losses, patience)
             if n_iter < len(losses):
                 learner = make_estimator(name, {**(params or {}), "n_iter": n_iter}, seed).fit(assembled)
     finally:

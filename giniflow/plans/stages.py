@@ -54,13 +54,13 @@ def pool_gini(fitted, pools_df: DataFrame, spec: SampleSpec, features: Sequence[
 
 
 def fit_on_pools(pools_df: DataFrame, spec: SampleSpec, features: Sequence[str], name: str = "GBT",
-                 params: dict | None = None, seed: int = 19):
+                 params: dict | None = None, seed: int = 19, patience: int | None = None):
     num = [f for f in features if f in spec.numeric]
     cat = [f for f in features if f in spec.categorical]
     train = pools_df.where(F.col("pool") == "TRAIN").persist(StorageLevel.MEMORY_AND_DISK)
     valid = pools_df.where(F.col("pool") == "VALID")
     try:
-        return models.fit(train, num, cat, spec.target, name, params, seed, valid)
+        return models.fit(train, num, cat, spec.target, name, params, seed, valid, patience)
     finally:
         train.unpersist()
 

@@ -144,3 +144,11 @@ def test_preselect_reuses_cached_importance(spark, fixture_df, tmp_path):
 def test_gini_report_hides_test_and_oot_before_final(spark):
     g = spark.createDataFrame([(p, "m", 1.0) for p in ("TRAIN", "VALID", "TEST", "OOT")], "pool string, model string, gini double")
     assert sorted(r["pool"] for r in reports.gini_report(g, columns=["m"], extended=False).collect()) == ["TRAIN", "VALID"]
+
+
+def test_best_iteration_with_patience():
+    from giniflow.operators.models import best_iteration
+    losses = [5, 4, 3, 3.5, 3.6, 3.7, 2.0, 2.5]
+    assert best_iteration(losses) == 7
+    assert best_iteration(losses, patience=3) == 3
+    assert best_iteration(losses, patience=4) == 7
