@@ -48,16 +48,22 @@ def auc_from_histogram(hist: DataFrame, score: str, by: Sequence[str] = (), n_bu
     """AUC with mid-rank ties: sum(pos * (neg strictly below + neg/2)) / (P * N), per group.
 
     The histogram has one row per (group, distinct score). When it has at most ``LOCAL_CELLS`` rows (checked with a
-    bounded ``limit``) the ordered sum is finished on that small table in one step; otherwise it runs distributed with
-    bucketed running sums, so a continuous score over a huge table never funnels through one task."""
+    bounded ``limit``) each group's ordered sum is finished in one ``applyInPandas`` task on the executors; otherwise
+    it runs with bucketed running sums, so a continuous score over a huge table never funnels through one task."""
     by = list(by)
-    spark = hist.sparkSession
-    head = hist.limit(LOCAL_CELLS + 1).toPandas()
-    if len(head) <= LOCAL_CELLS:
-        schema = T.StructType([*[hist.schema[c] for c in by], T.StructField("auc", T.DoubleType())])
-        res = _auc_local(head, score, by)
-        rows = [tuple(None if isinstance(x, float) and x != x else x for x in r) for r in res.itertuples(index=False)]
-        return spark.createDataFrame(rows, schema)
+    if hist.limit(LOCAL_CELLS + 1).count() <= LOCAL_CELLS:
+        keyed = hist if by else hist.withColumn("__all", F.lit(0))
+        groups = by or ["__all"]
+        schema = T.StructType([*[keyed.schema[c] for c in groups], T.StructField("auc", T.DoubleType())])
+
+        def per_group(pdf: pd.DataFrame) -> pd.DataFrame:
+            res = _auc_local(pdf, score, [])
+            out = pdf[groups].iloc[:1].reset_index(drop=True)
+            out["auc"] = res["auc"].astype("float64").to_numpy()
+            return out
+
+        out = keyed.select(*groups, score, "pos", "neg").groupBy(*groups).applyInPandas(per_group, schema)
+        return out if by else out.drop("__all")
     below = ordered_running_sum(hist, by, score, ["neg"], inclusive=False, n_buckets=n_buckets, suffix="_below")
     pos = F.col("pos").cast("double")
     term = pos * (F.col("neg_below").cast("double") + F.col("neg").cast("double") / F.lit(2.0))
