@@ -187,7 +187,7 @@ def stable_score(df: DataFrame, spec: SampleSpec, features: Sequence[str], param
 
 def fine_tune(pools_df: DataFrame, spec: SampleSpec, ranked: Sequence[str], n_top: int = 10, n_evals: int = 4,
               seed: int = 19, kfold_fine: float = 0.25, k: int = 3, n_iter: int = 30, design: str = "KFOLD",
-              f_lower: int = 4, f_upper: int = 10) -> dict:
+              f_lower: int = 4, f_upper: int = 10, final_valid: float = 0.0, final_patience: int = 0) -> dict:
     """M21 (compact): OOT subsample -> uplift steps over the ranked features -> seeded search of GBT parameters by
     the k-fold score (M8) -> final fit -> Gini per pool -> stability and uplift gates."""
     spark = pools_df.sparkSession
@@ -222,8 +222,15 @@ def fine_tune(pools_df: DataFrame, spec: SampleSpec, ranked: Sequence[str], n_to
         feats = list(best["features"])
     params = {"depth": best["depth"], "learning_rate": min(best["learning_rate"], 1.0),
               "subsample": best["subsample"], "rsm": best["rsm"], "n_iter": n_iter}
-    final = fit_on_pools(p, spec, feats, "GBT", params, seed)
-    g = pool_gini(final, p, spec, feats)
+    final_pools = p
+    if final_valid > 0:
+        # the final fit may use its own VALID share: TRAIN and VALID are re-split, TEST and OOT stay as they are
+        dev_rows = p.where(F.col("pool").isin("TRAIN", "VALID")).drop("pool")
+        dev_rows = sampling.split_holdout(dev_rows, final_valid, spec.key, seed, salt="final-valid", out="__v")
+        redone = dev_rows.withColumn("pool", F.when(F.col("__v"), F.lit("VALID")).otherwise(F.lit("TRAIN"))).drop("__v")
+        final_pools = redone.unionByName(p.where(F.col("pool").isin("TEST", "OOT")))
+    final = fit_on_pools(final_pools, spec, feats, "GBT", params, seed, final_patience or None)
+    g = pool_gini(final, final_pools, spec, feats)
     stab = gates.stability_gate(g.select(F.lit("FINAL").alias("model"), "pool", "gini"))
     return {"steps": steps, "uplift": verdict, "flagged": flagged, "trials": trials, "best": best, "gini": g,
             "stability": stab, "model": final}

@@ -67,3 +67,22 @@ def test_four_pools_partition_dev_and_keep_oot(fixture_df):
     n_dev = fixture_df.count() - c["OOT"]
     assert c["TEST"] == math.ceil(0.2 * n_dev)
     assert c["VALID"] == math.ceil(0.25 * (n_dev - c["TEST"]))
+
+
+def test_order_statistics_break_hash_ties_by_key(spark):
+    # a third of the rows share one hash value (a hot value); ranks inside it follow the key
+    rows = [(i % 3 == 0 and 777 or 1000 + i, f"k{i:04d}") for i in range(300)]
+    d = spark.createDataFrame(rows, "h long, k string")
+    ordered = sorted(rows)
+    wanted = [((), r) for r in (1, 50, 100, 101, 150, 300)]
+    got = sampling.order_statistics(d, [], "h", "k", wanted)
+    for (_, r) in wanted:
+        assert got[((), r)] == ordered[r - 1]
+
+
+def test_explicit_dev_list_may_overlap_oot(fixture_df):
+    import datetime as dt
+    dev, oot = sampling.split_dev_oot(fixture_df, "report_dt", [dt.date(2001, 12, 31)],
+                                      [dt.date(2000, 12, 31), dt.date(2001, 12, 31)])
+    assert dev.where("report_dt = DATE'2001-12-31'").count() == oot.count() > 0
+    assert dev.select("report_dt").distinct().count() == 2
