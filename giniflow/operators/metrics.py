@@ -18,6 +18,13 @@ from pyspark.sql import types as T
 from giniflow.operators.prefix import next_in_order, ordered_running_sum, quantile_bucket, running_sum, small_table
 
 
+def largest_group(df: DataFrame, by: Sequence[str]) -> int:
+    """Rows of the largest group (one small aggregation; the per-task bound of a grouped step)."""
+    g = df.groupBy(*by).count() if by else df.groupBy().count()
+    v = g.agg(F.max("count")).first()[0]
+    return int(v or 0)
+
+
 def score_histogram(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """``(by..., score) -> pos, neg`` over rows with a non-missing score and label."""
     y = F.col(label).cast("long")
@@ -47,11 +54,11 @@ def _auc_local(pdf: pd.DataFrame, score: str, by: list[str]) -> pd.DataFrame:
 def auc_from_histogram(hist: DataFrame, score: str, by: Sequence[str] = (), n_buckets: int = 64) -> DataFrame:
     """AUC with mid-rank ties: sum(pos * (neg strictly below + neg/2)) / (P * N), per group.
 
-    The histogram has one row per (group, distinct score). When it has at most ``LOCAL_CELLS`` rows (checked with a
-    bounded ``limit``) each group's ordered sum is finished in one ``applyInPandas`` task on the executors; otherwise
-    it runs with bucketed running sums, so a continuous score over a huge table never funnels through one task."""
+    The histogram has one row per (group, distinct score). When its largest group has at most ``LOCAL_CELLS`` rows
+    each group's ordered sum is finished in one ``applyInPandas`` task on the executors; otherwise it runs with
+    bucketed running sums, so a continuous score over a huge table never funnels through one task."""
     by = list(by)
-    if hist.limit(LOCAL_CELLS + 1).count() <= LOCAL_CELLS:
+    if largest_group(hist, by) <= LOCAL_CELLS:
         keyed = hist if by else hist.withColumn("__all", F.lit(0))
         groups = by or ["__all"]
         schema = T.StructType([*[keyed.schema[c] for c in groups], T.StructField("auc", T.DoubleType())])
@@ -126,12 +133,12 @@ def roc_points(df: DataFrame, features: Sequence[str], label: str, n_buckets: in
     """
     long = unpivot_numeric(df, features, [label])
     hist = score_histogram(long, "value", label, ["feature"])
-    if drop_intermediate and hist.limit(ROC_LOCAL_CELLS + 1).count() <= ROC_LOCAL_CELLS:
+    if drop_intermediate and largest_group(hist, ["feature"]) <= ROC_LOCAL_CELLS:
         return roc_grouped(hist)
     return roc_from_histogram(hist, n_buckets, drop_intermediate)
 
 
-ROC_LOCAL_CELLS = 2_000_000   # histogram rows for which the ROC is built per feature in one grouped step
+ROC_LOCAL_CELLS = 2_000_000   # distinct values of a feature up to which its ROC is built in one grouped task
 
 ROC_SCHEMA = T.StructType([
     T.StructField("feature", T.StringType()), T.StructField("idx", T.LongType()),
