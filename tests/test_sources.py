@@ -47,3 +47,14 @@ def test_stream_woe_equals_batch(spark, fixture_df, tmp_path):
     batch = model.transform(src, keep=["epk_id"])
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch.select(*streamed.columns)).count() == 0
+
+
+def test_read_sample_table_and_parquet(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    df.createOrReplaceTempView("sample_short")
+    df.union(df).createOrReplaceTempView("sample_short_long")
+    assert io.read_sample(spark, "sample_short", fmt="table").count() == 2
+    assert io.read_sample(spark, "sample_short", fmt="table", long=True).count() == 4
+    path = str(tmp_path / "s")
+    df.write.parquet(path)
+    assert sorted(r["id"] for r in io.read_sample(spark, path).collect()) == [1, 2]
