@@ -55,21 +55,20 @@ def auc_from_histogram(hist: DataFrame, score: str, by: Sequence[str] = (), n_bu
     """AUC with mid-rank ties: sum(pos * (neg strictly below + neg/2)) / (P * N), per group.
 
     The histogram has one row per (group, distinct score). When its largest group has at most ``LOCAL_CELLS`` rows
-    each group's ordered sum is finished in one ``applyInPandas`` task on the executors; otherwise it runs with
-    bucketed running sums, so a continuous score over a huge table never funnels through one task."""
+    each group's ordered sum is one window task per group (JVM-side, bounded by the checked size); otherwise it runs
+    with bucketed running sums, so a continuous score over a huge table never funnels through one task."""
     by = list(by)
     if largest_group(hist, by) <= LOCAL_CELLS:
+        # every group fits one task: a plain window per group (JVM-side), bounded by the checked group size
         keyed = hist if by else hist.withColumn("__all", F.lit(0))
         groups = by or ["__all"]
-        schema = T.StructType([*[keyed.schema[c] for c in groups], T.StructField("auc", T.DoubleType())])
-
-        def per_group(pdf: pd.DataFrame) -> pd.DataFrame:
-            res = _auc_local(pdf, score, [])
-            out = pdf[groups].iloc[:1].reset_index(drop=True)
-            out["auc"] = res["auc"].astype("float64").to_numpy()
-            return out
-
-        out = keyed.select(*groups, score, "pos", "neg").groupBy(*groups).applyInPandas(per_group, schema)
+        w = Window.partitionBy(*groups).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+        below = keyed.withColumn("neg_below", F.coalesce(F.sum("neg").over(w), F.lit(0)))
+        pos = F.col("pos").cast("double")
+        term = pos * (F.col("neg_below").cast("double") + F.col("neg").cast("double") / F.lit(2.0))
+        agg = below.groupBy(*groups).agg(F.sum(term).alias("__num"), F.sum("pos").cast("double").alias("__p"),
+                                         F.sum("neg").cast("double").alias("__n"))
+        out = agg.select(*groups, F.try_divide(F.col("__num"), F.col("__p") * F.col("__n")).alias("auc"))
         return out if by else out.drop("__all")
     below = ordered_running_sum(hist, by, score, ["neg"], inclusive=False, n_buckets=n_buckets, suffix="_below")
     pos = F.col("pos").cast("double")
