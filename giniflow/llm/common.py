@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Iterator
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from giniflow.session import ensure_checkpoint_dir
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 BLANKS = " \t\n\x0b\x0c\r"
+T = TypeVar("T")
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -54,9 +56,9 @@ def id_bucket_py(doc_id, n: int) -> int:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % n
 
 
-def by_bytes(items: list[str], most: int) -> Iterator[list[str]]:
-    """Consecutive groups of about ``most`` characters; one longer item is a group of its own."""
-    group: list[str] = []
+def by_bytes(items: list[T], most: int) -> Iterator[list[T]]:
+    """Consecutive groups of about ``most`` units of length; one longer item is a group of its own."""
+    group: list[T] = []
     size = 0
     for item in items:
         if group and size + len(item) > most:

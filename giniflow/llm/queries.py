@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from giniflow.llm import pii, quality_rules, tokens
-from giniflow.llm.common import read_table
+from giniflow.llm import packing, pii, quality_rules, tokens, winnow
+from giniflow.llm.common import LOWER, UPPER, read_table
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -14,11 +14,51 @@ def query(fn):
     return fn
 
 
+@query
+def op1_best_fit_packing(spark, sf_dir):
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_pii(spark, sf_dir):
     return pii.pii_report(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_winnowing(spark, sf_dir):
+    return winnow.contamination_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+SQL["op7_winnowing"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{winnow.LOWER_WORD}') AS w
+  FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{winnow.LOWER_WORD}') AS w
+  FROM benchmark),
+items AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM (SELECT *, least(len(w), {winnow.SPAN}) AS n FROM b WHERE len(w) > 0))),
+wins AS (
+  SELECT rid, n, i, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM d, (SELECT DISTINCT n FROM items) WHERE len(w) >= n)),
+hits AS (SELECT DISTINCT rid, n, i, item_id FROM wins JOIN items USING (n, win)),
+counted AS (
+  SELECT rid, count(DISTINCT pos) AS n_hit
+  FROM (SELECT rid, unnest(range(i, i + n)) AS pos FROM (SELECT DISTINCT rid, n, i FROM hits)) GROUP BY rid),
+listed AS (
+  SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT rid, item_id FROM hits WHERE item_id IS NOT NULL) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN counted USING (rid) LEFT JOIN listed USING (rid)"""
+
+
 @query
 def op9_quality_rules(spark, sf_dir):
     return quality_rules.quality_report(read_table(spark, sf_dir, "documents"))

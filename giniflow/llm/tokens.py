@@ -11,12 +11,16 @@ Null text counts as empty; empty text has no tokens; repeated rows give repeated
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from array import array
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import accumulate
 from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,9 +28,12 @@ from giniflow.llm.common import by_bytes
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Segments kept in a worker's cache, characters of a segment that is kept, characters of one encoded batch.
-CACHE_SIZE, CACHED_LENGTH, BATCH_CHARS = 300_000, 64, 1 << 18
-#: Characters from which a segment without blanks is cut between ASCII letters and digits as well.
-LONG_SEGMENT = 1 << 15
+CACHE_SIZE, CACHED_LENGTH, BATCH_CHARS = 800_000, 64, 1 << 18
+#: Words in a line that is encoded at once; marks that may stand behind a word.
+LINE, MARKS = 50, ".,;:!?*%$&#|"
+#: Texts beyond so many characters are cut at every safe boundary, and their segments beyond the second number between
+#: ASCII letters and digits as well.
+LONG_TEXT, LONG_SEGMENT = 1 << 22, 1 << 15
 
 _BLANK_BEFORE_SPACE = re.compile(r"\s ")
 _SAFE = re.compile(r"(?<=\S)(?=[ \t\n\x0b\x0c\r])")
@@ -43,64 +50,119 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def is_plain(text: str) -> bool:
+    """Whether every space follows a non-blank character and no part between spaces is long."""
+    return not _BLANK_BEFORE_SPACE.search(text) and text[:1] != " " and len(text) <= LONG_TEXT
+
+
 def segments(text: str) -> list[str]:
-    """Cut ``text`` at safe boundaries; the segments joined give the text again."""
-    if not text:
-        return []
-    if _BLANK_BEFORE_SPACE.search(text) or text[0] == " ":
-        parts = _SAFE.split(text)
-    else:  # every space follows a non-blank character
-        head, *rest = text.split(" ")
-        parts = [head, *[" " + p for p in rest]]
-    if any(len(p) > LONG_SEGMENT for p in parts):
-        parts = [q for p in parts for q in ([p] if len(p) <= LONG_SEGMENT else
-                                            [y for x in _SAFE.split(p) for y in _LETTER_DIGIT.split(x)])]
-    return parts
+    """Cut any text at safe boundaries; the segments joined give the text again."""
+    return [p for q in _SAFE.split(text) for p in ([q] if len(q) <= LONG_SEGMENT else _LETTER_DIGIT.split(q))]
+
+
+def pretokens(item: str) -> int:
+    """Number of pretokens of a space and ``item`` where it is plain to see, else 0: letters and then marks, or two such
+    parts with one line feed between them."""
+    if item.isalpha():
+        return 1
+    head, feed, tail = item.partition("\n")
+    n = 0
+    for part in (head, tail) if feed else (head,):
+        stem = part.rstrip(MARKS)
+        if not stem.isalpha():
+            return 0
+        n += 1 + (len(stem) < len(part))
+    return n + bool(feed)
 
 
 class SegmentEncoder:
-    """Encodes segments with a bounded cache; ``ids=True`` keeps little-endian 32-bit ids as bytes, else lengths."""
+    """Encodes texts by their segments with a bounded cache. Plain texts are split at spaces and their words numbered by
+    Arrow, so Python sees each different word of a batch once."""
 
-    def __init__(self, path: str, ids: bool):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.ids = ids
-        self.known: dict[str, bytes | int] = {}
-
-    def _encode(self, parts: list[str]) -> list[bytes | int]:
-        out: list[bytes | int] = []
-        for group in by_bytes(parts, BATCH_CHARS):
-            for e in self.tokenizer.encode_batch_fast(group, add_special_tokens=False):
-                out.append(np.array(e.ids, dtype="<u4").tobytes() if self.ids else len(e.ids))
+        self.known: dict[str, dict[str, bytes]] = {" ": {}, "": {}}
+
+    def _encode(self, items: list[str], lead: str) -> list[bytes]:
+        """Little-endian 32-bit ids of ``lead + item``. Plain words behind a space go to the library as lines of
+        many words and are told apart by its word numbers; the others go one by one."""
+        found: dict[str, bytes] = {}
+        words = [(p, n) for p in items if (n := pretokens(p))] if lead else []
+        lines = [words[k:k + LINE] for k in range(0, len(words), LINE)]
+        for some in by_bytes(lines, BATCH_CHARS // 8):
+            encoded = self.tokenizer.encode_batch([" " + " ".join(p for p, _ in x) for x in some],
+                                                  add_special_tokens=False)
+            for line, e in zip(some, encoded, strict=True):
+                word_ids = e.word_ids
+                ends = list(accumulate(n for _, n in line))
+                if word_ids[-1] != ends[-1] - 1:  # the library knows other letters than Python
+                    continue
+                raw, x = array("I", e.ids).tobytes(), 0
+                for (p, _), end in zip(line, ends, strict=True):
+                    y = 4 * bisect_left(word_ids, end)
+                    found[p] = raw[x:y]
+                    x = y
+        for group in by_bytes([p for p in items if p not in found], BATCH_CHARS):
+            encoded = self.tokenizer.encode_batch_fast([lead + p for p in group], add_special_tokens=False)
+            found.update((p, array("I", e.ids).tobytes()) for p, e in zip(group, encoded, strict=True))
+        return [found[p] for p in items]
+
+    def look_up(self, items: list[str], lead: str) -> list[bytes]:
+        """Ids of ``lead + item`` for each item, from the cache or new."""
+        if len(self.known[lead]) > CACHE_SIZE:
+            self.known[lead] = {}
+        known = self.known[lead]
+        out = list(map(known.get, items))
+        new = list(dict.fromkeys(p for p, v in zip(items, out, strict=True) if v is None))
+        fresh = dict(zip(new, self._encode(new, lead), strict=True))
+        known.update((p, v) for p, v in fresh.items() if len(p) <= CACHED_LENGTH)
+        return [fresh[p] if v is None else v for p, v in zip(items, out, strict=True)]
+
+    def plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of plain texts: ids of the different segments, place and length of each, segment numbers of all texts, and
+        where each text's segments begin."""
+        lists = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        words, starts = lists.flatten(), lists.offsets.to_numpy()[:-1]
+        numbered = words.dictionary_encode()
+        codes = numbered.indices.to_numpy().astype(np.int64)
+        behind = self.look_up(numbered.dictionary.to_pylist(), " ")
+        heads = self.look_up(words.take(pa.array(starts)).to_pylist(), "")  # no space before the first word
+        codes[starts] = len(behind) + np.arange(len(texts))
+        values = behind + heads
+        lengths = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        return np.frombuffer(b"".join(values), "<u4"), lengths, codes, starts
+
+    def counts(self, texts: list[str | None]) -> list[int]:
+        out = [0] * len(texts)
+        plain = [k for k, t in enumerate(texts) if t and is_plain(t)]
+        if plain:
+            _, lengths, codes, starts = self.plain([texts[k] for k in plain])
+            for k, n in zip(plain, np.add.reduceat(lengths[codes], starts).tolist(), strict=True):
+                out[k] = n
+        for k in set(range(len(texts))).difference(plain):
+            out[k] = sum(map(len, self.look_up(segments(texts[k] or ""), ""))) // 4
         return out
 
-    def __call__(self, texts: list[str | None]) -> list[list[bytes | int]]:
-        """Per text, the results of its segments in order. Batches bound what is held besides the cache."""
-        if len(self.known) > CACHE_SIZE:
-            self.known = {}
-        cut = [segments(t or "") for t in texts]
-        known = self.known
-        new = list({p for parts in cut for p in parts if p not in known})
-        fresh = dict(zip(new, self._encode(new), strict=True))
-        known.update(fresh)
-        out = [[known[p] for p in parts] for parts in cut]
-        for p in new:
-            if len(p) > CACHED_LENGTH:
-                del known[p]
+    def ids(self, texts: list[str | None]) -> list[np.ndarray]:
+        out: list[np.ndarray] = [np.zeros(0, "<u4")] * len(texts)
+        plain = [k for k, t in enumerate(texts) if t and is_plain(t)]
+        if plain:
+            table, lengths, codes, starts = self.plain([texts[k] for k in plain])
+            place = np.cumsum(lengths) - lengths
+            n = lengths[codes]
+            end = np.cumsum(n)
+            flat = table[np.repeat(place[codes] - (end - n), n) + np.arange(end[-1])]
+            for k, x in zip(plain, np.split(flat, (end - n)[starts[1:]]), strict=True):
+                out[k] = x
+        for k in set(range(len(texts))).difference(plain):
+            out[k] = np.frombuffer(b"".join(self.look_up(segments(texts[k] or ""), "")), "<u4")
         return out
 
 
-@cache
-def encoder(path: str, ids: bool) -> SegmentEncoder:
-    """One encoder per worker process, so that its cache serves all tasks of the worker."""
-    import os
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return SegmentEncoder(path, ids)
-
-
-def text_batches(texts: list[T], size, most: int = 1 << 21) -> Iterator[list[T]]:
+def text_batches(texts: list[T], size: Callable[[T], int], most: int = 1 << 22) -> Iterator[list[T]]:
     """Consecutive texts of about ``most`` characters together."""
     group: list[T] = []
     total = 0
@@ -114,14 +176,22 @@ def text_batches(texts: list[T], size, most: int = 1 << 21) -> Iterator[list[T]]
         yield group
 
 
+@cache
+def encoder(path: str) -> SegmentEncoder:
+    """One encoder per worker process, so that its cache serves all tasks of the worker."""
+    import os
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return SegmentEncoder(path)
+
+
 def token_count(text: Column, tokenizer: str = TOKENIZER) -> Column:
     """Number of tokens of each whole text, without begin, end or added special tokens."""
 
     @F.arrow_udf("long")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encode = encoder(tokenizer_path(tokenizer), False)
+        counts = encoder(tokenizer_path(tokenizer)).counts
         for batch in batches:
-            lengths = [sum(x) for part in text_batches(batch.to_pylist(), lambda t: len(t or "")) for x in encode(part)]
+            lengths = [n for part in text_batches(batch.to_pylist(), lambda t: len(t or "")) for n in counts(part)]
             yield pa.array(lengths, pa.int64())
 
     return count(text)
