@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from giniflow.llm import packing, pii, quality_rules, tokens, winnow
-from giniflow.llm.common import LOWER, UPPER, read_table
+from giniflow.llm import jaccard, packing, pii, quality_rules, tokens, winnow
+from giniflow.llm.common import LOWER, UPPER, WORD, read_table
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -19,6 +19,30 @@ def op1_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_jaccard_join(spark, sf_dir):
+    return jaccard.jaccard_components(read_table(spark, sf_dir, "documents")).drop("key")
+
+
+SQL["op2_jaccard_join"] = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS w
+  FROM documents),
+grams AS (
+  SELECT DISTINCT rid, array_to_string(w[i:i + {jaccard.WIDTH - 1}], ' ') AS g
+  FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - {jaccard.WIDTH - 1}, least(len(w), 1)) + 1)) AS i FROM d)),
+sizes AS (SELECT rid, count(*) AS n FROM grams GROUP BY rid),
+link AS (
+  SELECT a.rid AS x, b.rid AS y FROM grams a JOIN grams b USING (g) JOIN sizes s ON s.rid = a.rid
+  JOIN sizes t ON t.rid = b.rid WHERE 100 * least(s.n, t.n) >= {jaccard.PERCENT} * greatest(s.n, t.n)
+  GROUP BY a.rid, b.rid, s.n, t.n HAVING 100 * count(*) >= {jaccard.PERCENT} * (s.n + t.n - count(*))),
+reach AS (SELECT x, y FROM link UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x),
+least_id AS (SELECT x AS rid, min(o.doc_id) AS component_id FROM reach JOIN d o ON o.rid = reach.y GROUP BY x)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM d LEFT JOIN sizes USING (rid) LEFT JOIN least_id USING (rid)"""
+
+
 @query
 def op6_pii(spark, sf_dir):
     return pii.pii_report(read_table(spark, sf_dir, "documents"))
