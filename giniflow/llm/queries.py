@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from giniflow.llm import jaccard, packing, pii, quality_rules, tokens, winnow
+from giniflow.llm import jaccard, lm, packing, pii, quality_rules, tokens, winnow
 from giniflow.llm.common import LOWER, UPPER, WORD, read_table
 
 QUERIES = {}
@@ -43,6 +43,11 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(component_
 FROM d LEFT JOIN sizes USING (rid) LEFT JOIN least_id USING (rid)"""
 
 
+@query
+def op4_lattice_lm(spark, sf_dir):
+    return lm.lm_scores(read_table(spark, sf_dir, "documents"), lm.file_blocks(spark))
+
+
 @query
 def op6_pii(spark, sf_dir):
     return pii.pii_report(read_table(spark, sf_dir, "documents"))

@@ -121,6 +121,10 @@ class SegmentEncoder:
         known.update((p, v) for p, v in fresh.items() if len(p) <= CACHED_LENGTH)
         return [fresh[p] if v is None else v for p, v in zip(items, out, strict=True)]
 
+    def encode_once(self, words: list[str]) -> list[np.ndarray]:
+        """Ids of a space and each word, without the cache: for words that are all different."""
+        return [np.frombuffer(x, "<u4") for x in self._encode(words, " ")]
+
     def plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of plain texts: ids of the different segments, place and length of each, segment numbers of all texts, and
         where each text's segments begin."""
