@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from giniflow.llm import jaccard, lm, packing, pii, quality_rules, tokens, winnow
+from giniflow.llm import jaccard, langid, lm, packing, paragraphs, pii, quality_net, quality_rules, tokens, winnow
 from giniflow.llm.common import LOWER, UPPER, WORD, read_table
 
 QUERIES = {}
@@ -21,7 +21,7 @@ def op1_best_fit_packing(spark, sf_dir):
 
 @query
 def op2_jaccard_join(spark, sf_dir):
-    return jaccard.jaccard_components(read_table(spark, sf_dir, "documents")).drop("key")
+    return jaccard.jaccard_components(read_table(spark, sf_dir, "documents"))
 
 
 SQL["op2_jaccard_join"] = f"""
@@ -43,11 +43,21 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(component_
 FROM d LEFT JOIN sizes USING (rid) LEFT JOIN least_id USING (rid)"""
 
 
+@query
+def op3_quality_net(spark, sf_dir):
+    return quality_net.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @query
 def op4_lattice_lm(spark, sf_dir):
     return lm.lm_scores(read_table(spark, sf_dir, "documents"), lm.file_blocks(spark))
 
 
+@query
+def op5_language_id(spark, sf_dir):
+    return langid.predict_language(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_pii(spark, sf_dir):
     return pii.pii_report(read_table(spark, sf_dir, "documents"))
@@ -88,6 +98,11 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN counted USING (rid) LEFT JOIN listed USING (rid)"""
 
 
+@query
+def op8_paragraph_minhash(spark, sf_dir):
+    return paragraphs.repeated_paragraphs(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_quality_rules(spark, sf_dir):
     return quality_rules.quality_report(read_table(spark, sf_dir, "documents"))
