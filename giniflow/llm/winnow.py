@@ -26,8 +26,6 @@ from giniflow.llm.common import ascii_lower, stored
 SPAN, K = 10, 5
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 LOWER_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: The same words counted without lower-casing first.
-ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Benchmark fingerprints are broadcast up to this many bytes and joined by a shuffle beyond.
 BROADCAST_BYTES = 32 << 20
 
@@ -48,9 +46,10 @@ def gram(ws: Column, at: Column, k: int) -> Column:
     return F.xxhash64(*[F.get(ws, at + j) for j in range(k)])
 
 
-def fingerprints(text: Column, pad: str, span: int = SPAN, k: int = K) -> Column:
+def fingerprints(text: Column, pad: str, span: int = SPAN, k: int = K, sized: bool = False) -> Column:
     """Array of (pos, hash, near): position from 0, hash of the k-gram there, and the words from ``span - k`` before it
-    to ``span - k`` behind it, with ``pad`` beyond the ends of the text."""
+    to ``span - k`` behind it, with ``pad`` beyond the ends of the text. ``sized`` puts an item in front whose pos is
+    -1 less the number of words."""
     side, w = span - k, span - k + 1
     empty = F.array().cast("array<struct<pos:int,hash:bigint,near:array<string>>>")
 
@@ -67,7 +66,13 @@ def fingerprints(text: Column, pad: str, span: int = SPAN, k: int = K) -> Column
             lambda i: F.struct(i.alias("pos"), gram(ws, i, k).alias("hash"),
                                F.slice(p, i + 1, 2 * side + k).alias("near")))))
 
-    return let(words(text), lambda ws: F.when(F.size(ws) >= span, picked(ws)).otherwise(empty))
+    def all_of(ws: Column) -> Column:
+        found = F.when(F.size(ws) >= span, picked(ws)).otherwise(empty)
+        head = F.struct((-1 - F.size(ws)).alias("pos"), F.xxhash64(text).alias("hash"),
+                        F.lit(None).cast("array<string>").alias("near"))
+        return F.concat(F.array(head), found) if sized else found
+
+    return let(words(text), all_of)
 
 
 def _run(near: Column, other: Column, k: int, side: int, step: int) -> Column:
@@ -80,23 +85,27 @@ def _run(near: Column, other: Column, k: int, side: int, step: int) -> Column:
     return out.otherwise(side)
 
 
-def window_hits(keyed: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
-    """key columns, item_id and the hit words [from, past) of every meeting; ``keyed``: doc_id, key, text."""
+def window_hits(keyed: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int = K, sized: bool = False) -> DataFrame:
+    """doc_id, key, item_id and the hit words [from, past) of every meeting; ``keyed``: doc_id, key, text. ``sized`` adds
+    a row for every document whose ``from`` is -1 less its number of words, so that one pass over the texts will do."""
     side = span - k
     items = stored(benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
                    .select("item_id", F.explode(fingerprints(F.col("text"), "\n", span, k)).alias("f"))
-                   .select("item_id", F.col("f.hash").alias("hash"), F.col("f.near").alias("other")), "benchmark-prints")
+                   .select("item_id", F.col("f.hash").alias("item_hash"), F.col("f.near").alias("other")),
+                   "benchmark-prints")
     size = items.agg(F.sum(F.octet_length(F.array_join("other", " ")) + 200)).first()[0] or 0
-    prints = keyed.select("doc_id", "key", F.explode(fingerprints(F.col("text"), "", span, k)).alias("f")).select(
+    prints = keyed.select("doc_id", "key", F.explode(fingerprints(F.col("text"), "", span, k, sized)).alias("f")).select(
         "doc_id", "key", F.col("f.pos").alias("pos"), F.col("f.hash").alias("hash"), F.col("f.near").alias("near"))
-    met = prints.join(F.broadcast(items) if size <= BROADCAST_BYTES else items, "hash")
-    same = F.lit(True)
+    met = prints.join(F.broadcast(items) if size <= BROADCAST_BYTES else items,
+                      (F.col("hash") == F.col("item_hash")) & (F.col("pos") >= 0), "left" if sized else "inner")
+    same = F.col("item_hash").isNotNull()
     for j in range(side, side + k):
         same = same & (F.get("near", F.lit(j)) == F.get("other", F.lit(j)))
+    own = F.col("pos") < 0
     run = lambda step: _run(F.col("near"), F.col("other"), k, side, step)
-    return (met.where(same).withColumn("left", run(-1)).withColumn("right", run(1))
-            .where(F.col("left") + F.col("right") + k >= span)
-            .select("doc_id", "key", "item_id", (F.col("pos") - F.col("left")).alias("from"),
+    return (met.where(own | same).withColumn("left", run(-1)).withColumn("right", run(1))
+            .where(own | (F.col("left") + F.col("right") + k >= span))
+            .select("doc_id", "key", "item_id", F.when(own, F.col("pos")).otherwise(F.col("pos") - F.col("left")).alias("from"),
                     (F.col("pos") + k + F.col("right")).alias("past")))
 
 
@@ -125,37 +134,33 @@ def short_hits(keyed: DataFrame, benchmark: DataFrame, span: int = SPAN) -> Data
             .select("doc_id", "key", "item_id", F.col("pos").alias("from"), (F.col("pos") + F.col("n")).alias("past")))
 
 
-def benchmark_hits(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
-    """doc_id, key, hit spans (merged count n_hit) and item ids of the documents that share a window with an item."""
+def benchmark_hits(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int = K, sized: bool = False) -> DataFrame:
+    """doc_id, key, n_hit and item ids of the documents that share a window with an item; ``sized``: of all documents,
+    with their number of words and of equal rows."""
     keyed = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
-    hits = window_hits(keyed, benchmark, span, k)
+    hits = window_hits(keyed, benchmark, span, k, sized)
     short = short_hits(keyed, benchmark, span)
     hits = hits.unionByName(short) if short else hits
     covered = F.aggregate(
         F.array_sort("spans"), F.struct(F.lit(0).alias("n"), F.lit(0).alias("past")),
         lambda a, s: F.struct((a["n"] + F.greatest(F.lit(0), s["past"] - F.greatest(a["past"], s["from"]))).alias("n"),
                               F.greatest(a["past"], s["past"]).alias("past")))
+    hit = F.col("from") >= 0
     return (hits.groupBy("doc_id", "key")
-            .agg(F.collect_set(F.struct("from", "past")).alias("spans"), F.collect_set("item_id").alias("items"))
-            .select("doc_id", "key", "spans", covered["n"].cast("long").alias("n_hit"), F.array_sort("items").alias("items")))
-
-
-def _with_hits(rows: DataFrame, hits: DataFrame) -> DataFrame:
-    """Left join by null-safe id and text key; ``rows`` has the columns ``_id`` and ``_key``."""
-    hits = hits.withColumnsRenamed({"doc_id": "_hit_id", "key": "_hit_key"})
-    return rows.join(hits, rows["_id"].eqNullSafe(hits["_hit_id"]) & (rows["_key"] == hits["_hit_key"]), "left")
+            .agg(F.collect_set(F.when(hit, F.struct("from", "past"))).alias("spans"),
+                 F.collect_set("item_id").alias("items"), F.min("from").alias("least"),
+                 F.count(F.when(~hit, 1)).alias("n_rows"))
+            .select("doc_id", "key", (-1 - F.col("least")).cast("long").alias("n_words"), "n_rows",
+                    covered["n"].cast("long").alias("n_hit"), F.array_sort("items").alias("items")))
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated for every row of ``docs``."""
-    docs = docs.select("doc_id", "text")
-    rows = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key"),
-                       F.regexp_count(F.coalesce("text", F.lit("")), F.lit(ANY_CASE_WORD)).cast("long").alias("n_words"))
-    items = F.coalesce("items", F.array().cast("array<string>"))
-    n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    return _with_hits(rows, benchmark_hits(docs, benchmark, span, k)).select(
-        F.col("_id").alias("doc_id"), "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
-        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+    found = benchmark_hits(docs.select("doc_id", "text"), benchmark, span, k, sized=True)
+    return (found.withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("n_rows"))))
+            .select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                    F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                    (F.col("n_hit") > 0).alias("contaminated")))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
