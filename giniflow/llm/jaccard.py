@@ -41,6 +41,8 @@ from giniflow.llm.components import components
 WIDTH, PERCENT = 3, 90
 #: A token is frequent beyond so many documents; at least so many first tokens of a set are kept.
 RARE, LEAST_HEAD = 20, 64
+#: Words whose hashes a task keeps at hand.
+SEEN = 300_000
 #: Bits of the parity sketch. Node lists are broadcast up to so many rows and joined by a shuffle beyond.
 SKETCH_BITS, BROADCAST_NODES = 2048, 1_000_000
 
@@ -108,24 +110,26 @@ def text_key(text: Column) -> Column:
 
 
 def describe(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Of every row: row id and text key, set size, node (digest of the set), first tokens by hash, sketch."""
-    source = docs.select("doc_id", text_key(F.col("text")).alias("key"), "text")
+    """Of every row: its number, id and text key, set size, digest of the set, first tokens by hash, sketch."""
+    source = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_key(F.col("text")).alias("key"), "text")
     kind = source.schema["doc_id"].dataType.simpleString()
-    schema = "n int, node binary, head binary, sketch binary"
+    schema = "n int, digest binary, held int, head binary, sketch binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, int] = {}
         for batch in batches:
-            seen = seen if len(seen) < 500_000 else {}
+            seen = seen if len(seen) < SEEN else {}
             rows = []
-            for text in batch.column(2):
+            for text in batch.column(3):
                 t = token_set(text.as_py(), seen, width)
-                rows.append((len(t), hashlib.blake2b(t.tobytes(), digest_size=16).digest(),
-                             t[:head_size(len(t), percent)].tobytes(), parity_sketch(t)))
-            out = _fields(schema, *(zip(*rows, strict=True) if rows else [()] * 4))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *out.columns], names=["doc_id", "key", *out.schema.names])
+                held = head_size(len(t), percent)
+                rows.append((len(t), hashlib.blake2b(t.tobytes(), digest_size=16).digest(), held, t[:held].tobytes(),
+                             parity_sketch(t)))
+            out = _fields(schema, *(zip(*rows, strict=True) if rows else [()] * 5))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *out.columns],
+                                             names=["row", "doc_id", "key", *out.schema.names])
 
-    return source.mapInArrow(run, f"doc_id {kind}, key binary, {schema}")
+    return source.mapInArrow(run, f"row long, doc_id {kind}, key binary, {schema}")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -137,11 +141,11 @@ def sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, int] = {}
         for batch in batches:
-            seen = seen if len(seen) < 500_000 else {}
+            seen = seen if len(seen) < SEEN else {}
             sets = [token_set(t.as_py(), seen, width).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "tokens"])
 
-    return stored(texts.mapInArrow(run, "node binary, tokens binary"), "sets")
+    return stored(texts.mapInArrow(run, "node long, tokens binary"), "sets")
 
 
 def exploded(rows: DataFrame, column: str) -> DataFrame:
@@ -157,26 +161,31 @@ def exploded(rows: DataFrame, column: str) -> DataFrame:
                                                   pa.array(np.concatenate([*tokens, np.zeros(0, np.int64)]))],
                                                  names=["node", "token"])
 
-    return rows.select("node", column).mapInArrow(run, "node binary, token long")
+    return rows.select("node", column).mapInArrow(run, "node long, token long")
 
 
-def frequent_tokens(rows: DataFrame, column: str) -> DataFrame:
-    return (exploded(rows, column).groupBy("token").agg(F.count(F.lit(1)).alias("c"))
+def short(token: Column, bits: int) -> Column:
+    """The last ``bits`` bits. Counts and lists may take tokens for equal that are not: sets are compared in full."""
+    return token.bitwiseAND((1 << bits) - 1)
+
+
+def frequent_tokens(rows: DataFrame, column: str, bits: int) -> DataFrame:
+    return (exploded(rows, column).groupBy(short(F.col("token"), bits).alias("token")).agg(F.count(F.lit(1)).alias("c"))
             .where(F.col("c") > RARE).select("token"))
 
 
-def with_frequent(rows: DataFrame, column: str, frequent: DataFrame, n_frequent: int) -> DataFrame:
-    """``rows`` plus the array ``hot`` of their frequent tokens (null if none)."""
-    hot = exploded(rows, column).join(_small(frequent, n_frequent), "token").groupBy("node").agg(
-        F.collect_list("token").alias("hot"))
-    return rows.join(hot, "node", "left")
+def hot_tokens(rows: DataFrame, column: str, frequent: DataFrame, n_frequent: int, bits: int) -> DataFrame:
+    """(node, hot): the frequent tokens of each row that has any."""
+    return exploded(rows, column).withColumn("token", short(F.col("token"), bits)).join(
+        _small(frequent, n_frequent), "token").groupBy("node").agg(F.collect_set("token").alias("hot"))
 
 
-def postings(rows: DataFrame, column: str, percent: int) -> DataFrame:
+def postings(rows: DataFrame, column: str, percent: int, bits: int) -> DataFrame:
     """(pair, sig, node, n, pos): single rare tokens of the prefix and neighbouring frequent ones of the extended prefix.
     ``column`` holds the whole set or, where that suffices, its first tokens. ``pos`` counts tokens that a partner found
     this way first cannot share: those before a single token, all rare ones before a pair."""
-    schema = "pair boolean, sig long, node binary, n int, pos int"
+    schema = "pair boolean, sig long, node long, n int, pos int"
+    mask, wide = np.uint64((1 << bits) - 1), np.int64((1 << min(63, bits + 8)) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,7 +193,7 @@ def postings(rows: DataFrame, column: str, percent: int) -> DataFrame:
                 pairs, sigs, nodes, sizes, places = [], [], [], [], []
                 for node, n, raw, hot in zip(*(c.to_pylist() for c in batch.slice(at, 512).columns), strict=True):
                     tokens = np.frombuffer(raw, np.uint64)
-                    often = np.isin(tokens, np.array(hot or [], np.int64).astype(np.uint64))
+                    often = np.isin(tokens & mask, np.array(hot or [], np.int64).astype(np.uint64))
                     rare, many = tokens[~often], prefix_size(n, percent)
                     single = rare[:many]
                     both = np.zeros(0, np.uint64)
@@ -193,7 +202,7 @@ def postings(rows: DataFrame, column: str, percent: int) -> DataFrame:
                         with np.errstate(over="ignore"):
                             both = _mix(_mix(last[:-1]) + last[1:])
                     pairs += [False] * len(single) + [True] * len(both)
-                    sigs += [single.view(np.int64), both.view(np.int64)]
+                    sigs += [single.view(np.int64) & wide, both.view(np.int64) & wide]
                     nodes += [node] * (len(single) + len(both))
                     sizes += [n] * (len(single) + len(both))
                     places += [*range(len(single)), *[len(rare)] * len(both)]
@@ -257,28 +266,36 @@ def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
-    """(node, root) of the linked nodes. ``reps``: one row per node with n, key, head and sketch."""
+    """(node, root) of the linked nodes. ``reps``: one row per node with n, key, held, head and sketch."""
     # n tokens can link with n + 1 only if n / (n + 1) is similar enough; smaller sets link with equal ones only
     reps = reps.where(100 * F.col("n") >= percent * (F.col("n") + 1))
-    rows = reps.select("node", "n", "key", "head")
-    frequent = stored(frequent_tokens(rows, "head"), "frequent")
-    held = F.octet_length("head") / 8
-    short_of_rare = (held < F.col("n")) & (held - F.when(F.col("hot").isNull(), 0).otherwise(F.size("hot"))
-                                           < F.col("n") - F.ceil(percent * F.col("n") / 100) + 1)
-
-    marked = stored(with_frequent(rows, "head", frequent, frequent.count()), "marked")
-    dense = marked.where(short_of_rare)
+    total = reps.agg(F.sum("held")).first()[0] or 0
+    bits = min(63, max(24, total.bit_length() + 6))
+    rows = reps.select("node", "n", "key", "held", "head")
+    frequent = stored(frequent_tokens(rows, "head", bits), "frequent")
+
+    def look_up(rows: DataFrame, column: str) -> DataFrame:
+        return hot_tokens(rows, column, frequent, frequent.count(), bits)
+
+    def dense_of(hot: DataFrame) -> DataFrame:
+        """Nodes whose head lacks the rare tokens of a prefix while there are more tokens behind it."""
+        few = F.col("held") - F.size("hot") < F.col("n") - F.ceil(percent * F.col("n") / 100) + 1
+        return rows.select("node", "n", "key", "held").join(hot, "node").where((F.col("held") < F.col("n")) & few)
+
+    hot = stored(look_up(rows, "head"), "hot")
+    dense = stored(dense_of(hot).select("node", "n", "key"), "dense")
     if dense.limit(1).count():  # documents made of frequent tokens: count their whole sets, too
         sets = sets_of(docs, dense, width)
-        frequent = stored(frequent.union(frequent_tokens(sets, "tokens")).distinct(), "frequent")
-        n_frequent = frequent.count()
-        marked = stored(with_frequent(rows, "head", frequent, n_frequent), "marked")
-        dense = marked.where(short_of_rare)
+        frequent = stored(frequent.union(frequent_tokens(sets, "tokens", bits)).distinct(), "frequent")
+        hot = stored(look_up(rows, "head"), "hot")
+        dense = stored(dense_of(hot).select("node", "n", "key"), "dense")
         whole = sets_of(docs, dense, width).join(dense.select("node", "n"), "node")
-        indexed = postings(marked.where(~short_of_rare), "head", percent).unionByName(
-            postings(with_frequent(whole, "tokens", frequent, n_frequent), "tokens", percent))
+        n_dense = dense.count()
+        indexed = postings(rows.join(_small(dense.select("node"), n_dense), "node", "left_anti").join(hot, "node", "left"),
+                           "head", percent, bits).unionByName(
+            postings(whole.join(look_up(whole, "tokens"), "node", "left"), "tokens", percent, bits))
     else:
-        indexed = postings(marked, "head", percent)
+        indexed = postings(rows.join(hot, "node", "left"), "head", percent, bits)
     indexed = stored(indexed, "postings")
 
     single, pair = indexed.where(~F.col("pair")), indexed.where("pair")
@@ -298,36 +315,60 @@ def _confirmed(docs: DataFrame, reps: DataFrame, found: DataFrame, pair: DataFra
 
     # one pair per node first: what they join need not be compared again
     first = found.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    true = stored(linked(first, sets, percent), "links")
-    roots = components(true)
-    rest = _across(found, roots)
-    true = stored(true.union(linked(rest, sets, percent)), "links")
-    roots = components(true)
+    roots = components(linked(first, sets, percent))
+    more = stored(linked(_across(found, roots), sets, percent), "links")
+    if more.limit(1).count():
+        roots = components(more.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
-    # members of a long list of frequent pairs that are not in the same component yet
+    # members of a list of frequent pairs that are not in the same component yet
     rooted = pair.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     several = rooted.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
     rooted = rooted.join(several.select("sig"), "sig", "left_semi")
-    more = _pairs(rooted, rooted, (F.col("x.root") < F.col("y.root")), percent)
-    more = stored(sketch_filter(more, reps, percent), "candidates")
-    if not more.limit(1).count():
+    rest = stored(sketch_filter(_pairs(rooted, rooted, F.col("x.root") < F.col("y.root"), percent), reps, percent),
+                  "candidates")
+    if not rest.limit(1).count():
         return roots
-    return components(true.union(linked(more, sets, percent)))
+    return components(linked(rest, sets, percent).union(
+        roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
 
-def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, text_col: str = "text",
-                       id_col: str = "doc_id") -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs``, and the key of its text."""
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+def row_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """row, doc_id, key, n and root of every row; equal sets have one root, empty sets none."""
     rows = stored(describe(docs, width, percent), "described")
-    reps = stored(rows.where("n > 0").groupBy("node").agg(
-        F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.min("key").alias("key"),
-        F.first("head").alias("head"), F.first("sketch").alias("sketch")), "classes")
+    classes = stored(rows.where("n > 0").groupBy("digest").agg(F.min("row").alias("node")), "classes")
+    first = _small(classes.select(F.col("node").alias("row")), classes.count())
+    reps = rows.join(first, "row", "left_semi").withColumnRenamed("row", "node").drop("doc_id", "digest")
     roots = links(docs, reps, width, percent)
-    class_ids = (reps.select("node", "least_id").join(roots, "node", "left")
-                 .withColumn("root", F.coalesce("root", "node")))
-    least = class_ids.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = class_ids.join(least, "root").select("node", "component_id")
-    return (rows.select("doc_id", "key", "n", "node").join(named, "node", "left")
-            .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "key"))
+    named = classes.join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root"))
+    return rows.select("row", "doc_id", "key", "n", "digest").join(named, "digest", "left").drop("digest")
+
+
+def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, text_col: str = "text",
+                       id_col: str = "doc_id") -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of ``docs``."""
+    rows = row_components(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), width, percent)
+    least = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(least, "root", "left").select(
+        "doc_id", F.col("n").cast("long").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def drop_near_copies(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """One row of each component, that with the least id (null last, then by text); all columns unchanged. Rows with an
+    empty set all stay."""
+    rows = stored(row_components(docs.select("doc_id", "text"), width, percent).where("root is not null"), "rows")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    kept = rows.groupBy("root").agg(F.min(place).alias("kept"))
+    gone = stored(rows.join(kept, "root").where(~place.eqNullSafe(F.col("kept")))
+                  .select(F.col("doc_id").alias("_gone_id"), F.col("key").alias("_gone_key")).distinct(), "gone")
+    twice = stored(rows.groupBy("doc_id", "key").count().where("count > 1")
+                   .select(F.col("doc_id").alias("_gone_id"), F.col("key").alias("_gone_key")), "twice")
+    tagged = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs["doc_id"].alias("_id"),
+                         text_key(docs["text"]).alias("_key"))
+    on = F.col("_id").eqNullSafe(F.col("_gone_id")) & (F.col("_key") == F.col("_gone_key"))
+    out = tagged.join(_small(gone, gone.count()), on, "left_anti")
+    n_twice = twice.count()
+    if n_twice:  # equal rows of the kept document
+        several = out.join(_small(twice, n_twice), on, "left_semi").dropDuplicates(["_id", "_key"])
+        out = out.join(_small(twice, n_twice), on, "left_anti").unionByName(several)
+    return out.select("row.*")

@@ -60,7 +60,7 @@ def test_planted_passages_and_their_clouds(spark):
     for k in range(240):
         lines = [" ".join(rng.choices(vocabulary, k=rng.randrange(5, 90))) for _ in range(3)]
         if k % 3 == 0:
-            copy = list(rng.choice(passages[:2] if k % 2 else passages))
+            copy = list(passages[k % 2 or k % 5])
             for _ in range(rng.randrange(2)):
                 copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
             lines.insert(rng.randrange(4), " ".join(copy).upper() if k % 4 else " ".join(copy))
