@@ -6,7 +6,6 @@ day of the month two months earlier, so JAN and FEB roll back into the previous
 
 from __future__ import annotations
 
-import calendar
 import datetime as dt
 
 from pyspark.sql import Column
@@ -23,15 +22,11 @@ def report_date_col(token: str | Column) -> Column:
 
 
 def report_date(token: str) -> dt.date:
-    """Driver form for configuration values (a handful of tokens)."""
-    month_str, year_str = token.strip().split("/")
-    month = MONTHS.index(month_str.lower()) + 1
-    year = 2000 + int(year_str)
-    month -= 2
-    if month < 1:
-        month += 12
-        year -= 1
-    return dt.date(year, month, calendar.monthrange(year, month)[1])
+    """Driver form for configuration values (a handful of tokens): the day before the first of the month that precedes
+    the token's month."""
+    name, _, years = token.strip().lower().partition("/")
+    following = 12 * (2000 + int(years)) + MONTHS.index(name) - 1     # months since year 0 of the month after the date
+    return dt.date(following // 12, following % 12 + 1, 1) - dt.timedelta(days=1)
 
 
 def report_dates(tokens: str | list[str]) -> list[dt.date]:

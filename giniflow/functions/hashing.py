@@ -9,7 +9,9 @@ reproduce it bit for bit.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TWO_POW_32 = 4294967296.0
@@ -19,6 +21,26 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def key_columns(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def key_text(key: str | Sequence[str]) -> Column:
+    """A row key as one string: the column itself, or the columns of a composite key joined by a unit separator (a NULL
+    part is the empty string after a second separator, so it equals no value)."""
+    if isinstance(key, str):
+        return F.col(key).cast("string")
+    return F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x1f")) for c in key])
+
+
+def assert_unique(df: DataFrame, key: str | Sequence[str]) -> None:
+    """Raise when two rows share the key: splits and joins are exact for unique keys only."""
+    cols = key_columns(key)
+    repeated = df.groupBy(*cols).count().where("count > 1").limit(1).collect()
+    if repeated:
+        raise ValueError(f"row key {cols} is not unique, e.g. {repeated[0].asDict()}")
+
+
 def row_hash(key: str | Column, salt: str | int) -> Column:
     """Unsigned 32-bit hash of a string key (bigint column)."""
     digest = F.md5(F.concat(_col(key).cast("string"), F.lit(f":{salt}")))

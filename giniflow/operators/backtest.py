@@ -28,15 +28,20 @@ def expanding_backtest(df: DataFrame, date_col: str) -> DataFrame:
     """Rows tagged with (oot_dt, role): role DEV for each later step, OOT for their own date (from the 2nd date on)."""
     pairs = small_table(date_pairs(df, date_col))
     first = pairs.agg(F.min("dev_dt")).first()[0]
-    dev = df.join(F.broadcast(pairs), df[date_col] == pairs["dev_dt"]).drop("dev_dt").withColumn("role", F.lit("DEV"))
+    dev = df.join(pairs, df[date_col] == pairs["dev_dt"]).drop("dev_dt").withColumn("role", F.lit("DEV"))
     oot = df.where(F.col(date_col) > F.lit(first)).withColumn("oot_dt", F.col(date_col)).withColumn("role",
                                                                                                    F.lit("OOT"))
     return dev.unionByName(oot)
 
 
-def backtest_gini(tagged: DataFrame, score: str, label: str) -> DataFrame:
-    """(report_dt, dev, oot) Gini of a score per step, from the tagged rows of ``expanding_backtest``."""
-    g = metrics.gini(tagged, score, label, by=["oot_dt", "role"])
+def backtest_gini(df: DataFrame, date_col: str, score: str, label: str) -> DataFrame:
+    """(report_dt, dev, oot): unrounded Gini of a score per step. Rows are compressed to one histogram per date first, and
+    the histogram is expanded to the steps."""
+    hist = metrics.score_histogram(df, score, label, [date_col])
+    tagged = expanding_backtest(hist, date_col).groupBy("oot_dt", "role", score).agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    auc = metrics.auc_from_histogram(tagged, score, ["oot_dt", "role"])
+    g = auc.select("oot_dt", "role", ((F.lit(2.0) * F.col("auc") - F.lit(1.0)) * F.lit(100.0)).alias("gini"))
     return g.groupBy(F.col("oot_dt").alias("report_dt")).agg(
         F.max(F.when(F.col("role") == "DEV", F.col("gini"))).alias("dev"),
         F.max(F.when(F.col("role") == "OOT", F.col("gini"))).alias("oot"))

@@ -11,16 +11,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from giniflow.functions.hashing import key_columns
 
-def align_labels(features: DataFrame, labels: DataFrame, key: str) -> DataFrame:
+
+def align_labels(features: DataFrame, labels: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Features and a separate label table on the same rows (inner equi-join on the key)."""
-    return features.join(labels, key, "inner")
+    return features.join(labels, key_columns(key), "inner")
 
 
-def concat_columns(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def concat_columns(left: DataFrame, right: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Column-wise concatenation of two frames over the same rows; duplicate non-key names keep the left copy."""
-    extra = [c for c in right.columns if c != key and c not in left.columns]
-    return left.join(right.select(key, *extra), key, "inner")
+    extra = [c for c in right.columns if c not in key_columns(key) and c not in left.columns]
+    return left.join(right.select(*key_columns(key), *extra), key_columns(key), "inner")
 
 
 def dates_semi(df: DataFrame, date_col: str, dates: Sequence) -> DataFrame:
@@ -35,6 +37,6 @@ def dates_anti(df: DataFrame, date_col: str, dates: Sequence) -> DataFrame:
     return df.join(F.broadcast(d), date_col, "left_anti")
 
 
-def pools_with_scores(pools: DataFrame, scores: DataFrame, key: str, cols: Sequence[str] = ("pool",)) -> DataFrame:
+def pools_with_scores(pools: DataFrame, scores: DataFrame, key: str | Sequence[str], cols: Sequence[str] = ("pool",)) -> DataFrame:
     """Predictions aligned to the pool rows and labels by key (no sort needed)."""
-    return pools.select(key, *cols).join(scores, key, "inner")
+    return pools.select(*key_columns(key), *cols).join(scores, key_columns(key), "inner")

@@ -13,16 +13,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from giniflow.operators.prefix import next_in_order, ordered_running_sum, quantile_bucket, running_sum, small_table
-
-
-def largest_group(df: DataFrame, by: Sequence[str]) -> int:
-    """Rows of the largest group (one small aggregation; the per-task bound of a grouped step)."""
-    g = df.groupBy(*by).count() if by else df.groupBy().count()
-    v = g.agg(F.max("count")).first()[0]
-    return int(v or 0)
+from giniflow.operators.prefix import (buckets_for, next_in_order, ordered_running_sum, quantile_bucket, running_sum,
+                                       small_table)
+from giniflow.session import materialize
 
 
 def score_histogram(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
@@ -33,43 +27,19 @@ def score_histogram(df: DataFrame, score: str, label: str, by: Sequence[str] = (
             .agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")))
 
 
-LOCAL_CELLS = 200_000   # histogram cells finished in one small step; above this the running sum stays distributed
-
+def stored_histogram(hist: DataFrame, n_buckets: int | None = None) -> tuple[DataFrame, int]:
+    """The histogram evaluated once (the ordered part reads it several times), and its number of buckets."""
+    hist = materialize(hist, "histogram")
+    return hist, n_buckets or buckets_for(hist.count())
 
-def _auc_local(pdf: pd.DataFrame, score: str, by: list[str]) -> pd.DataFrame:
-    out = []
-    groups = pdf.groupby(by, dropna=False, sort=False) if by else [((), pdf)]
-    for key, g in groups:
-        g = g.sort_values(score)
-        pos = g["pos"].to_numpy(np.float64)
-        neg = g["neg"].to_numpy(np.float64)
-        below = np.concatenate([[0.0], np.cumsum(neg)[:-1]])
-        P, N = pos.sum(), neg.sum()
-        auc = float((pos * (below + neg / 2.0)).sum() / (P * N)) if P > 0 and N > 0 else None
-        key = key if isinstance(key, tuple) else (key,)
-        out.append((*key[:len(by)], auc))
-    return pd.DataFrame(out, columns=[*by, "auc"])
 
-
-def auc_from_histogram(hist: DataFrame, score: str, by: Sequence[str] = (), n_buckets: int = 64) -> DataFrame:
+def auc_from_histogram(hist: DataFrame, score: str, by: Sequence[str] = (), n_buckets: int | None = None) -> DataFrame:
     """AUC with mid-rank ties: sum(pos * (neg strictly below + neg/2)) / (P * N), per group.
 
-    The histogram has one row per (group, distinct score). When its largest group has at most ``LOCAL_CELLS`` rows
-    each group's ordered sum is one window task per group (JVM-side, bounded by the checked size); otherwise it runs
-    with bucketed running sums, so a continuous score over a huge table never funnels through one task."""
+    The histogram has one row per (group, distinct score); it is stored, and its ordered sum runs in buckets of the
+    score whose number follows the number of rows, so no group funnels through one task."""
     by = list(by)
-    if largest_group(hist, by) <= LOCAL_CELLS:
-        # every group fits one task: a plain window per group (JVM-side), bounded by the checked group size
-        keyed = hist if by else hist.withColumn("__all", F.lit(0))
-        groups = by or ["__all"]
-        w = Window.partitionBy(*groups).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-        below = keyed.withColumn("neg_below", F.coalesce(F.sum("neg").over(w), F.lit(0)))
-        pos = F.col("pos").cast("double")
-        term = pos * (F.col("neg_below").cast("double") + F.col("neg").cast("double") / F.lit(2.0))
-        agg = below.groupBy(*groups).agg(F.sum(term).alias("__num"), F.sum("pos").cast("double").alias("__p"),
-                                         F.sum("neg").cast("double").alias("__n"))
-        out = agg.select(*groups, F.try_divide(F.col("__num"), F.col("__p") * F.col("__n")).alias("auc"))
-        return out if by else out.drop("__all")
+    hist, n_buckets = stored_histogram(hist, n_buckets)
     below = ordered_running_sum(hist, by, score, ["neg"], inclusive=False, n_buckets=n_buckets, suffix="_below")
     pos = F.col("pos").cast("double")
     term = pos * (F.col("neg_below").cast("double") + F.col("neg").cast("double") / F.lit(2.0))
@@ -80,7 +50,7 @@ def auc_from_histogram(hist: DataFrame, score: str, by: Sequence[str] = (), n_bu
 
 
 def gini(df: DataFrame, score: str, label: str, by: Sequence[str] = (), digits: int | None = 2,
-         scale: float = 100.0, n_buckets: int = 64) -> DataFrame:
+         scale: float = 100.0, n_buckets: int | None = None) -> DataFrame:
     """``round((2*AUC - 1) * 100, 2)`` per group (the reference's Gini of a score)."""
     auc = auc_from_histogram(score_histogram(df, score, label, by), score, by, n_buckets)
     g = (F.lit(2.0) * F.col("auc") - F.lit(1.0)) * F.lit(scale)
@@ -89,8 +59,25 @@ def gini(df: DataFrame, score: str, label: str, by: Sequence[str] = (), digits:
     return auc.select(*by, g.alias("gini"))
 
 
+def fold_ginis(df: DataFrame, score: str, label: str, fold: str) -> DataFrame:
+    """(fold, gini_train, gini_test), unrounded, of a fixed score: one histogram per fold; what the other folds hold is the
+    total of a score less the fold's own share."""
+    hist = materialize(score_histogram(df, score, label, [fold]), "folds")
+    total = hist.groupBy(score).agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
+    folds = hist.select(fold).distinct()
+    each = total.withColumn(fold, F.explode(F.lit([r[0] for r in folds.collect()])))     # scores x folds, k is configured
+    both = each.join(hist, [score, fold], "left").na.fill(0, ["pos", "neg"])
+    train = both.select(fold, score, F.lit("train").alias("part"), (F.col("all_pos") - F.col("pos")).alias("pos"),
+                        (F.col("all_neg") - F.col("neg")).alias("neg"))
+    test = hist.select(fold, score, F.lit("test").alias("part"), "pos", "neg")
+    auc = auc_from_histogram(train.unionByName(test), score, [fold, "part"])
+    g = (F.lit(2.0) * F.col("auc") - F.lit(1.0)) * F.lit(100.0)
+    return auc.groupBy(fold).agg(F.max(F.when(F.col("part") == "train", g)).alias("gini_train"),
+                                 F.max(F.when(F.col("part") == "test", g)).alias("gini_test"))
+
+
 def feature_gini(df: DataFrame, features: Sequence[str], label: str, by: Sequence[str] = (),
-                 absolute: bool = True, n_buckets: int = 64) -> DataFrame:
+                 absolute: bool = True, n_buckets: int | None = None) -> DataFrame:
     """``|2*AUC - 1|`` of every feature at once (unpivot, one histogram, one pass); not scaled, not rounded."""
     long = unpivot_numeric(df, features, [*by, label])
     auc = auc_from_histogram(score_histogram(long, "value", label, [*by, "feature"]), "value", [*by, "feature"],
@@ -121,7 +108,7 @@ def fold_median(metrics: DataFrame, cols: Sequence[str], by: Sequence[str] = ())
 # ---------------------------------------------------------------------------------------------------------------------
 # ROC points (W1), weights (W2) and tail compaction
 
-def roc_points(df: DataFrame, features: Sequence[str], label: str, n_buckets: int = 64,
+def roc_points(df: DataFrame, features: Sequence[str], label: str, n_buckets: int | None = None,
                drop_intermediate: bool = True) -> DataFrame:
     """ROC per feature at each distinct value, descending, plus the sentinel point ``idx = 0`` (0, 0).
 
@@ -132,58 +119,17 @@ def roc_points(df: DataFrame, features: Sequence[str], label: str, n_buckets: in
     """
     long = unpivot_numeric(df, features, [label])
     hist = score_histogram(long, "value", label, ["feature"])
-    if drop_intermediate and largest_group(hist, ["feature"]) <= ROC_LOCAL_CELLS:
-        return roc_grouped(hist)
     return roc_from_histogram(hist, n_buckets, drop_intermediate)
 
 
-ROC_LOCAL_CELLS = 2_000_000   # distinct values of a feature up to which its ROC is built in one grouped task
-
-ROC_SCHEMA = T.StructType([
-    T.StructField("feature", T.StringType()), T.StructField("idx", T.LongType()),
-    T.StructField("value", T.DoubleType()), T.StructField("tps", T.LongType()), T.StructField("fps", T.LongType()),
-    T.StructField("tpr", T.DoubleType()), T.StructField("fpr", T.DoubleType()), T.StructField("mass", T.DoubleType()),
-    T.StructField("base_rate", T.DoubleType())])
-
-
-def roc_numpy(values: np.ndarray, pos: np.ndarray, neg: np.ndarray):
-    """ROC of one feature from its histogram: descending values, collinear interior points dropped, sentinel first.
-    Returns (value, tps, fps) arrays with the sentinel (NaN, 0, 0) at index 0."""
-    order = np.argsort(-values, kind="stable")
-    v, p, n = values[order], pos[order], neg[order]
-    L = len(v)
-    keep = np.ones(L, dtype=bool)
-    if L > 2:
-        keep[1:-1] = ~((p[2:] == p[1:-1]) & (n[2:] == n[1:-1]))
-    tps = np.concatenate([[0], np.cumsum(p)[keep]])
-    fps = np.concatenate([[0], np.cumsum(n)[keep]])
-    return np.concatenate([[np.nan], v[keep]]), tps, fps
-
-
-def roc_grouped(hist: DataFrame) -> DataFrame:
-    """ROC points per feature in one ``applyInPandas`` (used when the whole histogram is provably small)."""
-
-    def per_feature(pdf: pd.DataFrame) -> pd.DataFrame:
-        v, tps, fps = roc_numpy(pdf["value"].to_numpy(np.float64), pdf["pos"].to_numpy(np.int64),
-                                pdf["neg"].to_numpy(np.int64))
-        P, N = float(tps[-1]), float(fps[-1])
-        with np.errstate(divide="ignore", invalid="ignore"):
-            tpr = tps / P if P > 0 else np.full(len(v), np.nan)
-            fpr = fps / N if N > 0 else np.full(len(v), np.nan)
-        return pd.DataFrame({"feature": pdf["feature"].iloc[0], "idx": np.arange(len(v), dtype=np.int64),
-                             "value": v, "tps": tps.astype(np.int64), "fps": fps.astype(np.int64),
-                             "tpr": tpr, "fpr": fpr, "mass": (tps + fps) / (P + N), "base_rate": P / (P + N)})
-
-    return hist.groupBy("feature").applyInPandas(per_feature, ROC_SCHEMA)
-
-
-def roc_from_histogram(hist: DataFrame, n_buckets: int = 64, drop_intermediate: bool = True) -> DataFrame:
+def roc_from_histogram(hist: DataFrame, n_buckets: int | None = None, drop_intermediate: bool = True) -> DataFrame:
     """ROC points from a histogram ``(feature, value, pos, neg)`` (one row per distinct value)."""
+    hist, n_buckets = stored_histogram(hist, n_buckets)
     hist = hist.withColumn("__desc", -F.col("value"))
     hist = quantile_bucket(hist, ["feature"], "__desc", n_buckets)
     cum = running_sum(hist, ["feature"], ["__desc"], "__bucket", ["pos", "neg"], inclusive=True)
     totals = small_table(hist.groupBy("feature").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")))
-    pts = cum.join(F.broadcast(totals), "feature")
+    pts = cum.join(totals, "feature")
     if drop_intermediate:
         nxt = next_in_order(pts, "feature", "__desc", "__bucket", ["pos", "neg"])
         first = (F.col("pos_cum") == F.col("pos")) & (F.col("neg_cum") == F.col("neg"))
@@ -216,7 +162,7 @@ def edge_compaction(points: DataFrame, min_size: float) -> DataFrame:
     """Keep the sentinel, the last point and every interior point with mass from the start > min_size and mass to the
     end > min_size (strict), i.e. the net effect of merging the thin tails of the ROC into one segment each."""
     last = small_table(points.groupBy("feature").agg(F.max("idx").alias("__last")))
-    p = points.join(F.broadcast(last), "feature")
+    p = points.join(last, "feature")
     keep = ((F.col("idx") == 0) | (F.col("idx") == F.col("__last"))
             | ((F.col("mass") > F.lit(min_size)) & ((F.lit(1.0) - F.col("mass")) > F.lit(min_size))))
     return p.where(keep).drop("__last")
@@ -225,83 +171,44 @@ def edge_compaction(points: DataFrame, min_size: float) -> DataFrame:
 # ---------------------------------------------------------------------------------------------------------------------
 # Bootstrap bands (A10)
 
-BOOTSTRAP_SCHEMA = T.StructType([T.StructField("replicate", T.LongType()), T.StructField("gini", T.DoubleType())])
+BLOCK_SCHEMA = "replicate long, block int, pos double, neg double, inner double"
 
 
-def poisson_bootstrap(hist: DataFrame, score: str, n_bs: int, seed: int, cells_per_block: int = 20_000,
-                      chunk: int = 100) -> DataFrame:
-    """Replicate histograms for a histogram too large to broadcast: every row gets an independent Poisson(1) weight
-    per replicate, so a cell with (pos, neg) rows becomes (Poisson(pos), Poisson(neg)). Cells are grouped into
-    deterministic blocks by a hash of the score (the draws do not depend on physical partitioning) and each block draws
-    its replicates in ``applyInPandas``. Output: (replicate, score, pos, neg)."""
-    n_cells = hist.count()
-    blocks = max(1, n_cells // cells_per_block)
-    schema = T.StructType([T.StructField("replicate", T.LongType()), T.StructField(score, T.DoubleType()),
-                           T.StructField("pos", T.LongType()), T.StructField("neg", T.LongType())])
+def bootstrap_gini(df: DataFrame, score: str, label: str, n_bs: int = 2000, seed: int = 19,
+                   n_buckets: int | None = None, chunk: int = 100) -> tuple[DataFrame, DataFrame]:
+    """Poisson bootstrap of the Gini: returns (replicates, band).
+
+    AUC depends on the rows only through the histogram ``(score, label) -> count``, and with an independent Poisson(1)
+    weight per row a cell of c rows weighs Poisson(c). The histogram is cut into blocks of consecutive scores; each block
+    draws all replicates and returns their class totals and the concordance inside the block, so the output is replicates
+    x blocks. A prefix over the blocks of a replicate adds the concordance between blocks. The same draw at any size.
+    Band = sorted replicate Ginis at 0-based positions ``int(n_bs*0.025)`` and ``int(n_bs*0.975)``."""
+    hist, n_buckets = stored_histogram(score_histogram(df, score, label), n_buckets)
+    hist = hist.select(F.col(score).cast("double").alias("score"), "pos", "neg")
+    blocks = quantile_bucket(hist, [], "score", n_buckets, out="block")
 
     def draw(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(score)
-        s = pdf[score].to_numpy(np.float64)
+        pdf = pdf.sort_values("score")
         p, q = pdf["pos"].to_numpy(np.float64), pdf["neg"].to_numpy(np.float64)
-        block = int(pdf["__block"].iloc[0])
+        block = int(pdf["block"].iloc[0])
         out = []
-        for r0 in range(0, n_bs, chunk):
-            reps = np.arange(r0, min(n_bs, r0 + chunk))
-            rng = np.random.default_rng([seed, block, r0])
-            pp = rng.poisson(p[None, :], size=(len(reps), len(s)))
-            qq = rng.poisson(q[None, :], size=(len(reps), len(s)))
-            out.append(pd.DataFrame({"replicate": np.repeat(reps, len(s)), score: np.tile(s, len(reps)),
-                                     "pos": pp.ravel(), "neg": qq.ravel()}))
+        for first in range(0, n_bs, chunk):
+            reps = np.arange(first, min(n_bs, first + chunk))
+            rng = np.random.default_rng([seed, block, first])
+            pp = rng.poisson(p, size=(len(reps), len(p))).astype(np.float64)
+            qq = rng.poisson(q, size=(len(reps), len(q))).astype(np.float64)
+            inner = (pp * (np.cumsum(qq, axis=1) - qq / 2.0)).sum(axis=1)
+            out.append(pd.DataFrame({"replicate": reps, "block": block, "pos": pp.sum(axis=1), "neg": qq.sum(axis=1),
+                                     "inner": inner}))
         return pd.concat(out)
 
-    keyed = hist.select(F.col(score).cast("double").alias(score), "pos", "neg").withColumn(
-        "__block", F.pmod(F.xxhash64(score), F.lit(blocks)))
-    return keyed.groupBy("__block").applyInPandas(draw, schema)
-
-
-def bootstrap_gini(df: DataFrame, score: str, label: str, n_bs: int = 2000, seed: int = 19,
-                   max_cells: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
-    """Bootstrap of the Gini: returns (replicates, band).
-
-    AUC depends on the rows only through the histogram ``(score, label) -> count``, and a with-replacement resample of
-    n rows is a multinomial draw of n over those cells. The cluster builds the histogram; each replicate draws one
-    multinomial vector in a Python task (``spark.range(n_bs).mapInPandas``), so the work is spread over replicates and
-    no row-level data moves. The histogram is broadcast only after its size is checked against ``max_cells``; a larger
-    histogram switches to the distributed Poisson bootstrap (``poisson_bootstrap``), whose replicate AUCs run on the
-    bucketed running sums.
-    Band = sorted replicate Ginis at 0-based positions ``int(n_bs*0.025)`` and ``int(n_bs*0.975)``.
-    """
-    spark = df.sparkSession
-    hist = score_histogram(df, score, label)
-    h = hist.limit(max_cells + 1).toPandas()
-    if len(h) > max_cells:
-        reps_hist = poisson_bootstrap(hist, score, n_bs, seed)
-        auc = auc_from_histogram(reps_hist, score, ["replicate"])
-        reps = auc.select("replicate", ((F.lit(2.0) * F.col("auc") - F.lit(1.0)) * F.lit(100.0)).alias("gini"))
-        return reps, bootstrap_band(reps, n_bs)
-    h = h.sort_values(score)
-    bc = spark.sparkContext.broadcast((h["pos"].to_numpy(np.int64), h["neg"].to_numpy(np.int64)))
-
-    def replicate(batches):
-        pos, neg = bc.value
-        counts = np.concatenate([pos, neg]).astype(np.float64)
-        n = int(counts.sum())
-        probs = counts / counts.sum()
-        k = len(pos)
-        for batch in batches:
-            out = []
-            for r in batch["id"].to_numpy():
-                rng = np.random.default_rng([seed, int(r)])
-                draw = rng.multinomial(n, probs)
-                p, q = draw[:k].astype(np.float64), draw[k:].astype(np.float64)
-                below = np.concatenate([[0.0], np.cumsum(q)[:-1]])
-                denom = p.sum() * q.sum()
-                auc = float((p * (below + q / 2.0)).sum() / denom) if denom > 0 else np.nan
-                out.append((int(r), (2.0 * auc - 1.0) * 100.0))
-            yield pd.DataFrame(out, columns=["replicate", "gini"])
-
-    reps = spark.range(n_bs, numPartitions=max(1, min(n_bs, spark.sparkContext.defaultParallelism))) \
-        .mapInPandas(replicate, BOOTSTRAP_SCHEMA)
+    drawn = blocks.groupBy("block").applyInPandas(draw, BLOCK_SCHEMA)
+    earlier = Window.partitionBy("replicate").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    total = drawn.withColumn("below", F.coalesce(F.sum("neg").over(earlier), F.lit(0.0))).groupBy("replicate").agg(
+        F.sum(F.col("inner") + F.col("pos") * F.col("below")).alias("num"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    auc = F.try_divide(F.col("num"), F.col("p") * F.col("n"))
+    reps = materialize(total.select("replicate", ((F.lit(2.0) * auc - F.lit(1.0)) * F.lit(100.0)).alias("gini")),
+                       "replicates")
     return reps, bootstrap_band(reps, n_bs)
 
 

@@ -20,6 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from giniflow.functions.hashing import key_columns
 from giniflow.operators import metrics, sampling
 from giniflow.operators.prep import normalize_categories, normalize_numeric
 
@@ -27,8 +28,8 @@ MODELS = ("GBT", "RF", "LR")
 
 # Fixed defaults per learner (iterations, depth, learning rate, regularisation).
 DEFAULTS = {
-    "GBT": {"n_iter": 100, "depth": 3, "learning_rate": 0.1, "subsample": 1.0, "rsm": 1.0},
-    "RF": {"n_iter": 100, "depth": 5, "subsample": 1.0, "rsm": 1.0},
+    "GBT": {"n_iter": 100, "depth": 3, "learning_rate": 0.1, "subsample": 1.0, "rsm": 1.0, "min_gain": 0.0},
+    "RF": {"n_iter": 100, "depth": 5, "subsample": 1.0, "rsm": 1.0, "min_gain": 0.0},
     "LR": {"n_iter": 100, "l2": 0.0},
 }
 
@@ -37,18 +38,21 @@ def _subset_strategy(rsm: float) -> str:
     return "all" if rsm >= 1.0 else str(max(min(float(rsm), 1.0), 0.01))
 
 
-def make_estimator(name: str, params: dict | None = None, seed: int = 19, label: str = "label"):
-    """Catalogue of base learners with their defaults (M1)."""
+def make_estimator(name: str, params: dict | None = None, seed: int = 19, label: str = "label", max_bins: int = 32):
+    """Catalogue of base learners with their defaults (M1). ``max_bins`` must reach the largest number of levels of a
+    category; ``fit`` takes it from the fitted indexer."""
     name = name.upper()
     p = {**DEFAULTS[name], **(params or {})}
     if name == "GBT":
         return GBTClassifier(featuresCol="features", labelCol=label, maxIter=int(p["n_iter"]), maxDepth=int(p["depth"]),
                              stepSize=float(p["learning_rate"]), subsamplingRate=float(p["subsample"]),
-                             featureSubsetStrategy=_subset_strategy(p["rsm"]), seed=seed, maxBins=32)
+                             featureSubsetStrategy=_subset_strategy(p["rsm"]), seed=seed, maxBins=max_bins,
+                             minInfoGain=float(p["min_gain"]))
     if name == "RF":
         return RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=int(p["n_iter"]),
                                       maxDepth=int(p["depth"]), subsamplingRate=float(p["subsample"]),
-                                      featureSubsetStrategy=_subset_strategy(p["rsm"]), seed=seed, maxBins=32)
+                                      featureSubsetStrategy=_subset_strategy(p["rsm"]), seed=seed, maxBins=max_bins,
+                             minInfoGain=float(p["min_gain"]))
     if name == "LR":
         return LogisticRegression(featuresCol="features", labelCol=label, maxIter=int(p["n_iter"]),
                                   regParam=float(p["l2"]), elasticNetParam=0.0)
@@ -125,6 +129,9 @@ def fit(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], targe
     train = prepare(df, numeric, categorical, target)
     # feature stages are fitted once; the assembled vectors are cached for the learner (and its early-stop refit)
     feature_model = Pipeline(stages=pipe.getStages()[:-1]).fit(train)
+    levels = [len(labels) + 1 for s in feature_model.stages if hasattr(s, "labelsArray") for labels in s.labelsArray]
+    max_bins = max([32, *levels])       # one bin per level and one for unseen values
+    est = make_estimator(name, params, seed, max_bins=max_bins)
     assembled = feature_model.transform(train).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
     slots = slot_features(assembled, [*numeric, *categorical])
     slot_std = None
@@ -139,7 +146,7 @@ def fit(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], targe
             losses = learner.evaluateEachIteration(v)
             n_iter = best_iteration(losses, patience)
             if n_iter < len(losses):
-                learner = make_estimator(name, {**(params or {}), "n_iter": n_iter}, seed).fit(assembled)
+                learner = make_estimator(name, {**(params or {}), "n_iter": n_iter}, seed, max_bins=max_bins).fit(assembled)
     finally:
         assembled.unpersist()
     model = PipelineModel(stages=[*feature_model.stages, learner])
@@ -209,7 +216,7 @@ def cross_validate(df: DataFrame, numeric: Sequence[str], categorical: Sequence[
             rest = rest.where(~F.col("__v")).drop("__v")
         train = sampling.resample(rest, target, sampler, frac, key, f"{seed}-{j}")
         res = fit(train, numeric, categorical, target, name, params, seed, valid)
-        oof = score(res, test, numeric, categorical).select(key, "fold", target, "score")
+        oof = score(res, test, numeric, categorical).select(*key_columns(key), "fold", target, "score")
         tr = score(res, train, numeric, categorical).select(F.lit(j).alias("fold"), target, "score")
         return oof, tr
 

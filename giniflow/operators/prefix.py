@@ -18,20 +18,46 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from giniflow.session import materialize
+
 ALL = "__all"
-SMALL_LIMIT = 2_000_000   # rows a side table may have before it is refused as "small"
+SMALL_LIMIT = 100_000   # rows up to which a side table is read back through the driver and broadcast
 
 
 def small_table(df: DataFrame, limit: int = SMALL_LIMIT) -> DataFrame:
-    """Materialise a bounded aggregate as a local relation (checked row count) so it can be broadcast safely."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"side table exceeds {limit} rows; refusing to broadcast it")
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    """Evaluate an aggregate once, for use as the side of joins: a broadcast local relation up to ``limit`` rows (checked),
+    a stored table joined by its keys beyond."""
+    side = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = side.limit(limit + 1).collect()
+        if len(rows) > limit:
+            return materialize(side, "side")
+    finally:
+        side.unpersist()
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+ROWS_PER_BUCKET = 50_000   # rows that one window partition sorts
+
+
+def buckets_for(n_rows: int) -> int:
+    """Buckets of an ordered domain of ``n_rows`` rows, so that a bucket stays one task's work at any size."""
+    return max(1, -(-int(n_rows) // ROWS_PER_BUCKET))
+
+
+def join_side(df: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with the columns of a side table that has one row per key; NULL keys match NULL keys."""
+    names = {k: f"__side_{k}" for k in keys}
+    renamed = side.withColumnsRenamed(names)
+    on = F.lit(True)
+    for k in keys:
+        on = on & df[k].eqNullSafe(renamed[names[k]])
+    return df.join(renamed, on).drop(*names.values())
 
 
 def _group_cols(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[str], bool]:
@@ -64,7 +90,7 @@ def running_sum(df: DataFrame, by: Sequence[str], order_cols: Sequence[str], buc
     end = Window.currentRow if inclusive else -1
     w_local = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, end)
     local = df.select("*", *[F.coalesce(F.sum(v).over(w_local), F.lit(0)).alias(f"__l_{v}") for v in values])
-    out = local.join(F.broadcast(offsets), keys).select(
+    out = join_side(local, offsets, keys).select(
         *df.columns, *[(F.col(f"__l_{v}") + F.col(f"__o_{v}")).alias(f"{v}{suffix}") for v in values])
     return out.drop(ALL) if added else out
 
@@ -96,7 +122,7 @@ def quantile_bucket(df: DataFrame, by: Sequence[str], col: str, n_buckets: int =
     bounds = small_table(df.groupBy(*keys).agg(
         F.percentile_approx(F.col(col).cast("double"), probs, accuracy).alias("__bounds")))
     value = F.col(col)
-    out_df = (df.join(F.broadcast(bounds), keys)
+    out_df = (join_side(df, bounds, keys)
               .withColumn(out, F.size(F.filter("__bounds", lambda b: b <= value)))
               .drop("__bounds"))
     return out_df.drop(ALL) if added else out_df
@@ -125,7 +151,7 @@ def next_in_order(df: DataFrame, group: str, order: str, bucket: str, cols: Sequ
     wb = Window.partitionBy(group).orderBy(bucket)
     nxt = small_table(firsts.select(group, bucket, *[F.lead(f"__first_{c}").over(wb).alias(f"__nb_{c}")
                                                      for c in cols]))
-    out = local.join(F.broadcast(nxt), [group, bucket])
+    out = join_side(local, nxt, [group, bucket])
     return out.select(*df.columns, *[F.coalesce(F.col(f"__next_{c}"), F.col(f"__nb_{c}")).alias(f"__next_{c}")
                                      for c in cols])
 

@@ -16,7 +16,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from giniflow.functions.hashing import row_hash
+from giniflow.functions.hashing import key_text, row_hash
 from giniflow.operators.prefix import exact_rank
 
 LEVELS = ((20, 12), (10, 10), (0, 10))   # (shift, bits) of the hash resolved per pass
@@ -40,8 +40,8 @@ def order_statistics(df: DataFrame, by: Sequence[str], hash_col: str, key_col: s
     by = list(by)
     result: dict = {}
     todo = {}
-    # only (group, hash) is kept for the histogram passes; the key is read back for the few rows of the tied hashes
-    narrow = df.select(*by, hash_col).persist(StorageLevel.MEMORY_AND_DISK)
+    # only (group, hash, key) is kept, so the plan of ``df`` runs once for all passes
+    narrow = df.select(*by, hash_col, key_col).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         prev_shift = 32
         first = True
@@ -87,7 +87,7 @@ def order_statistics(df: DataFrame, by: Sequence[str], hash_col: str, key_col: s
         for (g, _), (h, _) in todo.items():
             cond = cond | (_group_filter(by, g) & (F.col(hash_col) == F.lit(h)))
         ties: dict = {}
-        for row in df.where(cond).select(*by, hash_col, key_col).collect():
+        for row in narrow.where(cond).collect():
             ties.setdefault((tuple(row[c] for c in by), row[hash_col]), []).append(row[key_col])
         for (g, r), (h, resid) in todo.items():
             keys = sorted(ties[(g, h)])
@@ -108,29 +108,29 @@ def _group_counts(df: DataFrame, by: Sequence[str]) -> dict[tuple, int]:
 
 # ---------------------------------------------------------------------------------------------------------------------
 
-def split_holdout(df: DataFrame, frac: float, key: str, seed: int | str, salt: str = "holdout",
+def split_holdout(df: DataFrame, frac: float, key: str | Sequence[str], seed: int | str, salt: str = "holdout",
                   out: str = "holdout", exact: bool = True) -> DataFrame:
     """Random (not stratified) hold-out: exactly ``ceil(frac*n)`` rows with the smallest hash are flagged.
 
     ``exact=False`` flags ``u < frac`` instead (no extra pass; the count is then binomial)."""
     hcol = f"__h_{out}"
-    d = df.withColumn(hcol, row_hash(key, f"{salt}-{seed}"))
+    d = df.withColumn("__key", key_text(key)).withColumn(hcol, row_hash("__key", f"{salt}-{seed}"))
     if not exact:
-        return d.withColumn(out, F.col(hcol) < F.lit(int(frac * 4294967296.0))).drop(hcol)
-    stats = order_statistics(d, [], hcol, key, lambda sizes: [((), math.ceil(frac * sizes.get((), 0)))])
+        return d.withColumn(out, F.col(hcol) < F.lit(int(frac * 4294967296.0))).drop(hcol, "__key")
+    stats = order_statistics(d, [], hcol, "__key", lambda sizes: [((), math.ceil(frac * sizes.get((), 0)))])
     bound = next(iter(stats.values())) if stats else BEFORE_ALL
-    return d.withColumn(out, at_or_below(hcol, key, bound)).drop(hcol)
+    return d.withColumn(out, at_or_below(hcol, "__key", bound)).drop(hcol, "__key")
 
 
-def sample_rows(df: DataFrame, frac: float, key: str, seed: int | str, exact: bool = True) -> DataFrame:
+def sample_rows(df: DataFrame, frac: float, key: str | Sequence[str], seed: int | str, exact: bool = True) -> DataFrame:
     """Rows without replacement: exactly ``round(frac*n)`` rows (hash order), or ``u < frac`` when not exact."""
     hcol = "__h_sample"
-    d = df.withColumn(hcol, row_hash(key, f"sample-{seed}"))
+    d = df.withColumn("__key", key_text(key)).withColumn(hcol, row_hash("__key", f"sample-{seed}"))
     if not exact:
-        return d.where(F.col(hcol) < F.lit(int(frac * 4294967296.0))).drop(hcol)
-    stats = order_statistics(d, [], hcol, key, lambda sizes: [((), int(round(frac * sizes.get((), 0))))])
+        return d.where(F.col(hcol) < F.lit(int(frac * 4294967296.0))).drop(hcol, "__key")
+    stats = order_statistics(d, [], hcol, "__key", lambda sizes: [((), int(round(frac * sizes.get((), 0))))])
     bound = next(iter(stats.values())) if stats else BEFORE_ALL
-    return d.where(at_or_below(hcol, key, bound)).drop(hcol)
+    return d.where(at_or_below(hcol, "__key", bound)).drop(hcol, "__key")
 
 
 def undersample_target(n_min: int, n_maj: int, frac: float) -> int:
@@ -143,11 +143,11 @@ def undersample_target(n_min: int, n_maj: int, frac: float) -> int:
     return int(n_min / ratio)
 
 
-def undersample(df: DataFrame, label: str, frac: float, key: str, seed: int | str,
+def undersample(df: DataFrame, label: str, frac: float, key: str | Sequence[str], seed: int | str,
                 counts: dict | None = None) -> DataFrame:
     """Keep every minority row and exactly ``int(n_min/ratio)`` majority rows (smallest hash), without replacement."""
     hcol = "__h_under"
-    d = df.withColumn(hcol, row_hash(key, f"under-{seed}"))
+    d = df.withColumn("__key", key_text(key)).withColumn(hcol, row_hash("__key", f"under-{seed}"))
     chosen: dict = {}
 
     def wanted(sizes):
@@ -159,10 +159,10 @@ def undersample(df: DataFrame, label: str, frac: float, key: str, seed: int | st
         chosen["keep"] = undersample_target(n_min, n_maj, frac)
         return [((majority,), chosen["keep"])]
 
-    stats = order_statistics(d, [label], hcol, key, wanted)
+    stats = order_statistics(d, [label], hcol, "__key", wanted)
     majority = chosen["majority"]
     bound = stats[((majority,), chosen["keep"])]
-    return d.where((F.col(label) != F.lit(majority)) | at_or_below(hcol, key, bound)).drop(hcol)
+    return d.where((F.col(label) != F.lit(majority)) | at_or_below(hcol, "__key", bound)).drop(hcol, "__key")
 
 
 def oversample_draws(n_min: int, n_maj: int, frac: float) -> int:
@@ -173,7 +173,7 @@ def oversample_draws(n_min: int, n_maj: int, frac: float) -> int:
     return int(n_maj * ratio - n_min)
 
 
-def oversample(df: DataFrame, label: str, frac: float, key: str, seed: int | str,
+def oversample(df: DataFrame, label: str, frac: float, key: str | Sequence[str], seed: int | str,
                counts: dict | None = None) -> DataFrame:
     """All rows plus ``m`` minority draws with replacement.
 
@@ -186,18 +186,19 @@ def oversample(df: DataFrame, label: str, frac: float, key: str, seed: int | str
     m = oversample_draws(n_min, n_maj, frac)
     if m == 0:
         return df
-    draws = (spark.range(m).select(((row_hash(F.col("id").cast("string"), f"over-{seed}") % F.lit(n_min))
-                                    + F.lit(1)).alias("__rn"))
+    wide = F.conv(F.substring(F.md5(F.concat(F.col("id").cast("string"), F.lit(f":over-{seed}"))), 1, 15), 16, 10)
+    draws = (spark.range(m).select((wide.cast("bigint") % F.lit(n_min) + F.lit(1)).alias("__rn"))
              .groupBy("__rn").agg(F.count(F.lit(1)).alias("__copies")))
-    mino = df.where(F.col(label) == F.lit(minority)).withColumn("__h_over", row_hash(key, f"overrow-{seed}"))
-    mino = exact_rank(mino, [], "__h_over", key, out="__rn")
+    mino = df.where(F.col(label) == F.lit(minority)).withColumn("__key", key_text(key))
+    mino = mino.withColumn("__h_over", row_hash("__key", f"overrow-{seed}"))
+    mino = exact_rank(mino, [], "__h_over", "__key", out="__rn")
     extra = (mino.join(draws, "__rn")
              .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
              .select(*df.columns))
     return df.unionByName(extra)
 
 
-def resample(df: DataFrame, label: str, kind: str, frac: float, key: str, seed: int | str) -> DataFrame:
+def resample(df: DataFrame, label: str, kind: str, frac: float, key: str | Sequence[str], seed: int | str) -> DataFrame:
     kind = (kind or "NONE").upper()
     if kind == "UNDER":
         return undersample(df, label, frac, key, seed)
@@ -206,27 +207,27 @@ def resample(df: DataFrame, label: str, kind: str, frac: float, key: str, seed:
     return df
 
 
-def stratified_folds(df: DataFrame, label: str, k: int, key: str, seed: int | str, out: str = "fold") -> DataFrame:
+def stratified_folds(df: DataFrame, label: str, k: int, key: str | Sequence[str], seed: int | str, out: str = "fold") -> DataFrame:
     """Shuffled stratified k-fold: inside each class, rows in hash order are cut into k consecutive runs;
     row of rank r in a class of n rows gets fold ``ceil(r*k/n) - 1``. Class share per fold is within one row."""
     hcol = "__h_fold"
-    d = df.withColumn(hcol, row_hash(key, f"fold-{seed}"))
+    d = df.withColumn("__key", key_text(key)).withColumn(hcol, row_hash("__key", f"fold-{seed}"))
     counts: dict = {}
 
     def wanted(sizes):
         counts.update(sizes)
         return [(g, (j * n) // k) for g, n in sizes.items() for j in range(1, k)]
 
-    bounds = order_statistics(d, [label], hcol, key, wanted)
+    bounds = order_statistics(d, [label], hcol, "__key", wanted)
     fold = F.lit(0)
     for g, n in counts.items():
         in_class = _group_filter([label], g)
         passed = F.lit(0)
         for j in range(1, k):
             b = bounds[(g, (j * n) // k)]
-            passed = passed + F.when(~at_or_below(hcol, key, b), 1).otherwise(0)
+            passed = passed + F.when(~at_or_below(hcol, "__key", b), 1).otherwise(0)
         fold = F.when(in_class, passed).otherwise(fold)
-    return d.withColumn(out, fold.cast("int")).drop(hcol)
+    return d.withColumn(out, fold.cast("int")).drop(hcol, "__key")
 
 
 def split_dev_oot(df: DataFrame, date_col: str, oot_dates: Sequence, dev_dates: str | Sequence = "ALL"
@@ -241,42 +242,54 @@ def split_dev_oot(df: DataFrame, date_col: str, oot_dates: Sequence, dev_dates:
     return dev, oot
 
 
-def four_pools(df: DataFrame, key: str, date_col: str, oot_dates: Sequence, dev_dates: str | Sequence = "ALL",
+def four_pools(df: DataFrame, key: str | Sequence[str], date_col: str, oot_dates: Sequence, dev_dates: str | Sequence = "ALL",
                test_size: float = 0.2, valid_size: float | None = 0.25, seed: int = 19, label: str | None = None,
                sampler: str = "NONE", frac: float = 0.25) -> DataFrame:
-    """One DataFrame with a ``pool`` column: TRAIN / VALID / TEST / OOT (or DEV / TEST / OOT without valid_size).
+    """One DataFrame with a ``pool`` column: TRAIN / VALID / TEST / OOT (or DEV / TEST / OOT without valid_size), tagged
+    in one projection of the rows. A date in both lists is OOT.
 
     TEST = exactly ``ceil(test_size*n_dev)`` DEV rows; VALID = ``ceil(valid_size*n_rest)`` of the rest; the sampler runs on
     TRAIN only, so TEST, VALID and OOT keep the natural rate."""
-    dev, oot = split_dev_oot(df, date_col, oot_dates, dev_dates)
-    dev = split_holdout(dev, test_size, key, seed, salt="test", out="__is_test")
-    test = dev.where("__is_test").drop("__is_test").withColumn("pool", F.lit("TEST"))
-    rest = dev.where(~F.col("__is_test")).drop("__is_test")
-    parts = [test, oot.withColumn("pool", F.lit("OOT"))]
-    if valid_size:
-        rest = split_holdout(rest, valid_size, key, seed, salt="valid", out="__is_valid")
-        parts.append(rest.where("__is_valid").drop("__is_valid").withColumn("pool", F.lit("VALID")))
-        train = rest.where(~F.col("__is_valid")).drop("__is_valid")
-        if label is not None and sampler.upper() != "NONE":
-            train = resample(train, label, sampler, frac, key, seed)
-        parts.insert(0, train.withColumn("pool", F.lit("TRAIN")))
+    in_oot = F.col(date_col).isin(list(oot_dates))
+    if isinstance(dev_dates, str) and dev_dates.upper() == "ALL":
+        in_dev = ~in_oot | F.col(date_col).isNull()
     else:
-        parts.insert(0, rest.withColumn("pool", F.lit("DEV")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        in_dev = F.col(date_col).isin(list(dev_dates)) & ~F.coalesce(in_oot, F.lit(False))
+    in_oot, in_dev = F.coalesce(in_oot, F.lit(False)), F.coalesce(in_dev, F.lit(False))
+    test_h, valid_h = row_hash(key_text(key), f"test-{seed}"), row_hash(key_text(key), f"valid-{seed}")
+    # both boundaries come from one narrow copy of the DEV rows
+    narrow = df.where(in_dev).select(key_text(key).alias("__key"), test_h.alias("__t"), valid_h.alias("__v")).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    try:
+        test_at = _smallest(narrow, "__t", test_size)
+        valid_at = _smallest(narrow.where(~at_or_below("__t", "__key", test_at)), "__v", valid_size) if valid_size else None
+    finally:
+        narrow.unpersist()
+    tagged = df.withColumns({"__key": key_text(key), "__t": test_h, "__v": valid_h})
+    rest = F.when(at_or_below("__v", "__key", valid_at), "VALID").otherwise("TRAIN") if valid_size else F.lit("DEV")
+    pool = F.when(in_oot, "OOT").when(in_dev & at_or_below("__t", "__key", test_at), "TEST").when(in_dev, rest)
+    out = tagged.withColumn("pool", pool).where(F.col("pool").isNotNull()).drop("__key", "__t", "__v")
+    if valid_size and label is not None and sampler.upper() != "NONE":
+        train = resample(out.where(F.col("pool") == "TRAIN"), label, sampler, frac, key, seed)
+        out = train.unionByName(out.where(F.col("pool") != "TRAIN"))
     return out
 
 
-def oot_subsample(pools: DataFrame, frac: float, key: str, seed: int | str, pool_col: str = "pool") -> DataFrame:
+def _smallest(narrow: DataFrame, hash_col: str, frac: float) -> tuple[int, str]:
+    """Boundary of the ``ceil(frac * n)`` rows of smallest (hash, key)."""
+    stats = order_statistics(narrow, [], hash_col, "__key", lambda sizes: [((), math.ceil(frac * sizes.get((), 0)))])
+    return next(iter(stats.values())) if stats else BEFORE_ALL
+
+
+def oot_subsample(pools: DataFrame, frac: float, key: str | Sequence[str], seed: int | str, pool_col: str = "pool") -> DataFrame:
     """Down-sample the OOT pool only, when frac < 1: exactly ``round(frac * n_oot)`` OOT rows (half-even, as a
     fractional row sample does), the ones with the smallest hash; the other pools are untouched."""
     if frac >= 1.0:
         return pools
     hcol = "__h_oot"
-    d = pools.withColumn(hcol, row_hash(key, f"oot-{seed}"))
+    d = pools.withColumn("__key", key_text(key)).withColumn(hcol, row_hash("__key", f"oot-{seed}"))
     oot = d.where(F.col(pool_col) == F.lit("OOT"))
-    stats = order_statistics(oot, [], hcol, key, lambda sizes: [((), int(round(frac * sizes.get((), 0))))])
+    stats = order_statistics(oot, [], hcol, "__key", lambda sizes: [((), int(round(frac * sizes.get((), 0))))])
     bound = next(iter(stats.values())) if stats else BEFORE_ALL
-    keep = (F.col(pool_col) != F.lit("OOT")) | at_or_below(hcol, key, bound)
-    return d.where(keep).drop(hcol)
+    keep = (F.col(pool_col) != F.lit("OOT")) | at_or_below(hcol, "__key", bound)
+    return d.where(keep).drop(hcol, "__key")

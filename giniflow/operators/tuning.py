@@ -40,8 +40,9 @@ def draw(pid: Column, p: Param, seed: int | str) -> Column:
 def gbt_space(frac: float | None = None, frac_amp: float = 4.0) -> list[Param]:
     """Search space of the boosted learner; the resampling share moves within +-amp points of the chosen one,
     bounded to [1, 50] percent."""
-    space = [Param("depth", "quniform", 2, 8), Param("learning_rate", "loguniform", -5, 0),
-             Param("subsample", "uniform", 0.3, 1.0), Param("rsm", "uniform", 0.1, 1.0)]
+    space = [Param("depth", "quniform", 2, 13), Param("learning_rate", "loguniform", -5, 0),
+             Param("subsample", "uniform", 0.3, 1.0), Param("rsm", "uniform", 0.1, 1.0),
+             Param("min_gain", "loguniform", -10, 0)]
     if frac is not None:
         space.insert(0, Param("frac", "uniform", max(1.0, frac - frac_amp) / 100.0, min(50.0, frac + frac_amp) / 100.0))
     return space

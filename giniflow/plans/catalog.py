@@ -46,9 +46,9 @@ CATEGORICAL = list(FIXTURE_SPEC.categorical)
 
 
 def sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The scoring sample, persisted: most queries make several passes over it (side aggregations, exact splits),
-    and every query of a session shares the one cached copy (the cache is matched by plan)."""
-    return scoring_sample(spark, sf_dir).persist()
+    """The scoring sample, lazy: Catalyst prunes the joins to the columns of each query; operators that read a narrow
+    projection several times keep that projection only."""
+    return scoring_sample(spark, sf_dir)
 
 
 def pools(spark: SparkSession, sf_dir: str, sampler: str = "NONE", frac: float = 0.25) -> DataFrame:
@@ -178,7 +178,7 @@ FROM (SELECT unnest(range(CAST(floor(n_maj * CAST({(0.25 / 0.75)!r} AS DOUBLE) -
                    sum(CASE WHEN {Y} = 0 THEN 1 ELSE 0 END) AS n_maj FROM scoring_sample)) d
 JOIN (SELECT epk_id, {Y}, row_number() OVER (ORDER BY {duck_hash('epk_id', f'overrow-{SEED}')}, epk_id) AS rn
       FROM scoring_sample WHERE {Y} = 1) m
-  ON m.rn = {duck_hash('j', f'over-{SEED}')} % d.n_min + 1"""))
+  ON m.rn = ('0x'||substr(md5(CAST(j AS VARCHAR)||':over-{SEED}'),1,15))::BIGINT % d.n_min + 1"""))
 def q_oversample(spark, sf_dir):
     return sampling.oversample(sample(spark, sf_dir).select(KEY, Y), Y, 0.25, KEY, SEED)
 

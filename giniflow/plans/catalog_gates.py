@@ -33,7 +33,7 @@ def _scorecard_rows(spark, sf_dir):
 
 
 def _scorecard_steps(spark, sf_dir):
-    return metrics.gini(_scorecard_rows(spark, sf_dir), "score", Y, by=["pool", "step", "feature"])
+    return metrics.gini(_scorecard_rows(spark, sf_dir), "score", Y, by=["pool", "step", "feature"], digits=None)
 
 
 SCORECARD_CTE = POOLS_CTE + ",\n_binned AS (\n" + "\nUNION ALL\n".join(
@@ -61,14 +61,14 @@ _rows AS (SELECT b.epk_id, b.pool, b.{Y}, r.rk, w.woe FROM _b2 b JOIN _w2 w ON w
 _steps AS (SELECT r.epk_id, r.pool, r.{Y}, s.rk AS step, f.feature, round(-sum(r.woe), 9) AS score
            FROM _rows r JOIN (SELECT DISTINCT rk FROM _rank) s ON r.rk <= s.rk JOIN _rank f ON f.rk = s.rk
            GROUP BY r.epk_id, r.pool, r.{Y}, s.rk, f.feature),
-_gini AS ({gini_sql("_steps", "score", Y, ["pool", "step", "feature"])})"""
+_gini AS ({gini_sql("_steps", "score", Y, ["pool", "step", "feature"], digits=None)})"""
 
 
-@register("uplift_steps", with_fixture("SELECT pool, CAST(step AS INTEGER) AS step, feature, gini FROM _gini",
+@register("uplift_steps", with_fixture("SELECT pool, CAST(step AS INTEGER) AS step, feature, round(gini, 6) AS gini FROM _gini",
                                        SCORECARD_CTE))
 def q_uplift_steps(spark, sf_dir):
     g = _scorecard_steps(spark, sf_dir)
-    return g.select("pool", F.col("step").cast("int").alias("step"), "feature", "gini")
+    return g.select("pool", F.col("step").cast("int").alias("step"), "feature", F.round("gini", 6).alias("gini"))
 
 
 @register("uplift_gate", with_fixture(f"""
@@ -94,12 +94,13 @@ SELECT model,
        ELSE 'GREEN' END AS train_vs_oot,
   CASE WHEN abs(oo - te) > 10 AND abs((oo - te) / oo) > 0.20 THEN 'FAILED'
        WHEN abs(oo - te) > 5 AND abs((oo - te) / oo) > 0.15 THEN 'YELLOW' ELSE 'GREEN' END AS oot_vs_test
-FROM (SELECT 'STEP_' || CAST(step AS VARCHAR) AS model, max(CASE WHEN pool = 'TRAIN' THEN gini END) AS tr,
-             max(CASE WHEN pool = 'TEST' THEN gini END) AS te, max(CASE WHEN pool = 'OOT' THEN gini END) AS oo
+FROM (SELECT 'STEP_' || CAST(step AS VARCHAR) AS model, max(CASE WHEN pool = 'TRAIN' THEN round(gini, 2) END) AS tr,
+             max(CASE WHEN pool = 'TEST' THEN round(gini, 2) END) AS te,
+             max(CASE WHEN pool = 'OOT' THEN round(gini, 2) END) AS oo
       FROM _gini GROUP BY step)""", SCORECARD_CTE))
 def q_stability_gate(spark, sf_dir):
     g = _scorecard_steps(spark, sf_dir).select(F.concat(F.lit("STEP_"), F.col("step").cast("string")).alias("model"),
-                                               "pool", "gini")
+                                               "pool", F.round("gini", 2).alias("gini"))
     return gates.stability_gate(g).select("model", "train_vs_test", "train_vs_oot", "oot_vs_test")
 
 
@@ -114,15 +115,14 @@ _bt_rows AS (SELECT p.oot_dt, 'DEV' AS role, s.{Y}, s.quantity AS score FROM sco
              UNION ALL
              SELECT s.report_dt, 'OOT', s.{Y}, s.quantity FROM scoring_sample s
              WHERE s.report_dt > (SELECT min(report_dt) FROM _dates)),
-_bt AS ({gini_sql("_bt_rows", "score", Y, ["oot_dt", "role"])}),
+_bt AS ({gini_sql("_bt_rows", "score", Y, ["oot_dt", "role"], digits=None)}),
 _bt_wide AS (SELECT oot_dt AS report_dt, max(CASE WHEN role = 'DEV' THEN gini END) AS dev,
                     max(CASE WHEN role = 'OOT' THEN gini END) AS oot FROM _bt GROUP BY oot_dt)"""
 
 
 def _backtest(spark, sf_dir):
-    from giniflow.operators.backtest import expanding_backtest, backtest_gini
-    df = sample(spark, sf_dir)
-    return backtest_gini(expanding_backtest(df, DATE), "quantity", Y)
+    from giniflow.operators.backtest import backtest_gini
+    return backtest_gini(sample(spark, sf_dir), DATE, "quantity", Y)
 
 
 @register("backtest_pairs", with_fixture("SELECT oot_dt, dev_dt FROM _pairs", BACKTEST_CTE))
@@ -131,9 +131,9 @@ def q_backtest_pairs(spark, sf_dir):
     return date_pairs(sample(spark, sf_dir), DATE)
 
 
-@register("backtest_gini", with_fixture("SELECT report_dt, dev, oot FROM _bt_wide", BACKTEST_CTE))
+@register("backtest_gini", with_fixture("SELECT report_dt, round(dev, 6) AS dev, round(oot, 6) AS oot FROM _bt_wide", BACKTEST_CTE))
 def q_backtest_gini(spark, sf_dir):
-    return _backtest(spark, sf_dir)
+    return _backtest(spark, sf_dir).select(DATE, F.round("dev", 6).alias("dev"), F.round("oot", 6).alias("oot"))
 
 
 @register("linspace_weights", with_fixture("""
@@ -174,15 +174,8 @@ _fm AS (SELECT t.k AS fold, r.gini AS gini_train, t.gini AS gini_test
 
 
 def _fold_metric(spark, sf_dir):
-    df = sampling.stratified_folds(sample(spark, sf_dir).select(KEY, Y, "quantity"), Y, 5, KEY, SEED).persist()
-    test = metrics.gini(df, "quantity", Y, by=["fold"], digits=None).withColumnRenamed("gini", "gini_test")
-    ks = [r["fold"] for r in df.select("fold").distinct().collect()]
-    train = None
-    for k in ks:
-        g = metrics.gini(df.where(F.col("fold") != k), "quantity", Y, digits=None).select(
-            F.lit(k).alias("fold"), F.col("gini").alias("gini_train"))
-        train = g if train is None else train.unionByName(g)
-    return train.join(test, "fold")
+    df = sampling.stratified_folds(sample(spark, sf_dir).select(KEY, Y, "quantity"), Y, 5, KEY, SEED)
+    return metrics.fold_ginis(df, "quantity", Y, "fold")
 
 
 @register("fold_gini", with_fixture(

@@ -99,7 +99,7 @@ def _u_sql(name: str) -> str:
 @register("tuning_candidates", with_fixture(f"""
 SELECT CAST(id AS BIGINT) AS candidate,
        round(lo / 100 + {_u_sql('frac')} * (hi - lo) / 100, 9) AS frac,
-       round(round(2 + {_u_sql('depth')} * 6, 0), 9) AS depth,
+       round(round(2 + {_u_sql('depth')} * 11, 0), 9) AS depth,
        round(exp(-5 + {_u_sql('learning_rate')} * 5), 9) AS learning_rate
 FROM range(10) t(id),
      (SELECT greatest(1, round(avg({Y}) * 100) - 4) AS lo, least(50, round(avg({Y}) * 100) + 4) AS hi

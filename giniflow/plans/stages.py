@@ -31,6 +31,7 @@ def grid_cells(spark: SparkSession, models: Sequence[str], samplers: Sequence[tu
 from pyspark import StorageLevel  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from giniflow.functions.hashing import key_columns  # noqa: E402
 from giniflow.operators import binning, collinear, gates, importance, metrics, models, reports, sampling  # noqa: E402
 from giniflow.operators.tuning import candidates, gbt_space, tune  # noqa: E402
 from giniflow.spec import BinnerConfig, SampleSpec  # noqa: E402
@@ -45,12 +46,13 @@ def _parallel(fn, items, threads: int = THREADS):
         return list(pool.map(fn, items))
 
 
-def pool_gini(fitted, pools_df: DataFrame, spec: SampleSpec, features: Sequence[str]) -> DataFrame:
+def pool_gini(fitted, pools_df: DataFrame, spec: SampleSpec, features: Sequence[str],
+              digits: int | None = 2) -> DataFrame:
     """Gini per pool of a fitted pipeline (one transform, one grouped metric)."""
     num = [f for f in features if f in spec.numeric]
     cat = [f for f in features if f in spec.categorical]
     scored = models.score(fitted, pools_df, num, cat)
-    return metrics.gini(scored, "score", spec.target, by=["pool"])
+    return metrics.gini(scored, "score", spec.target, by=["pool"], digits=digits)
 
 
 def fit_on_pools(pools_df: DataFrame, spec: SampleSpec, features: Sequence[str], name: str = "GBT",
@@ -121,7 +123,7 @@ def fine_select(sample_df: DataFrame, spec: SampleSpec, binner: BinnerConfig = B
     spark = sample_df.sparkSession
     d = sample_df.persist(StorageLevel.MEMORY_AND_DISK)
     bm = binning.fit_binning(d, spec.numeric, spec.categorical, spec.target, binner)
-    woe = bm.transform(d, keep=[spec.key, spec.target]).persist(StorageLevel.MEMORY_AND_DISK)
+    woe = bm.transform(d, keep=[*key_columns(spec.key), spec.target]).persist(StorageLevel.MEMORY_AND_DISK)
     woe_cols = [f"woe_{f}" for f in bm.features]
     dropped, vif_final = collinear.vif_select(woe, woe_cols, vif_cutoff)
     drop_names = [f[len("woe_"):] for f, _ in dropped]
@@ -171,7 +173,7 @@ def backtest_refit(df: DataFrame, spec: SampleSpec, features: Sequence[str], nam
     def fit_and_score(dev, oot):
         fitted = models.fit(dev, num, cat, spec.target, name, params, seed)
         both = dev.withColumn("role", F.lit("DEV")).unionByName(oot.withColumn("role", F.lit("OOT")))
-        return metrics.gini(models.score(fitted, both, num, cat), "score", spec.target, by=["role"])
+        return metrics.gini(models.score(fitted, both, num, cat), "score", spec.target, by=["role"], digits=None)
 
     return small_result(backtest_models(base, spec.date_col, fit_and_score))
 
@@ -187,16 +189,17 @@ def stable_score(df: DataFrame, spec: SampleSpec, features: Sequence[str], param
 
 def fine_tune(pools_df: DataFrame, spec: SampleSpec, ranked: Sequence[str], n_top: int = 10, n_evals: int = 4,
               seed: int = 19, kfold_fine: float = 0.25, k: int = 3, n_iter: int = 30, design: str = "KFOLD",
-              f_lower: int = 4, f_upper: int = 10, final_valid: float = 0.0, final_patience: int = 0) -> dict:
-    """M21 (compact): OOT subsample -> uplift steps over the ranked features -> seeded search of GBT parameters by
+              f_lower: int = 4, f_upper: int = 10, final_valid: float = 0.0, final_patience: int = 0,
+              oot_frac: float = 1.0) -> dict:
+    """M21 (compact): OOT subsample (only when ``oot_frac`` is below 1) -> uplift steps over the ranked features -> seeded search of GBT parameters by
     the k-fold score (M8) -> final fit -> Gini per pool -> stability and uplift gates."""
     spark = pools_df.sparkSession
-    p = sampling.oot_subsample(pools_df, 0.25, spec.key, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    p = sampling.oot_subsample(pools_df, oot_frac, spec.key, seed).persist(StorageLevel.MEMORY_AND_DISK)
     feats = list(ranked)[:n_top]
 
     def step_scores(k):
         prefix = feats[:k]
-        g = pool_gini(fit_on_pools(p, spec, prefix, params={"n_iter": n_iter}, seed=seed), p, spec, prefix)
+        g = pool_gini(fit_on_pools(p, spec, prefix, params={"n_iter": n_iter}, seed=seed), p, spec, prefix, digits=None)
         return small_result(g.select(F.lit(k).alias("step"), F.lit(feats[k - 1]).alias("feature"), "pool", "gini"))
 
     parts = _parallel(step_scores, list(range(1, len(feats) + 1)))
@@ -209,7 +212,7 @@ def fine_tune(pools_df: DataFrame, spec: SampleSpec, ranked: Sequence[str], n_to
 
     def objective(c):
         params = {"depth": c["depth"], "learning_rate": min(c["learning_rate"], 1.0), "subsample": c["subsample"],
-                  "rsm": c["rsm"], "n_iter": n_iter}
+                  "rsm": c["rsm"], "min_gain": c["min_gain"], "n_iter": n_iter}
         if design.upper() == "STABLE":
             return stable_score(dev, spec, list(c["features"]), params, "GBT", seed)
         _, fm = models.cross_validate(dev, list(sub.numeric), list(sub.categorical), spec.target, spec.key, "GBT",
@@ -221,7 +224,7 @@ def fine_tune(pools_df: DataFrame, spec: SampleSpec, ranked: Sequence[str], n_to
     if design.upper() == "STABLE":
         feats = list(best["features"])
     params = {"depth": best["depth"], "learning_rate": min(best["learning_rate"], 1.0),
-              "subsample": best["subsample"], "rsm": best["rsm"], "n_iter": n_iter}
+              "subsample": best["subsample"], "rsm": best["rsm"], "min_gain": best["min_gain"], "n_iter": n_iter}
     final_pools = p
     if final_valid > 0:
         # the final fit may use its own VALID share: TRAIN and VALID are re-split, TEST and OOT stay as they are

@@ -8,6 +8,7 @@ local mode when none is configured (on a cluster the setting must point at share
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -85,7 +86,10 @@ def prepare_session(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (written to the shared checkpoint folder), so lost executors recompute from the copy."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "step") -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back: the plan runs once however often the
+    result is used, and lost executors cost a reread of the copy."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
 class SampleSpec:
     """Roles of the columns of a scoring sample, by name."""
 
-    key: str = "epk_id"
+    key: str | tuple[str, ...] = "epk_id"     # one column, or the columns of a composite key (client, report date)
     date_col: str = "report_dt"
     target: str = "trg_flag"
     numeric: tuple[str, ...] = ()
@@ -17,7 +17,7 @@ class SampleSpec:
 
     @property
     def id_cols(self) -> list[str]:
-        return [self.key, self.date_col]
+        return list(dict.fromkeys([*([self.key] if isinstance(self.key, str) else self.key), self.date_col]))
 
     @property
     def features(self) -> list[str]:
@@ -40,24 +40,9 @@ class SplitConfig:
     seed: int = 19
 
 
-@dataclass(frozen=True)
-class SamplerConfig:
-    kind: str = "NONE"                 # NONE | UNDER | OVER
-    frac: float = 0.25                 # target share of the minority class after resampling
-
-
 @dataclass(frozen=True)
 class BinnerConfig:
     max_bins: int = 20
     min_size: float = 0.05
     starts_from: int = 100
     fast: bool = False
-    enforce_min_size: bool = False
-
-
-@dataclass(frozen=True)
-class ModelConfig:
-    name: str = "GBT"                  # GBT | RF | LR
-    params: dict = field(default_factory=dict)
-    seed: int = 19
-    early_stop: bool = True

@@ -66,9 +66,8 @@ def test_bootstrap_band_covers_point_and_repeats(rnd):
     assert (b["gini_low"], b["gini_upp"]) == (b2["gini_low"], b2["gini_upp"])
 
 
-def test_distributed_auc_path_matches_local(rnd, monkeypatch):
+def test_bucketed_auc_matches_brute_force(rnd):
     df, s, y, g = rnd
-    monkeypatch.setattr(metrics, "LOCAL_CELLS", 0)
     got = metrics.gini(df.repartition(5), "s", "y", by=["g"], digits=None, n_buckets=8).collect()
     for r in got:
         k = r["g"]
@@ -88,22 +87,23 @@ def test_exact_quantiles_equal_percentile(fixture_df, q):
 def test_poisson_bootstrap_path(rnd):
     df, *_ = rnd
     point = metrics.gini(df, "s", "y").first()["gini"]
-    reps, band = metrics.bootstrap_gini(df, "s", "y", n_bs=100, seed=5, max_cells=10)
+    reps, band = metrics.bootstrap_gini(df, "s", "y", n_bs=100, seed=5, n_buckets=7)
     b = band.first()
     assert reps.count() == 100
     assert b["gini_low"] < point < b["gini_upp"]
-    reps2, _ = metrics.bootstrap_gini(df.repartition(3), "s", "y", n_bs=100, seed=5, max_cells=10)
+    reps2, _ = metrics.bootstrap_gini(df.repartition(3), "s", "y", n_bs=100, seed=5, n_buckets=7)
     a = sorted(r["gini"] for r in reps.collect())
     c = sorted(r["gini"] for r in reps2.collect())
     assert a == pytest.approx(c, abs=1e-9)
 
 
-def test_grouped_and_distributed_roc_agree(spark, fixture_df, monkeypatch):
+def test_bucket_count_does_not_change_the_roc(spark, fixture_df):
     feats = ["quantity", "price", "acct_bal"]
     cols = ["feature", "idx", "value", "tps", "fps", "tpr", "fpr", "mass"]
-    a = {(r["feature"], r["idx"]): r for r in metrics.roc_points(fixture_df, feats, "trg_flag").select(*cols).collect()}
-    monkeypatch.setattr(metrics, "ROC_LOCAL_CELLS", 0)
-    b = {(r["feature"], r["idx"]): r for r in metrics.roc_points(fixture_df, feats, "trg_flag").select(*cols).collect()}
+    a = {(r["feature"], r["idx"]): r for r in metrics.roc_points(
+        fixture_df, feats, "trg_flag", n_buckets=1).select(*cols).collect()}
+    b = {(r["feature"], r["idx"]): r for r in metrics.roc_points(
+        fixture_df, feats, "trg_flag", n_buckets=16).select(*cols).collect()}
     assert a.keys() == b.keys()
     for k in a:
         ra, rb = a[k], b[k]
@@ -113,10 +113,50 @@ def test_grouped_and_distributed_roc_agree(spark, fixture_df, monkeypatch):
         assert ra["mass"] == pytest.approx(rb["mass"], abs=1e-15)
 
 
-def test_one_class_group_gives_null_not_error(spark, monkeypatch):
+def test_one_class_group_gives_null_not_error(spark):
     df = spark.createDataFrame([(1.0, 1, "a"), (2.0, 0, "a"), (3.0, 1, "b"), (4.0, 1, "b")], "s double, y int, g string")
-    for cells in (metrics.LOCAL_CELLS, 0):
-        monkeypatch.setattr(metrics, "LOCAL_CELLS", cells)
-        got = {r["g"]: r["gini"] for r in metrics.gini(df, "s", "y", by=["g"]).collect()}
+    for n_buckets in (1, 4):
+        got = {r["g"]: r["gini"] for r in metrics.gini(df, "s", "y", by=["g"], n_buckets=n_buckets).collect()}
         assert got["a"] == -100.0
         assert got["b"] is None
+
+
+def test_null_group_has_a_gini(spark):
+    df = spark.createDataFrame([(1.0, 0, None), (2.0, 1, None), (1.0, 1, "b"), (4.0, 0, "b")], "s double, y int, g string")
+    for n_buckets in (1, 4):
+        assert {r["g"]: r["gini"] for r in metrics.gini(df, "s", "y", by=["g"], n_buckets=n_buckets).collect()} == {
+            None: 100.0, "b": -100.0}
+
+
+def test_one_gini_evaluates_its_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(1000).selectExpr("cast(id % 17 as double) AS s", "cast(id % 3 = 0 as int) AS y").mapInArrow(
+        count, "s double, y int")
+    metrics.gini(df, "s", "y").collect()
+    assert seen.value == 1000
+
+
+def test_side_tables_of_any_size(spark, rnd, monkeypatch):
+    from giniflow.operators import prefix
+    df, s, y, g = rnd
+    small = prefix.small_table
+    monkeypatch.setattr(prefix, "small_table", lambda d: small(d, 1))
+    got = metrics.gini(df, "s", "y", by=["g"], digits=None, n_buckets=8).collect()
+    for r in got:
+        k = r["g"]
+        assert r["gini"] == pytest.approx((2 * brute_auc(s[g == k], y[g == k]) - 1) * 100, abs=1e-9)
+
+
+def test_quantile_bracket_is_narrowed(fixture_df):
+    from giniflow.operators.quantiles import exact_quantiles
+    cols = ["quantity", "price", "acct_bal"]
+    ref = fixture_df.agg(*[F.percentile(c, 0.5).alias(c) for c in cols]).first()
+    got = exact_quantiles(fixture_df, cols, 0.5, accuracy=20, max_cells=10)
+    for c in cols:
+        assert got[c] == pytest.approx(ref[c], rel=1e-12)

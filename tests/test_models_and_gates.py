@@ -99,13 +99,22 @@ def test_read_through_writes_snapshot_once(spark, tmp_path):
     assert calls == [5]
 
 
-def test_vif_wide_path_matches_pairwise(fixture_df, monkeypatch):
-    cols = ["quantity", "quantity_x", "discount", "tax", "price"]
-    a, _ = collinear.vif(fixture_df, cols)
-    monkeypatch.setattr(collinear, "WIDE", 2)
-    b, _ = collinear.vif(fixture_df, cols)
-    for k in a:
-        assert b[k] == pytest.approx(a[k], rel=1e-6)
+def test_moments_equal_spark_covariances(fixture_df):
+    cols = ["quantity", "quantity_x", "discount", "price"]
+    mu, cov, n, _ = collinear.moments(fixture_df, cols)
+    ref = fixture_df.agg(F.count(F.lit(1)), *[F.avg(c) for c in cols],
+                         *[F.covar_pop(a, b) for a in cols for b in cols]).first()
+    assert n == ref[0]
+    assert mu == pytest.approx(list(ref[1:5]))
+    assert cov.ravel() == pytest.approx(list(ref[5:]), rel=1e-9)
+
+
+def test_category_of_many_levels_fits(spark):
+    from giniflow.operators import models
+    df = spark.range(3000).selectExpr("concat('c', id % 200) AS cat", "cast(id as double) AS x",
+                                      "cast((id % 200) > 120 as int) AS y")
+    fitted = models.fit(df, ["x"], ["cat"], "y", "GBT", {"n_iter": 2})
+    assert models.score(fitted, df, ["x"], ["cat"]).where("score is null").count() == 0
 
 
 def test_backtest_refit_steps(spark, fixture_df):
