@@ -23,7 +23,18 @@ T = TypeVar("T")
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows of an Arrow batch at most: rows are whole texts or token sets, so the usual 10,000 would fill hundreds of MB.
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -32,6 +43,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
     It cuts the lineage: an executor that is lost later costs a reread, never a second run of the plan before."""
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{ensure_checkpoint_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
