@@ -203,17 +203,20 @@ def q_selection_report(spark, sf_dir):
 @register("package_scoring", None)
 def q_package_scoring(spark, sf_dir):
     """Snapshot pools, fit, save the scoring package, publish it, load and score TEST and OOT."""
+    from giniflow.operators.encode import category_long
     base = _scratch(spark, "package")
     p = io.snapshot_pools(pools(spark, sf_dir), f"{base}/pools")
     num, cat = list(SPEC.numeric), list(SPEC.categorical)
     fitted = models.fit(p.where(F.col("pool") == "TRAIN"), num, cat, Y, "LR", None, SEED)
-    io.save_model_package(fitted.model, f"{base}/run_1", SPEC.features, cat)
+    values = category_long(p.where(F.col("pool") == "TRAIN"), cat).distinct()
+    io.save_model_package(spark, fitted.model, f"{base}/run_1", SPEC.features, cat, values, config={"seed": SEED})
     ok = io.publish_package(spark, f"{base}/run_1", f"{base}/deployed")
     missing = io.publish_package(spark, f"{base}/run_404", f"{base}/deployed_404")
     scored = io.score_batch(spark, p.where(F.col("pool").isin("TEST", "OOT")), f"{base}/deployed")
     from giniflow.operators.metrics import gini
+    n_values = spark.read.parquet(f"{base}/deployed/categories").count()
     return gini(scored, "score", Y, by=["pool"]).withColumn("published", F.lit(ok)).withColumn(
-        "missing_published", F.lit(missing))
+        "missing_published", F.lit(missing)).withColumn("n_category_values", F.lit(n_values))
 
 
 @register("stream_woe", None)

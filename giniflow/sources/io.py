@@ -9,7 +9,17 @@ from collections.abc import Callable, Sequence
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """File system and path object of a path, in whatever store it lies."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p)
 
 
 def read_sample(spark: SparkSession, source: str, fmt: str = "parquet", long: bool = False,
@@ -29,13 +39,12 @@ def read_sample(spark: SparkSession, source: str, fmt: str = "parquet", long: bo
 
 def read_through(spark: SparkSession, snapshot: str, load: Callable[[], DataFrame],
                  on_first_load: Callable[[DataFrame], None] | None = None) -> DataFrame:
-    """Read the parquet snapshot if it exists; otherwise load the source, write the snapshot, run the first-load
-    hook (the period report) and read the snapshot back (which also cuts the lineage to the source)."""
-    try:
+    """Read the parquet snapshot if it exists (one that cannot be read is an error, never overwritten); otherwise
+    load the source, write the snapshot, run the first-load hook (the period report) and read the snapshot back (which
+    also cuts the lineage to the source)."""
+    if path_exists(spark, snapshot):
         return spark.read.parquet(snapshot)
-    except AnalysisException:
-        pass
-    load().write.mode("overwrite").parquet(snapshot)
+    load().write.parquet(snapshot)
     df = spark.read.parquet(snapshot)
     if on_first_load is not None:
         on_first_load(df)
@@ -64,27 +73,46 @@ def next_version(registry: DataFrame | None, kind: str) -> int:
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+    """The registry table, None before the first run."""
+    return _registered(spark, path)
+
+
+def _registered(spark: SparkSession, path: str) -> DataFrame | None:
+    """The runs written so far; claims alone are no runs."""
+    if not path_exists(spark, path):
         return None
+    fs, p = _hadoop(spark, path)
+    return spark.read.parquet(path) if any(not f.getPath().getName().startswith("_") for f in fs.listStatus(p)) else None
+
+
+def claim_version(spark: SparkSession, path: str, kind: str, first: int) -> int:
+    """The least free version from ``first`` on. A version is taken by creating its marker file, which only one of
+    several writers can do."""
+    version = first
+    while True:
+        fs, marker = _hadoop(spark, f"{path}/_claims/{kind}-{version}")
+        if fs.createNewFile(marker):
+            return version
+        version += 1
 
 
 def register_run(spark: SparkSession, path: str, kind: str, params: dict, metrics_rows: Sequence[tuple] = ()) -> int:
     """Append a run to the registry table (parquet, partitioned by kind): version, params JSON; returns the version."""
-    version = next_version(read_registry(spark, path), kind)
+    version = claim_version(spark, path, kind, next_version(_registered(spark, path), kind))
     row = [(kind, version, json.dumps(params, sort_keys=True, default=str))]
     spark.createDataFrame(row, "kind string, version int, params_json string").write.mode("append") \
         .partitionBy("kind").parquet(path)
     return version
 
 
-def save_model_package(model: PipelineModel, path: str, features: Sequence[str], categorical: Sequence[str],
-                       category_values: DataFrame | None = None, params: dict | None = None) -> None:
-    """The fitted pipeline plus its metadata (features, categorical features, category values, parameters)."""
-    spark = SparkSession.getActiveSession()
+def save_model_package(spark: SparkSession, model: PipelineModel, path: str, features: Sequence[str],
+                       categorical: Sequence[str], category_values: DataFrame | None = None,
+                       params: dict | None = None, config: dict | None = None) -> None:
+    """The fitted pipeline plus its metadata (features, categorical features, category values, parameters and the job
+    configuration)."""
     model.write().overwrite().save(f"{path}/model")
-    meta = {"features": list(features), "categorical": list(categorical), "params": params or {}}
+    meta = {"features": list(features), "categorical": list(categorical), "params": params or {},
+            "config": config or {}}
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(
         f"{path}/meta")
     if category_values is not None:
@@ -98,13 +126,14 @@ def load_model_package(spark: SparkSession, path: str) -> tuple[PipelineModel, d
 
 
 def publish_package(spark: SparkSession, src: str, dst: str) -> bool:
-    """Copy a chosen run's scoring package to the deployment location; a missing run is reported (False)."""
-    try:
-        model, meta = load_model_package(spark, src)
-    except Exception:  # noqa: BLE001 - any failure to load means there is nothing to publish
+    """Copy a chosen run's whole scoring package to the deployment location. A missing run is reported (False); a
+    package that cannot be read or copied is an error."""
+    if not path_exists(spark, src):
         return False
-    save_model_package(model, dst, meta["features"], meta["categorical"], params=meta.get("params"))
-    return True
+    load_model_package(spark, src)          # a broken package must not replace a deployed one
+    (fs_from, a), (fs_to, b) = _hadoop(spark, src), _hadoop(spark, dst)
+    fs_to.delete(b, True)
+    return spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs_from, a, fs_to, b, False, spark._jsc.hadoopConfiguration())
 
 
 def score_batch(spark: SparkSession, df: DataFrame, package: str, out: str = "score") -> DataFrame:

@@ -8,6 +8,7 @@ informative / redundant / repeated / noise numeric features, and letter categori
 
 from __future__ import annotations
 
+import calendar
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,7 +49,7 @@ def make_synthetic(spark: SparkSession, n: int = 50_000, n_informative: int = 3,
     y = (row_uniform(key, f"y-{seed}") < p).cast("int")
     flip = row_uniform(key, f"flip-{seed}") < F.lit(flip_y)
     y = F.when(flip, F.lit(1) - y).otherwise(y)
-    month_ends = [dt.date(9999, m, 28) for m in range(1, n_dates + 1)]
+    month_ends = [dt.date(9999, m, calendar.monthrange(9999, m)[1]) for m in range(1, n_dates + 1)]
     dates = F.array(*[F.lit(d) for d in month_ends])
     pick = (F.floor(row_uniform(key, f"date-{seed}") * F.lit(n_dates)) + 1).cast("int")
     date = F.when(row_uniform(key, f"oot-{seed}") < F.lit(oot_part), F.lit(oot_date)).otherwise(
