@@ -6,8 +6,9 @@ collides with probability ``RECALL`` at least; colliding nodes are joined, their
 from the texts, and the links are closed into components. The first occurrence of a component stays, all others are
 marked for removal.
 
-Buckets may be of any size: members are compared with one pivot of the bucket first, then only with members outside the
-pivot's component, so a group of copies costs as many comparisons as it has members. Nothing is dropped or capped.
+Buckets may be of any size: members are compared with one pivot of the bucket first, then only across components and
+only where sizes and parity sketches allow a link, so a group of copies costs about as many comparisons as it has
+members. Nothing is dropped or capped.
 
 Null or empty texts have no paragraphs. Rows are numbered once, so equal rows are different occurrences; a null id sorts
 first. Extra columns are not read.
@@ -20,12 +21,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from giniflow.llm.common import ascii_lower_bytes, stored
 from giniflow.llm.components import components
-from giniflow.llm.jaccard import _across, _mix, _small, linked, text_key, token_set
+from giniflow.llm.jaccard import SEEN, _mix, _small, linked, text_key, token_set, word_hash
 
 MIN_WORDS, WIDTH, PERCENT, RECALL = 25, 5, 80, 0.999
 
@@ -41,29 +42,46 @@ def tune_bands(similarity: float, recall: float, most: int = 64) -> tuple[int, i
 
 
 BANDS = tune_bands(PERCENT / 100, RECALL)
-_SEEDS = np.random.default_rng(8).integers(1, 2**63, 4096, dtype=np.uint64) | np.uint64(1)
+_SEEDS = np.random.default_rng(8).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) | np.uint64(1)
+_FLIP = np.random.default_rng(9).integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2)
+#: Numbers of 64 bits in the parity sketch that pairs are filtered by.
+SKETCH = 8
 
 
-def band_hashes(tokens: np.ndarray, bands: tuple[int, int]) -> list[int]:
+def band_hashes(hashes: np.ndarray, sizes: np.ndarray, width: int, bands: tuple[int, int]) -> np.ndarray:
+    """(paragraphs, bands) of the paragraphs whose word hashes stand one after the other, ``sizes`` words each (``width``
+    at least). Shingles are hashed as in ``token_set``; a repeated shingle does not change a minimum."""
     b, r = bands
-    with np.errstate(over="ignore"):
-        least = np.full(b * r, np.uint64(2**64 - 1))
-        for at in range(0, len(tokens), 4096):
-            least = np.minimum(least, _mix(tokens[at:at + 4096, None] * _SEEDS[None, :b * r]).min(axis=0))
-        out = np.arange(b, dtype=np.uint64)
-        for row in least.reshape(b, r).T:
-            out = _mix(out + row)
-    return out.view(np.int64).tolist()
-
-
-def split_paragraphs(text: str | None, min_words: int) -> Iterator[tuple[int, int, int, int, str, bytes]]:
+    ends = np.cumsum(sizes)
+    first, out = 0, []
+    while first < len(sizes):  # some 20,000 words at a time
+        before = ends[first] - sizes[first]
+        last = max(first + 1, int(np.searchsorted(ends, before + 20_000)))
+        words, at = hashes[before:ends[last - 1]], ends[first:last] - sizes[first:last] - before
+        with np.errstate(over="ignore"):
+            grams = np.full(len(words) - width + 1, width, np.uint64)
+            for j in range(width):
+                grams = _mix(grams + words[j:len(words) - width + 1 + j])
+            values = (grams[:, None] ^ _FLIP[None, :b * r]) * _SEEDS[None, :b * r]
+            across = (ends[first:last - 1, None] - before - np.arange(1, width)[None, :]).ravel()
+            values[across] = np.uint64(2**64 - 1)  # shingles of two paragraphs
+            least = np.minimum.reduceat(values, at, axis=0).reshape(-1, b, r)
+            sig = np.broadcast_to(np.arange(b, dtype=np.uint64), least.shape[:2])
+            for k in range(r):
+                sig = _mix(sig + least[:, :, k])
+        out.append(sig)
+        first = last
+    return np.concatenate(out).view(np.int64) if out else np.zeros((0, b), np.int64)
+
+
+def split_paragraphs(text: str | None, min_words: int) -> Iterator[tuple[int, int, int, list[bytes], str, bytes]]:
     """(number, start, end, words, text, node) of the lines that are long enough; node is a digest of the words."""
     at = 0
     for k, line in enumerate((text or "").split("\n")):
         if len(line) >= 2 * min_words - 1:
             words = ascii_lower_bytes(line).split()
             if len(words) >= min_words:
-                yield k, at, at + len(line), len(words), line, hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+                yield k, at, at + len(line), words, line, hashlib.blake2b(b" ".join(words), digest_size=16).digest()
         at += len(line) + 1
 
 
@@ -74,25 +92,30 @@ def describe(docs: DataFrame, min_words: int, width: int, bands: tuple[int, int]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, int] = {}
         for batch in batches:
-            seen = seen if len(seen) < 500_000 else {}
-            owner, found = [], []
-            for i, text in enumerate(batch.column(3)):
-                for k, start, end, n, line, node in split_paragraphs(text.as_py(), min_words):
-                    owner.append(i)
-                    found.append((k, start, end, n, node, band_hashes(token_set(line, seen, width), bands)))
-            at = pa.array(owner, pa.int64())
-            columns = list(zip(*found, strict=True)) or [()] * 6
-            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c).take(at) for c in range(3)], *[pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]],
-                names=["row", "doc_id", "key", "paragraph", "start", "end", "n_words", "node", "bands"])
+            for part in (batch.slice(k, 256) for k in range(0, batch.num_rows, 256)):
+                seen = seen if len(seen) < SEEN else {}
+                found = [(i, *x) for i, text in enumerate(part.column(3)) for x in split_paragraphs(text.as_py(), min_words)]
+                owner, number, start, end, words, _, node = zip(*found, strict=True) if found else [()] * 7
+                sizes = np.array([len(w) for w in words], np.int64)
+                flat = (w for line in words for w in line)
+                hashes = np.fromiter((seen.get(w) or seen.setdefault(w, word_hash(w)) for w in flat), np.uint64,
+                                     int(sizes.sum()))
+                sigs = band_hashes(hashes, sizes, width, bands)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1) * bands[0], pa.int32()),
+                                                 pa.array(sigs.ravel()))
+                at = pa.array(owner, pa.int64())
+                columns = [pa.array(number, pa.int32()), pa.array(start, pa.int64()), pa.array(end, pa.int64()),
+                           pa.array(sizes.astype(np.int32)), pa.array(node, pa.binary()), lists]
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(c).take(at) for c in range(3)], *columns],
+                    names=["row", "doc_id", "key", "paragraph", "start", "end", "n_words", "node", "bands"])
 
     return source.mapInArrow(run, f"row long, doc_id {kind}, key binary, paragraph int, start long, end long, "
                                   "n_words int, node binary, bands array<long>")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, min_words: int, width: int) -> DataFrame:
-    """(node, tokens) of the nodes in ``wanted`` (node, key), read from the texts again."""
+    """(node, tokens, n, sketch) of the nodes in ``wanted`` (node, key), read from the texts again."""
     wanted = stored(wanted.select("node", "key").distinct(), "wanted")
     size = wanted.count()
     keys = wanted.select("key").distinct()
@@ -101,40 +124,62 @@ def sets_of(docs: DataFrame, wanted: DataFrame, min_words: int, width: int) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, int] = {}
         for batch in batches:
-            seen = seen if len(seen) < 500_000 else {}
-            rows = [(node, token_set(line, seen, width).tobytes()) for text in batch.column(0)
-                    for *_, line, node in split_paragraphs(text.as_py(), min_words)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()),
-                                              pa.array([r[1] for r in rows], pa.binary())], names=["node", "tokens"])
-
-    found = texts.mapInArrow(run, "node binary, tokens binary")
+            seen = seen if len(seen) < SEEN else {}
+            rows = []
+            for text in batch.column(0):
+                for *_, line, node in split_paragraphs(text.as_py(), min_words):
+                    t = token_set(line, seen, width)
+                    odd = np.bincount((t >> np.uint64(40)).astype(np.int64) % (64 * SKETCH), minlength=64 * SKETCH) & 1
+                    rows.append((node, t.tobytes(), len(t), np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()))
+            columns = list(zip(*rows, strict=True)) or [()] * 4
+            kinds = [pa.binary(), pa.binary(), pa.int32(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
+                                             names=["node", "tokens", "n", "sketch"])
+
+    found = texts.mapInArrow(run, "node binary, tokens binary, n int, sketch array<long>")
     return stored(found.join(_small(wanted.select("node"), size), "node", "left_semi").groupBy("node").agg(
-        F.first("tokens").alias("tokens")), "sets")
+        *[F.first(c).alias(c) for c in ("tokens", "n", "sketch")]), "sets")
+
+
+def _near(x: str, y: str, percent: int) -> Column:
+    """Whether two sets may be similar enough by their sizes and sketches: the bits that differ are never more than the
+    tokens that do, and these are at most (1 - t) / (1 + t) * (n + m)."""
+    n, m = F.col(f"{x}n"), F.col(f"{y}n")
+    bits = sum((F.bit_count(F.col(f"{x}s{k}").bitwiseXOR(F.col(f"{y}s{k}"))) for k in range(1, SKETCH)),
+               F.bit_count(F.col(f"{x}s0").bitwiseXOR(F.col(f"{y}s0"))))
+    return ((100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * bits <= (100 - percent) * (n + m)))
 
 
 def bucket_links(docs: DataFrame, reps: DataFrame, min_words: int, width: int, percent: int) -> DataFrame:
     """(node, root) of the nodes that link with another one. ``reps``: node, key, bands."""
     rows = reps.select("node", F.explode("bands").alias("sig"))
-    several = stored(rows.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("sig"), "buckets")
+    several = stored(rows.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "buckets")
     rows = stored(rows.join(_small(several, several.count()), "sig"), "members")
     sets = sets_of(docs, reps.select("node", "key").join(rows.select("node").distinct(), "node"), min_words, width)
-
-    pivots = rows.groupBy("sig").agg(F.min("node").alias("a"))
-    first = rows.join(pivots, "sig").where("a != node").select("a", F.col("node").alias("b")).distinct()
-    true = stored(linked(first, sets, percent), "links")
+    sketches = sets.select("node", "n", *[F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH)])
+
+    # the pivot of a bucket is the member that meets most others: near copies lie around their original
+    weight = rows.groupBy("node").agg(F.sum("c").alias("w"))
+    pivots = rows.join(weight, "node").groupBy("sig").agg(F.max(F.struct("w", "node"))["node"].alias("a"))
+    first = rows.join(pivots, "sig").where("a != node").select(
+        F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    for side in "ab":
+        first = first.join(sketches.select(F.col("node").alias(side), *[F.col(c).alias(f"{side}_{c}")
+                                                                        for c in sketches.columns[1:]]), side)
+    true = stored(linked(first.where(_near("a_", "b_", percent)).select("a", "b"), sets, percent), "links")
     roots = components(true)
+
+    # members of a bucket that are not in one component yet; pairs that cannot be alike never leave the join
     rooted = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    split = rooted.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    # the pivot's component is settled: its members need a partner outside, others any partner
-    rooted = rooted.join(split.select("sig"), "sig", "left_semi")
-    x, y = rooted.alias("x"), rooted.alias("y")
-    rest = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.root") < F.col("y.root"))).select(
+    split = rooted.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("sig")
+    rooted = rooted.join(split, "sig", "left_semi").join(sketches, "node")
+    rest = rooted.alias("x").join(rooted.alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.root") < F.col("y.root"))
+                                  & _near("x.", "y.", percent)).select(
         F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    rest = stored(rest.join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"],
-                            "left_anti"), "candidates")
-    if not rest.limit(1).count():
+    more = stored(linked(rest, sets, percent), "links")
+    if not more.limit(1).count():
         return roots
-    return components(true.union(linked(_across(rest, roots), sets, percent)))
+    return components(more.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
 
 def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, width: int = WIDTH, percent: int = PERCENT,

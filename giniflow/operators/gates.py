@@ -27,28 +27,29 @@ def uplift_prefix(ranked: DataFrame, rank_col: str = "rank", feature_col: str =
                          F.collect_list(feature_col).over(w).alias("features"))
 
 
-def relative_to_last(steps: DataFrame, score: str = "gini", by: str = "pool", step: str = "step") -> DataFrame:
+def relative_to_last(steps: DataFrame, score: str = "gini", by: Sequence[str] = ("pool",), step: str = "step") -> DataFrame:
     """Step score / score of the full set (the last step) per pool."""
-    w = Window.partitionBy(by).orderBy(step).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    w = Window.partitionBy(*by).orderBy(step).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return steps.withColumn("last", F.last(score).over(w)).withColumn("ratio", F.col(score) / F.col("last"))
 
 
-def uplift_gate(steps: DataFrame, pools: Sequence[str] | None = None, score: str = "gini") -> tuple[DataFrame, DataFrame]:
-    """M15. ``steps``: (step, feature, pool, gini). Per pool: last = full-set Gini; a step is FAILED when
+def uplift_gate(steps: DataFrame, pools: Sequence[str] | None = None, score: str = "gini",
+                by: Sequence[str] = ("pool",)) -> tuple[DataFrame, DataFrame]:
+    """M15. ``steps``: (by..., step, feature, gini). Per group of ``by`` (a pool, or a model's pool): last = full-set Gini; a step is FAILED when
     score >= 1.05*last, else YELLOW when score >= 0.99*last and step <= int(0.6*n_steps).
-    Returns (flagged steps with round(score/last, 4), verdict per pool: FAILED > YELLOW > GREEN)."""
+    Returns (flagged steps with round(score/last, 4), verdict per group: FAILED > YELLOW > GREEN)."""
     s = steps if pools is None else steps.where(F.col("pool").isin(list(pools)))
-    r = relative_to_last(s, score)
-    n = F.max("step").over(Window.partitionBy("pool"))
+    r = relative_to_last(s, score, by)
+    n = F.max("step").over(Window.partitionBy(*by))
     flag = (F.when(F.col(score) >= F.lit(UPLIFT_RED) * F.col("last"), F.lit("FAILED"))
             .when((F.col(score) >= F.lit(UPLIFT_YELLOW) * F.col("last"))
                   & (F.col("step") <= F.floor(F.lit(UPLIFT_EARLY) * n)), F.lit("YELLOW")))
     flagged = r.withColumn("flag", flag).withColumn("ratio", F.round("ratio", 4))
-    verdict = flagged.groupBy("pool").agg(
+    verdict = flagged.groupBy(*by).agg(
         F.when(F.max(F.when(F.col("flag") == "FAILED", 1).otherwise(0)) == 1, "FAILED")
         .when(F.max(F.when(F.col("flag") == "YELLOW", 1).otherwise(0)) == 1, "YELLOW")
         .otherwise("GREEN").alias("verdict"))
-    return flagged.where(F.col("flag").isNotNull()).select("pool", "step", "feature", "ratio", "flag"), verdict
+    return flagged.where(F.col("flag").isNotNull()).select(*by, "step", "feature", "ratio", "flag"), verdict
 
 
 def _level(delta, ratio, limits, absolute=False):

@@ -52,30 +52,28 @@ def deployable(results: DataFrame, stability_col: str = "stability") -> DataFram
 
 def gini_report(metrics: DataFrame, row: str = "pool", column: str = "model", value: str = "gini",
                 columns: Sequence[str] | None = None, extended: bool = True) -> DataFrame:
-    """Pools x models table of Gini values (pivot with an explicit value list, so no extra distinct job).
+    """Pools x models table of Gini values with two digits (pivot with an explicit value list, so no extra distinct job).
     The non-extended report (before the final fit) shows only TRAIN and VALID."""
     if not extended:
         metrics = metrics.where(F.col(row).isin("TRAIN", "VALID"))
     g = metrics.groupBy(row)
     piv = g.pivot(column, list(columns)) if columns is not None else g.pivot(column)
-    return piv.agg(F.first(value))
+    return piv.agg(F.round(F.first(value), 2))
 
 
 def result_report(ginis: DataFrame, stability: DataFrame, uplift: DataFrame) -> DataFrame:
     """One row per model: number of features, Gini per pool, stability verdict and uplift verdicts.
 
-    ``ginis``: (model, step, pool, gini); ``stability``: (model, stability); ``uplift``: (pool, verdict) for the
-    step sequence (at most four rows, added as literals). A missing verdict stays NULL."""
+    ``ginis``: (model, step, pool, gini), reported with two digits; ``stability``: (model, stability); ``uplift``: (model,
+    pool, verdict), the verdicts of each model's own steps. A missing verdict stays NULL."""
+    pools = ("TRAIN", "VALID", "TEST", "OOT")
     wide = ginis.groupBy("model").agg(
         F.max("step").cast("int").alias("nfeats"),
-        *[F.max(F.when(F.col("pool") == p, F.col("gini"))).alias(p.lower())
-          for p in ("TRAIN", "VALID", "TEST", "OOT")])
-    verdicts = {r["pool"]: r["verdict"] for r in uplift.collect()}
-    out = wide.join(stability, "model", "left")
-    for p in ("TRAIN", "TEST", "OOT"):
-        out = out.withColumn(f"uplift_{p.lower()}", F.lit(verdicts.get(p)).cast("string"))
-    return out.select("model", "nfeats", "train", "valid", "test", "oot", "stability", "uplift_train", "uplift_test",
-                      "uplift_oot")
+        *[F.round(F.max(F.when(F.col("pool") == p, F.col("gini"))), 2).alias(p.lower()) for p in pools])
+    own = uplift.groupBy("model").agg(*[F.max(F.when(F.col("pool") == p, F.col("verdict"))).alias(f"uplift_{p.lower()}")
+                                        for p in pools if p != "VALID"])
+    return wide.join(stability, "model", "left").join(own, "model", "left").select(
+        "model", "nfeats", "train", "valid", "test", "oot", "stability", "uplift_train", "uplift_test", "uplift_oot")
 
 
 def selection_report(runs: DataFrame) -> DataFrame:

@@ -14,9 +14,9 @@ from giniflow.operators import collinear, gates, importance, models, reports, sa
 from giniflow.operators.tuning import candidates, gbt_space
 from giniflow.plans import stages
 from giniflow.plans.catalog import CATEGORICAL, KEY, NUMERIC, SEED, Y, pools, register, sample
-from giniflow.plans.catalog_gates import SCORECARD_CTE, _scorecard_steps
+from giniflow.plans.catalog_gates import CARD, SCORECARD_CTE, _scorecard_steps
 from giniflow.plans.oracle import with_fixture
-from giniflow.session import ensure_checkpoint_dir
+from giniflow.session import ensure_checkpoint_dir, materialize
 from giniflow.sources import io
 from giniflow.sources.fixture import FIXTURE_SPEC
 
@@ -124,8 +124,8 @@ def q_fine_tuning(spark, sf_dir):
 # Reports over metric tables (M17, M19, M20) on the scorecard steps
 
 @register("gini_report", with_fixture("""
-SELECT pool, max(CASE WHEN step = 1 THEN gini END) AS STEP_1, max(CASE WHEN step = 2 THEN gini END) AS STEP_2,
-       max(CASE WHEN step = 3 THEN gini END) AS STEP_3, max(CASE WHEN step = 4 THEN gini END) AS STEP_4
+SELECT pool, round(max(CASE WHEN step = 1 THEN gini END), 2) AS STEP_1, round(max(CASE WHEN step = 2 THEN gini END), 2) AS STEP_2,
+       round(max(CASE WHEN step = 3 THEN gini END), 2) AS STEP_3, round(max(CASE WHEN step = 4 THEN gini END), 2) AS STEP_4
 FROM _gini GROUP BY pool""", SCORECARD_CTE))
 def q_gini_report(spark, sf_dir):
     g = _scorecard_steps(spark, sf_dir).select("pool", F.concat(F.lit("STEP_"), F.col("step").cast("string")).alias(
@@ -137,8 +137,10 @@ RESULT_SQL = """
 SELECT s.model, CAST(s.nfeats AS INTEGER) AS nfeats, s.train, s.valid, s.test, s.oot, st.stability,
        u.uplift_train, u.uplift_test, u.uplift_oot
 FROM (SELECT 'STEP_' || CAST(step AS VARCHAR) AS model, step AS nfeats,
-             max(CASE WHEN pool = 'TRAIN' THEN gini END) AS train, max(CASE WHEN pool = 'VALID' THEN gini END) AS valid,
-             max(CASE WHEN pool = 'TEST' THEN gini END) AS test, max(CASE WHEN pool = 'OOT' THEN gini END) AS oot
+             round(max(CASE WHEN pool = 'TRAIN' THEN gini END), 2) AS train,
+             round(max(CASE WHEN pool = 'VALID' THEN gini END), 2) AS valid,
+             round(max(CASE WHEN pool = 'TEST' THEN gini END), 2) AS test,
+             round(max(CASE WHEN pool = 'OOT' THEN gini END), 2) AS oot
       FROM _gini GROUP BY step) s
 JOIN (SELECT model, CASE WHEN 'FAILED' IN (a, b, c) THEN 'FAILED' WHEN 'YELLOW' IN (a, b, c) THEN 'YELLOW'
                          ELSE 'GREEN' END AS stability FROM (
@@ -149,26 +151,32 @@ JOIN (SELECT model, CASE WHEN 'FAILED' IN (a, b, c) THEN 'FAILED' WHEN 'YELLOW'
                THEN 'YELLOW' ELSE 'GREEN' END AS b,
           CASE WHEN abs(oo - te) > 10 AND abs((oo - te) / oo) > 0.20 THEN 'FAILED'
                WHEN abs(oo - te) > 5 AND abs((oo - te) / oo) > 0.15 THEN 'YELLOW' ELSE 'GREEN' END AS c
-        FROM (SELECT step, max(CASE WHEN pool = 'TRAIN' THEN gini END) AS tr, max(CASE WHEN pool = 'TEST' THEN gini END) AS te,
-                     max(CASE WHEN pool = 'OOT' THEN gini END) AS oo FROM _gini GROUP BY step))) st ON st.model = s.model
-CROSS JOIN (SELECT max(CASE WHEN pool = 'TRAIN' THEN verdict END) AS uplift_train,
-                   max(CASE WHEN pool = 'TEST' THEN verdict END) AS uplift_test,
-                   max(CASE WHEN pool = 'OOT' THEN verdict END) AS uplift_oot FROM (
-  SELECT pool, CASE WHEN max(CASE WHEN flag = 'FAILED' THEN 1 ELSE 0 END) = 1 THEN 'FAILED'
+        FROM (SELECT step, round(max(CASE WHEN pool = 'TRAIN' THEN gini END), 2) AS tr,
+                     round(max(CASE WHEN pool = 'TEST' THEN gini END), 2) AS te,
+                     round(max(CASE WHEN pool = 'OOT' THEN gini END), 2) AS oo FROM _gini GROUP BY step))) st
+  ON st.model = s.model
+LEFT JOIN (SELECT model, max(CASE WHEN pool = 'TRAIN' THEN verdict END) AS uplift_train,
+                  max(CASE WHEN pool = 'TEST' THEN verdict END) AS uplift_test,
+                  max(CASE WHEN pool = 'OOT' THEN verdict END) AS uplift_oot FROM (
+  SELECT model, pool, CASE WHEN max(CASE WHEN flag = 'FAILED' THEN 1 ELSE 0 END) = 1 THEN 'FAILED'
                     WHEN max(CASE WHEN flag = 'YELLOW' THEN 1 ELSE 0 END) = 1 THEN 'YELLOW' ELSE 'GREEN' END AS verdict
   FROM (SELECT g.*, CASE WHEN gini >= 1.05 * last THEN 'FAILED'
-                         WHEN gini >= 0.99 * last AND step <= floor(0.6 * n) THEN 'YELLOW' END AS flag
-        FROM (SELECT *, last_value(gini) OVER (PARTITION BY pool ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING
-                                               AND UNBOUNDED FOLLOWING) AS last,
-                     max(step) OVER (PARTITION BY pool) AS n FROM _gini) g)
-  GROUP BY pool)) u"""
+                         WHEN gini >= 0.99 * last AND step <= floor(0.6 * k) THEN 'YELLOW' END AS flag
+        FROM (SELECT *, last_value(gini) OVER (PARTITION BY k, pool ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING
+                                               AND UNBOUNDED FOLLOWING) AS last
+              FROM (SELECT 'STEP_' || CAST(k AS VARCHAR) AS model, k, _gini.* FROM _gini
+                    JOIN (SELECT DISTINCT step AS k FROM _gini) ON step <= k)) g)
+  GROUP BY model, pool) GROUP BY model) u ON u.model = s.model"""
 
 
 def _result_report(spark, sf_dir):
-    g = _scorecard_steps(spark, sf_dir).persist()
-    long = g.select(F.concat(F.lit("STEP_"), F.col("step").cast("string")).alias("model"), "step", "pool", "gini")
-    stab = gates.stability_gate(long.select("model", "pool", "gini")).select("model", "stability")
-    _, verdict = gates.uplift_gate(g.withColumn("step", F.col("step").cast("int")))
+    g = materialize(_scorecard_steps(spark, sf_dir).withColumn("step", F.col("step").cast("int")), "steps")
+    model = lambda k: F.concat(F.lit("STEP_"), F.col(k).cast("string")).alias("model")
+    long = g.select(model("step"), "step", "pool", "gini")
+    stab = gates.stability_gate(long.select("model", "pool", F.round("gini", 2).alias("gini"))).select("model", "stability")
+    # the model of step k is judged by its own steps 1..k
+    own = g.withColumn("k", F.explode(F.sequence("step", F.lit(len(CARD))))).select(model("k"), "step", "feature", "pool", "gini")
+    _, verdict = gates.uplift_gate(own, by=["model", "pool"])
     return reports.result_report(long, stab, verdict)
 
 

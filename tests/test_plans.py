@@ -25,3 +25,12 @@ def test_fixture_scans_are_pruned(spark):
     text = scoring_sample(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "l_returnflag" not in text and "l_shipdate" not in text and "o_totalprice" not in text
     assert "c_name" not in text and "p_name" not in text
+
+
+def test_lazy_sample_is_pruned(spark):
+    import __spark_entry__ as entry
+    plan = lambda name: entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    dates = plan("distinct_dates")
+    assert "InMemoryRelation" not in dates and "md5" not in dates and "l_extendedprice" not in dates.split("Relation")[0]
+    report = plan("period_report")
+    assert "InMemoryRelation" not in report and report.count("md5") == 1     # the planted target's only
