@@ -1,9 +1,7 @@
 """Category encoders fitted on a training frame: frequency code, ordinal code, one-hot, lookup.
 
 Fitting is one aggregation over an unpivot of all categorical columns; the fitted dictionary holds one row per
-(feature, category), which is small for categorical features. Applying it uses a literal ``map`` expression when the
-dictionary is under ``MAP_LIMIT`` entries (stays inside whole-stage codegen, no join); otherwise a left join per feature
-whose strategy the planner picks from the measured size.
+(feature, category). Applying it is a left join per feature whose strategy the planner picks from the measured size.
 """
 
 from __future__ import annotations
@@ -14,8 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from giniflow.operators.prep import MISSING_CATEGORY, category_expr
-
-MAP_LIMIT = 100_000
+from giniflow.session import materialize
 
 
 def category_long(df: DataFrame, cats: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -44,30 +41,16 @@ def ordinal_codes(train: DataFrame, cats: Sequence[str]) -> DataFrame:
 
 def apply_codes(df: DataFrame, codes: DataFrame, cats: Sequence[str], value_col: str = "code",
                 suffix: str = "") -> DataFrame:
-    """Replace each categorical column by its code; unseen categories become NULL."""
-    n = codes.count()
-    if n <= MAP_LIMIT:
-        rows = codes.select("feature", "category", value_col).collect()
-        per_feature: dict[str, list] = {}
-        for r in rows:
-            per_feature.setdefault(r["feature"], []).extend([F.lit(r["category"]), F.lit(r[value_col])])
-        out = []
-        for c in df.columns:
-            if c in cats:
-                pairs = per_feature.get(c)
-                expr = F.try_element_at(F.create_map(*pairs), category_expr(df, c)) if pairs else F.lit(None)
-                out.append(expr.alias(c + suffix))
-            else:
-                out.append(F.col(c))
-        return df.select(*out)
-    result = df
-    for c in cats:
+    """Replace each categorical column by its code; unseen categories become NULL. One left join per feature with the
+    stored dictionary, at any size; the planner broadcasts what is small."""
+    codes = materialize(codes.select("feature", "category", value_col), "codes")
+    coded = [c for c in df.columns if c in cats]
+    result = df.withColumns({f"__k_{c}": category_expr(df, c) for c in coded})
+    for c in coded:
         lookup = codes.where(F.col("feature") == c).select(F.col("category").alias(f"__k_{c}"),
                                                            F.col(value_col).alias(f"__v_{c}"))
-        result = (result.withColumn(f"__k_{c}", category_expr(result, c))
-                  .join(lookup, f"__k_{c}", "left").drop(c, f"__k_{c}")
-                  .withColumnRenamed(f"__v_{c}", c + suffix))
-    return result
+        result = result.join(lookup, f"__k_{c}", "left")
+    return result.select(*[F.col(f"__v_{c}").alias(c + suffix) if c in coded else F.col(c) for c in df.columns])
 
 
 def one_hot(train: DataFrame, df: DataFrame, cats: Sequence[str], drop_source: bool = True) -> DataFrame:
