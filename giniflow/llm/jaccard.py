@@ -43,6 +43,8 @@ WIDTH, PERCENT = 3, 90
 RARE, LEAST_HEAD = 20, 64
 #: Words whose hashes a task keeps at hand.
 SEEN = 300_000
+#: Numbers of 64 bits to which the parity sketch is folded where it filters inside a join.
+FOLD = 8
 #: Bits of the parity sketch. Node lists are broadcast up to so many rows and joined by a shuffle beyond.
 SKETCH_BITS, BROADCAST_NODES = 2048, 1_000_000
 
@@ -95,7 +97,7 @@ def parity_sketch(tokens: np.ndarray) -> bytes:
 
 
 def _fields(schema: str, *columns) -> pa.RecordBatch:
-    types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_()}
+    types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_(), "longs": pa.list_(pa.int64())}
     names = [f.split() for f in schema.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(c, types[t]) for c, (_, t) in zip(columns, names, strict=True)],
                                       names=[n for n, _ in names])
@@ -113,7 +115,7 @@ def describe(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Of every row: its number, id and text key, set size, digest of the set, first tokens by hash, sketch."""
     source = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_key(F.col("text")).alias("key"), "text")
     kind = source.schema["doc_id"].dataType.simpleString()
-    schema = "n int, digest binary, held int, head binary, sketch binary"
+    schema = "n int, digest binary, held int, head binary, sketch binary, fold longs"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, int] = {}
@@ -123,13 +125,14 @@ def describe(docs: DataFrame, width: int, percent: int) -> DataFrame:
             for text in batch.column(3):
                 t = token_set(text.as_py(), seen, width)
                 held = head_size(len(t), percent)
-                rows.append((len(t), hashlib.blake2b(t.tobytes(), digest_size=16).digest(), held, t[:held].tobytes(),
-                             parity_sketch(t)))
-            out = _fields(schema, *(zip(*rows, strict=True) if rows else [()] * 5))
+                sketch = parity_sketch(t)
+                rows.append((len(t), hashlib.blake2b(t.tobytes(), digest_size=16).digest(), held, t[:held].tobytes(), sketch,
+                             np.bitwise_xor.reduce(np.frombuffer(sketch, np.int64).reshape(-1, FOLD)).tolist()))
+            out = _fields(schema, *(zip(*rows, strict=True) if rows else [()] * 6))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *out.columns],
                                              names=["row", "doc_id", "key", *out.schema.names])
 
-    return source.mapInArrow(run, f"row long, doc_id {kind}, key binary, {schema}")
+    return source.mapInArrow(run, f"row long, doc_id {kind}, key binary, {schema}".replace("longs", "array<long>"))
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -219,6 +222,20 @@ def _may_link(x: str, y: str, percent: int) -> Column:
             & ((100 + percent) * (m - j) >= need))
 
 
+def folded() -> list[Column]:
+    return [F.col("fold")[k].alias(f"s{k}") for k in range(FOLD)]
+
+
+def may_be_alike(x: str, y: str, percent: int) -> Column:
+    """Whether two sets may be similar enough by their sizes and folded sketches: the bits that differ are never more than
+    the tokens that do, and these are at most (1 - t) / (1 + t) * (n + m). ``x`` and ``y``: prefixes of n and s0, s1, ..."""
+    n, m = F.col(f"{x}n"), F.col(f"{y}n")
+    bits = F.lit(0)
+    for k in range(FOLD):
+        bits = bits + F.bit_count(F.col(f"{x}s{k}").bitwiseXOR(F.col(f"{y}s{k}")))
+    return ((100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * bits <= (100 - percent) * (n + m)))
+
+
 def _pairs(x: DataFrame, y: DataFrame, on: Column, percent: int) -> DataFrame:
     return (x.alias("x").join(y.alias("y"), (F.col("x.sig") == F.col("y.sig")) & on & _may_link("x", "y", percent))
             .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
@@ -324,8 +341,9 @@ def _confirmed(docs: DataFrame, reps: DataFrame, found: DataFrame, pair: DataFra
     rooted = pair.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     several = rooted.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
     rooted = rooted.join(several.select("sig"), "sig", "left_semi")
-    rest = stored(sketch_filter(_pairs(rooted, rooted, F.col("x.root") < F.col("y.root"), percent), reps, percent),
-                  "candidates")
+    rooted = rooted.join(reps.select("node", *folded()), "node")     # what cannot be alike never leaves the join
+    across = (F.col("x.root") < F.col("y.root")) & may_be_alike("x.", "y.", percent)
+    rest = stored(sketch_filter(_pairs(rooted, rooted, across, percent), reps, percent), "candidates")
     if not rest.limit(1).count():
         return roots
     return components(linked(rest, sets, percent).union(
