@@ -21,12 +21,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from giniflow.llm.common import ascii_lower_bytes, stored
 from giniflow.llm.components import components
-from giniflow.llm.jaccard import SEEN, _mix, _small, linked, text_key, token_set, word_hash
+from giniflow.llm.jaccard import (FOLD, SEEN, _mix, _small, folded, linked, may_be_alike, text_key, token_set,
+                                  word_hash)
 
 MIN_WORDS, WIDTH, PERCENT, RECALL = 25, 5, 80, 0.999
 
@@ -44,8 +45,6 @@ def tune_bands(similarity: float, recall: float, most: int = 64) -> tuple[int, i
 BANDS = tune_bands(PERCENT / 100, RECALL)
 _SEEDS = np.random.default_rng(8).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) | np.uint64(1)
 _FLIP = np.random.default_rng(9).integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2)
-#: Numbers of 64 bits in the parity sketch that pairs are filtered by.
-SKETCH = 8
 
 
 def band_hashes(hashes: np.ndarray, sizes: np.ndarray, width: int, bands: tuple[int, int]) -> np.ndarray:
@@ -115,7 +114,7 @@ def describe(docs: DataFrame, min_words: int, width: int, bands: tuple[int, int]
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, min_words: int, width: int) -> DataFrame:
-    """(node, tokens, n, sketch) of the nodes in ``wanted`` (node, key), read from the texts again."""
+    """(node, tokens, n, fold) of the nodes in ``wanted`` (node, key), read from the texts again."""
     wanted = stored(wanted.select("node", "key").distinct(), "wanted")
     size = wanted.count()
     keys = wanted.select("key").distinct()
@@ -129,25 +128,16 @@ def sets_of(docs: DataFrame, wanted: DataFrame, min_words: int, width: int) -> D
             for text in batch.column(0):
                 for *_, line, node in split_paragraphs(text.as_py(), min_words):
                     t = token_set(line, seen, width)
-                    odd = np.bincount((t >> np.uint64(40)).astype(np.int64) % (64 * SKETCH), minlength=64 * SKETCH) & 1
+                    odd = np.bincount((t >> np.uint64(40)).astype(np.int64) % (64 * FOLD), minlength=64 * FOLD) & 1
                     rows.append((node, t.tobytes(), len(t), np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()))
             columns = list(zip(*rows, strict=True)) or [()] * 4
             kinds = [pa.binary(), pa.binary(), pa.int32(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
-                                             names=["node", "tokens", "n", "sketch"])
+                                             names=["node", "tokens", "n", "fold"])
 
-    found = texts.mapInArrow(run, "node binary, tokens binary, n int, sketch array<long>")
+    found = texts.mapInArrow(run, "node binary, tokens binary, n int, fold array<long>")
     return stored(found.join(_small(wanted.select("node"), size), "node", "left_semi").groupBy("node").agg(
-        *[F.first(c).alias(c) for c in ("tokens", "n", "sketch")]), "sets")
-
-
-def _near(x: str, y: str, percent: int) -> Column:
-    """Whether two sets may be similar enough by their sizes and sketches: the bits that differ are never more than the
-    tokens that do, and these are at most (1 - t) / (1 + t) * (n + m)."""
-    n, m = F.col(f"{x}n"), F.col(f"{y}n")
-    bits = sum((F.bit_count(F.col(f"{x}s{k}").bitwiseXOR(F.col(f"{y}s{k}"))) for k in range(1, SKETCH)),
-               F.bit_count(F.col(f"{x}s0").bitwiseXOR(F.col(f"{y}s0"))))
-    return ((100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * bits <= (100 - percent) * (n + m)))
+        *[F.first(c).alias(c) for c in ("tokens", "n", "fold")]), "sets")
 
 
 def bucket_links(docs: DataFrame, reps: DataFrame, min_words: int, width: int, percent: int) -> DataFrame:
@@ -156,7 +146,7 @@ def bucket_links(docs: DataFrame, reps: DataFrame, min_words: int, width: int, p
     several = stored(rows.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "buckets")
     rows = stored(rows.join(_small(several, several.count()), "sig"), "members")
     sets = sets_of(docs, reps.select("node", "key").join(rows.select("node").distinct(), "node"), min_words, width)
-    sketches = sets.select("node", "n", *[F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH)])
+    sketches = sets.select("node", "n", *folded())
 
     # the pivot of a bucket is the member that meets most others: near copies lie around their original
     weight = rows.groupBy("node").agg(F.sum("c").alias("w"))
@@ -166,7 +156,7 @@ def bucket_links(docs: DataFrame, reps: DataFrame, min_words: int, width: int, p
     for side in "ab":
         first = first.join(sketches.select(F.col("node").alias(side), *[F.col(c).alias(f"{side}_{c}")
                                                                         for c in sketches.columns[1:]]), side)
-    true = stored(linked(first.where(_near("a_", "b_", percent)).select("a", "b"), sets, percent), "links")
+    true = stored(linked(first.where(may_be_alike("a_", "b_", percent)).select("a", "b"), sets, percent), "links")
     roots = components(true)
 
     # members of a bucket that are not in one component yet; pairs that cannot be alike never leave the join
@@ -174,7 +164,7 @@ def bucket_links(docs: DataFrame, reps: DataFrame, min_words: int, width: int, p
     split = rooted.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("sig")
     rooted = rooted.join(split, "sig", "left_semi").join(sketches, "node")
     rest = rooted.alias("x").join(rooted.alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.root") < F.col("y.root"))
-                                  & _near("x.", "y.", percent)).select(
+                                  & may_be_alike("x.", "y.", percent)).select(
         F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     more = stored(linked(rest, sets, percent), "links")
     if not more.limit(1).count():
