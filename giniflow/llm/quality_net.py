@@ -6,7 +6,8 @@ embedding and the other weights are learned together by Adam on a bounded sample
 class (texts up to ``TRAIN_BYTES``); the intercept is then corrected for the class shares of all training labels.
 
 Scores use the text only and always the whole text; empty and null texts get the score of padding. A label without a
-row in ``documents`` is not used; without labels of both classes every score is the share of label 1 (0.5 without any).
+row in ``documents`` is not used, of several labels of an id the best counts, of several texts the least; without labels
+of both classes every score is near that class (0.5 without any).
 """
 
 from __future__ import annotations
@@ -100,15 +101,18 @@ def fit_net(texts: list[np.ndarray], y: np.ndarray, seed: int = 5, rate: float =
     return net
 
 
-def fit_quality(train: DataFrame) -> tuple[Net | None, float]:
-    """Network and the logit to add to its output, from rows of doc_id, text and quality (0 or 1)."""
-    n = {r["quality"]: r["count"] for r in train.groupBy("quality").count().collect()}
+def fit_quality(docs: DataFrame, marked: DataFrame) -> tuple[Net | None, float]:
+    """Network and the logit to add to its output, from docs (doc_id, text) and marked (doc_id, quality 0 or 1, unique
+    ids). Ids alone meet the labels; only the texts of the sample move, found by a broadcast of its ids."""
+    labelled = docs.select("doc_id").distinct().join(marked, "doc_id")
+    n = {r["quality"]: r["count"] for r in labelled.groupBy("quality").count().collect()}
     n0, n1 = n.get(0, 0), n.get(1, 0)
     if not (n0 and n1):
         return None, 0.0 if n0 == n1 else (9.0 if n1 else -9.0)
-    fits = train.where(F.octet_length("text") <= TRAIN_BYTES)
-    got = sorted(map(tuple, sampled(fits, SAMPLE, "quality", "doc_id").select("doc_id", "quality", "text").collect()),
-                 key=str)
+    chosen = sampled(labelled, SAMPLE, "quality", "doc_id")  # about SAMPLE rows per class
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.octet_length("text") <= TRAIN_BYTES)
+    got = sorted(map(tuple, texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(
+        F.min("text").alias("text")).collect()), key=str)
     y = np.array([g[1] for g in got], np.float32)
     net = fit_net([blocks(g[2].encode("utf-8", "surrogatepass")) for g in got], y)
     ones = float(y.sum())
@@ -120,9 +124,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, held_out: tuple[int, int]
     """doc_id, held_out, score and predicted of every row of ``docs``."""
     mod, rest = held_out
     marked = labels.where(F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int").alias("quality"))
-    marked = marked.where(~(id_bucket(F.col("doc_id"), mod) == rest)).dropDuplicates(["doc_id"])
-    train = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(marked, "doc_id")
-    net, shift = fit_quality(train)
+    marked = marked.where(~(id_bucket(F.col("doc_id"), mod) == rest)).groupBy("doc_id").agg(
+        F.max("quality").alias("quality"))
+    net, shift = fit_quality(docs.select("doc_id", "text"), marked)
     model = docs.sparkSession.sparkContext.broadcast((net, shift))  # a few thousand numbers
 
     @F.arrow_udf("double")
