@@ -44,7 +44,8 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0, tex
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path(tokenizer)).ids
+        segments = encoder(tokenizer_path(tokenizer))
+        encode = segments.ids
         end = np.array([end_id], "<u4")
         for batch in batches:
             ids_of, at = batch.column(0), 0
@@ -63,6 +64,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0, tex
                     [ids_of.take(pa.array(rows)), pa.array(pieces, pa.int32()), pa.array(starts, pa.int64()),
                      pa.array(lengths, pa.int64()), pa.array(ids, pa.binary())],
                     names=["doc_id", "piece", "start", "length", "ids"])
+        segments.trim()
 
     return source.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids binary")
 

@@ -12,10 +12,9 @@ from __future__ import annotations
 
 import re
 from array import array
-from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from functools import cache
-from itertools import accumulate
+from itertools import islice
 from typing import TypeVar
 
 import numpy as np
@@ -29,8 +28,10 @@ from giniflow.llm.common import by_bytes
 TOKENIZER = "byte_bpe_50k.json"
 #: Segments kept in a worker's cache, characters of a segment that is kept, characters of one encoded batch.
 CACHE_SIZE, CACHED_LENGTH, BATCH_CHARS = 800_000, 64, 1 << 18
-#: Words in a line that is encoded at once; marks that may stand behind a word.
-LINE, MARKS = 50, ".,;:!?*%$&#|"
+#: Segments that stay when the cache is full and between tasks: the first ones met, so the frequent ones.
+KEPT = 250_000
+#: Words in a line that is encoded at once.
+LINE = 200
 #: Texts beyond so many characters are cut at every safe boundary, and their segments beyond the second number between
 #: ASCII letters and digits as well.
 LONG_TEXT, LONG_SEGMENT = 1 << 22, 1 << 15
@@ -60,19 +61,10 @@ def segments(text: str) -> list[str]:
     return [p for q in _SAFE.split(text) for p in ([q] if len(q) <= LONG_SEGMENT else _LETTER_DIGIT.split(q))]
 
 
-def pretokens(item: str) -> int:
-    """Number of pretokens of a space and ``item`` where it is plain to see, else 0: letters and then marks, or two such
-    parts with one line feed between them."""
-    if item.isalpha():
-        return 1
-    head, feed, tail = item.partition("\n")
-    n = 0
-    for part in (head, tail) if feed else (head,):
-        stem = part.rstrip(MARKS)
-        if not stem.isalpha():
-            return 0
-        n += 1 + (len(stem) < len(part))
-    return n + bool(feed)
+def fits_a_line(item: str) -> bool:
+    """Whether a space and ``item`` may stand in a line between line feeds without changing its tokens: no blanks in it
+    but single line feeds between non-blanks, and no special token (these contain ``<``)."""
+    return item.split("\n") == item.split() and "<" not in item
 
 
 class SegmentEncoder:
@@ -85,35 +77,42 @@ class SegmentEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[str, dict[str, bytes]] = {" ": {}, "": {}}
+        feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.feed = feed[0] if len(feed) == 1 else None
 
     def _encode(self, items: list[str], lead: str) -> list[bytes]:
-        """Little-endian 32-bit ids of ``lead + item``. Plain words behind a space go to the library as lines of
-        many words and are told apart by its word numbers; the others go one by one."""
+        """Little-endian 32-bit ids of ``lead + item``. Words behind a space go to the library many at a time,
+        with line feeds between them by whose id they are told apart; the others go one by one."""
         found: dict[str, bytes] = {}
-        words = [(p, n) for p in items if (n := pretokens(p))] if lead else []
+        words = [p for p in items if fits_a_line(p)] if lead and self.feed is not None else []
         lines = [words[k:k + LINE] for k in range(0, len(words), LINE)]
         for some in by_bytes(lines, BATCH_CHARS // 8):
-            encoded = self.tokenizer.encode_batch([" " + " ".join(p for p, _ in x) for x in some],
-                                                  add_special_tokens=False)
+            encoded = self.tokenizer.encode_batch_fast([" " + "\n ".join(x) for x in some], add_special_tokens=False)
             for line, e in zip(some, encoded, strict=True):
-                word_ids = e.word_ids
-                ends = list(accumulate(n for _, n in line))
-                if word_ids[-1] != ends[-1] - 1:  # the library knows other letters than Python
+                ids = np.array(e.ids, "<u4")
+                ends = [*np.flatnonzero(ids == self.feed).tolist(), len(ids)]
+                parts = [p.count("\n") for p in line]
+                if len(ends) != len(line) + sum(parts):  # never seen; these go one by one
                     continue
-                raw, x = array("I", e.ids).tobytes(), 0
-                for (p, _), end in zip(line, ends, strict=True):
-                    y = 4 * bisect_left(word_ids, end)
-                    found[p] = raw[x:y]
-                    x = y
+                raw, x, k = ids.tobytes(), 0, -1
+                for p, more in zip(line, parts, strict=True):
+                    k += 1 + more
+                    found[p] = raw[4 * x:4 * ends[k]]
+                    x = ends[k] + 1
         for group in by_bytes([p for p in items if p not in found], BATCH_CHARS):
             encoded = self.tokenizer.encode_batch_fast([lead + p for p in group], add_special_tokens=False)
             found.update((p, array("I", e.ids).tobytes()) for p, e in zip(group, encoded, strict=True))
         return [found[p] for p in items]
 
+    def trim(self) -> None:
+        for lead, known in self.known.items():
+            if len(known) > KEPT:
+                self.known[lead] = dict(islice(known.items(), KEPT))
+
     def look_up(self, items: list[str], lead: str) -> list[bytes]:
         """Ids of ``lead + item`` for each item, from the cache or new."""
         if len(self.known[lead]) > CACHE_SIZE:
-            self.known[lead] = {}
+            self.trim()
         known = self.known[lead]
         out = list(map(known.get, items))
         new = list(dict.fromkeys(p for p, v in zip(items, out, strict=True) if v is None))
@@ -193,10 +192,12 @@ def token_count(text: Column, tokenizer: str = TOKENIZER) -> Column:
 
     @F.arrow_udf("long")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        counts = encoder(tokenizer_path(tokenizer)).counts
+        encode = encoder(tokenizer_path(tokenizer))
+        counts = encode.counts
         for batch in batches:
             lengths = [n for part in text_batches(batch.to_pylist(), lambda t: len(t or "")) for n in counts(part)]
             yield pa.array(lengths, pa.int64())
+        encode.trim()
 
     return count(text)
 
