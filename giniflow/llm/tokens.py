@@ -27,9 +27,9 @@ from giniflow.llm.common import by_bytes
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Segments kept in a worker's cache, characters of a segment that is kept, characters of one encoded batch.
-CACHE_SIZE, CACHED_LENGTH, BATCH_CHARS = 800_000, 64, 1 << 18
+CACHE_SIZE, CACHED_LENGTH, BATCH_CHARS = 900_000, 64, 1 << 18
 #: Segments that stay when the cache is full and between tasks: the first ones met, so the frequent ones.
-KEPT = 250_000
+KEPT = 400_000
 #: Words in a line that is encoded at once.
 LINE = 200
 #: Texts beyond so many characters are cut at every safe boundary, and their segments beyond the second number between
