@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from giniflow.llm import jaccard, langid, lm, packing, paragraphs, pii, quality_net, quality_rules, tokens, winnow
+from giniflow.llm import (jaccard, langid, lm, packing, paragraphs, passages, pii, quality_net, quality_rules, tokens,
+                          winnow)
 from giniflow.llm.common import LOWER, UPPER, WORD, read_table
 
 QUERIES = {}
@@ -103,6 +104,11 @@ def op8_paragraph_minhash(spark, sf_dir):
     return paragraphs.repeated_paragraphs(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_repeated_passages(spark, sf_dir):
+    return passages.repeated_passages(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_quality_rules(spark, sf_dir):
     return quality_rules.quality_report(read_table(spark, sf_dir, "documents"))
