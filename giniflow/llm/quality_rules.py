@@ -2,7 +2,8 @@
 
 The ratio is bytes / compressed bytes. Text that compresses far better than prose repeats itself; text that hardly
 compresses is random characters or encoded data. Short texts compress worse (nothing to refer back to), so limits come in
-bands by the length in bytes. Chunks catch documents that are sound on the whole but hold long bad passages.
+bands by the length in bytes. Chunks, the last partial one included, catch documents that are sound on the whole but
+hold long bad passages.
 
 Null and empty texts have no words and fail the base rule. Repeated rows give repeated results; any length works, one
 text at a time is held besides its batch.
@@ -44,6 +45,15 @@ def in_band(n: int, ratio: float, limits) -> bool:
     return True
 
 
+def chunk_in_band(n: int, ratio: float, bands: Bands) -> bool:
+    """Full chunks against the chunk band; the rest behind the last full one against the band of its own length, but never
+    against a higher least ratio than a full chunk."""
+    low, high = bands.chunk_limits
+    if n < bands.chunk_bytes:
+        low, high = next((min(low, least), most) for size, least, most in bands.limits if n < size)
+    return low <= ratio <= high
+
+
 def repeated_words(words: list[bytes]) -> int:
     """Words inside a 3-word window that the text holds twice or more."""
     n = len(words)
@@ -76,11 +86,10 @@ def profile(text: str | None, bands: Bands, squeeze) -> tuple:
     ratio = len(raw) / len(squeeze(raw))
     ok = in_band(len(raw), ratio, bands.limits)
     if ok and len(raw) > bands.chunk_bytes:
-        low, high = bands.chunk_limits
         bad = 0
         for at in range(0, len(raw), bands.chunk_bytes):
             chunk = raw[at:at + bands.chunk_bytes]
-            if len(chunk) == bands.chunk_bytes and not low <= len(chunk) / len(squeeze(chunk)) <= high:
+            if not chunk_in_band(len(chunk), len(chunk) / len(squeeze(chunk)), bands):
                 bad += len(chunk)
         ok = bad <= bands.max_bad_share * len(raw)
     return (len(words), len(text) - sum(map(text.count, BLANKS)), sum(map(text.count, SYMBOLS)),

@@ -115,6 +115,22 @@ def test_bands_reject_repetition_and_noise_and_keep_prose(docs):
     assert not verdict(prose[:20_000] + "".join(f"{w} " * 900 for w in ("alpha", "beta", "gamma", "delta")) * 4)
 
 
+def test_junk_in_the_last_partial_chunk_counts(docs):
+    import base64
+    import random
+
+    import zstandard
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    verdict = lambda t: quality_rules.profile(t, quality_rules.Bands(), squeeze)[-1]
+    rng = random.Random(11)
+    prose = max((t for t in docs.values() if t.isascii()), key=lambda t: len(set(t.split())))
+    for n in (6500, 8186, 8190, 8191, 12_200):  # the last, partial chunk holds 33 to 50 % of the text
+        for junk in (base64.b64encode(rng.randbytes(4096)).decode(), "the same phrase comes back " * 200):
+            tail = n % 4096
+            assert not verdict(prose[:n - tail] + junk[:tail])
+    assert all(verdict(prose[:n]) for n in range(4096, 12_300, 97))
+
+
 def test_kept_rows_keep_their_columns(edge_docs, spark, docs):
     long = max(docs.values(), key=lambda t: len(set(t.split())))
     df = edge_docs.unionByName(spark.createDataFrame([(99, long, "en", 5)], edge_docs.schema))
