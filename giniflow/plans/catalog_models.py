@@ -20,10 +20,8 @@ from giniflow.session import ensure_checkpoint_dir, materialize
 from giniflow.sources import io
 from giniflow.sources.fixture import FIXTURE_SPEC
 
-MODEL_FEATURES = ["quantity", "discount", "tax", "price", "acct_bal", "part_size", "brand_cd", "client_segm",
-                  "priority_group"]
+MODEL_FEATURES = FIXTURE_SPEC.features
 SPEC = FIXTURE_SPEC.with_features(MODEL_FEATURES)
-FAST = {"n_iter": 20, "depth": 3}
 
 
 def _scratch(spark, name: str) -> str:
@@ -34,7 +32,7 @@ def _scratch(spark, name: str) -> str:
 def q_model_pool_gini(spark, sf_dir):
     """M1 + M2 + A6: GBT on TRAIN, early stop on VALID, Gini of every pool."""
     p = pools(spark, sf_dir).persist()
-    fitted = stages.fit_on_pools(p, SPEC, SPEC.features, "GBT", FAST, SEED)
+    fitted = stages.fit_on_pools(p, SPEC, SPEC.features, "GBT", None, SEED)
     return stages.pool_gini(fitted, p, SPEC, SPEC.features).withColumn("n_trees", F.lit(fitted.n_iter))
 
 
@@ -42,7 +40,7 @@ def q_model_pool_gini(spark, sf_dir):
 def q_feature_importance(spark, sf_dir):
     """M3 + O1: ranked importance of the fitted learner."""
     p = pools(spark, sf_dir).persist()
-    fitted = stages.fit_on_pools(p, SPEC, SPEC.features, "GBT", FAST, SEED)
+    fitted = stages.fit_on_pools(p, SPEC, SPEC.features, "GBT", None, SEED)
     return reports.rank_importance(models.importance(fitted, spark))
 
 
@@ -59,7 +57,7 @@ def q_cross_validation(spark, sf_dir):
 @register("preselection", None)
 def q_preselection(spark, sf_dir):
     """M4: all features -> importance -> top 4 -> refit; Gini per pool before and after."""
-    _, rep = stages.preselect(pools(spark, sf_dir), SPEC, 4, "GBT", FAST, SEED)
+    _, rep = stages.preselect(pools(spark, sf_dir), SPEC, 4, "GBT", None, SEED)
     return rep
 
 
@@ -74,13 +72,13 @@ def q_grid_search_report(spark, sf_dir):
 
 @register("permutation_importance", None)
 def q_permutation_importance(spark, sf_dir):
-    """M10 + J7: logistic pipeline fitted on TRAIN; 3 affine shuffles per feature on VALID."""
+    """M10 + J7: logistic pipeline fitted on TRAIN; 10 affine shuffles per feature on VALID."""
     p = pools(spark, sf_dir).persist()
     num, cat = list(SPEC.numeric), list(SPEC.categorical)
     fitted = models.fit(p.where(F.col("pool") == "TRAIN"), num, cat, Y, "LR", None, SEED)
     valid = p.where(F.col("pool") == "VALID")
     return importance.permutation_importance(valid, SPEC.features, Y, KEY,
-                                             lambda fr: models.score(fitted, fr, num, cat), 3, SEED)
+                                             lambda fr: models.score(fitted, fr, num, cat), seed=SEED)
 
 
 @register("fine_selection", None)
