@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from giniflow.llm import (jaccard, langid, lm, packing, paragraphs, passages, pii, quality_net, quality_rules, tokens,
-                          winnow)
+from giniflow.llm import (collocations, jaccard, langid, lm, packing, paragraphs, passages, pieces, pii, quality_net,
+                          quality_rules, tokens, winnow)
 from giniflow.llm.common import LOWER, UPPER, WORD, read_table
 
 QUERIES = {}
@@ -117,3 +117,45 @@ def op9_quality_rules(spark, sf_dir):
 @query
 def op10_token_counts(spark, sf_dir):
     return tokens.token_counts(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_phrase_collocations(spark, sf_dir):
+    return collocations.phrase_collocations(read_table(spark, sf_dir, "documents"))
+
+
+SQL["op11_phrase_collocations"] = f"""
+WITH p AS (
+  SELECT coalesce(CAST(lang AS VARCHAR), 'und') AS lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                                                  '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM p, (SELECT unnest(range(1, {collocations.LONGEST + 1})) AS k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY lang, k, phrase HAVING count(*) >= {collocations.MIN_COUNT}),
+cand AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+inside AS (
+  SELECT lang, phrase, max(longer) AS longer
+  FROM (SELECT lang, longer, array_to_string(w[i:i + m - 1], ' ') AS phrase
+        FROM (SELECT lang, a AS longer, w, m, unnest(range(1, k - m + 2)) AS i
+              FROM cand, (SELECT unnest(range(2, {collocations.LONGEST})) AS m) WHERE m < k)) GROUP BY lang, phrase),
+alone AS (
+  SELECT cand.* FROM cand LEFT JOIN inside USING (lang, phrase)
+  WHERE longer IS NULL OR CAST(longer AS HUGEINT) * 100 < CAST(a AS HUGEINT) * {collocations.INSIDE_PERCENT}),
+cuts AS (
+  SELECT lang, phrase, a, cut, array_to_string(w[1:cut], ' ') AS head, array_to_string(w[cut + 1:k], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM alone)),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, a, cut, x.f AS l, y.f AS r, (CAST(a AS HUGEINT) * 2000000) // (x.f + y.f) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = head JOIN f y ON y.lang = cuts.lang AND y.phrase = tail),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+JOIN totals USING (lang) WHERE rank <= {collocations.MOST}"""
+
+
+@query
+def op12_piece_codec(spark, sf_dir):
+    return pieces.digests(pieces.encode_documents(read_table(spark, sf_dir, "documents")))
