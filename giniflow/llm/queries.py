@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from giniflow.llm import (collocations, jaccard, langid, lm, packing, paragraphs, passages, pieces, pii, quality_net,
-                          quality_rules, tokens, winnow)
+from giniflow.llm import (collocations, jaccard, langid, lexical, lm, packing, paragraphs, passages, pieces, pii,
+                          quality_net, quality_rules, tokens, winnow)
 from giniflow.llm.common import LOWER, UPPER, WORD, read_table
 
 QUERIES = {}
@@ -159,3 +159,30 @@ JOIN totals USING (lang) WHERE rank <= {collocations.MOST}"""
 @query
 def op12_piece_codec(spark, sf_dir):
     return pieces.digests(pieces.encode_documents(read_table(spark, sf_dir, "documents")))
+
+
+@query
+def op13_ranked_search(spark, sf_dir):
+    return lexical.ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), " \
+         "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+SQL["op13_ranked_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS w FROM documents),
+t AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+tf AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM d) GROUP BY rid, term),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tf, t GROUP BY term),
+m AS (SELECT rid, doc_id, 50 + (50 * len(w) * n_docs) // n_terms AS m FROM d, t WHERE len(w) > 0),
+items AS (SELECT DISTINCT iid, item_id, term
+          FROM (SELECT iid, item_id, unnest(w) AS term
+                FROM (SELECT row_number() OVER () AS iid, item_id, {_TERMS} AS w FROM benchmark))),
+scored AS (
+  SELECT iid, item_id, doc_id, rid, CAST(sum(weight.w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM items JOIN tf USING (term) JOIN weight USING (term) JOIN m USING (rid) GROUP BY iid, item_id, doc_id, rid)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+WHERE rank <= {lexical.TOP}"""
