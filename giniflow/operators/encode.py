@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from giniflow.operators.prefix import exact_rank
 from giniflow.operators.prep import MISSING_CATEGORY, category_expr
 from giniflow.session import materialize
 
@@ -24,19 +25,20 @@ def category_long(df: DataFrame, cats: Sequence[str], keep: Sequence[str] = ())
 def frequency_codes(train: DataFrame, cats: Sequence[str]) -> DataFrame:
     """Category -> rank by training frequency (1 = most frequent, ties by value); 'nan' -> -1 and keeps its slot."""
     counts = category_long(train, cats).groupBy("feature", "category").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("feature").orderBy(F.col("n").desc(), F.col("category"))
-    rn = F.row_number().over(w)
-    return counts.select("feature", "category",
-                         F.when(F.col("category") == MISSING_CATEGORY, F.lit(-1)).otherwise(rn).alias("code"))
+    return _ranked(counts, [F.col("n").desc(), "category"])
 
 
 def ordinal_codes(train: DataFrame, cats: Sequence[str]) -> DataFrame:
     """Category -> rank of the sorted distinct values from 1; 'nan' -> -1 and keeps its slot."""
     values = category_long(train, cats).select("feature", "category").distinct()
-    w = Window.partitionBy("feature").orderBy("category")
-    rn = F.row_number().over(w)
-    return values.select("feature", "category",
-                         F.when(F.col("category") == MISSING_CATEGORY, F.lit(-1)).otherwise(rn).alias("code"))
+    return _ranked(values, ["category"])
+
+
+def _ranked(values: DataFrame, order: Sequence) -> DataFrame:
+    """Codes by rank. Values of all features are ranked together in ranges, so one with millions of values is spread."""
+    ranked = exact_rank(materialize(values, "categories"), ["feature"], order)
+    return ranked.select("feature", "category", F.when(F.col("category") == MISSING_CATEGORY, F.lit(-1))
+                         .otherwise(F.col("rank").cast("int")).alias("code"))
 
 
 def apply_codes(df: DataFrame, codes: DataFrame, cats: Sequence[str], value_col: str = "code",

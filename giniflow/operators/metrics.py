@@ -14,8 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from giniflow.operators.prefix import (buckets_for, next_in_order, ordered_running_sum, quantile_bucket, running_sum,
-                                       small_table)
+from giniflow.operators.prefix import (buckets_for, exact_rank, next_in_order, ordered_running_sum, range_bucket,
+                                       running_sum, small_table)
 from giniflow.session import materialize
 
 
@@ -126,7 +126,7 @@ def roc_from_histogram(hist: DataFrame, n_buckets: int | None = None, drop_inter
     """ROC points from a histogram ``(feature, value, pos, neg)`` (one row per distinct value)."""
     hist, n_buckets = stored_histogram(hist, n_buckets)
     hist = hist.withColumn("__desc", -F.col("value"))
-    hist = quantile_bucket(hist, ["feature"], "__desc", n_buckets)
+    hist = range_bucket(hist, ["feature"], ["__desc"], n_buckets)
     cum = running_sum(hist, ["feature"], ["__desc"], "__bucket", ["pos", "neg"], inclusive=True)
     totals = small_table(hist.groupBy("feature").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")))
     pts = cum.join(totals, "feature")
@@ -151,11 +151,13 @@ def roc_from_histogram(hist: DataFrame, n_buckets: int | None = None, drop_inter
         (F.col("P") / (F.col("P") + F.col("N"))).alias("base_rate"))
 
 
-def roc_weights(points: DataFrame) -> DataFrame:
-    """Population mass between successive ROC points, ``br*dTPR + (1-br)*dFPR``; telescopes to ``mass``."""
-    w = Window.partitionBy("feature").orderBy("idx")
-    prev = F.lag("mass", 1, 0.0).over(w)
-    return points.withColumn("weight", F.col("mass") - prev)
+def roc_weights(points: DataFrame, n_buckets: int | None = None) -> DataFrame:
+    """Population mass between successive ROC points, ``br*dTPR + (1-br)*dFPR``; telescopes to ``mass``. The point before
+    is found range by range, so no task sees all points of a feature."""
+    points, n_buckets = stored_histogram(points, n_buckets)
+    before = next_in_order(range_bucket(points, ["feature"], ["idx"], n_buckets), "feature", "idx", "__bucket", ["mass"],
+                           back=True)
+    return before.select(*points.columns, (F.col("mass") - F.coalesce("__next_mass", F.lit(0.0))).alias("weight"))
 
 
 def edge_compaction(points: DataFrame, min_size: float) -> DataFrame:
@@ -185,7 +187,9 @@ def bootstrap_gini(df: DataFrame, score: str, label: str, n_bs: int = 2000, seed
     Band = sorted replicate Ginis at 0-based positions ``int(n_bs*0.025)`` and ``int(n_bs*0.975)``."""
     hist, n_buckets = stored_histogram(score_histogram(df, score, label), n_buckets)
     hist = hist.select(F.col(score).cast("double").alias("score"), "pos", "neg")
-    blocks = quantile_bucket(hist, [], "score", n_buckets, out="block")
+    size = -(-hist.count() // n_buckets) or 1          # blocks by rank: the same at every run
+    blocks = exact_rank(hist, [], ["score"], out="rank", n_buckets=n_buckets).select(
+        "score", "pos", "neg", F.expr(f"cast((rank - 1) div {size} as int)").alias("block"))
 
     def draw(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("score")

@@ -1,17 +1,18 @@
-"""Running sums and exact ranks without a single-task global window.
+"""Running sums, neighbours and exact ranks without a single-task global window.
 
 ``Window.orderBy`` with no partition (or a partition that holds a third of the data, such as one class of the target)
-moves every row through one task. The helpers here split the ordered domain into buckets that are monotone in the
-order, so that:
-
-1. bucket totals are a small table (groups x buckets); their cumulative offsets are computed from that table;
-2. the running sum inside a bucket is a window partitioned by ``(group, bucket)``, spread over many tasks;
-3. the offsets are joined back as a broadcast of a table whose row count was just measured (groups x buckets).
-
-The small tables (quantile bounds, bucket offsets) are computed by their own small job and re-enter the plan as local
-relations. This keeps every plan linear in the number of steps: reusing a DataFrame on both sides of a join would
-double the plan at every nested step.
-The result is exact; the buckets only decide how work is spread.
+moves every row through one task. The helpers here cut the ordered rows of all groups into ranges of about equal size
+(``repartitionByRange``: the bounds come from a sample, each row finds its range by bisection), so that:
+
+1. range totals are a small table (groups x ranges); their cumulative offsets are computed from that table;
+2. the running sum inside a range is a window partitioned by ``(group, range)``, spread over many tasks; a rank needs no
+   window, as rows are numbered in the sorted ranges;
+3. the offsets are joined back by (group, range).
+
+The number of ranges follows the number of rows, so a task's work is the same at any size and the whole is linear in the
+rows (times the logarithm of the number of ranges). A frame cut into ranges is stored once, so all readers see the same
+bounds. The small tables are computed by their own small job and re-enter the plan as local relations, which keeps every
+plan linear in the number of steps. The result is exact; the ranges only decide how work is spread.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,66 +96,62 @@ def running_sum(df: DataFrame, by: Sequence[str], order_cols: Sequence[str], buc
     return out.drop(ALL) if added else out
 
 
-def hash_bucket(hash_col: str, bits: int = 12):
-    """Top ``bits`` bits of an unsigned 32-bit hash: monotone in the hash."""
-    return F.shiftright(F.col(hash_col), 32 - bits)
-
-
-def exact_rank(df: DataFrame, by: Sequence[str], hash_col: str, tiebreak: str, out: str = "rank",
-               bits: int = 12) -> DataFrame:
-    """1-based rank of each row within ``by`` in (hash, tiebreak) order, the same as
-    ``row_number() over (partition by <by> order by <hash>, <tiebreak>)`` but spread over ``2^bits`` buckets per group."""
-    b = df.withColumn("__bucket", hash_bucket(hash_col, bits)).withColumn("__one", F.lit(1).cast("long"))
-    r = running_sum(b, by, [hash_col, tiebreak], "__bucket", ["__one"], inclusive=True, suffix="_cum")
-    return r.withColumnRenamed("__one_cum", out).drop("__bucket", "__one")
+def range_bucket(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], n_buckets: int,
+                 out: str = "__bucket") -> DataFrame:
+    """``df`` cut into ``n_buckets`` ranges of (by, order), stored; ``out`` is non-decreasing along ``order`` in a group."""
+    if n_buckets <= 1:
+        return df.withColumn(out, F.lit(0))
+    return materialize(df.repartitionByRange(n_buckets, *by, *order).withColumn(out, F.spark_partition_id()), "ranges")
 
 
-def quantile_bucket(df: DataFrame, by: Sequence[str], col: str, n_buckets: int = 64, out: str = "__bucket",
-                    accuracy: int = 10000) -> DataFrame:
-    """Bucket = number of approximate per-group quantile bounds <= value (monotone in ``col``).
+def exact_rank(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], out: str = "rank",
+               n_buckets: int | None = None) -> DataFrame:
+    """1-based rank of each row within ``by`` along ``order`` (which has to be unique there), the same as
+    ``row_number() over (partition by <by> order by <order>)``, for columns of any orderable type.
 
-    The bounds (groups x n_buckets doubles) are computed by one small aggregation and broadcast back."""
-    df, keys, added = _group_cols(df, by)
-    if n_buckets <= 1:
-        out_df = df.withColumn(out, F.lit(0))
-        return out_df.drop(ALL) if added else out_df
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = small_table(df.groupBy(*keys).agg(
-        F.percentile_approx(F.col(col).cast("double"), probs, accuracy).alias("__bounds")))
-    value = F.col(col)
-    out_df = (join_side(df, bounds, keys)
-              .withColumn(out, F.size(F.filter("__bounds", lambda b: b <= value)))
-              .drop("__bounds"))
-    return out_df.drop(ALL) if added else out_df
+    Rows are numbered inside the sorted ranges; the rank is that number from the group's first row in the range on, plus
+    the group's rows in earlier ranges. A range holds about the same number of rows at any size."""
+    df, by, added = _group_cols(df, by)
+    n = n_buckets or buckets_for(df.count())
+    number = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)       # place inside the partition
+    rows = materialize(df.repartitionByRange(n, *by, *order).sortWithinPartitions(*by, *order)
+                       .select("*", F.spark_partition_id().alias("__bucket"), number.alias("__at")), "ranks")
+    w = Window.partitionBy(*by).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    first = rows.groupBy(*by, "__bucket").agg(F.min("__at").alias("__lo"), F.count(F.lit(1)).alias("__n"))
+    offsets = small_table(first.select(*by, "__bucket", (F.coalesce(F.sum("__n").over(w), F.lit(0)) - F.col("__lo"))
+                                       .alias("__o")))
+    ranked = join_side(rows, offsets, [*by, "__bucket"]).withColumn(out, F.col("__at") + F.col("__o") + 1)
+    return ranked.drop("__bucket", "__at", "__o", *([ALL] if added else []))
 
 
 def ordered_running_sum(df: DataFrame, by: Sequence[str], order_col: str, values: Sequence[str],
                         inclusive: bool = True, descending: bool = False, n_buckets: int = 64,
                         suffix: str = "_cum") -> DataFrame:
-    """Running sum along an arbitrary (unique within group) numeric order column, via quantile buckets."""
+    """Running sum along an order column that is unique within a group."""
     src = df
     order = order_col
     if descending:
         src = src.withColumn("__neg_order", -F.col(order_col))
         order = "__neg_order"
-    b = quantile_bucket(src, by, order, n_buckets)
+    b = range_bucket(src, by, [order], n_buckets)
     r = running_sum(b, by, [order], "__bucket", values, inclusive=inclusive, suffix=suffix).drop("__bucket")
     return r.drop("__neg_order") if descending else r
 
 
-def next_in_order(df: DataFrame, group: str, order: str, bucket: str, cols: Sequence[str]) -> DataFrame:
-    """``__next_<c>`` = value of ``c`` on the next row of the group in ``order`` (bucketed lead, no global window).
-    The first row of every bucket is a small table; the next bucket's first row fills the bucket's last row."""
+def next_in_order(df: DataFrame, group: str, order: str, bucket: str, cols: Sequence[str], back: bool = False
+                  ) -> DataFrame:
+    """``__next_<c>`` = value of ``c`` on the next row of the group in ``order`` (with ``back``: on the row before), NULL
+    where there is none. What the rows at the edge of a range see comes from a small table of the ranges' edge rows."""
+    step, edge = (F.lag, F.max_by) if back else (F.lead, F.min_by)
     w = Window.partitionBy(group, bucket).orderBy(order)
-    local = df.select("*", *[F.lead(c).over(w).alias(f"__next_{c}") for c in cols])
-    firsts = df.groupBy(group, bucket).agg(*[F.min_by(F.col(c), F.col(order)).alias(f"__first_{c}") for c in cols])
+    local = df.select("*", *[step(c).over(w).alias(f"__next_{c}") for c in cols])
+    edges = df.groupBy(group, bucket).agg(*[edge(F.col(c), F.col(order)).alias(f"__edge_{c}") for c in cols])
     wb = Window.partitionBy(group).orderBy(bucket)
-    nxt = small_table(firsts.select(group, bucket, *[F.lead(f"__first_{c}").over(wb).alias(f"__nb_{c}")
-                                                     for c in cols]))
+    nxt = small_table(edges.select(group, bucket, *[step(f"__edge_{c}").over(wb).alias(f"__nb_{c}") for c in cols]))
     out = join_side(local, nxt, [group, bucket])
     return out.select(*df.columns, *[F.coalesce(F.col(f"__next_{c}"), F.col(f"__nb_{c}")).alias(f"__next_{c}")
                                      for c in cols])
 
 
-__all__ = ["running_sum", "exact_rank", "quantile_bucket", "ordered_running_sum", "next_in_order", "small_table",
-           "hash_bucket", "bucket_offsets", "T"]
+__all__ = ["running_sum", "exact_rank", "range_bucket", "ordered_running_sum", "next_in_order", "small_table",
+           "bucket_offsets", "T"]

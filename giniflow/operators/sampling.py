@@ -191,7 +191,7 @@ def oversample(df: DataFrame, label: str, frac: float, key: str | Sequence[str],
              .groupBy("__rn").agg(F.count(F.lit(1)).alias("__copies")))
     mino = df.where(F.col(label) == F.lit(minority)).withColumn("__key", key_text(key))
     mino = mino.withColumn("__h_over", row_hash("__key", f"overrow-{seed}"))
-    mino = exact_rank(mino, [], "__h_over", "__key", out="__rn")
+    mino = exact_rank(mino, [], ["__h_over", "__key"], out="__rn")
     extra = (mino.join(draws, "__rn")
              .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
              .select(*df.columns))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from giniflow.operators import binning, metrics
 from giniflow.plans.catalog import KEY, NUMERIC, CATEGORICAL, Y, register, sample
 from giniflow.plans.oracle import with_fixture
+from giniflow.session import materialize
 from giniflow.spec import BinnerConfig
 
 MIN_SIZE = 0.05
@@ -70,6 +71,64 @@ def q_place_missing(spark, sf_dir):
     return binning.place_missing(binning.bin_stats(sample(spark, sf_dir), FIXED, Y), MIN_SIZE)
 
 
+PLACED_CTE = STATS_CTE + f""",
+_mp AS (
+  SELECT t.feature, CASE WHEN m.n IS NULL THEN 0 WHEN m.n > {MIN_SIZE} * t.nt THEN 0 ELSE
+           (SELECT s.bin FROM _stats s WHERE s.feature = t.feature AND s.bin > 0
+            ORDER BY abs(s.target_rate - m.target_rate), s.bin LIMIT 1) END AS nan_bin
+  FROM (SELECT feature, sum(n) AS nt FROM _stats GROUP BY feature) t
+  LEFT JOIN (SELECT * FROM _stats WHERE bin = 0) m ON m.feature = t.feature),
+_b3 AS (SELECT b.epk_id, b.{Y}, b.feature, CASE WHEN b.bin = 0 THEN mp.nan_bin ELSE b.bin END AS bin
+        FROM _binned b JOIN _mp mp ON mp.feature = b.feature),
+_s3 AS (SELECT feature, bin, count(*) AS n, sum({Y}) AS n_pos FROM _b3 GROUP BY feature, bin)"""
+
+
+@register("binning_report_fixed", with_fixture("""
+SELECT feature, CAST(bin AS VARCHAR) AS bin, CAST(n AS BIGINT) AS n, CAST(n_pos AS BIGINT) AS n_pos,
+       round(n_pos / n, 6) AS target_rate,
+       round(ln(((CASE WHEN n - n_pos = 0 THEN CAST(0.001 AS DOUBLE) ELSE CAST(n - n_pos AS DOUBLE) END) / G)
+                / ((CASE WHEN n_pos = 0 THEN CAST(0.001 AS DOUBLE) ELSE CAST(n_pos AS DOUBLE) END) / B)), 6) AS woe
+FROM _s3, _gb""", PLACED_CTE))
+def q_binning_report_fixed(spark, sf_dir):
+    """The report of a fit (B9) whose cut points are given: bins, missing rows placed, rates and WoE."""
+    model = binning.fit_binning(sample(spark, sf_dir), list(FIXED), [], Y, BinnerConfig(min_size=MIN_SIZE), fixed_thresholds=FIXED)
+    return model.bin_spec(spark).select("feature", "bin", "n", "n_pos", F.round("target_rate", 6).alias("target_rate"),
+                                        F.round("woe", 6).alias("woe"))
+
+
+CATEGORY_CTE = "_cat AS (" + "\nUNION ALL\n".join(
+    f"SELECT epk_id, {Y}, '{c}' AS feature, coalesce(CAST({c} AS VARCHAR), 'nan') AS category FROM scoring_sample"
+    for c in CATEGORICAL) + f"""),
+_cs AS (SELECT feature, category, count(*) AS n, sum({Y}) AS n_pos FROM _cat GROUP BY feature, category),
+_gb AS (SELECT CAST(sum(1 - {Y}) AS DOUBLE) AS G, CAST(sum({Y}) AS DOUBLE) AS B FROM scoring_sample),
+_cw AS (SELECT _cs.*, ln(((CASE WHEN n - n_pos = 0 THEN CAST(0.001 AS DOUBLE) ELSE CAST(n - n_pos AS DOUBLE) END) / G)
+                      / ((CASE WHEN n_pos = 0 THEN CAST(0.001 AS DOUBLE) ELSE CAST(n_pos AS DOUBLE) END) / B)) AS woe
+        FROM _cs, _gb)"""
+
+
+def _unmerged(df):
+    """A fit that leaves every category a group of its own."""
+    return binning.fit_binning(df, [], CATEGORICAL, Y, BinnerConfig(min_size=0.0, max_bins=1_000_000))
+
+
+@register("category_woe", with_fixture("""
+SELECT feature, category AS bin, CAST(n AS BIGINT) AS n, CAST(n_pos AS BIGINT) AS n_pos, round(n_pos / n, 6) AS target_rate,
+       round(woe, 6) AS woe FROM _cw""", CATEGORY_CTE))
+def q_category_woe(spark, sf_dir):
+    spec = _unmerged(sample(spark, sf_dir)).bin_spec(spark)
+    return spec.select("feature", "bin", "n", "n_pos", F.round("target_rate", 6).alias("target_rate"),
+                       F.round("woe", 6).alias("woe"))
+
+
+@register("category_woe_encode", with_fixture("SELECT epk_id, " + ", ".join(
+    f"round(max(CASE WHEN feature = '{c}' THEN woe END), 6) AS woe_{c}" for c in CATEGORICAL)
+    + " FROM _cat JOIN _cw USING (feature, category) GROUP BY epk_id", CATEGORY_CTE))
+def q_category_woe_encode(spark, sf_dir):
+    df = sample(spark, sf_dir)
+    out = _unmerged(df).transform(df, keep=[KEY], drop_incomplete=False)
+    return out.select(KEY, *[F.round(f"woe_{c}", 6).alias(f"woe_{c}") for c in CATEGORICAL])
+
+
 @register("woe_encode", with_fixture(f"""
 SELECT epk_id, round(max(CASE WHEN feature = 'quantity' THEN woe END), 6) AS woe_quantity,
        round(max(CASE WHEN feature = 'acct_bal' THEN woe END), 6) AS woe_acct_bal
@@ -194,7 +253,7 @@ FROM (
                w2 AS (PARTITION BY feature ORDER BY idx ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)) q
 ) x GROUP BY feature""", ROC_CTE))
 def q_segment_loss(spark, sf_dir):
-    pts = _roc(spark, sf_dir).persist()
+    pts = materialize(_roc(spark, sf_dir), "roc")
     # fixed breaks: the first ROC point at or past each quartile of population mass
     quart = [F.min(F.when(F.col("mass") >= F.lit(m), F.col("idx"))) for m in (0.25, 0.5, 0.75)]
     breaks = pts.groupBy("feature").agg(F.array_distinct(F.array(*quart)).alias("break_idx"))
@@ -204,21 +263,22 @@ def q_segment_loss(spark, sf_dir):
 
 @register("woe_binning_report", None)
 def q_woe_binning_report(spark, sf_dir):
-    """Full fit (B9): ROC cut search by DP, greedy category merges, missing placement, WoE, IV, WoE Gini."""
-    df = sample(spark, sf_dir).persist()
+    """Full fit (B9): ROC cut search by DP and moves over all points, greedy category merges, missing placement, WoE, IV,
+    WoE Gini. The columns of the fit are stored once, as it makes several passes."""
+    df = materialize(sample(spark, sf_dir).select(*NUMERIC, *CATEGORICAL, Y), "binning")
     model = binning.fit_binning(df, NUMERIC, CATEGORICAL, Y, BinnerConfig(max_bins=20, min_size=MIN_SIZE))
     return model.feature_stat(spark)
 
 
 @register("woe_bin_spec", None)
 def q_woe_bin_spec(spark, sf_dir):
-    df = sample(spark, sf_dir).persist()
+    df = materialize(sample(spark, sf_dir).select(*NUMERIC, *CATEGORICAL, Y), "binning")
     model = binning.fit_binning(df, NUMERIC, CATEGORICAL, Y, BinnerConfig(max_bins=10, min_size=MIN_SIZE, fast=True))
     return model.bin_spec(spark)
 
 
 @register("merge_categories", None)
 def q_merge_categories(spark, sf_dir):
-    """B1 + B2 on every categorical feature (applyInPandas per feature over the category stats)."""
+    """B1 + B2 on every categorical feature: group number of every category and its place in the group's label."""
     stats = binning.category_stats(sample(spark, sf_dir), CATEGORICAL, Y)
     return binning.merge_categories_spark(stats, MIN_SIZE, 4)

@@ -21,7 +21,7 @@ def test_order_statistics_equal_a_plain_sort(fixture_df):
 
 def test_exact_rank_equals_row_number(fixture_df):
     d = fixture_df.select("epk_id", "trg_flag").withColumn("h", row_hash("epk_id", "r"))
-    ours = exact_rank(d, ["trg_flag"], "h", "epk_id", bits=4)
+    ours = exact_rank(d, ["trg_flag"], ["h", "epk_id"], n_buckets=7)
     ref = d.withColumn("rn", F.row_number().over(Window.partitionBy("trg_flag").orderBy("h", "epk_id")))
     assert ours.join(ref, ["epk_id"]).where(F.col("rank") != F.col("rn")).count() == 0
 
