@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import codecs
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
 from itertools import islice
 
 import numpy as np
@@ -34,9 +34,9 @@ MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
 #: Segments (and parts of segments) kept in a worker's cache, entries that stay when it is full and between tasks,
 #: characters of a segment that is kept, pairs of pieces kept.
-CACHE_SIZE, KEPT, CACHED_LENGTH, PAIRS = 500_000, 200_000, 40, 1_000_000
+CACHE_SIZE, KEPT, CACHED_LENGTH, PAIRS = 300_000, 150_000, 40, 500_000
 #: Characters of texts encoded together, ids decoded together.
-BATCH_CHARS, BATCH_IDS = 1 << 22, 1 << 20
+BATCH_CHARS, BATCH_IDS = 1 << 21, 1 << 19
 
 codecs.register_error("each_byte", lambda e: ("�", e.start + 1))
 
@@ -60,7 +60,6 @@ class PrefixTable:
     """Pieces, automaton and pair test of one merge-type model, and the encoder over them."""
 
     def __init__(self, path: str):
-        import ahocorasick
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2 as pb
 
@@ -92,15 +91,21 @@ class PrefixTable:
                                   else proto.trainer_spec.unk_surface.encode() if p.type == kind.UNKNOWN else b""
                                   for p in proto.pieces], pa.binary())
         self.neighbours = {x + y for p in words for x, y in zip(p, p[1:])}
-        self.automaton = ahocorasick.Automaton()
-        for p, k in self.ids.items():
-            if len(p) == 1 or (p.strip(BLANK) and self.merged([*p]) == [p]):  # others are no last token ever
-                self.automaton.add_word(p, (k, len(p)))
-        self.automaton.make_automaton()
         self.pairs = _Pairs(self)
         self.parts: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
 
+    @cached_property
+    def automaton(self):
+        """The pieces that may be last tokens; only encoding needs it."""
+        import ahocorasick
+        found = ahocorasick.Automaton()
+        for p, k in self.ids.items():
+            if len(p) == 1 or (p.strip(BLANK) and self.merged([*p]) == [p]):  # others are no last token ever
+                found.add_word(p, (k, len(p)))
+        found.make_automaton()
+        return found
+
     def merged(self, symbols: list[str]) -> list[str]:
         """The merges carried out one by one, best score first, on a few characters: the definition."""
         rank = self.rank
