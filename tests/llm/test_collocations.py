@@ -61,7 +61,8 @@ def test_random_texts(spark, seed, chunk_words):
     docs = [(k, "".join(rng.choice(words) + rng.choice([" ", " ", "  ", "\t", ", ", ".", "\n"]) for _ in range(rng.randint(0, 60))),
              rng.choice(["en", "de", None])) for k in range(80)]
     docs += docs[:10]
-    got = rows(phrase_collocations(spark.createDataFrame(docs, SCHEMA).repartition(3), 3, 4, 25, chunk_words=chunk_words))
+    got = rows(phrase_collocations(spark.createDataFrame(docs, SCHEMA).repartition(3), 3, 4, 25, chunk_words=chunk_words,
+                                   part_words=max(100, chunk_words // 10)))
     want = naive([d[1:] for d in docs], 3, 4, 25)
     assert got == want
     assert {len(r[2].split()) for r in want} == {2, 3, 4}
@@ -97,11 +98,11 @@ def test_big_counts_stay_exact(spark):
     assert got == [2_000_000 * big // (2 * big), 2_000_000 * (big // 7) // (big + big // 3)]
 
 
-def test_relation_round_trip():
+def test_packed_columns_round_trip():
     import numpy as np
-    slots, codes, ids = np.array([0, 1, 5, 6, 7, 900_000]), np.array([2, 0, 1, 1, 0, 2]), np.array([7, 1 << 40, 9])
-    back = collocations._unpacked(collocations._packed(slots, codes, ids))
-    assert all((x == y).all() for x, y in zip(back, (slots, codes, ids)))
-    at, place, a, b, n = collocations._adjacent(slots, codes, ids)
-    assert at.tolist() == [0, 5, 6] and sorted(zip(a.tolist(), b.tolist(), n.tolist())) == \
-        sorted([(9, 7, 1), (1 << 40, 1 << 40, 1), (1 << 40, 7, 1)])
+    columns = [np.array([0, 1, 5, 6, 7, 900_000]), np.array([2, 0, 1, 1, 0, 2]), np.array([7, 1 << 40, -9]), np.zeros(0, np.int64)]
+    assert [x.tolist() for x in collocations._unpack(collocations._pack(*columns))] == [x.tolist() for x in columns]
+    slots, codes, ids = columns[0], columns[1], np.array([7, 9, 1 << 40])
+    assert collocations._meetings(slots, codes, ids)[0].tolist() == [0, 5, 6]
+    assert list(zip(*(x.tolist() for x in collocations._adjacent(slots, codes, ids)))) == \
+        [(9, 7, 1), (9, 9, 1), (1 << 40, 7, 1)]
