@@ -250,7 +250,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int =
     parts = 1 + (totals.agg(F.sum("n")).first()[0] or 0) // part_words
     level = stored(words.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
                    .select(F.monotonically_increasing_id().alias("id"), "lang", "phrase", F.col("phrase").alias("last"), "f"),
-                   "phrases")  # storing keeps the numbers
+                   "phrases", few=True)  # storing keeps the numbers
     levels = [level]
     back = words.join(level.select("id", "lang", "phrase"), ["lang", "phrase"]).select("chunk", "lang", "place", "id")
     relations, step = chunks.select("chunk", "lang", "packed"), _first_level(parts)
@@ -262,7 +262,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int =
         second = level.select(F.col("id").alias("b"), "last")
         kept = counted.where(F.col("id").isNotNull()).select("id", "a", "b", "f")
         level = stored(kept.join(first, "a").join(second, "b")
-                       .select("id", "lang", F.concat_ws(" ", "head", "last").alias("phrase"), "last", "f"), "phrases")
+                       .select("id", "lang", F.concat_ws(" ", "head", "last").alias("phrase"), "last", "f"), "phrases", few=True)
         levels.append(level)
         back = counted.where(F.col("id").isNull()).select("chunk", "lang", "packed")
         relations, step = out.where(F.col("part").isNull()).select("chunk", "lang", "packed"), _next_level(parts, k + 1 == longest)

@@ -38,13 +38,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+#: Files per core of a table that is stored with ``few``.
+FILES_PER_CORE = 4
+
+
+def stored(df: DataFrame, name: str, few: bool = False) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and return a DataFrame that reads it back.
 
-    It cuts the lineage: an executor that is lost later costs a reread, never a second run of the plan before."""
+    It cuts the lineage: an executor that is lost later costs a reread, never a second run of the plan before. ``few``: the
+    table is narrow (links, keys, counts); it is written in a few files per core however many shuffle partitions there
+    are, as creating and opening files would take longer than their rows."""
     spark = df.sparkSession
     small_batches(spark)
     path = f"{ensure_checkpoint_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    if few:
+        df = df.coalesce(FILES_PER_CORE * spark.sparkContext.defaultParallelism)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -34,10 +34,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node of ``edges`` (undirected, repeated edges and loops allowed); root is the least node of
     the component. Nodes may be of any orderable type."""
     now = stored(edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-                 .distinct(), "edges")
+                 .distinct(), "edges", few=True)
     state = _state(now)
     while state[0]:
-        now = stored(_star(_star(now, True), False), "edges")
+        now = stored(_star(_star(now, True), False), "edges", few=True)
         before, state = state, _state(now)
         if state == before:
             break

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from giniflow.llm.common import ascii_lower_bytes, stored
 from giniflow.llm.components import components
+from giniflow.llm.lists import across
 
 #: Words in an n-gram; similarity in percent.
 WIDTH, PERCENT = 3, 90
@@ -119,34 +120,42 @@ def describe(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, int] = {}
-        for batch in batches:
+        for part in parts_of(batches):
             seen = seen if len(seen) < SEEN else {}
             rows = []
-            for text in batch.column(3):
+            for text in part.column(3):
                 t = token_set(text.as_py(), seen, width)
                 held = head_size(len(t), percent)
                 sketch = parity_sketch(t)
                 rows.append((len(t), hashlib.blake2b(t.tobytes(), digest_size=16).digest(), held, t[:held].tobytes(), sketch,
                              np.bitwise_xor.reduce(np.frombuffer(sketch, np.int64).reshape(-1, FOLD)).tolist()))
             out = _fields(schema, *(zip(*rows, strict=True) if rows else [()] * 6))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *out.columns],
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], *out.columns],
                                              names=["row", "doc_id", "key", *out.schema.names])
 
     return source.mapInArrow(run, f"row long, doc_id {kind}, key binary, {schema}".replace("longs", "array<long>"))
 
 
+def parts_of(batches: Iterator[pa.RecordBatch], most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """The rows in parts of about ``most`` bytes, so that what a task holds does not grow with the length of its rows."""
+    for batch in batches:
+        n = max(1, most * max(batch.num_rows, 1) // max(batch.nbytes, 1))
+        for at in range(0, batch.num_rows, n):
+            yield batch.slice(at, n)
+
+
 def sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(node, tokens) of the nodes in ``wanted`` (node, key), read from the texts again."""
-    wanted = stored(wanted.select("node", "key").distinct(), "wanted")
+    wanted = stored(wanted.select("node", "key").distinct(), "wanted", few=True)
     texts = docs.select("text").withColumn("key", text_key(F.col("text"))).join(
         _small(wanted, wanted.count()), "key").dropDuplicates(["node"]).select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, int] = {}
-        for batch in batches:
+        for part in parts_of(batches):
             seen = seen if len(seen) < SEEN else {}
-            sets = [token_set(t.as_py(), seen, width).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "tokens"])
+            sets = [token_set(t.as_py(), seen, width).tobytes() for t in part.column(1)]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["node", "tokens"])
 
     return stored(texts.mapInArrow(run, "node long, tokens binary"), "sets")
 
@@ -155,14 +164,12 @@ def exploded(rows: DataFrame, column: str) -> DataFrame:
     """(node, token) for every token of a binary column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                tokens = [np.frombuffer(b.as_py(), np.int64) for b in part.column(1)]
-                index = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(index)),
-                                                  pa.array(np.concatenate([*tokens, np.zeros(0, np.int64)]))],
-                                                 names=["node", "token"])
+        for part in parts_of(batches):
+            tokens = [np.frombuffer(b.as_py(), np.int64) for b in part.column(1)]
+            index = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(index)),
+                                              pa.array(np.concatenate([*tokens, np.zeros(0, np.int64)]))],
+                                             names=["node", "token"])
 
     return rows.select("node", column).mapInArrow(run, "node long, token long")
 
@@ -191,25 +198,25 @@ def postings(rows: DataFrame, column: str, percent: int, bits: int) -> DataFrame
     mask, wide = np.uint64((1 << bits) - 1), np.int64((1 << min(63, bits + 8)) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                pairs, sigs, nodes, sizes, places = [], [], [], [], []
-                for node, n, raw, hot in zip(*(c.to_pylist() for c in batch.slice(at, 512).columns), strict=True):
-                    tokens = np.frombuffer(raw, np.uint64)
-                    often = np.isin(tokens & mask, np.array(hot or [], np.int64).astype(np.uint64))
-                    rare, many = tokens[~often], prefix_size(n, percent)
-                    single = rare[:many]
-                    both = np.zeros(0, np.uint64)
-                    if len(rare) < many:
-                        last = tokens[often][:max(0, extended_size(n, percent) - len(rare))]
-                        with np.errstate(over="ignore"):
-                            both = _mix(_mix(last[:-1]) + last[1:])
-                    pairs += [False] * len(single) + [True] * len(both)
-                    sigs += [single.view(np.int64) & wide, both.view(np.int64) & wide]
-                    nodes += [node] * (len(single) + len(both))
-                    sizes += [n] * (len(single) + len(both))
-                    places += [*range(len(single)), *[len(rare)] * len(both)]
-                yield _fields(schema, pairs, np.concatenate([*sigs, np.zeros(0, np.int64)]), nodes, sizes, places)
+        for part in parts_of(batches, 1 << 20):
+            found = [[np.zeros(0, t)] for t in (bool, np.int64, np.int64, np.int32, np.int32)]
+            for node, n, raw, hot in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                tokens = np.frombuffer(raw, np.uint64)
+                often = np.isin(tokens & mask, np.array(hot or [], np.int64).astype(np.uint64))
+                rare, many = tokens[~often], prefix_size(n, percent)
+                single = rare[:many]
+                both = np.zeros(0, np.uint64)
+                if len(rare) < many:
+                    last = tokens[often][:max(0, extended_size(n, percent) - len(rare))]
+                    with np.errstate(over="ignore"):
+                        both = _mix(_mix(last[:-1]) + last[1:])
+                s, b = len(single), len(both)
+                sig = np.concatenate([single, both]).view(np.int64) & wide
+                place = np.concatenate([np.arange(s), np.full(b, len(rare))])
+                for column, x in zip(found, (np.arange(s + b) >= s, sig, np.full(s + b, node), np.full(s + b, n), place), strict=True):
+                    column.append(x)
+            pairs, sigs, nodes, sizes, places = (np.concatenate(c) for c in found)
+            yield _fields(schema, pairs, sigs, nodes, sizes.astype(np.int32), places.astype(np.int32))
 
     return rows.select("node", "n", column, "hot").mapInArrow(run, schema)
 
@@ -289,7 +296,7 @@ def links(docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFra
     total = reps.agg(F.sum("held")).first()[0] or 0
     bits = min(63, max(24, total.bit_length() + 6))
     rows = reps.select("node", "n", "key", "held", "head")
-    frequent = stored(frequent_tokens(rows, "head", bits), "frequent")
+    frequent = stored(frequent_tokens(rows, "head", bits), "frequent", few=True)
 
     def look_up(rows: DataFrame, column: str) -> DataFrame:
         return hot_tokens(rows, column, frequent, frequent.count(), bits)
@@ -300,12 +307,12 @@ def links(docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFra
         return rows.select("node", "n", "key", "held").join(hot, "node").where((F.col("held") < F.col("n")) & few)
 
     hot = stored(look_up(rows, "head"), "hot")
-    dense = stored(dense_of(hot).select("node", "n", "key"), "dense")
+    dense = stored(dense_of(hot).select("node", "n", "key"), "dense", few=True)
     if dense.limit(1).count():  # documents made of frequent tokens: count their whole sets, too
         sets = sets_of(docs, dense, width)
-        frequent = stored(frequent.union(frequent_tokens(sets, "tokens", bits)).distinct(), "frequent")
+        frequent = stored(frequent.union(frequent_tokens(sets, "tokens", bits)).distinct(), "frequent", few=True)
         hot = stored(look_up(rows, "head"), "hot")
-        dense = stored(dense_of(hot).select("node", "n", "key"), "dense")
+        dense = stored(dense_of(hot).select("node", "n", "key"), "dense", few=True)
         whole = sets_of(docs, dense, width).join(dense.select("node", "n"), "node")
         n_dense = dense.count()
         indexed = postings(rows.join(_small(dense.select("node"), n_dense), "node", "left_anti").join(hot, "node", "left"),
@@ -320,7 +327,7 @@ def links(docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFra
               .where("c > 1").select("sig", "m.*"))
     found = _pairs(single, single, F.col("x.node") < F.col("y.node"), percent).unionByName(
         _pairs(pivots, pair, F.lit(True), percent)).distinct()
-    found = stored(sketch_filter(found, reps, percent), "candidates")
+    found = stored(sketch_filter(found, reps, percent), "candidates", few=True)
     return _confirmed(docs, reps, found, pair, width, percent)
 
 
@@ -333,17 +340,14 @@ def _confirmed(docs: DataFrame, reps: DataFrame, found: DataFrame, pair: DataFra
     # one pair per node first: what they join need not be compared again
     first = found.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     roots = components(linked(first, sets, percent))
-    more = stored(linked(_across(found, roots), sets, percent), "links")
+    more = stored(linked(_across(found, roots), sets, percent), "links", few=True)
     if more.limit(1).count():
         roots = components(more.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
     # members of a list of frequent pairs that are not in the same component yet
-    rooted = pair.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    several = rooted.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    rooted = rooted.join(several.select("sig"), "sig", "left_semi")
-    rooted = rooted.join(reps.select("node", *folded()), "node")     # what cannot be alike never leaves the join
-    across = (F.col("x.root") < F.col("y.root")) & may_be_alike("x.", "y.", percent)
-    rest = stored(sketch_filter(_pairs(rooted, rooted, across, percent), reps, percent), "candidates")
+    rest = across(pair.drop("pair"), roots, reps.select("node", "n", *folded()), lambda x, y: may_be_alike(x, y, percent),
+                  lambda x, y: _may_link(x, y, percent))
+    rest = stored(sketch_filter(rest, reps, percent), "candidates", few=True)
     if not rest.limit(1).count():
         return roots
     return components(linked(rest, sets, percent).union(
@@ -353,7 +357,7 @@ def _confirmed(docs: DataFrame, reps: DataFrame, found: DataFrame, pair: DataFra
 def row_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """row, doc_id, key, n and root of every row; equal sets have one root, empty sets none."""
     rows = stored(describe(docs, width, percent), "described")
-    classes = stored(rows.where("n > 0").groupBy("digest").agg(F.min("row").alias("node")), "classes")
+    classes = stored(rows.where("n > 0").groupBy("digest").agg(F.min("row").alias("node")), "classes", few=True)
     first = _small(classes.select(F.col("node").alias("row")), classes.count())
     reps = rows.join(first, "row", "left_semi").withColumnRenamed("row", "node").drop("doc_id", "digest")
     roots = links(docs, reps, width, percent)
@@ -374,13 +378,13 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
 def drop_near_copies(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """One row of each component, that with the least id (null last, then by text); all columns unchanged. Rows with an
     empty set all stay."""
-    rows = stored(row_components(docs.select("doc_id", "text"), width, percent).where("root is not null"), "rows")
+    rows = stored(row_components(docs.select("doc_id", "text"), width, percent).where("root is not null"), "rows", few=True)
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
     kept = rows.groupBy("root").agg(F.min(place).alias("kept"))
     gone = stored(rows.join(kept, "root").where(~place.eqNullSafe(F.col("kept")))
-                  .select(F.col("doc_id").alias("_gone_id"), F.col("key").alias("_gone_key")).distinct(), "gone")
+                  .select(F.col("doc_id").alias("_gone_id"), F.col("key").alias("_gone_key")).distinct(), "gone", few=True)
     twice = stored(rows.groupBy("doc_id", "key").count().where("count > 1")
-                   .select(F.col("doc_id").alias("_gone_id"), F.col("key").alias("_gone_key")), "twice")
+                   .select(F.col("doc_id").alias("_gone_id"), F.col("key").alias("_gone_key")), "twice", few=True)
     tagged = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs["doc_id"].alias("_id"),
                          text_key(docs["text"]).alias("_key"))
     on = F.col("_id").eqNullSafe(F.col("_gone_id")) & (F.col("_key") == F.col("_gone_key"))

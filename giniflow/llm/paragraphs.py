@@ -1,16 +1,21 @@
-"""Substring dedup (operator 8): paragraph MinHash banding.
+"""Substring dedup (operator 8): paragraph MinHash banding over units that cover the whole text.
 
-A paragraph is a line; those of at least ``MIN_WORDS`` words are compared as sets of five-word shingles. Equal paragraphs
-(same words, A-Z in either case) are one node. Nodes get MinHash bands, tuned so that a pair at the similarity asked for
+Units are of two kinds. A *line* of at least ``MIN_WORDS`` words is compared as a set of five-word shingles. Equal lines (same
+words, A-Z in either case) are one node. Nodes get MinHash bands, tuned so that a pair at the similarity asked for
 collides with probability ``RECALL`` at least; colliding nodes are joined, their exact Jaccard similarity is computed
 from the texts, and the links are closed into components. The first occurrence of a component stays, all others are
 marked for removal.
 
+A *block* (``passages.py``) is cut by content: neighbouring windows of fifty words that have the same least gram hash,
+whatever the line ends. Blocks are compared for equality, for which that one hash is band enough; where a gram occurs
+again, hits are extended word by word to the full shared run. Every word of a text of fifty words stands in a block, so a
+passage inside longer lines, or over several, is found as well. `repeated_units` returns both from one pass over the texts.
+
 Buckets may be of any size: members are compared with one pivot of the bucket first, then only across components and
 only where sizes and parity sketches allow a link, so a group of copies costs about as many comparisons as it has
 members. Nothing is dropped or capped.
 
-Null or empty texts have no paragraphs. Rows are numbered once, so equal rows are different occurrences; a null id sorts
+Null or empty texts have no units. Rows are numbered once, so equal rows are different occurrences; a null id sorts
 first. Extra columns are not read.
 """
 
@@ -26,13 +31,13 @@ from pyspark.sql import functions as F
 
 from giniflow.llm.common import ascii_lower_bytes, stored
 from giniflow.llm.components import components
-from giniflow.llm.jaccard import (FOLD, SEEN, _mix, _small, folded, linked, may_be_alike, text_key, token_set,
-                                  word_hash)
+from giniflow.llm.jaccard import FOLD, SEEN, _mix, _small, folded, linked, may_be_alike, parts_of, text_key, token_set
+from giniflow.llm.lists import across
 
 MIN_WORDS, WIDTH, PERCENT, RECALL = 25, 5, 80, 0.999
 
 
-def tune_bands(similarity: float, recall: float, most: int = 64) -> tuple[int, int]:
+def tune_bands(similarity: float, recall: float, most: int = 32) -> tuple[int, int]:
     """(bands, rows): the most rows per band, so the fewest chance collisions, for which at most ``most`` hashes reach
     the recall at ``similarity``."""
     for rows in range(most, 0, -1):
@@ -80,52 +85,79 @@ def split_paragraphs(text: str | None, min_words: int) -> Iterator[tuple[int, in
         if len(line) >= 2 * min_words - 1:
             words = ascii_lower_bytes(line).split()
             if len(words) >= min_words:
-                yield k, at, at + len(line), words, line, hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+                yield k, at, at + len(line), words, line, _node(words)
         at += len(line) + 1
 
 
-def describe(docs: DataFrame, min_words: int, width: int, bands: tuple[int, int]) -> DataFrame:
+def _node(words: list[bytes]) -> bytes:
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+
+
+def describe(docs: DataFrame, min_words: int, width: int, bands: tuple[int, int], span: int = 0, k: int = 0) -> DataFrame:
+    """Of every text, from one pass: a row for each line that is long enough (paragraph number, place, node, bands) and, with
+    ``span``, a row (paragraph is null) with its number of words and its blocks (``passages.blocks``)."""
+    from giniflow.llm import passages
     source = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_key(F.col("text")).alias("key"), "text")
     kind = source.schema["doc_id"].dataType.simpleString()
+    schema = (f"row long, doc_id {kind}, key binary, paragraph int, start long, end long, n_words int, node binary, "
+              "bands array<long>, prints array<long>, wholes array<int>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, int] = {}
         for batch in batches:
-            for part in (batch.slice(k, 256) for k in range(0, batch.num_rows, 256)):
+            for part in (batch.slice(j, 128) for j in range(0, batch.num_rows, 128)):
                 seen = seen if len(seen) < SEEN else {}
-                found = [(i, *x) for i, text in enumerate(part.column(3)) for x in split_paragraphs(text.as_py(), min_words)]
-                owner, number, start, end, words, _, node = zip(*found, strict=True) if found else [()] * 7
-                sizes = np.array([len(w) for w in words], np.int64)
-                flat = (w for line in words for w in line)
-                hashes = np.fromiter((seen.get(w) or seen.setdefault(w, word_hash(w)) for w in flat), np.uint64,
-                                     int(sizes.sum()))
-                sigs = band_hashes(hashes, sizes, width, bands)
+                found, hashes, whole = [], [], []
+                for i, text in enumerate(part.column(3)):
+                    text, at, mine = text.as_py() or "", 0, []
+                    for number, line in enumerate(text.split("\n")):
+                        words = ascii_lower_bytes(line).split()
+                        h = passages.word_hashes(words, seen)
+                        mine.append(h)
+                        if len(words) >= min_words:
+                            found.append((i, number, at, at + len(line), len(words), _node(words)))
+                            hashes.append(h)
+                        at += len(line) + 1
+                    if span:
+                        mine = np.concatenate(mine)
+                        whole.append((i, len(mine), *passages.prints(mine, span, k)))
+                owner, number, start, end, n_words, node = zip(*found, strict=True) if found else [()] * 6
+                sizes = np.array(n_words, np.int64)
+                sigs = band_hashes(np.concatenate([*hashes, np.zeros(0, np.uint64)]), sizes, width, bands)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1) * bands[0], pa.int32()),
                                                  pa.array(sigs.ravel()))
                 at = pa.array(owner, pa.int64())
-                columns = [pa.array(number, pa.int32()), pa.array(start, pa.int64()), pa.array(end, pa.int64()),
-                           pa.array(sizes.astype(np.int32)), pa.array(node, pa.binary()), lists]
+                none = [pa.nulls(len(found), pa.list_(t)) for t in (pa.int64(), pa.int32())]
+                names = ["row", "doc_id", "key", "paragraph", "start", "end", "n_words", "node", "bands", "prints", "wholes"]
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(c).take(at) for c in range(3)], *columns],
-                    names=["row", "doc_id", "key", "paragraph", "start", "end", "n_words", "node", "bands"])
+                    [*[part.column(c).take(at) for c in range(3)], pa.array(number, pa.int32()), pa.array(start, pa.int64()),
+                     pa.array(end, pa.int64()), pa.array(sizes.astype(np.int32)), pa.array(node, pa.binary()), lists, *none], names)
+                if whole:
+                    owner, total, grams, alls = zip(*whole, strict=True)
+                    at, n = pa.array(owner, pa.int64()), len(whole)
+                    ends = pa.array(np.cumsum([0, *map(len, grams)]).astype(np.int32))
+                    yield pa.RecordBatch.from_arrays(
+                        [*[part.column(c).take(at) for c in range(3)], pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()),
+                         pa.nulls(n, pa.int64()), pa.array(total, pa.int32()), pa.nulls(n, pa.binary()),
+                         pa.nulls(n, pa.list_(pa.int64())), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(grams))),
+                         pa.ListArray.from_arrays(ends, pa.array(np.concatenate(alls)))], names)
 
-    return source.mapInArrow(run, f"row long, doc_id {kind}, key binary, paragraph int, start long, end long, "
-                                  "n_words int, node binary, bands array<long>")
+    return source.mapInArrow(run, schema)
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, min_words: int, width: int) -> DataFrame:
     """(node, tokens, n, fold) of the nodes in ``wanted`` (node, key), read from the texts again."""
-    wanted = stored(wanted.select("node", "key").distinct(), "wanted")
+    wanted = stored(wanted.select("node", "key").distinct(), "wanted", few=True)
     size = wanted.count()
     keys = wanted.select("key").distinct()
     texts = docs.select(text_key(F.col("text")).alias("key"), "text").join(_small(keys, size), "key").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, int] = {}
-        for batch in batches:
+        for part in parts_of(batches):
             seen = seen if len(seen) < SEEN else {}
             rows = []
-            for text in batch.column(0):
+            for text in part.column(0):
                 for *_, line, node in split_paragraphs(text.as_py(), min_words):
                     t = token_set(line, seen, width)
                     odd = np.bincount((t >> np.uint64(40)).astype(np.int64) % (64 * FOLD), minlength=64 * FOLD) & 1
@@ -143,7 +175,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, min_words: int, width: int) -> D
 def bucket_links(docs: DataFrame, reps: DataFrame, min_words: int, width: int, percent: int) -> DataFrame:
     """(node, root) of the nodes that link with another one. ``reps``: node, key, bands."""
     rows = reps.select("node", F.explode("bands").alias("sig"))
-    several = stored(rows.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "buckets")
+    several = stored(rows.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "buckets", few=True)
     rows = stored(rows.join(_small(several, several.count()), "sig"), "members")
     sets = sets_of(docs, reps.select("node", "key").join(rows.select("node").distinct(), "node"), min_words, width)
     sketches = sets.select("node", "n", *folded())
@@ -156,17 +188,12 @@ def bucket_links(docs: DataFrame, reps: DataFrame, min_words: int, width: int, p
     for side in "ab":
         first = first.join(sketches.select(F.col("node").alias(side), *[F.col(c).alias(f"{side}_{c}")
                                                                         for c in sketches.columns[1:]]), side)
-    true = stored(linked(first.where(may_be_alike("a_", "b_", percent)).select("a", "b"), sets, percent), "links")
+    true = stored(linked(first.where(may_be_alike("a_", "b_", percent)).select("a", "b"), sets, percent), "links", few=True)
     roots = components(true)
 
-    # members of a bucket that are not in one component yet; pairs that cannot be alike never leave the join
-    rooted = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    split = rooted.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("sig")
-    rooted = rooted.join(split, "sig", "left_semi").join(sketches, "node")
-    rest = rooted.alias("x").join(rooted.alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.root") < F.col("y.root"))
-                                  & may_be_alike("x.", "y.", percent)).select(
-        F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    more = stored(linked(rest, sets, percent), "links")
+    # members of a bucket that are not in one component yet
+    rest = across(rows.select("sig", "node"), roots, sketches, lambda x, y: may_be_alike(x, y, percent))
+    more = stored(linked(rest, sets, percent), "links", few=True)
     if not more.limit(1).count():
         return roots
     return components(more.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
@@ -177,13 +204,28 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, width: int
     """Every occurrence of a paragraph that occurs again, exactly or nearly: doc_id, paragraph (line number from 0),
     start, end (code points), n_words, n_occurrences, first_doc_id, first_start, removed (all but the first)."""
     docs = docs.select("doc_id", "text")
-    found = stored(describe(docs, min_words, width, bands), "paragraphs")
+    return _repeated_lines(docs, stored(describe(docs, min_words, width, bands), "paragraphs"), min_words, width, percent)
+
+
+def _repeated_lines(docs: DataFrame, found: DataFrame, min_words: int, width: int, percent: int) -> DataFrame:
     reps = stored(found.groupBy("node").agg(F.min("key").alias("key"), F.first("bands").alias("bands")), "nodes")
     roots = bucket_links(docs, reps, min_words, width, percent)
-    found = found.drop("bands").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    found = found.drop("bands", "prints", "wholes").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     place = F.struct("doc_id", "start", "row")
     groups = found.groupBy("root").agg(F.count(F.lit(1)).alias("n_occurrences"), F.min(place).alias("first")).where(
         "n_occurrences > 1")
     return found.join(groups, "root").select(
         "doc_id", "paragraph", "start", "end", "n_words", "n_occurrences", F.col("first.doc_id").alias("first_doc_id"),
         F.col("first.start").alias("first_start"), (~place.eqNullSafe(F.col("first"))).alias("removed"))
+
+
+def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS, width: int = WIDTH, percent: int = PERCENT,
+                   bands: tuple[int, int] = BANDS) -> DataFrame:
+    """The repeated lines (`repeated_paragraphs`) and the repeated runs of words (``passages.repeated_runs``), told apart by
+    ``unit`` ('line', 'run'); what is removed is the union of the removed ranges."""
+    from giniflow.llm import passages
+    docs = docs.select("doc_id", "text")
+    found = stored(describe(docs, min_words, width, bands, passages.SPAN, passages.K), "units")
+    lines = _repeated_lines(docs, found.where(F.col("paragraph").isNotNull()), min_words, width, percent)
+    runs = passages.runs_of(docs, found.where(F.col("paragraph").isNull()), passages.SPAN, passages.K)
+    return lines.select(F.lit("line").alias("unit"), *lines.columns).unionByName(runs.select(F.lit("run").alias("unit"), *runs.columns))

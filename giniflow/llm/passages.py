@@ -1,16 +1,17 @@
-"""Substring dedup (operator 8), the part without regard to lines: every run of words that occurs again.
+"""Substring dedup (operator 8), the blocks: every run of words that occurs again, without regard to line ends.
 
 A passage is a run of at least ``SPAN`` words (separated by blanks or line ends, A-Z in either case) that stands in two
 rows, or twice in one row without overlap. All of them are found: each window of ``SPAN`` words is known by the least hash
 of its ``K``-word grams, and neighbouring windows mostly share theirs: these are a block. Equal windows have equal least
-hashes, so a first pass stores two hashes a block, that of the gram and that of all its words. Where a gram occurs again,
-its blocks are counted as a whole if all are alike, and window by window if not (at the ends of what is shared). A passage
-is a maximal run of repeated windows, so it has the full extent of what is shared. The first occurrence of a window (least
-id, then row) stays, all others are removed, except where they overlap the first in its own row (one repeated phrase is
-kept for ``SPAN`` words).
+hashes, so a first pass keeps two hashes a block, that of the gram and that of all its words. Where a gram occurs again,
+its blocks are counted as a whole if all are alike, and window by window if not (at the ends of what is shared), which
+extends each hit word by word. A passage is a maximal run of repeated windows, so it has the full extent of what is shared.
+The first occurrence of a window (least id, then row) stays, all others are removed, except where they overlap the first
+in its own row (one repeated phrase is kept for ``SPAN`` words).
 
-Blocks and windows are grouped by hash with map-side counts, never compared in pairs: a passage with any number of copies
-costs as much as its occurrences. Nothing is dropped or capped. Hashes have 64 bits.
+Equal texts are one text with a count. Texts are numbered in the order of their first rows; blocks and windows are grouped
+by hash with map-side counts, never compared in pairs: a passage with any number of copies costs as much as its occurrences.
+Nothing is dropped or capped. Hashes have 64 bits (that of a block's words, compared within one gram, 32).
 
 Null or empty texts have no passages. Equal rows are different occurrences; a null id sorts first. Extra columns are not
 read.
@@ -26,11 +27,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from giniflow.llm.common import BLANKS, ascii_lower_bytes, stored
-from giniflow.llm.jaccard import BROADCAST_NODES, SEEN, _mix, _small, text_key, word_hash
-from giniflow.llm.paragraphs import repeated_paragraphs
+from giniflow.llm.jaccard import SEEN, _mix, _small, text_key, word_hash
+from giniflow.operators.prefix import exact_rank
 
 #: Words in a window, words in a gram.
-SPAN, K = 50, 25
+SPAN, K = 50, 12
 
 _BASE = 0x9E3779B97F4A7C15
 _BACK = pow(_BASE, -1, 2**64)
@@ -74,6 +75,16 @@ def blocks(words: np.ndarray, span: int, k: int) -> tuple[np.ndarray, np.ndarray
     return starts, sizes, least[starts], of(starts, sizes + span - 1), of
 
 
+def prints(words: np.ndarray, span: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least gram hash and hash of all words of every block. A block in which the gram itself must stand twice comes with two
+    different hashes."""
+    _, sizes, least, whole, _ = blocks(words, span, k)
+    long = sizes > span - k + 1
+    short = (whole >> np.uint64(32)).astype(np.uint32)
+    return (np.concatenate([least, least[long]]).view(np.int64),
+            np.concatenate([short, ~short[long]]).view(np.int32))
+
+
 def word_places(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end in code points and line number of every word of UTF-8 bytes."""
     data = np.frombuffer(raw, np.uint8)
@@ -84,104 +95,128 @@ def word_places(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return points[first], points[past], lines[first]
 
 
-def _blocks_of(docs: DataFrame, span: int, k: int) -> DataFrame:
-    """(key, blocks) of every row: least gram hash and hash of all words. A block in which the gram itself must stand twice
-    comes with two different hashes."""
-    schema = "key binary, prints array<long>, wholes array<long>"
+def _texts_of(docs: DataFrame, wanted: DataFrame, columns: list[str]) -> DataFrame:
+    """Each text in ``wanted`` (key, doc_id of its first row, ...) once for every row with that id, with ``columns``."""
+    wanted = wanted.withColumnRenamed("doc_id", "_first_id")
+    texts = docs.select("doc_id", text_key(F.col("text")).alias("key"), "text")
+    return texts.join(wanted, (texts["key"] == wanted["key"]) & F.col("doc_id").eqNullSafe(F.col("_first_id"))).select(*columns, "text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, int] = {}
-        for batch in batches:
-            for part in (batch.slice(j, 256) for j in range(0, batch.num_rows, 256)):
-                seen = seen if len(seen) < SEEN else {}
-                found = [[np.zeros(0, np.uint64)] * 2]
-                for text in part.column(1):
-                    _, sizes, least, whole, _ = blocks(word_hashes(ascii_lower_bytes(text.as_py() or "").split(), seen), span, k)
-                    long = sizes > span - k + 1
-                    found.append([np.concatenate([least, least[long]]), np.concatenate([whole, ~whole[long]])])
-                ends = pa.array(np.cumsum([len(f[0]) for f in found]).astype(np.int32))
-                lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([f[j] for f in found]).view(np.int64)))
-                         for j in range(2)]
-                yield pa.RecordBatch.from_arrays([part.column(0), *lists], names=["key", "prints", "wholes"])
-
-    return docs.select(text_key(F.col("text")).alias("key"), "text").mapInArrow(run, schema)
-
-
-def _units_of(docs: DataFrame, wanted: DataFrame, span: int, k: int) -> DataFrame:
-    """row, doc_id, pos (in words), size (in windows), start, end, line and hash of what may be repeated. ``wanted``: of a
-    text's key the gram hashes of blocks that are taken as a whole (alike) and window by window (mixed)."""
-    source = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_key(F.col("text")).alias("key"), "text")
-    kind = source.schema["doc_id"].dataType.simpleString()
-    total = wanted.agg(F.sum(F.size("alike") + F.size("mixed"))).first()[0] or 0
-    texts = source if total <= BROADCAST_NODES else source.join(_small(wanted.select("key"), wanted.count()), "key", "left_semi")
-    texts = texts.join(_small(wanted, total), "key").select("row", "doc_id", "text", "alike", "mixed")
+
+def _units_of(texts: DataFrame, span: int, k: int) -> DataFrame:
+    """tid, c, pos (in words), size (in windows) and hash of what may be repeated. ``texts``: with the gram hashes of
+    blocks that are taken as a whole (alike) and window by window (mixed)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, int] = {}
         for batch in batches:
             for part in (batch.slice(j, 64) for j in range(0, batch.num_rows, 64)):
                 seen = seen if len(seen) < SEEN else {}
-                owners, found = [np.zeros(0, np.int64)], [[np.zeros(0, np.int64)] * 6]
-                for i, (text, alike, mixed) in enumerate(zip(*part.columns[2:], strict=True)):
-                    raw = ascii_lower_bytes(text.as_py() or "")
-                    starts, sizes, least, whole, of = blocks(word_hashes(raw.split(), seen), span, k)
+                owners, found = [np.zeros(0, np.int64)], [[np.zeros(0, np.int64)] * 3]
+                for i, (alike, mixed, text) in enumerate(zip(*part.columns[2:], strict=True)):
+                    starts, sizes, least, whole, of = blocks(
+                        word_hashes(ascii_lower_bytes(text.as_py() or "").split(), seen), span, k)
                     one, each = (np.isin(least.view(np.int64), x.values.to_numpy(zero_copy_only=False)) for x in (alike, mixed))
                     single = np.flatnonzero(np.repeat(each, sizes))
-                    pos = np.concatenate([starts[one], single])
-                    size = np.concatenate([sizes[one], np.ones(len(single), np.int64)])
-                    start, end, line = word_places(raw)
-                    owners.append(np.full(len(pos), i, np.int64))
-                    found.append([pos, size, start[pos], end[pos + size + span - 2], line[pos],
+                    owners.append(np.full(len(single) + int(one.sum()), i, np.int64))
+                    found.append([np.concatenate([starts[one], single]),
+                                  np.concatenate([sizes[one], np.ones(len(single), np.int64)]),
                                   np.concatenate([whole[one], of(single, span)]).view(np.int64)])
                 owner = pa.array(np.concatenate(owners))
-                columns = [np.concatenate(c) for c in zip(*found, strict=True)]
-                kinds = [np.int32] * 5 + [np.int64]
+                pos, size, value = (np.concatenate(c) for c in zip(*found, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(c).take(owner) for c in range(2)],
-                     *[pa.array(c.astype(t)) for c, t in zip(columns, kinds, strict=True)]],
-                    names=["row", "doc_id", "pos", "size", "start", "end", "line", "hash"])
+                    [part.column(0).take(owner), part.column(1).take(owner), pa.array(pos.astype(np.int32)),
+                     pa.array(size.astype(np.int32)), pa.array(value)], names=["tid", "c", "pos", "size", "hash"])
+
+    return texts.mapInArrow(run, "tid long, c long, pos int, size int, hash long")
 
-    return texts.mapInArrow(run, f"row long, doc_id {kind}, pos int, size int, start int, end int, line int, hash long")
+
+def _places_of(texts: DataFrame) -> DataFrame:
+    """tid, pos, n and the start, end and line of n words from pos, for every asked (pos, n) of a text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for tid, asked, text in zip(*batch.columns, strict=True):
+                start, end, line = word_places((text.as_py() or "").encode("utf-8", "surrogatepass"))
+                rows += [(tid.as_py(), a["pos"], a["n"], int(start[a["pos"]]), int(end[a["pos"] + a["n"] - 1]), int(line[a["pos"]]))
+                         for a in asked.as_py()]
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 6, kinds)],
+                                             names=["tid", "pos", "n", "start", "end", "line"])
+
+    return texts.mapInArrow(run, "tid long, pos int, n int, start long, end long, line int")
+
+
+def runs_of(docs: DataFrame, found: DataFrame, span: int, k: int) -> DataFrame:
+    """`repeated_runs` from the stored description of every row (row, doc_id, key, n_words, prints, wholes)."""
+    rows = found.where(F.col("n_words") >= span)
+    texts = rows.groupBy("key").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.count(F.lit(1)).alias("c"),
+                                    F.first("n_words").alias("n_words"), F.first(F.arrays_zip("prints", "wholes")).alias("blocks"))
+    texts = exact_rank(stored(texts.select("key", "first.doc_id", "first.row", "c", "n_words", "blocks"), "texts"),
+                       [], ["doc_id", "row"], out="tid")
+    each = texts.select("tid", "c", F.inline("blocks"))
+    again = stored(each.groupBy("prints").agg(F.sum("c").alias("n"), F.min("wholes").alias("lo"), F.max("wholes").alias("hi"))
+                   .where("n > 1").select("prints", (F.col("lo") == F.col("hi")).alias("same")), "again", few=True)
+    hit = each.select("tid", "prints").join(_small(again, again.count()), "prints")
+    wanted = hit.groupBy("tid").agg(F.collect_set(F.when(F.col("same"), F.col("prints"))).alias("alike"),
+                                    F.collect_set(F.when(~F.col("same"), F.col("prints"))).alias("mixed"))
+    heads = texts.select("tid", "key", "doc_id", "c", "n_words")
+    wanted = stored(wanted.join(heads, "tid").select("tid", "c", "key", "doc_id", "alike", "mixed"), "wanted", few=True)
+    asked = _texts_of(docs, _small(wanted, wanted.agg(F.sum(F.size("alike") + F.size("mixed"))).first()[0] or 0),
+                      ["tid", "c", "alike", "mixed"])
+    units = stored(_units_of(asked, span, k), "units")
+
+    # rows of equal text and id give the same units again: an exact place counts once
+    groups = units.groupBy("hash").agg(F.min(F.struct("tid", "pos")).alias("first"), F.max(F.struct("tid", "pos")).alias("last"),
+                                       F.max("c").alias("most"))
+    near = F.col("first.pos") + span
+    groups = groups.where((F.col("first.tid") != F.col("last.tid")) | (F.col("most") > 1) | (F.col("last.pos") >= near))
+    hits = units.join(groups.select("hash", "first"), "hash").distinct().select(
+        "tid", "c", "pos", "size", "hash", F.col("first.tid").alias("first_tid"), F.col("first.pos").alias("first_pos"),
+        ((F.col("tid") != F.col("first.tid")) | (F.col("pos") >= near)).alias("removed"))
+    hits = stored(hits, "hits")
+    # consecutive windows of a text with the same outcome and their first occurrence in the same text
+    same = ["tid", "first_tid", "removed"]
+    before = F.sum("size").over(Window.partitionBy(*same).orderBy("pos")) - F.col("size")
+    counts = hits.groupBy("hash").agg(F.sum("c").alias("n"))
+    runs = hits.join(counts, "hash").withColumn("run", F.col("pos") - before).groupBy(*same, "run").agg(
+        F.min(F.struct("pos", "first_pos")).alias("a"), F.sum("size").alias("size"), F.max("n").alias("n_occurrences"))
+    runs = stored(runs.select(*same, "a.pos", "a.first_pos", (F.col("size") + span - 1).cast("int").alias("n"), "n_occurrences"), "runs", few=True)
+
+    # the other rows of a text that stands more than once are repeated from end to end
+    begins = runs.where("pos = 0").groupBy("tid").agg(F.min(F.struct("first_tid", "first_pos")).alias("f"))
+    most = runs.groupBy("tid").agg(F.max("n_occurrences").alias("n_occurrences"))
+    copies = heads.where("c > 1").join(begins, "tid").join(most, "tid").select(
+        "tid", "f.first_tid", F.lit(True).alias("removed"), F.lit(0).alias("pos"), "f.first_pos", F.col("n_words").alias("n"),
+        "n_occurrences")
+    ask = runs.select("tid", "pos", "n").unionByName(copies.select("tid", "pos", "n")).unionByName(
+        runs.select(F.col("first_tid").alias("tid"), F.col("first_pos").alias("pos"), F.lit(1).alias("n"))).distinct()
+    lists = ask.groupBy("tid").agg(F.collect_list(F.struct("pos", "n")).alias("asked")).join(heads, "tid").select(
+        "tid", "key", "doc_id", "asked")
+    lists = stored(lists, "asked", few=True)
+    places = stored(_places_of(_texts_of(docs, _small(lists, ask.count()), ["tid", "asked"])).distinct(), "places", few=True)
+
+    firsts = places.where("n = 1").select(F.col("tid").alias("first_tid"), F.col("pos").alias("first_pos"),
+                                          F.col("start").alias("first_start"))
+    ids = heads.select(F.col("tid").alias("first_tid"), F.col("doc_id").alias("first_doc_id"))
+    least = heads.select("tid", "key", "doc_id")
+
+    def named(r: DataFrame, owners: DataFrame) -> DataFrame:
+        out = r.join(places.withColumnRenamed("line", "paragraph"), ["tid", "pos", "n"]).join(firsts, ["first_tid", "first_pos"])
+        out = out.join(ids, "first_tid").join(owners, "tid")
+        return out.select("doc_id", "paragraph", "start", "end", F.col("n").alias("n_words"), "n_occurrences", "first_doc_id",
+                          F.when(F.col("removed"), F.col("first_start")).otherwise(F.col("start")).alias("first_start"), "removed")
+
+    one = texts.where("c > 1").select("tid", F.col("row").alias("_first_row"), "key")
+    others = rows.select("row", "doc_id", "key").join(one, "key").where(F.col("row") != F.col("_first_row")).select("tid", "doc_id")
+    return named(runs, least.drop("key")).unionByName(named(copies, others))
 
 
 def repeated_runs(docs: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
     """Every maximal run of words whose windows occur again: doc_id, paragraph (line of its first word), start, end (code
     points), n_words, n_occurrences (of its most frequent window), first_doc_id, first_start, removed. Runs of one row may
     overlap by less than ``span`` words where they have different first occurrences."""
+    from giniflow.llm.paragraphs import BANDS, WIDTH, describe
     docs = docs.select("doc_id", "text")
-    found = stored(_blocks_of(docs, span, k), "blocks")
-    each = found.select("key", F.inline(F.arrays_zip("prints", "wholes")))
-    again = stored(each.groupBy("prints").agg(F.count(F.lit(1)).alias("c"), F.min("wholes").alias("lo"), F.max("wholes").alias("hi"))
-                   .where("c > 1").select("prints", (F.col("lo") == F.col("hi")).alias("same")), "again")
-    texts = found.select("key", F.explode("prints").alias("prints")).join(_small(again, again.count()), "prints")
-    wanted = stored(texts.groupBy("key").agg(F.collect_set(F.when(F.col("same"), F.col("prints"))).alias("alike"),
-                                             F.collect_set(F.when(~F.col("same"), F.col("prints"))).alias("mixed")), "wanted")
-    units = stored(_units_of(docs, wanted, span, k), "units")
-
-    groups = units.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "row", "pos", "start")).alias("first"),
-                                       F.min("row").alias("lo"), F.max("row").alias("hi"), F.max("pos").alias("far"))
-    near = F.col("first.pos") + span
-    groups = groups.where((F.col("lo") != F.col("hi")) | (F.col("far") >= near)).select("hash", "n", "first")
-    hits = units.join(groups, "hash").select(
-        "row", "doc_id", "pos", "size", "start", "end", "line", "n", F.col("first.row").alias("first_row"),
-        F.col("first.doc_id").alias("first_doc_id"), F.col("first.start").alias("first_start"),
-        ((F.col("row") != F.col("first.row")) | (F.col("pos") >= near)).alias("removed"))
-    # consecutive windows of a row with the same outcome and their first occurrence in the same row
-    same = ["row", "first_row", "removed"]
-    before = F.sum("size").over(Window.partitionBy(*same).orderBy("pos")) - F.col("size")
-    runs = hits.withColumn("run", F.col("pos") - before).groupBy(*same, "run").agg(
-        F.min(F.struct("pos", "start", "line", "doc_id", "first_doc_id", "first_start")).alias("a"),
-        F.max(F.struct(F.col("pos") + F.col("size"), "end")).alias("z"), F.sum("size").alias("size"), F.max("n").alias("n"))
-    return runs.select(
-        F.col("a.doc_id").alias("doc_id"), F.col("a.line").alias("paragraph"), F.col("a.start").cast("long").alias("start"),
-        F.col("z.end").cast("long").alias("end"), (F.col("size") + span - 1).cast("int").alias("n_words"),
-        F.col("n").alias("n_occurrences"), F.col("a.first_doc_id").alias("first_doc_id"),
-        F.when(F.col("removed"), F.col("a.first_start")).otherwise(F.col("a.start")).cast("long").alias("first_start"), "removed")
-
-
-def repeated_passages(docs: DataFrame) -> DataFrame:
-    """The repeated lines (``paragraphs.repeated_paragraphs``) and the repeated runs of words, told apart by ``unit``
-    ('line', 'run'); what is removed is the union of the removed ranges."""
-    lines, runs = repeated_paragraphs(docs), repeated_runs(docs)
-    return lines.select(F.lit("line").alias("unit"), *lines.columns).unionByName(
-        runs.select(F.lit("run").alias("unit"), *runs.columns))
+    found = stored(describe(docs, 1 << 30, WIDTH, BANDS, span, k), "texts")
+    return runs_of(docs, found.where(F.col("paragraph").isNull()), span, k)

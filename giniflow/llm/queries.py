@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from giniflow.llm import (collocations, jaccard, langid, lexical, lm, packing, paragraphs, passages, pieces, pii,
-                          quality_net, quality_rules, tokens, winnow)
+from giniflow.llm import (collocations, jaccard, langid, lexical, lm, packing, paragraphs, pieces, pii, quality_net,
+                          quality_rules, tokens, winnow)
 from giniflow.llm.common import LOWER, UPPER, WORD, read_table
 
 QUERIES = {}
@@ -101,12 +101,7 @@ FROM d LEFT JOIN counted USING (rid) LEFT JOIN listed USING (rid)"""
 
 @query
 def op8_paragraph_minhash(spark, sf_dir):
-    return paragraphs.repeated_paragraphs(read_table(spark, sf_dir, "documents"))
-
-
-@query
-def op8_repeated_passages(spark, sf_dir):
-    return passages.repeated_passages(read_table(spark, sf_dir, "documents"))
+    return paragraphs.repeated_units(read_table(spark, sf_dir, "documents"))
 
 
 @query

@@ -39,11 +39,12 @@ def windows(rows, docs, span=50):
 
 def test_query_finds_every_repeated_window(spark):
     docs = [(r.doc_id, r.text) for r in read_table(spark, SF, "documents").collect()]
-    rows = QUERIES["op8_repeated_passages"](spark, SF).collect()
+    rows = QUERIES["op8_paragraph_minhash"](spark, SF).collect()
     runs = [r for r in rows if r.unit == "run"]
     assert windows(runs, docs) == naive(docs)
-    lines = {r.doc_id for r in QUERIES["op8_paragraph_minhash"](spark, SF).collect()}
-    assert {r.doc_id for r in rows if r.unit == "line"} == lines and {r.doc_id for r in runs} - lines
+    lines = paragraphs.repeated_paragraphs(read_table(spark, SF, "documents"))
+    assert sorted(r[1:] for r in rows if r.unit == "line") == sorted(map(tuple, lines.collect()))
+    assert {r.doc_id for r in runs} - {r.doc_id for r in rows if r.unit == "line"}
 
 
 def test_passages_inside_and_across_lines(spark):
@@ -60,8 +61,10 @@ def test_passages_inside_and_across_lines(spark):
             line = " ".join([*words, *across[:cut]]) + " \n" + " ".join([*across[cut:], *some(60)])
         docs.append((k, line.upper() if k % 8 == 0 else line))
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
-    assert paragraphs.repeated_paragraphs(df).collect() == []       # no line is alike another
     got = passages.repeated_runs(df).collect()
+    found = paragraphs.repeated_units(df).collect()                 # the query's rows: lines that are alike, and these
+    assert {r.doc_id for r in found} == {k for k in range(40) if k % 4 in (0, 2)}
+    assert sorted(r[1:] for r in found if r.unit == "run") == sorted(map(tuple, got))
     assert {r.doc_id for r in got} == {k for k in range(40) if k % 4 in (0, 2)}
     assert windows(got, docs) == naive(docs)
     texts = dict(docs)
