@@ -3,7 +3,7 @@
 Texts are lower-cased, everything but letters becomes one space, and the n-grams of one to three characters are hashed
 into ``2 ** BITS`` features with weight ``(1 + ln tf) * idf``, scaled to length one. Document frequencies are counted over
 all training rows (distributed, at most one number per feature). The weights are trained by follow-the-regularised-leader
-with elastic net on a bounded sample of about ``SAMPLE`` rows per language; a part of the sample that takes no part in
+with elastic net on a bounded sample of at most ``SAMPLE`` rows per language; a part of the sample that takes no part in
 training sets the temperature of the softmax.
 
 Null texts and texts without a letter are ``und`` with score 0; without training rows every text is. Rows need no key.
@@ -16,7 +16,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from giniflow.llm.common import id_bucket
@@ -83,11 +83,14 @@ def document_frequencies(train: DataFrame) -> tuple[np.ndarray, int]:
     return out[:-1], int(out[-1])
 
 
-def sampled(train: DataFrame, per_class: int, label: str, order: str) -> DataFrame:
-    """About ``per_class`` rows of every class, by a hash of ``order``: a class is thinned to its share."""
-    sizes = train.groupBy(label).count()
-    u = F.pmod(F.xxhash64(F.lit("sample"), order), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    return train.join(F.broadcast(sizes), label).where(u < F.lit(float(per_class)) / F.col("count")).drop("count")
+def sampled(train: DataFrame, per_class: int, label: str, order: list[str]) -> DataFrame:
+    """At most ``per_class`` rows of every class, those with the least hash of ``order``. A class is thinned to twice its
+    share before it is ranked; rows that are equal count one by one, so no group of them comes as a whole."""
+    sizes = train.groupBy(label).agg(F.count(F.lit(1)).alias("_size"))
+    u = F.pmod(F.xxhash64(F.lit("sample"), *order), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    thin = train.withColumn("_u", u).join(F.broadcast(sizes), label).where(F.col("_u") < F.lit(2.0 * per_class) / F.col("_size"))
+    ranked = thin.withColumn("_rank", F.row_number().over(Window.partitionBy(label).orderBy("_u")))
+    return ranked.where(F.col("_rank") <= per_class).drop("_size", "_u", "_rank")
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -139,8 +142,8 @@ def fit(train: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray, float]:
                 [batch.column(0), pa.array([f.astype(np.int32).tobytes() for f, _ in found], pa.binary()),
                  pa.array([c.astype(np.int32).tobytes() for _, c in found], pa.binary())], names=["lang", "f", "c"])
 
-    sample = sampled(train.where("text is not null"), SAMPLE, "lang", "doc_id").select("lang", "text")
-    got = sorted(map(tuple, sample.mapInArrow(run, "lang string, f binary, c binary").collect()))  # SAMPLE per language
+    sample = sampled(train.where("text is not null"), SAMPLE, "lang", ["doc_id", "text"]).select("lang", "text")
+    got = sorted(map(tuple, sample.mapInArrow(run, "lang string, f binary, c binary").collect()))  # at most SAMPLE per language
     langs = sorted({g[0] for g in got})
     rows = []
     for lang, f, c in got:

@@ -3,8 +3,9 @@
 The model is a unigram model over the pieces of an existing byte-level vocabulary, which covers every byte string. A
 word (with the space before it) may be cut into pieces in many ways; its probability is the sum over all of them, found
 by a forward recursion in log space. Pieces do not cross spaces, so the lattice of a text falls apart into its words, and
-each different word of the corpus is summed once. Piece probabilities come from the training words, cut by the tokenizer
-and weighted by their counts, with add-one smoothing over the whole vocabulary.
+each different word of the corpus is summed once. Piece weights start from the training words' one cut by the tokenizer;
+rounds of expectation (forward and backward over the lattices of all training words, by their counts) then replace them by
+the pieces' expected counts over all cuts, smoothed by a small constant over the whole vocabulary.
 
 Corpus statistics cover all training rows. Words and counts stay distributed: a block of documents (a split of the
 input) sends its different words, gets back each word's count and log probability, and adds them up by document. A word
@@ -32,6 +33,8 @@ from giniflow.llm.tokens import TOKENIZER, tokenizer_path
 #: Bytes of input that make one block at most.
 BLOCK_BYTES = 16 << 20
 LOG10 = math.log(10)
+#: Rounds of expectation after the one-cut counts; what is added to every piece's expected count.
+ROUNDS, SMOOTHING = 4, 0.1
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -123,42 +126,159 @@ def piece_counts(words: DataFrame, tokenizer: str) -> dict[int, int]:
     return {r["id"]: r["c"] for r in found.groupBy("id").agg(F.sum("c").alias("c")).collect()}
 
 
-def word_log10(word: bytes, scores: dict[bytes, float], longest: int) -> float:
-    """log10 of the summed probability of all cuts of ``word`` into pieces."""
-    n = len(word)
-    alpha = [0.0] + [-math.inf] * n
-    exp, log = math.exp, math.log
-    for end in range(1, n + 1):
-        terms = [alpha[at] + s for at in range(max(0, end - longest), end)
-                 if (s := scores.get(word[at:end])) is not None]
-        top = max(terms)
-        alpha[end] = top + log(sum([exp(t - top) for t in terms])) if len(terms) > 1 else top
-    return alpha[n] / LOG10
+class Lattice:
+    """All cuts of many words at once: words of one length are rows of a matrix of bytes, pieces are found by the hash of
+    their bytes in a sorted table, and both recursions run over the columns."""
+
+    def __init__(self, table: dict[bytes, int]):
+        self.ids = np.fromiter(table.values(), np.int64, len(table))
+        keys = np.empty(len(table), np.uint64)
+        by_length: dict[int, list[int]] = {}
+        names = list(table)
+        for k, name in enumerate(names):
+            by_length.setdefault(len(name), []).append(k)
+        for length, some in by_length.items():
+            rows = np.frombuffer(b"".join(names[k] for k in some), np.uint8).reshape(-1, length)
+            keys[some] = self._keys(rows)[length - 1][:, 0]
+        order = np.argsort(keys)
+        self.keys, self.ids, self.longest = keys[order], self.ids[order], max(by_length)
+        assert (np.diff(self.keys) > 0).all()
+        self.lengths = np.array(sorted(by_length))
+
+    def _keys(self, rows: np.ndarray, most: int | None = None) -> list[np.ndarray]:
+        """Of every length (from 1) the keys of the parts of that length at each place."""
+        n, size = rows.shape
+        out, h = [], np.zeros((n, size + 1), np.uint64)
+        with np.errstate(over="ignore"):
+            for length in range(1, min(size, most or size) + 1):
+                h = h[:, :size - length + 1] * np.uint64(0x100000001B3) + rows[:, length - 1:].astype(np.uint64) + np.uint64(1)
+                x = (h ^ np.uint64(length)) * np.uint64(0x9E3779B97F4A7C15)
+                out.append(x ^ (x >> np.uint64(29)))
+        return out
+
+    def _steps(self, rows: np.ndarray, logs: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """(length, place in the table, log probability) of the parts that are pieces anywhere; -inf where they are none."""
+        out = []
+        for length, keys in enumerate(self._keys(rows, self.longest), 1):
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            found = self.keys[at] == keys
+            if found.any():
+                out.append((length, at, np.where(found, logs[at], -np.inf)))
+        return out
+
+    def groups(self, words: list[bytes], most: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(places, rows of bytes) of words of one length, bounded in the number of their parts."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        for size in np.unique(lengths).tolist():
+            at = np.flatnonzero(lengths == size)
+            step = max(1, most // (size * min(size, self.longest)))
+            for k in range(0, len(at), step):
+                some = at[k:k + step]
+                yield some, np.frombuffer(b"".join(words[i] for i in some.tolist()), np.uint8).reshape(len(some), size)
+
+    def forward(self, steps: list, n: int, size: int) -> np.ndarray:
+        """Log of the summed probability of all cuts of each prefix (by its length)."""
+        alpha = np.full((n, size + 1), -np.inf)
+        alpha[:, 0] = 0.0
+        for end in range(1, size + 1):
+            alpha[:, end] = _log_sum([alpha[:, end - length] + s[:, end - length] for length, _, s in steps if length <= end])
+        return alpha
+
+    def log10(self, words: list[bytes], logs: np.ndarray) -> np.ndarray:
+        """log10 of the summed probability of all cuts of each word. ``logs``: natural logs by piece of the table."""
+        out = np.empty(len(words))
+        for at, rows in self.groups(words):
+            out[at] = self.forward(self._steps(rows, logs), *rows.shape)[:, -1]
+        return out / LOG10
+
+    def expected(self, words: list[bytes], counts: np.ndarray, logs: np.ndarray) -> np.ndarray:
+        """How often each piece of the table is expected in the words, over all cuts by their probability."""
+        out = np.zeros(len(self.keys))
+        for at, rows in self.groups(words):
+            steps, (n, size) = self._steps(rows, logs), rows.shape
+            alpha, beta = self.forward(steps, n, size), np.full((n, size + 1), -np.inf)
+            beta[:, size] = 0.0
+            for begin in range(size - 1, -1, -1):
+                beta[:, begin] = _log_sum([s[:, begin] + beta[:, begin + length] for length, _, s in steps if begin + length <= size])
+            for length, place, s in steps:
+                share = np.exp(alpha[:, :size - length + 1] + s + beta[:, length:] - alpha[:, -1:])
+                out += np.bincount(place.ravel(), weights=(share * counts[at, None]).ravel(), minlength=len(out))
+        return out
+
+
+def _log_sum(terms: list[np.ndarray]) -> np.ndarray:
+    """Log of the sum of exponents, row by row; -inf where all are."""
+    if len(terms) == 1:
+        return terms[0]
+    x = np.stack(terms)
+    top = x.max(axis=0)
+    with np.errstate(invalid="ignore"):
+        total = np.exp(x - top).sum(axis=0)
+    return np.where(np.isneginf(top), top, top + np.log(np.where(np.isneginf(top), 1.0, total)))
 
 
-def word_scores(words: DataFrame, counts: dict[int, int], ends: int, tokenizer: str) -> tuple[DataFrame, float]:
+@cache
+def lattice(path: str) -> Lattice:
+    return Lattice(pieces(path)[0])
+
+
+def _bytes_of(words: pa.Array) -> list[bytes]:
+    return [b" " + w.encode("utf-8", "surrogatepass") for w in words.to_pylist()]
+
+
+def piece_logs(weights: np.ndarray, ends: float) -> np.ndarray:
+    """Natural logs of the smoothed probabilities of the pieces (in the order of the table) beside the end token."""
+    return np.log((weights + SMOOTHING) / (weights.sum() + ends + SMOOTHING * (len(weights) + 1)))
+
+
+def expected_counts(words: DataFrame, weights: np.ndarray, ends: int, tokenizer: str) -> np.ndarray:
+    """One step of expectation: the pieces' expected counts in the training words under the present weights. Each task sums
+    its words, Spark sums the tasks; one number per piece comes back."""
+    shared = words.sparkSession.sparkContext.broadcast(piece_logs(weights, ends))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = lattice(tokenizer_path(tokenizer))
+        total = np.zeros(len(table.keys))
+        for batch in batches:
+            total += table.expected(_bytes_of(batch.column(0)), batch.column(1).to_numpy().astype(float), shared.value)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["piece", "c"])
+
+    out = np.zeros(len(weights))
+    for r in words.where("c > 0").select("word", "c").mapInArrow(run, "piece long, c double").groupBy("piece").agg(
+            F.sum("c").alias("c")).collect():
+        out[r["piece"]] = r["c"]
+    return out
+
+
+def fit_weights(words: DataFrame, ends: int, tokenizer: str, rounds: int) -> np.ndarray:
+    """Weights of the pieces in the order of the lattice's table: counts of the tokenizer's one cut, then rounds of
+    expectation over all cuts."""
+    table = lattice(tokenizer_path(tokenizer))
+    counts = piece_counts(words, tokenizer)
+    weights = np.array([float(counts.get(i, 0)) for i in table.ids.tolist()])
+    for _ in range(rounds):
+        weights = expected_counts(words, weights, ends, tokenizer)
+    return weights
+
+
+def word_scores(words: DataFrame, weights: np.ndarray, ends: int, tokenizer: str) -> tuple[DataFrame, float]:
     """``words`` plus log10 of each word's probability, and log10 of the end token's."""
-    spark = words.sparkSession
-    size = len(pieces(tokenizer_path(tokenizer))[0])
-    total = sum(counts.values()) + ends + size + 1
-    shared = spark.sparkContext.broadcast(counts)  # one number per piece of the vocabulary at most
+    shared = words.sparkSession.sparkContext.broadcast(piece_logs(weights, ends))  # one number per piece of the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, longest = pieces(tokenizer_path(tokenizer))
-        seen = shared.value
-        scores = {piece: math.log((seen.get(i, 0) + 1) / total) for piece, i in table.items()}
+        table = lattice(tokenizer_path(tokenizer))
         for batch in batches:
-            logs = [word_log10(b" " + w.as_py().encode("utf-8", "surrogatepass"), scores, longest)
-                    for w in batch.column(0)]
+            logs = table.log10(_bytes_of(batch.column(0)), shared.value)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(logs, pa.float64())],
                                              names=["word", "c", "log_p"])
 
-    return (words.select("word", "c").mapInArrow(run, "word string, c long, log_p double"),
-            math.log10((ends + 1) / total))
+    end = math.log10((ends + SMOOTHING) / (weights.sum() + ends + SMOOTHING * (len(weights) + 1)))
+    return words.select("word", "c").mapInArrow(run, "word string, c long, log_p double"), end
 
 
 def lm_scores(docs: DataFrame, block: Column | None = None, held_out: tuple[int, int] = (7, 2),
-              tokenizer: str = TOKENIZER) -> DataFrame:
+              tokenizer: str = TOKENIZER, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row. ``block`` tells rows that
     are scored together; by default they are dealt out by a hash."""
     spark = docs.sparkSession
@@ -177,7 +297,7 @@ def lm_scores(docs: DataFrame, block: Column | None = None, held_out: tuple[int,
     known, tokens = words.agg(F.count(F.when(F.col("c") > 0, 1)), F.coalesce(F.sum("c"), F.lit(0))).first()
     ends = docs.where(~(id_bucket(F.col("doc_id"), mod) == rest)).count()
     n_all, v_all = tokens + ends, known + (ends > 0)
-    scored, end_log = word_scores(words, piece_counts(words, tokenizer), ends, tokenizer)
+    scored, end_log = word_scores(words, fit_weights(words, ends, tokenizer, rounds), ends, tokenizer)
     scored = stored(scored, "word-scores")
     wanted = own.select("block", "word").join(scored, "word")
 

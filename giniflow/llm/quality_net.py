@@ -2,8 +2,8 @@
 
 Bytes are embedded in ``EMBED`` numbers; filters over chunks of 16 bytes that overlap by half cover the whole text. Each
 filter's largest response over all chunks (max pooling) goes through a small hidden layer into one probability. Filters,
-embedding and the other weights are learned together by Adam on a bounded sample of about ``SAMPLE`` labelled rows per
-class (texts up to ``TRAIN_BYTES``); the intercept is then corrected for the class shares of all training labels.
+embedding and the other weights are learned together by Adam on the whole texts of a bounded sample of at most ``SAMPLE``
+labelled rows per class; the intercept is then corrected for the class shares of all training labels.
 
 Scores use the text only and always the whole text; empty and null texts get the score of padding. A label without a
 row in ``documents`` is not used, of several labels of an id the best counts, of several texts the least; without labels
@@ -23,8 +23,8 @@ from giniflow.llm.common import id_bucket
 from giniflow.llm.langid import sampled
 
 EMBED, HALF, FILTERS, HIDDEN = 8, 8, 64, 16
-#: Bounds of the fit: rows per class, bytes of a text, passes, rows per step.
-SAMPLE, TRAIN_BYTES, EPOCHS, STEP = 2000, 1 << 16, 8, 32
+#: Of the fit: rows per class at most, passes, rows per step.
+SAMPLE, EPOCHS, STEP = 2000, 8, 32
 
 Net = dict[str, np.ndarray]
 
@@ -109,8 +109,8 @@ def fit_quality(docs: DataFrame, marked: DataFrame) -> tuple[Net | None, float]:
     n0, n1 = n.get(0, 0), n.get(1, 0)
     if not (n0 and n1):
         return None, 0.0 if n0 == n1 else (9.0 if n1 else -9.0)
-    chosen = sampled(labelled, SAMPLE, "quality", "doc_id")  # about SAMPLE rows per class
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.octet_length("text") <= TRAIN_BYTES)
+    chosen = sampled(labelled, SAMPLE, "quality", ["doc_id"])  # at most SAMPLE rows per class
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     got = sorted(map(tuple, texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(
         F.min("text").alias("text")).collect()), key=str)
     y = np.array([g[1] for g in got], np.float32)

@@ -61,15 +61,92 @@ def test_lm_blocks_do_not_change_scores(spark):
     assert a.keys() == b.keys() and all(b[k] == pytest.approx(v, rel=1e-9) for k, v in a.items())
 
 
+def brute_cuts(word, probability):
+    """Every cut of a word into pieces, with its probability."""
+    if not word:
+        return [((), 1.0)]
+    return [((word[:k], *rest), probability[word[:k]] * p) for k in range(1, len(word) + 1) if word[:k] in probability
+            for rest, p in brute_cuts(word[k:], probability)]
+
+
 def test_lattice_sums_all_segmentations():
-    scores = {p: math.log(q) for p, q in {b"a": .1, b"b": .2, b"ab": .3, b"ba": .05, b"aba": .07, b" ": .01}.items()}
+    names = {b"a": .1, b"b": .2, b"ab": .3, b"ba": .05, b"aba": .07, b" ": .01, b" a": .02}
+    table = lm.Lattice({name: k for k, name in enumerate(names)})
+    logs = np.log(np.array(list(names.values())))[table.ids]
+    words = [b"a", b"ab", b"abab", b"aababab", b" abaab", b"ba", b" a", b" a"]
+    counts = np.array([3.0, 1, 2, 1, 4, 1, 2, 5])
+    sums = [sum(p for _, p in brute_cuts(w, names)) for w in words]
+    assert table.log10(words, logs) == pytest.approx(np.log10(sums))
+    want = Counter()
+    for w, n, total in zip(words, counts, sums, strict=True):
+        for cut, p in brute_cuts(w, names):
+            for piece in cut:
+                want[piece] += n * p / total
+    got = dict(zip([list(names)[k] for k in table.ids], table.expected(words, counts, logs), strict=True))
+    assert got == pytest.approx({name: want[name] for name in names})
+
+
+def naive_lattice(docs, rounds, smoothing):
+    """(doc_id, n_tokens) -> score by plain recursions over dictionaries, weights by the same rounds."""
+    from tokenizers import Tokenizer
+    path = tokens.tokenizer_path(tokens.TOKENIZER)
+    names, longest = lm.pieces(path)
+    tokenizer, train, ends = Tokenizer.from_file(path), Counter(), 0
+    for doc_id, text in docs:
+        if remainder(doc_id, 7) != 2:
+            train.update(b" " + w for w in split(text))
+            ends += 1
+    weight, by_id = Counter(), {i: name for name, i in names.items()}
+    for w, n in train.items():
+        for i in tokenizer.encode(w.decode(), add_special_tokens=False).ids:
+            weight[by_id[i]] += n
+
+    def forward(word, p):
+        a = [1.0] + [0.0] * len(word)
+        for e in range(1, len(word) + 1):
+            a[e] = sum(a[b] * p(word[b:e]) for b in range(max(0, e - longest), e) if word[b:e] in names)
+        return a
+
+    for r in range(rounds + 1):
+        total = sum(weight.values()) + ends + smoothing * (len(names) + 1)
+        p = lambda x: (weight[x] + smoothing) / total  # noqa: B023, E731
+        if r == rounds:
+            break
+        expected = Counter()
+        for w, n in train.items():
+            a = forward(w, p)
+            back = [0.0] * len(w) + [1.0]
+            for b in range(len(w) - 1, -1, -1):
+                back[b] = sum(p(w[b:e]) * back[e] for e in range(b + 1, min(len(w), b + longest) + 1) if w[b:e] in names)
+            for b in range(len(w)):
+                for e in range(b + 1, min(len(w), b + longest) + 1):
+                    if w[b:e] in names:
+                        expected[w[b:e]] += n * a[b] * p(w[b:e]) * back[e] / a[-1]
+        weight = expected
+    known, end = {}, math.log10((ends + smoothing) / total)
+    out = {}
+    for doc_id, text in docs:
+        score = end
+        for w in split(text):
+            if w not in known:
+                known[w] = math.log10(forward(b" " + w, p)[-1])
+            score += known[w]
+        out[doc_id] = score
+    return out
 
-    def brute(word):
-        return sum((math.exp(scores[word[:k]]) * brute(word[k:]) for k in range(1, len(word) + 1)
-                    if word[:k] in scores), 0.0) if word else 1.0
 
-    for word in (b"a", b"ab", b"abab", b"aababab", b" abaab"):
-        assert lm.word_log10(word, scores, 3) == pytest.approx(math.log10(brute(word)))
+def test_lattice_scores_match_plain_recursions(spark):
+    docs = [(r.doc_id, r.text) for r in read_table(spark, SF, "documents").where("length(text) < 1500").limit(60).collect()]
+    got = {r.doc_id: r.score for r in lm.lm_scores(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == pytest.approx(naive_lattice(docs, lm.ROUNDS, lm.SMOOTHING), rel=1e-9)
+
+
+def test_expectation_raises_the_likelihood(spark):
+    docs = read_table(spark, SF, "documents")
+    mean = lambda rounds: lm.lm_scores(docs, rounds=rounds).where("not held_out").agg(
+        {"score": "sum", "n_tokens": "sum"}).selectExpr("`sum(score)` / `sum(n_tokens)` m").first().m
+    cut, one, four = mean(0), mean(1), mean(4)
+    assert cut + 0.1 < one < four
 
 
 def test_pieces_cover_all_bytes():
@@ -98,6 +175,59 @@ def test_language_of_held_out_rows(spark):
     assert sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.97 * len(held)
 
 
+def plain_ngrams(text):
+    """Feature -> count by loops over characters."""
+    out, one, two, three = Counter(), *(int(p) for p in langid._P)
+    text = (text or "").lower()
+    if not any(map(str.isalpha, text)):
+        return out
+    chars = [" "]
+    for x in text:
+        if x.isalpha() or chars[-1] != " ":
+            chars.append(x if x.isalpha() else " ")
+    chars += [" "] if chars[-1] != " " or not text[-1].isalpha() else []
+    c, m = [ord(x) for x in chars], (1 << 64) - 1
+    for i in range(len(c)):
+        a = c[i] * one & m
+        if 0 < i < len(c) - 1:
+            out[a >> (64 - langid.BITS)] += 1
+        if i + 1 < len(c):
+            b = ((a ^ (c[i + 1] * two & m)) * one) & m
+            out[b >> (64 - langid.BITS)] += 1
+            if i + 2 < len(c):
+                out[((b ^ (c[i + 2] * three & m)) * two & m) >> (64 - langid.BITS)] += 1
+    return out
+
+
+def test_language_scores_match_dense_vectors(spark):
+    docs = [(r.doc_id, r.text, r.lang) for r in read_table(spark, SF, "documents").collect()] + [(9001, "?!", "en"), (9002, None, "fr")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    train = [d for d in docs if remainder(d[0], 4) != 2]
+    df = Counter(f for _, text, _ in train for f in plain_ngrams(text))
+    idf = np.array([np.log((1 + len(train)) / (1 + df[f])) + 1 for f in range(1 << langid.BITS)])
+    langs, got_idf, weights, temperature = langid.fit(spark.createDataFrame(train, frame.schema))
+    assert np.allclose(got_idf, idf)
+    for r in langid.predict_language(frame).collect():
+        counts = plain_ngrams(next(t for d, t, _ in docs if d == r.doc_id))
+        if not counts:
+            assert (r.lang_pred, r.score) == ("und", 0)
+            continue
+        x = np.zeros(1 << langid.BITS)
+        for f, n in counts.items():
+            x[f] = (1 + np.log(n)) * idf[f]
+        z = x / np.sqrt((x * x).sum()) @ weights / temperature
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert r.lang_pred == langs[int(p.argmax())] and r.score == pytest.approx(p.max(), abs=1e-9)
+
+
+def test_sample_is_bounded_for_equal_rows(spark):
+    rows = [(1, "same", "en")] * 900 + [(None, f"t{k}", "en") for k in range(400)] + [(k, "other", "fr") for k in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    got = langid.sampled(frame, 50, "lang", ["doc_id", "text"]).groupBy("lang").count().collect()
+    n = {r["lang"]: r["count"] for r in got}
+    assert n["fr"] == 20 and n.get("en", 0) <= 50
+
+
 def test_language_ignores_other_columns(spark):
     docs = read_table(spark, SF, "documents")
     other = docs.selectExpr("doc_id", "text", f"CASE WHEN crc32(cast(cast(doc_id AS string) AS binary)) % 4 = 2 "
@@ -129,6 +259,24 @@ def test_quality_of_held_out_rows(spark):
     assert np.mean([s >= 0.3 for s in good]) > 0.97
 
 
+def test_quality_scores_match_a_plain_network(spark):
+    """Every chunk of the whole text at once, with the fitted weights."""
+    docs, labels = read_table(spark, "/root/testdata/sf0.01", "documents"), read_table(spark, "/root/testdata/sf0.01", "labels")
+    marks = labels.where("quality in (0, 1)").selectExpr("doc_id", "cast(quality as int) quality").collect()
+    marked = spark.createDataFrame([m for m in marks if remainder(m.doc_id, 5) != 0], "doc_id long, quality int")
+    net, shift = quality_net.fit_quality(docs.select("doc_id", "text"), marked)
+    got = {r.doc_id: r.score for r in quality_net.quality_scores(docs, labels).collect()}
+    n = {k: v.astype(np.float64) for k, v in net.items()}
+    for r in docs.collect():
+        raw = (r.text or "").encode()
+        raw = raw.ljust(max(16, -(-len(raw) // 8) * 8), b"\0")
+        chunks = np.array([list(raw[k:k + 16]) for k in range(0, len(raw) - 8, 8)])
+        filters = np.concatenate([n["left"], n["right"]])
+        a = np.tanh((n["embed"][chunks].reshape(len(chunks), -1) @ filters).max(axis=0) + n["bias"])
+        z = np.maximum(0, a @ n["hidden"] + n["hidden_bias"]) @ n["out"] + n["out_bias"][0] + shift
+        assert got[r.doc_id] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-4)
+
+
 def test_gradients_equal_differences():
     rng = np.random.default_rng(0)
     net = {k: v.astype(np.float64) for k, v in quality_net.new_net(1).items()}
