@@ -8,9 +8,10 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import TypeVar
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +58,44 @@ def stored(df: DataFrame, name: str, few: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_HELD: dict[tuple, object] = {}
+
+
+def held(owner: tuple, build: Callable[[], T]) -> T:
+    """What a worker process keeps from task to task for one operator (an encoder with its cache, word hashes). Another
+    operator's takes its place, so that the stages of a pipeline do not add up in a worker that serves them all."""
+    if owner not in _HELD:
+        _HELD.clear()
+        _HELD[owner] = build()
+    return _HELD[owner]
+
+
+def release() -> None:
+    """For operators that keep nothing: what an earlier one left in this worker goes."""
+    _HELD.clear()
+
+
+class WordHashes(dict):
+    """64-bit hashes of words, never 0; emptied when it holds too many."""
+
+    MOST = 300_000
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+        value = xxhash.xxh64_intdigest(word) or 1
+        if len(self) < self.MOST:
+            self[word] = value
+        return value
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def word_hashes() -> WordHashes:
+    """The word hashes of this worker; those met first, so the frequent ones, stay between tasks."""
+    return held(("word hashes",), WordHashes)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only. Pure ASCII texts (as many bytes as characters) take the fast built-in."""
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from giniflow.llm.common import ascii_lower_bytes, stored
+from giniflow.llm.common import WordHashes, ascii_lower_bytes, stored, word_hashes
 from giniflow.llm.components import components
 from giniflow.llm.lists import across
 
@@ -42,8 +42,6 @@ from giniflow.llm.lists import across
 WIDTH, PERCENT = 3, 90
 #: A token is frequent beyond so many documents; at least so many first tokens of a set are kept.
 RARE, LEAST_HEAD = 20, 64
-#: Words whose hashes a task keeps at hand.
-SEEN = 300_000
 #: Numbers of 64 bits to which the parity sketch is folded where it filters inside a join.
 FOLD = 8
 #: Bits of the parity sketch. Node lists are broadcast up to so many rows and joined by a shuffle beyond.
@@ -52,22 +50,18 @@ SKETCH_BITS, BROADCAST_NODES = 2048, 1_000_000
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def word_hash(word: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * _M1
     x = (x ^ (x >> np.uint64(29))) * _M2
     return x ^ (x >> np.uint64(32))
 
 
-def token_set(text: str | None, seen: dict[bytes, int], width: int = WIDTH) -> np.ndarray:
+def token_set(text: str | None, seen: WordHashes, width: int = WIDTH) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's n-grams; the whole sequence where there are fewer words."""
     words = ascii_lower_bytes(text or "").split()
     if not words:
         return np.zeros(0, np.uint64)
-    hashes = np.fromiter((seen.get(w) or seen.setdefault(w, word_hash(w)) for w in words), np.uint64, len(words))
+    hashes = seen.of(words)
     k = min(width, len(words))
     with np.errstate(over="ignore"):
         grams = np.full(len(words) - k + 1, k, np.uint64)
@@ -119,9 +113,8 @@ def describe(docs: DataFrame, width: int, percent: int) -> DataFrame:
     schema = "n int, digest binary, held int, head binary, sketch binary, fold longs"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, int] = {}
+        seen = word_hashes()
         for part in parts_of(batches):
-            seen = seen if len(seen) < SEEN else {}
             rows = []
             for text in part.column(3):
                 t = token_set(text.as_py(), seen, width)
@@ -151,9 +144,8 @@ def sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
         _small(wanted, wanted.count()), "key").dropDuplicates(["node"]).select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, int] = {}
+        seen = word_hashes()
         for part in parts_of(batches):
-            seen = seen if len(seen) < SEEN else {}
             sets = [token_set(t.as_py(), seen, width).tobytes() for t in part.column(1)]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["node", "tokens"])
 

@@ -29,9 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from giniflow.llm.common import ascii_lower_bytes, stored
+from giniflow.llm.common import ascii_lower_bytes, stored, word_hashes
 from giniflow.llm.components import components
-from giniflow.llm.jaccard import FOLD, SEEN, _mix, _small, folded, linked, may_be_alike, parts_of, text_key, token_set
+from giniflow.llm.jaccard import FOLD, _mix, _small, folded, linked, may_be_alike, parts_of, text_key, token_set
 from giniflow.llm.lists import across
 
 MIN_WORDS, WIDTH, PERCENT, RECALL = 25, 5, 80, 0.999
@@ -103,21 +103,24 @@ def describe(docs: DataFrame, min_words: int, width: int, bands: tuple[int, int]
               "bands array<long>, prints array<long>, wholes array<int>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, int] = {}
+        seen = word_hashes()
         for batch in batches:
             for part in (batch.slice(j, 128) for j in range(0, batch.num_rows, 128)):
-                seen = seen if len(seen) < SEEN else {}
                 found, hashes, whole = [], [], []
                 for i, text in enumerate(part.column(3)):
                     text, at, mine = text.as_py() or "", 0, []
-                    for number, line in enumerate(text.split("\n")):
-                        words = ascii_lower_bytes(line).split()
-                        h = passages.word_hashes(words, seen)
+                    raw = ascii_lower_bytes(text)
+                    lines = raw.split(b"\n")
+                    # code points of a line are its bytes where all of the text is ASCII
+                    sizes = map(len, lines if len(raw) == len(text) else text.split("\n"))
+                    for number, (line, size) in enumerate(zip(lines, sizes, strict=True)):
+                        words = line.split()
+                        h = seen.of(words)
                         mine.append(h)
                         if len(words) >= min_words:
-                            found.append((i, number, at, at + len(line), len(words), _node(words)))
+                            found.append((i, number, at, at + size, len(words), _node(words)))
                             hashes.append(h)
-                        at += len(line) + 1
+                        at += size + 1
                     if span:
                         mine = np.concatenate(mine)
                         whole.append((i, len(mine), *passages.prints(mine, span, k)))
@@ -153,9 +156,8 @@ def sets_of(docs: DataFrame, wanted: DataFrame, min_words: int, width: int) -> D
     texts = docs.select(text_key(F.col("text")).alias("key"), "text").join(_small(keys, size), "key").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, int] = {}
+        seen = word_hashes()
         for part in parts_of(batches):
-            seen = seen if len(seen) < SEEN else {}
             rows = []
             for text in part.column(0):
                 for *_, line, node in split_paragraphs(text.as_py(), min_words):

@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from giniflow.llm.common import BLANKS, ascii_lower_bytes, stored
-from giniflow.llm.jaccard import SEEN, _mix, _small, text_key, word_hash
+from giniflow.llm.common import BLANKS, ascii_lower_bytes, stored, word_hashes
+from giniflow.llm.jaccard import _mix, _small, text_key
 from giniflow.operators.prefix import exact_rank
 
 #: Words in a window, words in a gram.
@@ -39,10 +39,6 @@ _BLANK = np.zeros(256, bool)
 _BLANK[list(BLANKS.encode())] = True
 
 
-def word_hashes(words: list[bytes], seen: dict[bytes, int]) -> np.ndarray:
-    return np.fromiter((seen.get(w) or seen.setdefault(w, word_hash(w)) for w in words), np.uint64, len(words))
-
-
 def run_hashes(words: np.ndarray) -> Callable[[np.ndarray, np.ndarray | int], np.ndarray]:
     """Function of starts and lengths: hashes of these runs of words, by differences of one running sum (mod 2**64)."""
     n = len(words)
@@ -107,14 +103,12 @@ def _units_of(texts: DataFrame, span: int, k: int) -> DataFrame:
     blocks that are taken as a whole (alike) and window by window (mixed)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, int] = {}
+        seen = word_hashes()
         for batch in batches:
             for part in (batch.slice(j, 64) for j in range(0, batch.num_rows, 64)):
-                seen = seen if len(seen) < SEEN else {}
                 owners, found = [np.zeros(0, np.int64)], [[np.zeros(0, np.int64)] * 3]
                 for i, (alike, mixed, text) in enumerate(zip(*part.columns[2:], strict=True)):
-                    starts, sizes, least, whole, of = blocks(
-                        word_hashes(ascii_lower_bytes(text.as_py() or "").split(), seen), span, k)
+                    starts, sizes, least, whole, of = blocks(seen.of(ascii_lower_bytes(text.as_py() or "").split()), span, k)
                     one, each = (np.isin(least.view(np.int64), x.values.to_numpy(zero_copy_only=False)) for x in (alike, mixed))
                     single = np.flatnonzero(np.repeat(each, sizes))
                     owners.append(np.full(len(single) + int(one.sum()), i, np.int64))
@@ -150,10 +144,11 @@ def _places_of(texts: DataFrame) -> DataFrame:
 def runs_of(docs: DataFrame, found: DataFrame, span: int, k: int) -> DataFrame:
     """`repeated_runs` from the stored description of every row (row, doc_id, key, n_words, prints, wholes)."""
     rows = found.where(F.col("n_words") >= span)
-    texts = rows.groupBy("key").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.count(F.lit(1)).alias("c"),
-                                    F.first("n_words").alias("n_words"), F.first(F.arrays_zip("prints", "wholes")).alias("blocks"))
-    texts = exact_rank(stored(texts.select("key", "first.doc_id", "first.row", "c", "n_words", "blocks"), "texts"),
-                       [], ["doc_id", "row"], out="tid")
+    copies = rows.groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("same"), F.min("row").alias("row"))
+    texts = copies.groupBy("key").agg(F.min(F.struct("doc_id", "row", "same")).alias("first"), F.sum("same").alias("c"))
+    texts = texts.join(rows.select(F.col("row").alias("_row"), "n_words", F.arrays_zip("prints", "wholes").alias("blocks")),
+                       F.col("first.row") == F.col("_row"))
+    texts = exact_rank(stored(texts.select("key", "first.*", "c", "n_words", "blocks"), "texts"), [], ["doc_id", "row"], out="tid")
     each = texts.select("tid", "c", F.inline("blocks"))
     again = stored(each.groupBy("prints").agg(F.sum("c").alias("n"), F.min("wholes").alias("lo"), F.max("wholes").alias("hi"))
                    .where("n > 1").select("prints", (F.col("lo") == F.col("hi")).alias("same")), "again", few=True)
@@ -164,22 +159,21 @@ def runs_of(docs: DataFrame, found: DataFrame, span: int, k: int) -> DataFrame:
     wanted = stored(wanted.join(heads, "tid").select("tid", "c", "key", "doc_id", "alike", "mixed"), "wanted", few=True)
     asked = _texts_of(docs, _small(wanted, wanted.agg(F.sum(F.size("alike") + F.size("mixed"))).first()[0] or 0),
                       ["tid", "c", "alike", "mixed"])
-    units = stored(_units_of(asked, span, k), "units")
-
-    # rows of equal text and id give the same units again: an exact place counts once
+    units = _units_of(asked, span, k)
+    if texts.where("same > 1").limit(1).count():  # rows of equal text and id give the same units again
+        units = units.distinct()
+    units = stored(units, "units")
     groups = units.groupBy("hash").agg(F.min(F.struct("tid", "pos")).alias("first"), F.max(F.struct("tid", "pos")).alias("last"),
-                                       F.max("c").alias("most"))
+                                       F.max("c").alias("most"), F.sum("c").alias("n"))
     near = F.col("first.pos") + span
     groups = groups.where((F.col("first.tid") != F.col("last.tid")) | (F.col("most") > 1) | (F.col("last.pos") >= near))
-    hits = units.join(groups.select("hash", "first"), "hash").distinct().select(
-        "tid", "c", "pos", "size", "hash", F.col("first.tid").alias("first_tid"), F.col("first.pos").alias("first_pos"),
+    hits = units.drop("c").join(groups.select("hash", "first", "n"), "hash").select(
+        "tid", "pos", "size", "n", F.col("first.tid").alias("first_tid"), F.col("first.pos").alias("first_pos"),
         ((F.col("tid") != F.col("first.tid")) | (F.col("pos") >= near)).alias("removed"))
-    hits = stored(hits, "hits")
     # consecutive windows of a text with the same outcome and their first occurrence in the same text
     same = ["tid", "first_tid", "removed"]
     before = F.sum("size").over(Window.partitionBy(*same).orderBy("pos")) - F.col("size")
-    counts = hits.groupBy("hash").agg(F.sum("c").alias("n"))
-    runs = hits.join(counts, "hash").withColumn("run", F.col("pos") - before).groupBy(*same, "run").agg(
+    runs = hits.withColumn("run", F.col("pos") - before).groupBy(*same, "run").agg(
         F.min(F.struct("pos", "first_pos")).alias("a"), F.sum("size").alias("size"), F.max("n").alias("n_occurrences"))
     runs = stored(runs.select(*same, "a.pos", "a.first_pos", (F.col("size") + span - 1).cast("int").alias("n"), "n_occurrences"), "runs", few=True)
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import codecs
 from collections.abc import Iterator
-from functools import cache, cached_property
+from functools import cached_property
 from itertools import islice
 
 import numpy as np
@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from giniflow.llm.common import by_bytes
+from giniflow.llm.common import by_bytes, held
 from giniflow.llm.tokens import tokenizer_path
 
 MODEL = "piece_bpe_32k.model"
@@ -241,10 +241,9 @@ def _offsets(ids: pa.ListArray) -> pa.Array:
     return pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int32())
 
 
-@cache
 def prefix_table(path: str) -> PrefixTable:
     """One table per worker process, so that its cache serves all tasks of the worker."""
-    return PrefixTable(path)
+    return held(("pieces", path), lambda: PrefixTable(path))
 
 
 def encode_pieces(text: Column, model: str = MODEL) -> Column:

@@ -204,6 +204,7 @@ def pii_spans(text: Column) -> Column:
 
     @F.arrow_udf("array<struct<kind string, start long, end long>>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
         for batch in batches:
             found = [find_spans(t.as_py()) for t in batch]
             flat = [s for spans in found for s in spans]
@@ -233,6 +234,7 @@ def redacted(text: str | None) -> str | None:
 def redact(text: Column) -> Column:
     @F.arrow_udf("string")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
         for batch in batches:
             yield pa.array([redacted(t.as_py()) for t in batch], pa.string())
 

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from giniflow.llm.common import BLANKS
+from giniflow.llm.common import BLANKS, release
 
 SYMBOLS = "#*$%&|<>"
 
@@ -107,6 +107,7 @@ def text_profile(text: Column, bands: Bands = Bands()) -> Column:
 
     @F.arrow_udf(PROFILE)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
         squeeze = zstandard.ZstdCompressor(level=bands.level).compress
         for batch in batches:
             columns = list(zip(*(profile(t.as_py(), bands, squeeze) for t in batch), strict=True)) or [()] * len(_FIELDS)

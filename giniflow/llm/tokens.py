@@ -13,7 +13,6 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Callable, Iterator
-from functools import cache
 from itertools import islice
 from typing import TypeVar
 
@@ -23,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from giniflow.llm.common import by_bytes
+from giniflow.llm.common import by_bytes, held
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Segments kept in a worker's cache, characters of a segment that is kept, characters of one encoded batch.
@@ -179,12 +178,11 @@ def text_batches(texts: list[T], size: Callable[[T], int], most: int = 1 << 22)
         yield group
 
 
-@cache
 def encoder(path: str) -> SegmentEncoder:
     """One encoder per worker process, so that its cache serves all tasks of the worker."""
     import os
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return SegmentEncoder(path)
+    return held(("encoder", path), lambda: SegmentEncoder(path))
 
 
 def token_count(text: Column, tokenizer: str = TOKENIZER) -> Column:
