@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from giniflow.llm.common import release
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("intl_email", "login", "secret", "account")
 KINDS = BASE_KINDS + ADDED_KINDS
