@@ -55,11 +55,17 @@ def apply_codes(df: DataFrame, codes: DataFrame, cats: Sequence[str], value_col:
     return result.select(*[F.col(f"__v_{c}").alias(c + suffix) if c in coded else F.col(c) for c in df.columns])
 
 
+#: Columns that `one_hot` makes at most; a column with more values is for `one_hot_vectors`.
+MOST_COLUMNS = 2000
+
+
 def one_hot(train: DataFrame, df: DataFrame, cats: Sequence[str], drop_source: bool = True) -> DataFrame:
     """One 0/1 column ``<feature>_<value>`` per training value (values sorted); the source column is dropped."""
-    values = category_long(train, cats).select("feature", "category").distinct().orderBy("feature", "category")
+    found = category_long(train, cats).select("feature", "category").distinct().limit(MOST_COLUMNS + 1).collect()
+    if len(found) > MOST_COLUMNS:
+        raise ValueError(f"more than {MOST_COLUMNS} values: use one_hot_vectors")
     per_feature: dict[str, list[str]] = {}
-    for r in values.collect():
+    for r in sorted(found):
         per_feature.setdefault(r["feature"], []).append(r["category"])
     extra = []
     for c in cats:
@@ -69,6 +75,28 @@ def one_hot(train: DataFrame, df: DataFrame, cats: Sequence[str], drop_source: b
     return df.select(*base, *extra)
 
 
+def one_hot_vectors(train: DataFrame, df: DataFrame, cats: Sequence[str], suffix: str = "_vec"
+                    ) -> tuple[DataFrame, DataFrame]:
+    """One sparse 0/1 vector per categorical column with a slot per training value (values sorted), all zeros for an unseen
+    one, and the dictionary (feature, category, slot). Any number of values: slots come by a join, nothing is collected
+    but the number of values of each column."""
+    from pyspark.ml.feature import OneHotEncoder
+    values = materialize(category_long(train, cats).select("feature", "category").distinct(), "categories")
+    slots = exact_rank(values, ["feature"], ["category"], out="__slot").select(
+        "feature", "category", (F.col("__slot") - 1).alias("slot"))
+    sizes = {r["feature"]: r["n"] for r in values.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {c: sizes.get(c, 0) for c in cats}
+    coded = apply_codes(df.withColumns({f"__c_{c}": F.col(c) for c in cats}), slots.withColumn(
+        "feature", F.concat(F.lit("__c_"), "feature")), [f"__c_{c}" for c in cats], value_col="slot")
+    # an unseen value gets the slot behind the last one, which the encoder drops
+    coded = coded.withColumns({f"__c_{c}": F.coalesce(F.col(f"__c_{c}"), F.lit(sizes[c])).cast("double") for c in cats})
+    last = train.sparkSession.createDataFrame([tuple(float(max(sizes[c] - 1, 0)) for c in cats)],
+                                              ", ".join(f"`__c_{c}` double" for c in cats))
+    encoder = OneHotEncoder(inputCols=[f"__c_{c}" for c in cats], outputCols=[f"{c}{suffix}" for c in cats],
+                            handleInvalid="keep", dropLast=True).fit(last)
+    return encoder.transform(coded).drop(*[f"__c_{c}" for c in cats]), slots
+
+
 def encode_lookup(df: DataFrame, key: str, mapping: DataFrame, map_key: str, value: str,
                   out: str | None = None) -> DataFrame:
     """Left lookup of ``key`` in a mapping table; unseen keys give NULL. The planner picks broadcast or sort-merge

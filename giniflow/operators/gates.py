@@ -30,7 +30,7 @@ def uplift_prefix(ranked: DataFrame, rank_col: str = "rank", feature_col: str =
 def relative_to_last(steps: DataFrame, score: str = "gini", by: Sequence[str] = ("pool",), step: str = "step") -> DataFrame:
     """Step score / score of the full set (the last step) per pool."""
     w = Window.partitionBy(*by).orderBy(step).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return steps.withColumn("last", F.last(score).over(w)).withColumn("ratio", F.col(score) / F.col("last"))
+    return steps.withColumn("last", F.last(score).over(w)).withColumn("ratio", F.try_divide(F.col(score), F.col("last")))
 
 
 def uplift_gate(steps: DataFrame, pools: Sequence[str] | None = None, score: str = "gini",
@@ -52,6 +52,12 @@ def uplift_gate(steps: DataFrame, pools: Sequence[str] | None = None, score: str
     return flagged.where(F.col("flag").isNotNull()).select(*by, "step", "feature", "ratio", "flag"), verdict
 
 
+def _ratio(delta, base):
+    """``delta / base``; of the sign of ``delta`` and without bound where ``base`` is 0 (0 where both are)."""
+    unbounded = F.when(delta > 0, F.lit(float("inf"))).when(delta < 0, F.lit(float("-inf"))).otherwise(F.lit(0.0))
+    return F.when(base == 0, unbounded).otherwise(F.try_divide(delta, base))
+
+
 def _level(delta, ratio, limits, absolute=False):
     if absolute:
         delta, ratio = F.abs(delta), F.abs(ratio)
@@ -65,9 +71,9 @@ def stability_gate(ginis: DataFrame, model_col: str = "model") -> DataFrame:
     train-oot (ratio to oot), oot-test (absolute values, ratio to oot); overall = worst."""
     wide = ginis.groupBy(model_col).pivot("pool", ["TRAIN", "VALID", "TEST", "OOT"]).agg(F.first("gini"))
     tr, te, oo = F.col("TRAIN"), F.col("TEST"), F.col("OOT")
-    tt = _level(tr - te, (tr - te) / tr, STABILITY_LIMITS["train_test"])
-    to = _level(tr - oo, (tr - oo) / oo, STABILITY_LIMITS["train_oot"])
-    ot = _level(oo - te, (oo - te) / oo, STABILITY_LIMITS["oot_test"], absolute=True)
+    tt = _level(tr - te, _ratio(tr - te, tr), STABILITY_LIMITS["train_test"])
+    to = _level(tr - oo, _ratio(tr - oo, oo), STABILITY_LIMITS["train_oot"])
+    ot = _level(oo - te, _ratio(oo - te, oo), STABILITY_LIMITS["oot_test"], absolute=True)
     out = wide.select(model_col, tt.alias("train_vs_test"), to.alias("train_vs_oot"), ot.alias("oot_vs_test"))
     cols = [F.col("train_vs_test"), F.col("train_vs_oot"), F.col("oot_vs_test")]
     worst = (F.when(F.array_contains(F.array(*cols), "FAILED"), "FAILED")

@@ -19,12 +19,12 @@ from giniflow.operators.prefix import (buckets_for, exact_rank, next_in_order, o
 from giniflow.session import materialize
 
 
-def score_histogram(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
-    """``(by..., score) -> pos, neg`` over rows with a non-missing score and label."""
-    y = F.col(label).cast("long")
+def score_histogram(df: DataFrame, score: str, label: str, by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
+    """``(by..., score) -> pos, neg`` over rows with a non-missing score and label; ``weight``: how often a row counts."""
+    y, w = F.col(label).cast("long"), F.col(weight).cast("long") if weight else F.lit(1).cast("long")
     return (df.where(F.col(score).isNotNull() & F.col(label).isNotNull() & ~F.isnan(F.col(score).cast("double")))
             .groupBy(*by, score)
-            .agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")))
+            .agg(F.sum(y * w).alias("pos"), F.sum((F.lit(1) - y) * w).alias("neg")))
 
 
 def stored_histogram(hist: DataFrame, n_buckets: int | None = None) -> tuple[DataFrame, int]:
@@ -50,9 +50,9 @@ def auc_from_histogram(hist: DataFrame, score: str, by: Sequence[str] = (), n_bu
 
 
 def gini(df: DataFrame, score: str, label: str, by: Sequence[str] = (), digits: int | None = 2,
-         scale: float = 100.0, n_buckets: int | None = None) -> DataFrame:
+         scale: float = 100.0, n_buckets: int | None = None, weight: str | None = None) -> DataFrame:
     """``round((2*AUC - 1) * 100, 2)`` per group (the reference's Gini of a score)."""
-    auc = auc_from_histogram(score_histogram(df, score, label, by), score, by, n_buckets)
+    auc = auc_from_histogram(score_histogram(df, score, label, by, weight), score, by, n_buckets)
     g = (F.lit(2.0) * F.col("auc") - F.lit(1.0)) * F.lit(scale)
     if digits is not None:
         g = F.round(g, digits)

@@ -1,28 +1,34 @@
 """Estimators, pipeline fit with early stop, scoring, importance and cross-validation.
 
 The boosting libraries of a single-machine pipeline are replaced by Spark ML learners (GBT, random forest, logistic
-regression) inside one ``Pipeline``: median ``Imputer`` -> ``StringIndexer(handleInvalid='keep')`` -> (one-hot for
+regression) inside one ``Pipeline``: exact ``MedianImputer`` -> ``StringIndexer(handleInvalid='keep')`` -> (one-hot for
 the linear model) -> ``VectorAssembler`` -> learner. Every fit is a set of distributed Spark jobs; folds and grid cells
 are independent and are submitted from a small driver thread pool.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+import numpy as np
+import pyarrow as pa
+from pyspark import SparkContext, StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, LogisticRegression,
+                                       RandomForestClassifier)
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from giniflow.functions.hashing import key_columns
 from giniflow.operators import metrics, sampling
+from giniflow.operators.impute import MedianImputer
 from giniflow.operators.prep import normalize_categories, normalize_numeric
+from giniflow.session import materialize
 
 MODELS = ("GBT", "RF", "LR")
 
@@ -63,7 +69,7 @@ def build_pipeline(numeric: Sequence[str], categorical: Sequence[str], estimator
     numeric, categorical = list(numeric), list(categorical)
     stages, inputs = [], []
     if numeric:
-        stages.append(Imputer(strategy="median", inputCols=numeric, outputCols=[f"__imp_{c}" for c in numeric]))
+        stages.append(MedianImputer(inputCols=numeric, outputCols=[f"__imp_{c}" for c in numeric]))
         inputs += [f"__imp_{c}" for c in numeric]
     if categorical:
         stages.append(StringIndexer(inputCols=categorical, outputCols=[f"__idx_{c}" for c in categorical],
@@ -107,8 +113,8 @@ def slot_features(assembled: DataFrame, features: Sequence[str]) -> list[str]:
 
 
 def best_iteration(losses: Sequence[float], patience: int | None = None) -> int:
-    """Number of trees to keep: the iteration with the lowest validation loss, scanning until ``patience`` iterations
-    pass without improvement (None: the whole sequence)."""
+    """Number of trees to keep: the first iteration with the lowest loss, scanning until ``patience`` iterations pass
+    without improvement (None: the whole sequence)."""
     best_i, best = 0, float("inf")
     for i, loss in enumerate(losses):
         if loss < best:
@@ -118,21 +124,80 @@ def best_iteration(losses: Sequence[float], patience: int | None = None) -> int:
     return best_i + 1
 
 
+def leaf_values(learner: GBTClassificationModel) -> list[np.ndarray]:
+    """Of every tree, the predictions of its leaves from left to right, times the tree's weight. The debug string lists the
+    leaves in that order."""
+    return [np.array([float(x) for x in re.findall(r"Predict: (\S+)", tree.toDebugString)]) * weight
+            for tree, weight in zip(learner.trees, learner.treeWeights)]
+
+
+def staged_auc(learner: GBTClassificationModel, valid: DataFrame) -> list[float]:
+    """AUC on ``valid`` (features, label) after each number of trees, in one scoring pass: the leaves a row falls into give
+    its margin after every prefix, tasks count labels by (prefix, margin), and one grouped AUC takes all prefixes. NaN
+    where ``valid`` holds one class only."""
+    values = leaf_values(learner)
+    width = max(map(len, values))
+    table = np.zeros((len(values), width))
+    for t, v in enumerate(values):
+        table[t, :len(v)] = v
+    model = learner.copy({learner.leafCol: "__leaf"})
+    leaves = model.transform(valid).select(F.col("label").cast("double").alias("label"),
+                                           vector_to_array("__leaf").alias("leaf"))
+
+    def count(batches):
+        trees = np.arange(len(table))
+        for batch in batches:
+            for part in (batch.slice(k, 2000) for k in range(0, batch.num_rows, 2000)):
+                label = part["label"].to_numpy() > 0.5
+                leaf = part["leaf"].flatten().to_numpy().reshape(len(label), len(trees)).astype(np.int64)
+                margins = np.cumsum(table[trees, leaf], axis=1)
+                out = []
+                for t in range(len(trees)):
+                    m, place, n = np.unique(margins[:, t], return_inverse=True, return_counts=True)
+                    pos = np.bincount(place, weights=label, minlength=len(m)).astype(np.int64)
+                    out.append((np.full(len(m), t + 1), m, pos, n - pos))
+                columns = [np.concatenate(c) for c in zip(*out)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["trees", "margin", "pos", "neg"])
+
+    hist = leaves.mapInArrow(count, "trees long, margin double, pos long, neg long").groupBy("trees", "margin").agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    found = {r["trees"]: r["auc"] for r in metrics.auc_from_histogram(hist, "margin", ["trees"]).collect()}
+    return [float("nan") if found.get(t) is None else found[t] for t in range(1, len(table) + 1)]
+
+
+def first_trees(learner: GBTClassificationModel, n: int) -> GBTClassificationModel:
+    """The model of the first ``n`` trees, cut from the fitted one (a shorter fit with the same seed has the same trees)."""
+    java = learner._java_obj
+    gateway = SparkContext._active_spark_context._gateway
+    trees, weights = java.trees(), java.treeWeights()
+    some = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    scales = gateway.new_array(gateway.jvm.double, n)
+    for k in range(n):
+        some[k], scales[k] = trees[k], weights[k]
+    cut = gateway.jvm.org.apache.spark.ml.classification.GBTClassificationModel(java.uid(), some, scales, java.numFeatures(), 2)
+    out = GBTClassificationModel(cut)
+    out._resetUid(learner.uid)
+    return learner._copyValues(out)
+
+
 def fit(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str, name: str = "GBT",
         params: dict | None = None, seed: int = 19, valid: DataFrame | None = None,
-        patience: int | None = None) -> FitResult:
-    """Fit the pipeline; for GBT with a validation frame, early stop = best prefix of trees by validation loss
-    (``evaluateEachIteration``, optionally with a patience), refitted with that many trees (a shorter fit with the
-    same seed is the prefix)."""
+        patience: int | None = None, weight: str | None = None) -> FitResult:
+    """Fit the pipeline; for GBT with a validation frame, early stop = the first prefix of trees with the highest AUC on it
+    (optionally with a patience), taken from one fit and one scoring pass. ``weight``: a column of row weights (how
+    often a resampled row counts)."""
     est = make_estimator(name, params, seed)
     pipe = build_pipeline(numeric, categorical, est, one_hot=name.upper() == "LR")
     train = prepare(df, numeric, categorical, target)
-    # feature stages are fitted once; the assembled vectors are cached for the learner (and its early-stop refit)
+    # feature stages are fitted once; the assembled vectors are cached for the learner
     feature_model = Pipeline(stages=pipe.getStages()[:-1]).fit(train)
     levels = [len(labels) + 1 for s in feature_model.stages if hasattr(s, "labelsArray") for labels in s.labelsArray]
     max_bins = max([32, *levels])       # one bin per level and one for unseen values
     est = make_estimator(name, params, seed, max_bins=max_bins)
-    assembled = feature_model.transform(train).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    if weight:
+        est = est.setWeightCol(weight)
+    assembled = feature_model.transform(train).select("features", "label", *([weight] if weight else [])).persist(
+        StorageLevel.MEMORY_AND_DISK)
     slots = slot_features(assembled, [*numeric, *categorical])
     slot_std = None
     if name.upper() == "LR":
@@ -140,15 +205,15 @@ def fit(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], targe
         slot_std = assembled.select(Summarizer.std(F.col("features")).alias("s")).first()["s"].toArray().tolist()
     try:
         learner = est.fit(assembled)
-        n_iter = None
-        if valid is not None and name.upper() == "GBT":
-            v = feature_model.transform(prepare(valid, numeric, categorical, target))
-            losses = learner.evaluateEachIteration(v)
-            n_iter = best_iteration(losses, patience)
-            if n_iter < len(losses):
-                learner = make_estimator(name, {**(params or {}), "n_iter": n_iter}, seed, max_bins=max_bins).fit(assembled)
     finally:
         assembled.unpersist()
+    n_iter = None
+    if valid is not None and name.upper() == "GBT":
+        aucs = staged_auc(learner, feature_model.transform(prepare(valid, numeric, categorical, target)))
+        known = [a for a in aucs if a == a]
+        n_iter = best_iteration([1.0 - a for a in aucs], patience) if known else len(aucs)
+        if n_iter < len(aucs):
+            learner = first_trees(learner, n_iter)
     model = PipelineModel(stages=[*feature_model.stages, learner])
     return FitResult(model, [*numeric, *categorical], n_iter, slots, slot_std)
 
@@ -192,19 +257,15 @@ def train_medians(train: DataFrame, numeric: Sequence[str]) -> DataFrame:
     return train.sparkSession.createDataFrame([(c, med[c]) for c in numeric], "feature string, median double")
 
 
-def median_impute(df: DataFrame, medians: DataFrame) -> DataFrame:
-    vals = {r["feature"]: r["median"] for r in medians.collect()}
-    return df.fillna({k: v for k, v in vals.items() if v is not None})
-
-
 def cross_validate(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str, key: str,
                    name: str = "GBT", params: dict | None = None, k: int = 5, seed: int = 19,
                    sampler: str = "NONE", frac: float = 0.25, valid_size: float | None = 0.25,
-                   threads: int = 4) -> tuple[DataFrame, DataFrame]:
-    """Stratified k-fold (M5): for each fold, train on the other folds (resampled when asked, R7; an inner VALID split
-    drives early stop), score the held-out fold. Returns (out-of-fold scores, per-fold train/test Gini)."""
-    spark = df.sparkSession
-    folded = sampling.stratified_folds(df, target, k, key, seed).persist(StorageLevel.MEMORY_AND_DISK)
+                   threads: int = 4, patience: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Stratified k-fold (M5): for each fold, train on the other folds (resampled when asked, R7, as a weight column, so no
+    row is copied; an inner VALID split drives early stop), score the held-out fold. Returns (out-of-fold scores,
+    per-fold train/test Gini); scores are stored, so no fold is scored twice."""
+    narrow = df.select(*key_columns(key), target, *numeric, *categorical)
+    folded = materialize(sampling.stratified_folds(narrow, target, k, key, seed), "folds")
 
     def one_fold(j: int):
         rest = folded.where(F.col("fold") != j)
@@ -214,24 +275,21 @@ def cross_validate(df: DataFrame, numeric: Sequence[str], categorical: Sequence[
             rest = sampling.split_holdout(rest, valid_size, key, f"{seed}-{j}", salt="cv-valid", out="__v")
             valid = rest.where("__v").drop("__v")
             rest = rest.where(~F.col("__v")).drop("__v")
-        train = sampling.resample(rest, target, sampler, frac, key, f"{seed}-{j}")
-        res = fit(train, numeric, categorical, target, name, params, seed, valid)
+        train = materialize(sampling.resample_weights(rest, target, sampler, frac, key, f"{seed}-{j}"), "train")
+        res = fit(train, numeric, categorical, target, name, params, seed, valid, patience,
+                  "weight" if sampler.upper() == "OVER" else None)
         oof = score(res, test, numeric, categorical).select(*key_columns(key), "fold", target, "score")
-        tr = score(res, train, numeric, categorical).select(F.lit(j).alias("fold"), target, "score")
-        return oof, tr
+        tr = score(res, train, numeric, categorical).select(F.lit(j).alias("fold"), target, "score", "weight")
+        return materialize(oof, "oof"), metrics.gini(tr, "score", target, by=["fold"], digits=None, weight="weight")
 
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
         results = list(pool.map(one_fold, range(k)))
-    oof = results[0][0]
-    train_scores = results[0][1]
+    oof, g_train = results[0]
     for o, t in results[1:]:
-        oof = oof.unionByName(o)
-        train_scores = train_scores.unionByName(t)
+        oof, g_train = oof.unionByName(o), g_train.unionByName(t)
     g_test = metrics.gini(oof, "score", target, by=["fold"], digits=None).withColumnRenamed("gini", "gini_test")
-    g_train = metrics.gini(train_scores, "score", target, by=["fold"], digits=None).withColumnRenamed(
-        "gini", "gini_train")
-    fold_metric = g_train.join(g_test, "fold")
-    return oof, fold_metric
+    fold_metric = g_train.withColumnRenamed("gini", "gini_train").join(g_test, "fold")
+    return oof, materialize(fold_metric, "fold_ginis")
 
 
 def cv_summary(oof: DataFrame, fold_metric: DataFrame, target: str, bands: bool = False, n_bs: int = 2000,

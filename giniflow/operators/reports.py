@@ -61,19 +61,30 @@ def gini_report(metrics: DataFrame, row: str = "pool", column: str = "model", va
     return piv.agg(F.round(F.first(value), 2))
 
 
-def result_report(ginis: DataFrame, stability: DataFrame, uplift: DataFrame) -> DataFrame:
-    """One row per model: number of features, Gini per pool, stability verdict and uplift verdicts.
+def result_report(ginis: DataFrame, stability: DataFrame, uplift: DataFrame, base: DataFrame | None = None,
+                  selections: DataFrame | None = None) -> DataFrame:
+    """One row per model: number of features, Gini per pool, number of its selection run, stability verdict and uplift
+    verdicts; before them a row of the base model (all preselected features), with TRAIN and VALID only.
 
-    ``ginis``: (model, step, pool, gini), reported with two digits; ``stability``: (model, stability); ``uplift``: (model,
-    pool, verdict), the verdicts of each model's own steps. A missing verdict stays NULL."""
+    ``ginis``, ``base``: (model, step, pool, gini), reported with two digits; ``stability``: (model, stability); ``uplift``:
+    (model, pool, verdict), the verdicts of each model's own steps; ``selections``: (model, sel). What is missing is NULL."""
     pools = ("TRAIN", "VALID", "TEST", "OOT")
-    wide = ginis.groupBy("model").agg(
-        F.max("step").cast("int").alias("nfeats"),
-        *[F.round(F.max(F.when(F.col("pool") == p, F.col("gini"))), 2).alias(p.lower()) for p in pools])
+
+    def wide(g: DataFrame) -> DataFrame:
+        return g.groupBy("model").agg(
+            F.max("step").cast("int").alias("nfeats"),
+            *[F.round(F.max(F.when(F.col("pool") == p, F.col("gini"))), 2).alias(p.lower()) for p in pools])
+
     own = uplift.groupBy("model").agg(*[F.max(F.when(F.col("pool") == p, F.col("verdict"))).alias(f"uplift_{p.lower()}")
                                         for p in pools if p != "VALID"])
-    return wide.join(stability, "model", "left").join(own, "model", "left").select(
-        "model", "nfeats", "train", "valid", "test", "oot", "stability", "uplift_train", "uplift_test", "uplift_oot")
+    rows = wide(ginis).join(stability.select("model", "stability"), "model", "left").join(own, "model", "left")
+    rows = rows.join(selections, "model", "left") if selections is not None else rows.withColumn("sel", F.lit(None).cast("int"))
+    columns = ["model", "nfeats", "train", "valid", "test", "oot", "sel", "stability", "uplift_train", "uplift_test", "uplift_oot"]
+    out = rows.select(*columns)
+    if base is not None:
+        first = wide(base.where(F.col("pool").isin("TRAIN", "VALID")))
+        out = first.unionByName(out, allowMissingColumns=True).select(*columns)
+    return out
 
 
 def selection_report(runs: DataFrame) -> DataFrame:

@@ -179,23 +179,37 @@ def oversample(df: DataFrame, label: str, frac: float, key: str | Sequence[str],
 
     Draw j picks minority row number ``h(j) mod n_min + 1`` (row numbers in hash order). The draws are a distributed
     ``spark.range(m)``, aggregated to a copy count per drawn row, then joined to the minority rows on the row number and
-    replicated with ``explode(sequence(...))``: no draw list passes through the driver."""
+    replicated with ``explode(sequence(...))``: no draw list passes through the driver. Labels are not null."""
+    weighted = oversample_weights(df, label, frac, key, seed, counts)
+    copies = F.explode(F.sequence(F.lit(1), F.col("__weight").cast("int")))
+    return weighted.withColumn("__copy", copies).select(*df.columns)
+
+
+def oversample_weights(df: DataFrame, label: str, frac: float, key: str | Sequence[str], seed: int | str,
+                       counts: dict | None = None, out: str = "__weight") -> DataFrame:
+    """The rows of `oversample`, each once, with the number of its copies: 1, plus the draws of a minority row."""
     spark = df.sparkSession
     counts = counts or _group_counts(df, [label])
     (minority, n_min), (majority, n_maj) = sorted(((g[0], c) for g, c in counts.items()), key=lambda t: (t[1], t[0]))
     m = oversample_draws(n_min, n_maj, frac)
     if m == 0:
-        return df
+        return df.withColumn(out, F.lit(1).cast("long"))
     wide = F.conv(F.substring(F.md5(F.concat(F.col("id").cast("string"), F.lit(f":over-{seed}"))), 1, 15), 16, 10)
     draws = (spark.range(m).select((wide.cast("bigint") % F.lit(n_min) + F.lit(1)).alias("__rn"))
              .groupBy("__rn").agg(F.count(F.lit(1)).alias("__copies")))
     mino = df.where(F.col(label) == F.lit(minority)).withColumn("__key", key_text(key))
     mino = mino.withColumn("__h_over", row_hash("__key", f"overrow-{seed}"))
     mino = exact_rank(mino, [], ["__h_over", "__key"], out="__rn")
-    extra = (mino.join(draws, "__rn")
-             .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
-             .select(*df.columns))
-    return df.unionByName(extra)
+    drawn = mino.join(draws, "__rn", "left").select(*df.columns, (F.coalesce("__copies", F.lit(0)) + 1).alias(out))
+    return df.where(F.col(label) != F.lit(minority)).withColumn(out, F.lit(1).cast("long")).unionByName(drawn)
+
+
+def resample_weights(df: DataFrame, label: str, kind: str, frac: float, key: str | Sequence[str], seed: int | str,
+                     out: str = "weight") -> DataFrame:
+    """`resample` without copies of rows: undersampling filters, oversampling counts copies in ``out``."""
+    if (kind or "NONE").upper() == "OVER":
+        return oversample_weights(df, label, frac, key, seed, out=out)
+    return resample(df, label, kind, frac, key, seed).withColumn(out, F.lit(1).cast("long"))
 
 
 def resample(df: DataFrame, label: str, kind: str, frac: float, key: str | Sequence[str], seed: int | str) -> DataFrame:

@@ -2,8 +2,9 @@
 
 Candidates are rows of a DataFrame whose values are hashes of (candidate id, parameter name, seed): uniform,
 quantised-uniform and log-uniform draws are plain column expressions, reproducible in SQL and independent of
-partitioning. Feature subsets (the STABLE design) are drawn per candidate instead of materialising every combination:
-a size in [F_LOWER, F_UPPER], then the features with the smallest hashes.
+partitioning. Feature subsets (the STABLE design) are drawn uniformly from all combinations of F_LOWER to F_UPPER features:
+a candidate draws a rank, and the combination of that rank is computed from binomial coefficients (combinadic numbers), so
+the product of all combinations is never built.
 """
 
 from __future__ import annotations
@@ -48,26 +49,61 @@ def gbt_space(frac: float | None = None, frac_amp: float = 4.0) -> list[Param]:
     return space
 
 
+def n_combinations(n: int, lower: int, upper: int) -> int:
+    """Number of combinations of ``lower`` to ``upper`` out of ``n``."""
+    return sum(math.comb(n, k) for k in range(lower, upper + 1))
+
+
+def _check_total(total: int) -> None:
+    if total >= 1 << 60:
+        raise ValueError("too many combinations for a 60-bit rank: choose fewer features")
+
+
+def combination(rank: Column, n: int, lower: int, upper: int) -> Column:
+    """Positions (from 0, ascending) of the combination of a rank, 0 <= rank < n_combinations: smaller ones first, those of
+    k positions by their greatest position, then the next, and so on.
+
+    The greatest position of rank r among k is the largest c with C(c, k) <= r; the rest has rank r - C(c, k) among k - 1.
+    Binomials are a literal table of n x upper numbers."""
+    _check_total(n_combinations(n, lower, upper))
+    table = F.array(*[F.array(*[F.lit(math.comb(c, k)).cast("long") for c in range(n)]) for k in range(1, upper + 1)])
+    starts = [n_combinations(n, lower, k - 1) for k in range(lower, upper + 1)]
+    begin = F.array(*[F.lit(s).cast("long") for s in starts])
+    size = F.size(F.filter(begin, lambda s: s <= rank))          # which of the sizes, from 1
+    inside = rank - F.element_at(begin, size)
+
+    def step(state: Column, k: Column) -> Column:
+        row = F.element_at(table, k)
+        c = F.size(F.filter(row, lambda x: x <= state["rest"])) - 1
+        return F.struct((state["rest"] - F.element_at(row, c + 1)).alias("rest"),
+                        F.concat(F.array(c), state["picked"]).alias("picked"))
+
+    start = F.struct(inside.cast("long").alias("rest"), F.array().cast("array<int>").alias("picked"))
+    return F.aggregate(F.sequence(size + F.lit(lower - 1), F.lit(1), F.lit(-1)), start, step)["picked"]
+
+
+def drawn_rank(pid: Column, total: int, seed: int | str) -> Column:
+    """A rank below ``total`` from 60 bits of a hash."""
+    _check_total(total)
+    wide = F.conv(F.substring(F.md5(F.concat(pid.cast("string"), F.lit(f":combination-{seed}"))), 1, 15), 16, 10)
+    return wide.cast("bigint") % F.lit(total).cast("long")
+
+
 def candidates(spark: SparkSession, n: int, space: Sequence[Param], seed: int | str = 19,
                features: Sequence[str] | None = None, f_lower: int = 4, f_upper: int = 10) -> DataFrame:
-    """``n`` candidate rows (id, params..., [features array])."""
+    """``n`` candidate rows (id, params..., [n_features, features array])."""
     pid = F.col("id")
     cols = [pid.alias("candidate")] + [draw(pid, p, seed).alias(p.name) for p in space]
-    df = spark.range(n).select(*cols)
-    if features:
-        feats = list(features)
-        hi = min(f_upper, len(feats))
-        lo = min(f_lower, hi)
-        size = (F.lit(lo) + F.floor(row_uniform(pid.cast("string"), f"fsize-{seed}") * F.lit(hi - lo + 1))).cast("int")
-        ranked = F.array_sort(F.array(*[F.struct(row_uniform(F.concat(pid.cast("string"), F.lit(f"/{f}")),
-                                                             f"fpick-{seed}").alias("u"), F.lit(f).alias("f"))
-                                        for f in feats]))
-        with_ids = spark.range(n).select(pid.alias("candidate"), size.alias("n_features"), ranked.alias("__r"))
-        picked = with_ids.select("candidate", "n_features",
-                                 F.transform(F.slice("__r", 1, F.col("n_features")), lambda s: s["f"]).alias(
-                                     "features"))
-        df = df.join(picked, "candidate")
-    return df
+    if not features:
+        return spark.range(n).select(*cols)
+    names = F.array(*[F.lit(f) for f in features])
+    hi = min(f_upper, len(features))
+    lo = min(f_lower, hi)
+    total = n_combinations(len(features), lo, hi)
+    drawn = spark.range(n).withColumn("__r", drawn_rank(pid, total, seed)).withColumn(
+        "__p", combination(F.col("__r"), len(features), lo, hi))
+    return drawn.select(*cols, F.size("__p").alias("n_features"),
+                        F.transform("__p", lambda i: F.element_at(names, i + 1)).alias("features"))
 
 
 def tune(cands: DataFrame, objective: Callable[[dict], float]) -> tuple[dict, DataFrame]:

@@ -13,6 +13,7 @@ from giniflow.operators import binning, collinear, gates, metrics, sampling
 from giniflow.plans.catalog import DATE, KEY, POOLS_CTE, SEED, Y, pools, register, sample
 from giniflow.plans.catalog_binning import FIXED, MIN_SIZE, _bin_case
 from giniflow.plans.oracle import gini_sql, with_fixture
+from giniflow.session import materialize
 from giniflow.spec import BinnerConfig
 
 CARD = list(FIXED)     # quantity, discount, acct_bal, part_size
@@ -20,7 +21,7 @@ CARD = list(FIXED)     # quantity, discount, acct_bal, part_size
 
 def _scorecard_rows(spark, sf_dir):
     """(epk_id, pool, trg_flag, step, feature, score) of the WoE-sum scorecard."""
-    p = pools(spark, sf_dir).persist()
+    p = materialize(pools(spark, sf_dir).select(KEY, "pool", Y, *CARD), "pools")
     train = p.where(F.col("pool") == "TRAIN")
     model = binning.fit_binning(train, CARD, [], Y, BinnerConfig(min_size=MIN_SIZE), fixed_thresholds=FIXED)
     ranked = sorted(CARD, key=lambda f: -model.numeric[f].iv)
@@ -227,7 +228,7 @@ def q_vif_select(spark, sf_dir):
 
 @register("bootstrap_band", None)
 def q_bootstrap_band(spark, sf_dir):
-    """A10: 2,000 multinomial replicates of the Gini of the quantity score over the histogram."""
+    """A10: 2,000 Poisson replicates of the Gini of the quantity score over the histogram."""
     reps, band = metrics.bootstrap_gini(sample(spark, sf_dir), "quantity", Y, n_bs=2000, seed=SEED)
     point = metrics.gini(sample(spark, sf_dir), "quantity", Y).first()["gini"]
     return band.select(F.lit(point).alias("gini"), "gini_low", "gini_upp")

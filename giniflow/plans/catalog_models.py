@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from giniflow.operators import collinear, gates, importance, models, reports, sampling
 from giniflow.operators.tuning import candidates, gbt_space
-from giniflow.plans import stages
-from giniflow.plans.catalog import CATEGORICAL, KEY, NUMERIC, SEED, Y, pools, register, sample
+from giniflow.plans import fine_tuning, stages
+from giniflow.plans.catalog import DATE, KEY, SEED, Y, pools, register, sample
 from giniflow.plans.catalog_gates import CARD, SCORECARD_CTE, _scorecard_steps
 from giniflow.plans.oracle import with_fixture
 from giniflow.session import ensure_checkpoint_dir, materialize
@@ -31,7 +31,7 @@ def _scratch(spark, name: str) -> str:
 @register("model_pool_gini", None)
 def q_model_pool_gini(spark, sf_dir):
     """M1 + M2 + A6: GBT on TRAIN, early stop on VALID, Gini of every pool."""
-    p = pools(spark, sf_dir).persist()
+    p = stages.narrow_copy(pools(spark, sf_dir), SPEC, ["pool"])
     fitted = stages.fit_on_pools(p, SPEC, SPEC.features, "GBT", None, SEED)
     return stages.pool_gini(fitted, p, SPEC, SPEC.features).withColumn("n_trees", F.lit(fitted.n_iter))
 
@@ -39,16 +39,16 @@ def q_model_pool_gini(spark, sf_dir):
 @register("feature_importance", None)
 def q_feature_importance(spark, sf_dir):
     """M3 + O1: ranked importance of the fitted learner."""
-    p = pools(spark, sf_dir).persist()
+    p = stages.narrow_copy(pools(spark, sf_dir), SPEC, ["pool"])
     fitted = stages.fit_on_pools(p, SPEC, SPEC.features, "GBT", None, SEED)
     return reports.rank_importance(models.importance(fitted, spark))
 
 
 @register("cross_validation", None)
 def q_cross_validation(spark, sf_dir):
-    """M5 + A8 + A9: stratified 3-fold CV of the logistic pipeline on DEV rows; pooled and median Ginis."""
+    """M5 + A8 + A9: stratified 5-fold CV of the boosted learner on DEV rows; pooled and median Ginis."""
     dev = pools(spark, sf_dir).where(F.col("pool") != "OOT")
-    oof, fm = models.cross_validate(dev, list(SPEC.numeric), list(SPEC.categorical), Y, KEY, "LR", None, 3, SEED)
+    oof, fm = models.cross_validate(dev, list(SPEC.numeric), list(SPEC.categorical), Y, KEY, "GBT", seed=SEED)
     s = models.cv_summary(oof, fm, Y)
     return spark.createDataFrame([(s["gini"], s["median_gini_train"], s["median_gini_test"])],
                                  "gini double, median_gini_train double, median_gini_test double")
@@ -63,17 +63,17 @@ def q_preselection(spark, sf_dir):
 
 @register("grid_search_report", None)
 def q_grid_search_report(spark, sf_dir):
-    """M6 + J6 + O3: logistic learner x {original, undersampled to 20 % and 25 %, 5 % (infeasible)} by 3-fold CV."""
+    """M6 + J6 + O3: all learners x {original, undersampled to 20 % and 25 %, 5 % (infeasible)} by 5-fold CV."""
     d = sample(spark, sf_dir)
     share = d.agg(F.avg(F.col(Y).cast("double"))).first()[0]
-    cells = stages.grid_cells(spark, ["LR"], [("ORIG", 0), ("US", 5), ("US", 20), ("US", 25)], share)
-    return stages.search_grid(d, SPEC, cells, k=3, seed=SEED)
+    cells = stages.grid_cells(spark, models.MODELS, [("ORIG", 0), ("US", 5), ("US", 20), ("US", 25)], share)
+    return stages.search_grid(d, SPEC, cells, seed=SEED)
 
 
 @register("permutation_importance", None)
 def q_permutation_importance(spark, sf_dir):
     """M10 + J7: logistic pipeline fitted on TRAIN; 10 affine shuffles per feature on VALID."""
-    p = pools(spark, sf_dir).persist()
+    p = stages.narrow_copy(pools(spark, sf_dir), SPEC, ["pool"])
     num, cat = list(SPEC.numeric), list(SPEC.categorical)
     fitted = models.fit(p.where(F.col("pool") == "TRAIN"), num, cat, Y, "LR", None, SEED)
     valid = p.where(F.col("pool") == "VALID")
@@ -83,11 +83,8 @@ def q_permutation_importance(spark, sf_dir):
 
 @register("fine_selection", None)
 def q_fine_selection(spark, sf_dir):
-    """M13 + M11 + M12: WoE binning, VIF removal on WoE columns, 3-fold permutation importance of the kept set."""
-    spec = FIXTURE_SPEC
-    res = stages.fine_select(sample(spark, sf_dir), spec, vif_cutoff=1.7, n_splits=3, n_iter=2, seed=SEED,
-                             name="LR")
-    return res["importance"]
+    """M13 + M11 + M12: WoE binning, VIF removal on WoE columns, 10-fold permutation importance (10 repeats) of the kept set."""
+    return stages.fine_select(sample(spark, sf_dir), SPEC, seed=SEED)["importance"]
 
 
 def _u_sql(name: str) -> str:
@@ -112,10 +109,13 @@ def q_tuning_candidates(spark, sf_dir):
 
 @register("fine_tuning", None)
 def q_fine_tuning(spark, sf_dir):
-    """Uplift steps over the top 3 features, 2 tuning candidates by 2-fold score, final fit, gates."""
-    res = stages.fine_tune(pools(spark, sf_dir), SPEC, ["quantity", "discount", "client_segm"], n_top=3, n_evals=2,
-                           seed=SEED, k=2, n_iter=10)
-    return res["gini"].join(res["uplift"], "pool", "left")
+    """Fits on all and on the best features (ranked by importance), uplift, search of parameters and resampling share,
+    final fit with its package, importance on OOT, gates; the result report (base row and final model)."""
+    p = stages.narrow_copy(pools(spark, sf_dir), SPEC, [DATE, "pool"])
+    first = stages.fit_on_pools(p, SPEC, SPEC.features, "GBT", None, SEED)
+    ranked = [r["feature"] for r in reports.rank_importance(models.importance(first, spark)).orderBy("rank").collect()]
+    settings = fine_tuning.TuningSettings(sampler="UNDER", seed=SEED)
+    return fine_tuning.fine_tuning(p, SPEC, ranked, settings, _scratch(spark, "model"), selection=1)["result"]
 
 
 # ---------------------------------------------------------------------------------------------------------------------
@@ -132,7 +132,13 @@ def q_gini_report(spark, sf_dir):
 
 
 RESULT_SQL = """
-SELECT s.model, CAST(s.nfeats AS INTEGER) AS nfeats, s.train, s.valid, s.test, s.oot, st.stability,
+SELECT 'BASE' AS model, CAST(max(step) AS INTEGER) AS nfeats,
+       round(max(CASE WHEN pool = 'TRAIN' THEN gini END), 2) AS train, round(max(CASE WHEN pool = 'VALID' THEN gini END), 2) AS valid,
+       CAST(NULL AS DOUBLE) AS test, CAST(NULL AS DOUBLE) AS oot, CAST(NULL AS INTEGER) AS sel, NULL AS stability,
+       NULL AS uplift_train, NULL AS uplift_test, NULL AS uplift_oot
+FROM _gini WHERE step = (SELECT max(step) FROM _gini)
+UNION ALL
+SELECT s.model, CAST(s.nfeats AS INTEGER) AS nfeats, s.train, s.valid, s.test, s.oot, CAST(s.nfeats AS INTEGER) AS sel, st.stability,
        u.uplift_train, u.uplift_test, u.uplift_oot
 FROM (SELECT 'STEP_' || CAST(step AS VARCHAR) AS model, step AS nfeats,
              round(max(CASE WHEN pool = 'TRAIN' THEN gini END), 2) AS train,
@@ -175,7 +181,9 @@ def _result_report(spark, sf_dir):
     # the model of step k is judged by its own steps 1..k
     own = g.withColumn("k", F.explode(F.sequence("step", F.lit(len(CARD))))).select(model("k"), "step", "feature", "pool", "gini")
     _, verdict = gates.uplift_gate(own, by=["model", "pool"])
-    return reports.result_report(long, stab, verdict)
+    base = long.where(F.col("step") == len(CARD)).withColumn("model", F.lit("BASE"))
+    selections = long.select("model", F.col("step").alias("sel")).distinct()
+    return reports.result_report(long, stab, verdict, base, selections)
 
 
 @register("result_report", with_fixture(RESULT_SQL, SCORECARD_CTE))
@@ -233,7 +241,7 @@ def q_stream_woe(spark, sf_dir):
     from giniflow.spec import BinnerConfig
     from giniflow.streaming.scoring import read_stream, woe_stream, write_stream
     base = _scratch(spark, "stream")
-    p = pools(spark, sf_dir).persist()
+    p = materialize(pools(spark, sf_dir).select(KEY, "pool", Y, *FIXED), "pools")
     model = binning.fit_binning(p.where(F.col("pool") == "TRAIN"), list(FIXED), [], Y, BinnerConfig(min_size=MIN_SIZE),
                                 fixed_thresholds=FIXED)
     src = p.where(F.col("pool") == "TEST").select(KEY, Y, *FIXED)

@@ -10,6 +10,7 @@ from giniflow.operators import encode, prep, sampling
 from giniflow.plans.catalog import (CATEGORICAL, DATE, KEY, NUMERIC, OOT_DATES, OOT_SQL, POOLS_CTE, SEED, Y, pools,
                                     register, sample)
 from giniflow.plans.oracle import with_fixture
+from giniflow.session import materialize
 from giniflow.sources.fixture import table
 
 
@@ -208,7 +209,7 @@ def q_train_medians(spark, sf_dir):
 SELECT pool, CAST(count(*) AS BIGINT) AS n_rows, round(sum(quantity), 6) AS sum_score FROM pools
 WHERE pool IN ('VALID', 'TEST') GROUP BY pool""", POOLS_CTE))
 def q_union_scores(spark, sf_dir):
-    p = pools(spark, sf_dir).persist()
+    p = materialize(pools(spark, sf_dir).select("pool", "quantity"), "pools")
     parts = [p.where(F.col("pool") == x).select("pool", "quantity") for x in ("VALID", "TEST")]
     u = parts[0].unionByName(parts[1])
     return u.groupBy("pool").agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("quantity"), 6).alias("sum_score"))

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from giniflow.functions.hashing import key_columns  # noqa: E402
 from giniflow.operators import binning, collinear, gates, importance, metrics, models, reports, sampling  # noqa: E402
-from giniflow.operators.tuning import candidates, gbt_space, tune  # noqa: E402
+from giniflow.session import materialize  # noqa: E402
 from giniflow.spec import BinnerConfig, SampleSpec  # noqa: E402
 
 from concurrent.futures import ThreadPoolExecutor  # noqa: E402
@@ -41,7 +41,7 @@ from concurrent.futures import ThreadPoolExecutor  # noqa: E402
 THREADS = 4   # independent fits (grid cells, folds, uplift steps) submitted concurrently from the driver
 
 
-def _parallel(fn, items, threads: int = THREADS):
+def run_parallel(fn, items, threads: int = THREADS):
     with ThreadPoolExecutor(max_workers=max(1, min(threads, len(items) or 1))) as pool:
         return list(pool.map(fn, items))
 
@@ -56,13 +56,17 @@ def pool_gini(fitted, pools_df: DataFrame, spec: SampleSpec, features: Sequence[
 
 
 def fit_on_pools(pools_df: DataFrame, spec: SampleSpec, features: Sequence[str], name: str = "GBT",
-                 params: dict | None = None, seed: int = 19, patience: int | None = None):
+                 params: dict | None = None, seed: int = 19, patience: int | None = None, sampler: str = "NONE",
+                 frac: float = 0.25):
+    """Fit on TRAIN (resampled by weights where asked), early stop on VALID."""
     num = [f for f in features if f in spec.numeric]
     cat = [f for f in features if f in spec.categorical]
-    train = pools_df.where(F.col("pool") == "TRAIN").persist(StorageLevel.MEMORY_AND_DISK)
+    train = sampling.resample_weights(pools_df.where(F.col("pool") == "TRAIN"), spec.target, sampler, frac, spec.key, seed)
+    train = train.select(spec.target, "weight", *features).persist(StorageLevel.MEMORY_AND_DISK)
     valid = pools_df.where(F.col("pool") == "VALID")
     try:
-        return models.fit(train, num, cat, spec.target, name, params, seed, valid, patience)
+        return models.fit(train, num, cat, spec.target, name, params, seed, valid, patience,
+                          "weight" if sampler.upper() == "OVER" else None)
     finally:
         train.unpersist()
 
@@ -74,7 +78,7 @@ def preselect(pools_df: DataFrame, spec: SampleSpec, n_top: int, name: str = "GB
     otherwise the computed table is written there. Returns (ranked importance, report pool x {gini_all, gini_top})."""
     from giniflow.sources.io import read_registry
     spark = pools_df.sparkSession
-    p = pools_df.persist(StorageLevel.MEMORY_AND_DISK)
+    p = narrow_copy(pools_df, spec, ["pool"])
     cached = read_registry(spark, importance_cache) if importance_cache else None
     full = None
     if cached is not None:
@@ -94,11 +98,11 @@ def preselect(pools_df: DataFrame, spec: SampleSpec, n_top: int, name: str = "GB
 
 
 def search_grid(sample_df: DataFrame, spec: SampleSpec, cells: DataFrame, k: int = 5, seed: int = 19,
-                bands: bool = False, n_bs: int = 2000, params: dict | None = None) -> DataFrame:
+                bands: bool = False, n_bs: int = 2000, params: dict | None = None, patience: int | None = None) -> DataFrame:
     """M6: cross-validate every feasible grid cell (learner x resampling) and rank by lower band, else Gini.
     Infeasible cells are reported with NULL metrics."""
     spark = sample_df.sparkSession
-    d = sample_df.persist(StorageLevel.MEMORY_AND_DISK)
+    d = narrow_copy(sample_df, spec)
 
     def run_cell(c):
         if not c["feasible"]:
@@ -106,53 +110,75 @@ def search_grid(sample_df: DataFrame, spec: SampleSpec, cells: DataFrame, k: int
         sampler = {"ORIG": "NONE", "US": "UNDER", "OS": "OVER"}[c["sampler"]]
         oof, fm = models.cross_validate(d, list(spec.numeric), list(spec.categorical), spec.target, spec.key,
                                         c["model"], params, k, seed, sampler, c["frac"] / 100.0 if c["frac"] else 0.25,
-                                        threads=2)
+                                        threads=2, patience=patience)
         s = models.cv_summary(oof, fm, spec.target, bands, n_bs, seed)
         return (c["label"], s["gini"], s["gini_low"], s["gini_upp"], "ok")
 
-    rows = _parallel(run_cell, cells.collect())
+    rows = run_parallel(run_cell, cells.collect())
     rep = spark.createDataFrame(rows, "label string, gini double, gini_low double, gini_upp double, status string")
     return reports.rank_pipelines(rep)
 
 
+def narrow_copy(df: DataFrame, spec: SampleSpec, extra: Sequence[str] = ()) -> DataFrame:
+    """The key, target and feature columns, stored once for the passes of a stage."""
+    return materialize(df.select(*dict.fromkeys([*key_columns(spec.key), *extra, spec.target, *spec.features])), "sample")
+
+
+def selection_sample(df: DataFrame, spec: SampleSpec, frac: float = 1.0, under: bool = False, seed: int = 19) -> DataFrame:
+    """The rows a selection works on: a share ``frac`` of all, or (``under``) all minority rows and as many majority rows as
+    make the minority's share ``frac``."""
+    if under:
+        return sampling.undersample(df, spec.target, frac, spec.key, seed)
+    return sampling.sample_rows(df, frac, spec.key, seed) if frac < 1 else df
+
+
 def fine_select(sample_df: DataFrame, spec: SampleSpec, binner: BinnerConfig = BinnerConfig(),
-                vif_cutoff: float = 1.7, n_splits: int = 5, n_iter: int = 3, seed: int = 19,
-                name: str = "GBT", params: dict | None = None) -> dict:
-    """WoE binning -> iterative VIF removal on the WoE columns -> k-fold permutation importance of the kept
+                vif_cutoff: float = 1.7, n_splits: int = 10, n_iter: int = 10, seed: int = 19,
+                name: str = "GBT", params: dict | None = None, sample_frac: float = 1.0, under: bool = False,
+                sampler: str = "NONE", frac: float = 0.25, patience: int | None = None) -> dict:
+    """Sample -> WoE binning -> iterative VIF removal on the WoE columns -> k-fold permutation importance of the kept
     features. Returns the binning model, dropped features, the VIF table and the importance table."""
     spark = sample_df.sparkSession
-    d = sample_df.persist(StorageLevel.MEMORY_AND_DISK)
+    d = narrow_copy(selection_sample(sample_df, spec, sample_frac, under, seed), spec)
     bm = binning.fit_binning(d, spec.numeric, spec.categorical, spec.target, binner)
-    woe = bm.transform(d, keep=[*key_columns(spec.key), spec.target]).persist(StorageLevel.MEMORY_AND_DISK)
+    woe = materialize(bm.transform(d, keep=[*key_columns(spec.key), spec.target]), "woe")
     woe_cols = [f"woe_{f}" for f in bm.features]
     dropped, vif_final = collinear.vif_select(woe, woe_cols, vif_cutoff)
     drop_names = [f[len("woe_"):] for f, _ in dropped]
     kept = [f for f in spec.features if f in bm.features and f not in drop_names]
-    imp = fold_permutation_importance(d, spec.with_features(kept), n_splits, n_iter, seed, name, params)
+    imp = fold_permutation_importance(d, spec.with_features(kept), n_splits, n_iter, seed, name, params, sampler, frac,
+                                      patience)
     return {"binning": bm, "dropped": dropped, "vif": vif_final, "importance": imp, "kept": kept,
             "woe": woe, "spark": spark}
 
 
-def fold_permutation_importance(df: DataFrame, spec: SampleSpec, n_splits: int = 5, n_iter: int = 3,
-                                seed: int = 19, name: str = "GBT", params: dict | None = None) -> DataFrame:
-    """Stratified folds; fit on k-1 folds, permutation importance on the held-out fold; mean over folds."""
-    folded = sampling.stratified_folds(df, spec.target, n_splits, spec.key, seed).persist(StorageLevel.MEMORY_AND_DISK)
+def fold_permutation_importance(df: DataFrame, spec: SampleSpec, n_splits: int = 10, n_iter: int = 10,
+                                seed: int = 19, name: str = "GBT", params: dict | None = None, sampler: str = "NONE",
+                                frac: float = 0.25, patience: int | None = None) -> DataFrame:
+    """Stratified folds; fit on k-1 folds (resampled by weights, early stop on the held-out fold), permutation
+    importance on the held-out fold; mean over folds."""
+    folded = materialize(sampling.stratified_folds(df, spec.target, n_splits, spec.key, seed), "folds")
     num, cat = list(spec.numeric), list(spec.categorical)
 
     def one_fold(j):
-        train = folded.where(F.col("fold") != j)
+        train = sampling.resample_weights(folded.where(F.col("fold") != j), spec.target, sampler, frac, spec.key, f"{seed}-{j}")
         held = folded.where(F.col("fold") == j)
-        fitted = models.fit(train, num, cat, spec.target, name, params, seed)
+        fitted = models.fit(train, num, cat, spec.target, name, params, seed, held, patience,
+                            "weight" if sampler.upper() == "OVER" else None)
         imp = importance.permutation_importance(
             held, spec.features, spec.target, spec.key, lambda fr: models.score(fitted, fr, num, cat), n_iter,
             f"{seed}-{j}")
         return small_result(imp)
 
-    parts = _parallel(one_fold, list(range(n_splits)))
+    return mean_importance(run_parallel(one_fold, list(range(n_splits))))
+
+
+def mean_importance(parts: Sequence[DataFrame]) -> DataFrame:
+    """Mean of (feature, importance) over the folds, highest first."""
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.groupBy("feature").agg(F.avg("importance").alias("importance")).orderBy(F.desc("importance"))
+    return out.groupBy("feature").agg(F.avg("importance").alias("importance")).orderBy(F.desc("importance"), "feature")
 
 
 def small_result(df: DataFrame) -> DataFrame:
@@ -162,16 +188,24 @@ def small_result(df: DataFrame) -> DataFrame:
 
 
 def backtest_refit(df: DataFrame, spec: SampleSpec, features: Sequence[str], name: str = "GBT",
-                   params: dict | None = None, seed: int = 19) -> DataFrame:
-    """M7 backtest with a refit per step: for the i-th report date, fit on all earlier dates and take the Gini on
-    those dev rows and on the date itself. Returns (report_dt, dev, oot)."""
+                   params: dict | None = None, seed: int = 19, valid_size: float | None = 0.25, sampler: str = "NONE",
+                   frac: float = 0.25, patience: int | None = None) -> DataFrame:
+    """M7 backtest with a refit per step: for the i-th report date, fit on all earlier dates (their VALID share drives early
+    stop, the sampler works on the rest) and take the Gini on all those rows and on the date itself. Returns
+    (report_dt, dev, oot)."""
     from giniflow.operators.backtest import backtest_models
     num = [f for f in features if f in spec.numeric]
     cat = [f for f in features if f in spec.categorical]
-    base = df.persist(StorageLevel.MEMORY_AND_DISK)
+    base = narrow_copy(df, spec.with_features(features), [spec.date_col])
 
     def fit_and_score(dev, oot):
-        fitted = models.fit(dev, num, cat, spec.target, name, params, seed)
+        train, valid = dev, None
+        if valid_size:
+            split = sampling.split_holdout(dev, valid_size, spec.key, seed, salt="backtest-valid", out="__v")
+            train, valid = split.where(~F.col("__v")).drop("__v"), split.where("__v").drop("__v")
+        train = sampling.resample_weights(train, spec.target, sampler, frac, spec.key, seed)
+        fitted = models.fit(train, num, cat, spec.target, name, params, seed, valid, patience,
+                            "weight" if sampler.upper() == "OVER" else None)
         both = dev.withColumn("role", F.lit("DEV")).unionByName(oot.withColumn("role", F.lit("OOT")))
         return metrics.gini(models.score(fitted, both, num, cat), "score", spec.target, by=["role"], digits=None)
 
@@ -180,60 +214,8 @@ def backtest_refit(df: DataFrame, spec: SampleSpec, features: Sequence[str], nam
 
 def stable_score(df: DataFrame, spec: SampleSpec, features: Sequence[str], params: dict | None = None,
                  name: str = "GBT", seed: int = 19, accept_lvl: float = 25.0, actuality: float = 1.5,
-                 stable_fine: float = 5.0) -> float:
+                 stable_fine: float = 5.0, **fitting) -> float:
     """Objective of the STABLE design (M7): stability score of the refit backtest (lower is better, +inf when the
-    mean OOT Gini is below ACCEPT_LVL)."""
-    bt = backtest_refit(df, spec, features, name, params, seed)
+    mean OOT Gini is below ACCEPT_LVL). ``fitting``: VALID share, sampler, its share and patience of the refits."""
+    bt = backtest_refit(df, spec, features, name, params, seed, **fitting)
     return gates.stability_score(bt, accept_lvl, actuality, stable_fine).first()["stability_score"]
-
-
-def fine_tune(pools_df: DataFrame, spec: SampleSpec, ranked: Sequence[str], n_top: int = 10, n_evals: int = 4,
-              seed: int = 19, kfold_fine: float = 0.25, k: int = 3, n_iter: int = 30, design: str = "KFOLD",
-              f_lower: int = 4, f_upper: int = 10, final_valid: float = 0.0, final_patience: int = 0,
-              oot_frac: float = 1.0) -> dict:
-    """M21 (compact): OOT subsample (only when ``oot_frac`` is below 1) -> uplift steps over the ranked features -> seeded search of GBT parameters by
-    the k-fold score (M8) -> final fit -> Gini per pool -> stability and uplift gates."""
-    spark = pools_df.sparkSession
-    p = sampling.oot_subsample(pools_df, oot_frac, spec.key, seed).persist(StorageLevel.MEMORY_AND_DISK)
-    feats = list(ranked)[:n_top]
-
-    def step_scores(k):
-        prefix = feats[:k]
-        g = pool_gini(fit_on_pools(p, spec, prefix, params={"n_iter": n_iter}, seed=seed), p, spec, prefix, digits=None)
-        return small_result(g.select(F.lit(k).alias("step"), F.lit(feats[k - 1]).alias("feature"), "pool", "gini"))
-
-    parts = _parallel(step_scores, list(range(1, len(feats) + 1)))
-    steps = parts[0]
-    for part in parts[1:]:
-        steps = steps.unionByName(part)
-    flagged, verdict = gates.uplift_gate(steps)
-    dev = p.where(F.col("pool").isin("TRAIN", "VALID"))
-    sub = spec.with_features(feats)
-
-    def objective(c):
-        params = {"depth": c["depth"], "learning_rate": min(c["learning_rate"], 1.0), "subsample": c["subsample"],
-                  "rsm": c["rsm"], "min_gain": c["min_gain"], "n_iter": n_iter}
-        if design.upper() == "STABLE":
-            return stable_score(dev, spec, list(c["features"]), params, "GBT", seed)
-        _, fm = models.cross_validate(dev, list(sub.numeric), list(sub.categorical), spec.target, spec.key, "GBT",
-                                      params, k, seed, valid_size=None)
-        return gates.kfold_score(fm, kfold_fine).first()["kfold_score"]
-
-    subsets = feats if design.upper() == "STABLE" else None
-    best, trials = tune(candidates(spark, n_evals, gbt_space(), seed, subsets, f_lower, f_upper), objective)
-    if design.upper() == "STABLE":
-        feats = list(best["features"])
-    params = {"depth": best["depth"], "learning_rate": min(best["learning_rate"], 1.0),
-              "subsample": best["subsample"], "rsm": best["rsm"], "min_gain": best["min_gain"], "n_iter": n_iter}
-    final_pools = p
-    if final_valid > 0:
-        # the final fit may use its own VALID share: TRAIN and VALID are re-split, TEST and OOT stay as they are
-        dev_rows = p.where(F.col("pool").isin("TRAIN", "VALID")).drop("pool")
-        dev_rows = sampling.split_holdout(dev_rows, final_valid, spec.key, seed, salt="final-valid", out="__v")
-        redone = dev_rows.withColumn("pool", F.when(F.col("__v"), F.lit("VALID")).otherwise(F.lit("TRAIN"))).drop("__v")
-        final_pools = redone.unionByName(p.where(F.col("pool").isin("TEST", "OOT")))
-    final = fit_on_pools(final_pools, spec, feats, "GBT", params, seed, final_patience or None)
-    g = pool_gini(final, final_pools, spec, feats)
-    stab = gates.stability_gate(g.select(F.lit("FINAL").alias("model"), "pool", "gini"))
-    return {"steps": steps, "uplift": verdict, "flagged": flagged, "trials": trials, "best": best, "gini": g,
-            "stability": stab, "model": final}

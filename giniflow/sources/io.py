@@ -4,6 +4,7 @@ packages, batch scoring, pool snapshots and run parameters (S1, S2, S4, S6-S12).
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
@@ -127,13 +128,27 @@ def load_model_package(spark: SparkSession, path: str) -> tuple[PipelineModel, d
 
 def publish_package(spark: SparkSession, src: str, dst: str) -> bool:
     """Copy a chosen run's whole scoring package to the deployment location. A missing run is reported (False); a
-    package that cannot be read or copied is an error."""
+    package that cannot be read or copied is an error and leaves the deployed one in place: the copy is made beside it,
+    then takes its name."""
     if not path_exists(spark, src):
         return False
     load_model_package(spark, src)          # a broken package must not replace a deployed one
+    mark = uuid.uuid4().hex[:8]
     (fs_from, a), (fs_to, b) = _hadoop(spark, src), _hadoop(spark, dst)
-    fs_to.delete(b, True)
-    return spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs_from, a, fs_to, b, False, spark._jsc.hadoopConfiguration())
+    (_, new), (_, old) = _hadoop(spark, f"{dst}.new-{mark}"), _hadoop(spark, f"{dst}.old-{mark}")
+    if not spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs_from, a, fs_to, new, False, spark._jsc.hadoopConfiguration()):
+        raise OSError(f"{src} could not be copied")
+    load_model_package(spark, f"{dst}.new-{mark}")
+    had = fs_to.exists(b)
+    if had and not fs_to.rename(b, old):
+        raise OSError(f"{dst} could not be set aside")
+    if not fs_to.rename(new, b):
+        if had:
+            fs_to.rename(old, b)
+        raise OSError(f"{dst} could not be replaced")
+    if had:
+        fs_to.delete(old, True)
+    return True
 
 
 def score_batch(spark: SparkSession, df: DataFrame, package: str, out: str = "score") -> DataFrame:

@@ -161,17 +161,3 @@ def test_best_iteration_with_patience():
     assert best_iteration(losses) == 7
     assert best_iteration(losses, patience=3) == 3
     assert best_iteration(losses, patience=4) == 7
-
-
-def test_fine_tune_with_final_valid_override(spark, fixture_df):
-    import datetime as dt
-    from giniflow.operators import sampling
-    from giniflow.plans import stages
-    from giniflow.sources.fixture import FIXTURE_SPEC
-    spec = FIXTURE_SPEC.with_features(["quantity", "discount"])
-    p = sampling.four_pools(fixture_df, "epk_id", "report_dt", [dt.date(2001, 12, 31)], seed=19)
-    res = stages.fine_tune(p, spec, ["quantity", "discount"], n_top=2, n_evals=1, k=2, n_iter=5,
-                           final_valid=0.3, final_patience=2)
-    pools = {r["pool"] for r in res["gini"].collect()}
-    assert pools == {"TRAIN", "VALID", "TEST", "OOT"}
-    assert res["stability"].count() == 1 and res["uplift"].count() == 4
