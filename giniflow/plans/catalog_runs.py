@@ -151,7 +151,7 @@ def q_rank_pipelines(spark, sf_dir):
 SELECT round(max(CASE WHEN r = CAST(floor(n * 0.025) AS INTEGER) + 1 THEN gini END), 2) AS gini_low,
        round(max(CASE WHEN r = CAST(floor(n * 0.975) AS INTEGER) + 1 THEN gini END), 2) AS gini_upp
 FROM (SELECT *, row_number() OVER (ORDER BY gini, brand_cd, report_dt) AS r, count(*) OVER () AS n
-      FROM ({gini_sql('scoring_sample', 'quantity', Y, ['brand_cd', 'report_dt'], None)}) WHERE gini IS NOT NULL)"""))
+      FROM ({gini_sql('scoring_sample', 'quantity', Y, ['brand_cd', 'report_dt'], None)}) WHERE gini IS NOT NULL AND NOT isnan(gini))"""))
 def q_bootstrap_order_statistics(spark, sf_dir):
     """A10: the band's order statistics over a table of replicates (here the Gini of each brand and date)."""
     g = metrics.gini(sample(spark, sf_dir), "quantity", Y, by=["brand_cd", DATE], digits=None).where(F.col("gini").isNotNull())
