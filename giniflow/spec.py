@@ -46,3 +46,4 @@ class BinnerConfig:
     min_size: float = 0.05
     starts_from: int = 100
     fast: bool = False
+    enforce_min_size: bool = False      # also between the tails: every bin holds at least min_size of the rows

@@ -18,5 +18,6 @@ def spark():
 
 @pytest.fixture(scope="session")
 def fixture_df(spark):
+    from giniflow.session import materialize
     from giniflow.sources.fixture import scoring_sample
-    return scoring_sample(spark, SF_SMALL).persist()
+    return materialize(scoring_sample(spark, SF_SMALL), "fixture")      # stored, not cached: plans of other tests stay their own
