@@ -34,7 +34,7 @@ from giniflow.llm.tokens import TOKENIZER, tokenizer_path
 BLOCK_BYTES = 16 << 20
 LOG10 = math.log(10)
 #: Rounds of expectation after the one-cut counts; what is added to every piece's expected count.
-ROUNDS, SMOOTHING = 4, 0.1
+ROUNDS, SMOOTHING = 3, 0.1
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -222,6 +222,19 @@ def lattice(path: str) -> Lattice:
     return Lattice(pieces(path)[0])
 
 
+def _many(batches: Iterator[pa.RecordBatch], rows: int = 50_000) -> Iterator[pa.RecordBatch]:
+    """Batches joined to at least ``rows`` rows: the lattice works on all words of one length at once."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.concat_batches(held)
+
+
 def _bytes_of(words: pa.Array) -> list[bytes]:
     return [b" " + w.encode("utf-8", "surrogatepass") for w in words.to_pylist()]
 
@@ -239,7 +252,7 @@ def expected_counts(words: DataFrame, weights: np.ndarray, ends: int, tokenizer:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = lattice(tokenizer_path(tokenizer))
         total = np.zeros(len(table.keys))
-        for batch in batches:
+        for batch in _many(batches):
             total += table.expected(_bytes_of(batch.column(0)), batch.column(1).to_numpy().astype(float), shared.value)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["piece", "c"])
@@ -268,7 +281,7 @@ def word_scores(words: DataFrame, weights: np.ndarray, ends: int, tokenizer: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = lattice(tokenizer_path(tokenizer))
-        for batch in batches:
+        for batch in _many(batches):
             logs = table.log10(_bytes_of(batch.column(0)), shared.value)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(logs, pa.float64())],
                                              names=["word", "c", "log_p"])
