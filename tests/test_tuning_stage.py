@@ -148,18 +148,19 @@ def test_one_hot_of_many_values(spark):
 
 # --- the stage
 
-SETTINGS = dict(n_best=2, n_evals=2, k=2, params={"n_iter": 2, "depth": 2}, perm_iter=1, f_lower=1, f_upper=2)
+SETTINGS = dict(n_best=1, n_evals=1, k=2, params={"n_iter": 2, "depth": 2}, perm_iter=1, f_lower=1, f_upper=2)
 
 
-@pytest.mark.parametrize("design,sampler", [("KFOLD", "UNDER"), ("STABLE", "OVER")])
-def test_stage_searches_and_resumes(spark, pools, tmp_path, monkeypatch, design, sampler):
-    s = fine_tuning.TuningSettings(design=design, sampler=sampler, frac=40.0, final_valid=0.3, oot_frac=0.5,
-                                   **SETTINGS | ({"n_evals": 1} if design == "STABLE" else {}))
-    folder = str(tmp_path / "run")
-    ranked = ["quantity", "client_segm", "discount", "acct_bal"]
+def no_fit(*a, **k):
+    raise AssertionError("a stored step was computed again")
+
+
+def test_stage_searches_and_resumes(spark, pools, tmp_path, monkeypatch):
+    s = fine_tuning.TuningSettings(sampler="UNDER", frac=40.0, final_valid=0.3, oot_frac=0.5, **SETTINGS)
+    folder, ranked = str(tmp_path / "run"), ["quantity", "client_segm", "discount", "acct_bal"]
     res = fine_tuning.fine_tuning(pools, SMALL, ranked, s, folder, selection=7)
     trials = res["trials"].collect()
-    assert len(trials) == s.n_evals and all(0.36 <= r["frac"] <= 0.44 for r in trials)
+    assert len(trials) == 1 and 0.36 <= trials[0]["frac"] <= 0.44
     report = {r["model"]: r for r in res["result"].collect()}
     assert set(report) == {"TOP 4", "FINAL"} and report["FINAL"]["sel"] == 7
     assert report["TOP 4"]["train"] is not None and report["TOP 4"]["test"] is None and report["FINAL"]["oot"] is not None
@@ -167,12 +168,6 @@ def test_stage_searches_and_resumes(spark, pools, tmp_path, monkeypatch, design,
     shown = {r["pool"]: r for r in res["report"].collect()}
     assert shown["OOT"]["TOP 4"] is None and shown["OOT"]["FINAL"] is not None
     assert sorted(r["feature"] for r in res["oot_importance"].collect()) == sorted(res["features"])
-    if design == "STABLE":
-        assert 1 <= len(res["features"]) <= 2
-
-    def no_fit(*a, **k):
-        raise AssertionError("a stored step was computed again")
-
     monkeypatch.setattr(models, "fit", no_fit)
     again = fine_tuning.fine_tuning(pools, SMALL, ranked, s, folder, selection=7)
     assert again["result"].orderBy("model").collect() == res["result"].orderBy("model").collect()
@@ -180,30 +175,32 @@ def test_stage_searches_and_resumes(spark, pools, tmp_path, monkeypatch, design,
 
 
 def test_stage_resumes_behind_its_last_step(pools, tmp_path, monkeypatch):
-    s = fine_tuning.TuningSettings(status=fine_tuning.GIVEN, given={"depth": 2}, **SETTINGS)
+    """The search is skipped, so the best fit is the final one; the run stops after its fits and goes on from there."""
+    s = fine_tuning.TuningSettings(status=fine_tuning.SKIP, **SETTINGS)
     folder, fits = str(tmp_path / "run"), []
     real = models.fit
     monkeypatch.setattr(models, "fit", lambda *a, **k: fits.append(1) or real(*a, **k))
     stop = reports.gini_report
     monkeypatch.setattr(reports, "gini_report", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
     with pytest.raises(RuntimeError):
-        fine_tuning.fine_tuning(pools, SMALL, ["quantity", "discount", "client_segm"], s, folder)
+        fine_tuning.fine_tuning(pools, SMALL, ["quantity", "discount"], s, folder)
     before = len(fits)
     monkeypatch.setattr(reports, "gini_report", stop)
-    res = fine_tuning.fine_tuning(pools, SMALL, ["quantity", "discount", "client_segm"], s, folder)
-    assert before == 5 and len(fits) == 7             # top, best, 2 steps, final; then 2 final steps only
-    assert res["trials"] is None and res["params"]["depth"] == 2
-
-
-def test_skipped_search_takes_the_best_fit(pools, tmp_path):
-    s = fine_tuning.TuningSettings(status=fine_tuning.SKIP, **SETTINGS)
-    res = fine_tuning.fine_tuning(pools, SMALL, ["quantity", "discount", "client_segm"], s, str(tmp_path / "run"))
+    res = fine_tuning.fine_tuning(pools, SMALL, ["quantity", "discount"], s, folder)
+    assert before == 3 and len(fits) == 4             # top, best, one step; then one final step only
     g = {(r["model"], r["pool"]): r["gini"] for r in res["ginis"].collect()}
-    assert all(g["FINAL", p] == g["TOP 2 BEST", p] for p in ("TRAIN", "VALID", "TEST", "OOT"))
+    assert all(g["FINAL", p] == g["TOP 1 BEST", p] for p in ("TRAIN", "VALID", "TEST", "OOT"))
+    assert res["trials"] is None
     with pytest.raises(ValueError):
         fine_tuning.fine_tuning(pools, SMALL, ["quantity"], fine_tuning.TuningSettings(status="later"), str(tmp_path / "x"))
 
 
+def test_stable_search_draws_features_and_shares(pools):
+    s = fine_tuning.TuningSettings(design="STABLE", sampler="OVER", frac=40.0, **SETTINGS)
+    best, trials = fine_tuning.search_params(pools.where("pool = 'TRAIN'"), SMALL, ["quantity", "discount"], s)
+    assert 1 <= len(best["features"]) <= 2 and 0.36 <= best["frac"] <= 0.44 and trials.count() == 1
+
+
 def test_backtest_refits_with_valid_and_sampler(pools):
     bt = stages.backtest_refit(pools, SMALL, ["quantity", "discount"], "GBT", {"n_iter": 2}, 19, 0.25, "UNDER", 0.4)
     n_dates = pools.select("report_dt").distinct().count()
