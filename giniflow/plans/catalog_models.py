@@ -63,10 +63,10 @@ def q_preselection(spark, sf_dir):
 
 @register("grid_search_report", None)
 def q_grid_search_report(spark, sf_dir):
-    """M6 + J6 + O3: all learners x {original, undersampled to 20 % and 25 %, 5 % (infeasible)} by 5-fold CV."""
+    """M6 + J6 + O3: all learners x {original, undersampled to 25 %, 5 % (infeasible)} by 5-fold CV."""
     d = sample(spark, sf_dir)
     share = d.agg(F.avg(F.col(Y).cast("double"))).first()[0]
-    cells = stages.grid_cells(spark, models.MODELS, [("ORIG", 0), ("US", 5), ("US", 20), ("US", 25)], share)
+    cells = stages.grid_cells(spark, models.MODELS, [("ORIG", 0), ("US", 5), ("US", 25)], share)
     return stages.search_grid(d, SPEC, cells, seed=SEED)
 
 
@@ -114,7 +114,7 @@ def q_fine_tuning(spark, sf_dir):
     p = stages.narrow_copy(pools(spark, sf_dir), SPEC, [DATE, "pool"])
     first = stages.fit_on_pools(p, SPEC, SPEC.features, "GBT", None, SEED)
     ranked = [r["feature"] for r in reports.rank_importance(models.importance(first, spark)).orderBy("rank").collect()]
-    settings = fine_tuning.TuningSettings(sampler="UNDER", seed=SEED)
+    settings = fine_tuning.TuningSettings(n_evals=2, k=3, params={"n_iter": 30}, sampler="UNDER", seed=SEED)
     return fine_tuning.fine_tuning(p, SPEC, ranked, settings, _scratch(spark, "model"), selection=1)["result"]
 
 
