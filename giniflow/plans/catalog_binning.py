@@ -124,7 +124,7 @@ def q_category_woe(spark, sf_dir):
     f"round(max(CASE WHEN feature = '{c}' THEN woe END), 6) AS woe_{c}" for c in CATEGORICAL)
     + " FROM _cat JOIN _cw USING (feature, category) GROUP BY epk_id", CATEGORY_CTE))
 def q_category_woe_encode(spark, sf_dir):
-    df = sample(spark, sf_dir)
+    df = materialize(sample(spark, sf_dir).select(KEY, Y, *CATEGORICAL), "sample")      # two passes of the fit, one to encode
     out = _unmerged(df).transform(df, keep=[KEY], drop_incomplete=False)
     return out.select(KEY, *[F.round(f"woe_{c}", 6).alias(f"woe_{c}") for c in CATEGORICAL])
 
