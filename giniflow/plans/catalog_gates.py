@@ -13,15 +13,15 @@ from giniflow.operators import binning, collinear, gates, metrics, sampling
 from giniflow.plans.catalog import DATE, KEY, POOLS_CTE, SEED, Y, pools, register, sample
 from giniflow.plans.catalog_binning import FIXED, MIN_SIZE, _bin_case
 from giniflow.plans.oracle import gini_sql, with_fixture
-from giniflow.session import materialize
 from giniflow.spec import BinnerConfig
 
 CARD = list(FIXED)     # quantity, discount, acct_bal, part_size
 
 
-def _scorecard_rows(spark, sf_dir):
+def _scorecard_rows(spark, sf_dir, p=None):
     """(epk_id, pool, trg_flag, step, feature, score) of the WoE-sum scorecard."""
-    p = materialize(pools(spark, sf_dir).select(KEY, "pool", Y, *CARD), "pools")
+    if p is None:
+        p = pools(spark, sf_dir, columns=[Y, *CARD])
     train = p.where(F.col("pool") == "TRAIN")
     model = binning.fit_binning(train, CARD, [], Y, BinnerConfig(min_size=MIN_SIZE), fixed_thresholds=FIXED)
     ranked = sorted(CARD, key=lambda f: -model.numeric[f].iv)
@@ -238,7 +238,7 @@ def q_bootstrap_band(spark, sf_dir):
 # Ranking and prefix steps over the fitted IV table
 
 def _iv_table(spark, sf_dir):
-    p = pools(spark, sf_dir)
+    p = pools(spark, sf_dir, columns=[Y, *CARD])
     train = p.where(F.col("pool") == "TRAIN")
     model = binning.fit_binning(train, CARD, [], Y, BinnerConfig(min_size=MIN_SIZE), fixed_thresholds=FIXED)
     return spark.createDataFrame([(f, float(model.numeric[f].iv)) for f in CARD], "feature string, importance double")
@@ -296,5 +296,6 @@ def q_worst_vif(spark, sf_dir):
 def q_pools_with_scores(spark, sf_dir):
     """The full scorecard's scores joined back to the pool rows by key."""
     from giniflow.operators.joins import pools_with_scores
-    rows = _scorecard_rows(spark, sf_dir).where(F.col("step") == 4)
-    return pools_with_scores(pools(spark, sf_dir), rows.select(KEY, Y, "score"), KEY)
+    p = pools(spark, sf_dir, columns=[Y, *CARD])
+    rows = _scorecard_rows(spark, sf_dir, p).where(F.col("step") == 4)
+    return pools_with_scores(p, rows.select(KEY, Y, "score"), KEY)

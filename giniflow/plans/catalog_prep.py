@@ -10,7 +10,6 @@ from giniflow.operators import encode, prep, sampling
 from giniflow.plans.catalog import (CATEGORICAL, DATE, KEY, NUMERIC, OOT_DATES, OOT_SQL, POOLS_CTE, SEED, Y, pools,
                                     register, sample)
 from giniflow.plans.oracle import with_fixture
-from giniflow.session import materialize
 from giniflow.sources.fixture import table
 
 
@@ -130,7 +129,7 @@ _freq AS (SELECT feature, category, CASE WHEN category = 'nan' THEN -1 ELSE
 
 
 def _train(spark, sf_dir):
-    return pools(spark, sf_dir).where(F.col("pool") == "TRAIN")
+    return pools(spark, sf_dir, columns=CATEGORICAL).where(F.col("pool") == "TRAIN")
 
 
 @register("frequency_codes", with_fixture("SELECT feature, category, code FROM _freq", FREQ_CTE))
@@ -153,7 +152,7 @@ def q_ordinal_codes(spark, sf_dir):
         f"(SELECT code FROM _freq f WHERE f.feature = '{c}' AND f.category = coalesce(CAST(p.{c} AS VARCHAR), 'nan'))"
         f" AS {c}" for c in CATEGORICAL) + " FROM pools p WHERE p.pool IN ('TEST', 'OOT')", FREQ_CTE))
 def q_apply_codes(spark, sf_dir):
-    p = pools(spark, sf_dir)
+    p = pools(spark, sf_dir, columns=CATEGORICAL)
     codes = encode.frequency_codes(p.where(F.col("pool") == "TRAIN"), CATEGORICAL)
     rest = p.where(F.col("pool").isin("TEST", "OOT")).select(KEY, "pool", *CATEGORICAL)
     out = encode.apply_codes(rest, codes, CATEGORICAL)
@@ -209,7 +208,7 @@ def q_train_medians(spark, sf_dir):
 SELECT pool, CAST(count(*) AS BIGINT) AS n_rows, round(sum(quantity), 6) AS sum_score FROM pools
 WHERE pool IN ('VALID', 'TEST') GROUP BY pool""", POOLS_CTE))
 def q_union_scores(spark, sf_dir):
-    p = materialize(pools(spark, sf_dir).select("pool", "quantity"), "pools")
+    p = pools(spark, sf_dir, columns=["quantity"]).select("pool", "quantity")
     parts = [p.where(F.col("pool") == x).select("pool", "quantity") for x in ("VALID", "TEST")]
     u = parts[0].unionByName(parts[1])
     return u.groupBy("pool").agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("quantity"), 6).alias("sum_score"))

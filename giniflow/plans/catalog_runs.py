@@ -17,7 +17,7 @@ from giniflow.operators.tuning import combination, n_combinations
 from giniflow.plans import stages
 from giniflow.plans.catalog import DATE, KEY, SEED, Y, register, sample
 from giniflow.plans.oracle import gini_sql, with_fixture
-from giniflow.session import ensure_checkpoint_dir
+from giniflow.session import ensure_checkpoint_dir, materialize
 from giniflow.sources import io
 
 
@@ -215,7 +215,7 @@ FROM scoring_sample, (SELECT count(*) AS n0 FROM scoring_sample WHERE {Y} = 0) G
 def q_oversample_weights(spark, sf_dir):
     """R4 + R7 as weights: a minority share of 25 % without a copied row. The weighted minority is exactly a third of the
     majority, rounded down."""
-    d = sampling.resample_weights(sample(spark, sf_dir).select(KEY, Y), Y, "OVER", 0.25, KEY, SEED)
+    d = sampling.resample_weights(materialize(sample(spark, sf_dir).select(KEY, Y), "sample"), Y, "OVER", 0.25, KEY, SEED)
     return d.groupBy(Y).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("weight").alias("n_weighted"))
 
 
@@ -253,7 +253,7 @@ SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(acct_bal) AS BIGINT) AS n_
 def q_permute_column(spark, sf_dir):
     """A shuffled column keeps its values, the others their rows; the values stand in other rows."""
     from giniflow.operators.importance import permute_column
-    df = sample(spark, sf_dir).select(KEY, "quantity", "acct_bal")
+    df = materialize(sample(spark, sf_dir).select(KEY, "quantity", "acct_bal"), "sample")
     out = permute_column(df, "acct_bal", KEY, SEED)
     n_moved = out.alias("x").join(df.alias("y"), KEY).where(~F.col("x.acct_bal").eqNullSafe(F.col("y.acct_bal"))).count()
     return out.agg(F.count(F.lit(1)).alias("n_rows"), F.count("acct_bal").alias("n_known"), F.round(F.sum("acct_bal"), 2).alias("total"),
