@@ -160,3 +160,15 @@ def test_quantile_bracket_is_narrowed(fixture_df):
     got = exact_quantiles(fixture_df, cols, 0.5, accuracy=20, max_cells=10)
     for c in cols:
         assert got[c] == pytest.approx(ref[c], rel=1e-12)
+
+
+def test_array_gini_equals_gini_by_rows(spark):
+    # ties, missing scores and labels, a group of one class; several chunks a task and several ranges a group
+    rows = [(g, None if i % 29 == 0 else float("nan") if i % 31 == 0 else ((i * 37 + g * 11) % 50) / 7.0,
+             None if i % 17 == 0 else (0 if g == 3 else int((i * 7919 + g) % 5 == 0))) for g in range(4) for i in range(400)]
+    d = spark.createDataFrame(rows, "variant int, score double, y int").repartition(3)
+    want = {r["variant"]: r["gini"] for r in metrics.gini(d, "score", "y", by=["variant"], digits=None).collect()}
+    for bounds in ([], [1.0, 3.0, 3.0, 5.5]):
+        got = {r["variant"]: r["gini"] for r in metrics.array_gini(d, "score", "y", "variant", bounds, chunk_rows=100).collect()}
+        assert got[3] is None and want[3] is None
+        assert all(abs(got[g] - want[g]) < 1e-9 for g in range(3))
