@@ -18,10 +18,8 @@ from giniflow.spec import BinnerConfig
 CARD = list(FIXED)     # quantity, discount, acct_bal, part_size
 
 
-def _scorecard_rows(spark, sf_dir, p=None):
-    """(epk_id, pool, trg_flag, step, feature, score) of the WoE-sum scorecard."""
-    if p is None:
-        p = pools(spark, sf_dir, columns=[Y, *CARD])
+def _scorecard(p):
+    """The pool rows with the WoE of every feature, these columns, and the array of (step, feature, score)."""
     train = p.where(F.col("pool") == "TRAIN")
     model = binning.fit_binning(train, CARD, [], Y, BinnerConfig(min_size=MIN_SIZE), fixed_thresholds=FIXED)
     ranked = sorted(CARD, key=lambda f: -model.numeric[f].iv)
@@ -30,11 +28,30 @@ def _scorecard_rows(spark, sf_dir, p=None):
     for k in range(1, len(ranked) + 1):
         s = F.round(-sum((F.col(f"woe_{f}") for f in ranked[:k]), F.lit(0.0)), 9)
         steps.append(F.struct(F.lit(k).alias("step"), F.lit(ranked[k - 1]).alias("feature"), s.alias("score")))
-    return enc.select(KEY, "pool", Y, F.explode(F.array(*steps)).alias("s")).select(KEY, "pool", Y, "s.*")
+    return enc, [f"woe_{f}" for f in ranked], F.explode(F.array(*steps)).alias("s")
+
+
+def _scorecard_rows(spark, sf_dir, p=None):
+    """(epk_id, pool, trg_flag, step, feature, score) of the WoE-sum scorecard."""
+    if p is None:
+        p = pools(spark, sf_dir, columns=[Y, *CARD])
+    enc, _, steps = _scorecard(p)
+    return enc.select(KEY, "pool", Y, steps).select(KEY, "pool", Y, "s.*")
 
 
 def _scorecard_steps(spark, sf_dir):
-    return metrics.gini(_scorecard_rows(spark, sf_dir), "score", Y, by=["pool", "step", "feature"], digits=None)
+    """(pool, step, feature, gini). A row's scores follow from its WoE values, so rows are counted by these first, and the
+    steps are made of the counts."""
+    enc, woe, steps = _scorecard(pools(spark, sf_dir, columns=[Y, *CARD]))
+    y = F.col(Y).cast("long")
+    cells = enc.where(F.col(Y).isNotNull()).groupBy("pool", *woe).agg(
+        F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg"))
+    by = ["pool", "step", "feature"]
+    hist = cells.select("pool", "pos", "neg", steps).select("pool", "pos", "neg", "s.*").where(
+        F.col("score").isNotNull() & ~F.isnan("score")).groupBy(*by, "score").agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    auc = metrics.auc_from_histogram(hist, "score", by)
+    return auc.select(*by, ((F.lit(2.0) * F.col("auc") - F.lit(1.0)) * F.lit(100.0)).alias("gini"))
 
 
 SCORECARD_CTE = POOLS_CTE + ",\n_binned AS (\n" + "\nUNION ALL\n".join(

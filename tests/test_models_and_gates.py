@@ -161,3 +161,24 @@ def test_best_iteration_with_patience():
     assert best_iteration(losses) == 7
     assert best_iteration(losses, patience=3) == 3
     assert best_iteration(losses, patience=4) == 7
+
+
+def test_scorecard_steps_equal_the_ginis_of_its_rows(spark):
+    from giniflow.operators import metrics
+    from giniflow.plans import catalog_gates
+    sf = "/root/testdata/sf0.001"
+    rows = catalog_gates._scorecard_rows(spark, sf)
+    by = ["pool", "step", "feature"]
+    got, want = ({tuple(r[c] for c in by): round(r["gini"], 9) for r in g.collect()} for g in (
+        catalog_gates._scorecard_steps(spark, sf), metrics.gini(rows, "score", catalog_gates.Y, by=by, digits=None)))
+    assert got == want and len(got) == 16
+
+
+def test_backtest_hashes_the_valid_share_once(spark, fixture_df, monkeypatch):
+    from giniflow.operators import sampling
+    spec = FIXTURE_SPEC.with_features(["quantity", "discount"])
+    asked = []
+    plain = sampling.order_statistics
+    monkeypatch.setattr(sampling, "order_statistics", lambda *a, **k: asked.append(k.get("stored")) or plain(*a, **k))
+    bt = stages.backtest_refit(fixture_df, spec, ["quantity", "discount"], "LR")
+    assert bt.count() == len(asked) == 6 and all(asked)      # every step reads stored hashes

@@ -86,3 +86,12 @@ def test_explicit_dev_list_may_overlap_oot(fixture_df):
                                       [dt.date(2000, 12, 31), dt.date(2001, 12, 31)])
     assert dev.where("report_dt = DATE'2001-12-31'").count() == oot.count() > 0
     assert dev.select("report_dt").distinct().count() == 2
+
+
+def test_pool_boundary_reads_keys_only_where_hashes_tie(spark):
+    d = spark.createDataFrame([(h, k) for h, k in zip([1, 2, 2, 2, 5], "abcde")], "h long, __key string")
+    assert sampling.smallest(d, "h", 0.2) == (1, None)           # the only row of its hash
+    assert sampling.smallest(d, "h", 0.4) == (2, "b")            # others of the hash come after it
+    assert sampling.smallest(d, "h", 0.8) == (2, None)           # the last of its hash
+    for frac, n in ((0.2, 1), (0.4, 2), (0.8, 4)):
+        assert d.where(sampling.at_or_below("h", "__key", sampling.smallest(d, "h", frac))).count() == n
