@@ -63,3 +63,10 @@ def test_ranges_do_not_change_staged_auc(spark):
     v = PipelineModel(stages=full.model.stages[:-1]).transform(models.prepare(d, num, [], "y")).select("features", "label")
     one, many = (models.staged_auc(full.model.stages[-1], v, range_rows=r) for r in (10_000, 100))
     assert one == many and len(set(one)) == 5 and not np.isnan(one).any()
+
+
+def test_join_partitions_follow_the_rows(spark):
+    from giniflow.sources.fixture import spread
+    d = spark.range(0, 12_000, 1, 2).withColumnRenamed("id", "k")
+    assert spread(d, "k", rows_per_task=1000).rdd.getNumPartitions() == max(12, spark.sparkContext.defaultParallelism)
+    assert spread(d, "k", rows_per_task=500).rdd.getNumPartitions() == 24
