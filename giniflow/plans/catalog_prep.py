@@ -200,7 +200,7 @@ def q_grid_cells(spark, sf_dir):
     for c in NUMERIC), POOLS_CTE))
 def q_train_medians(spark, sf_dir):
     from giniflow.operators.models import train_medians
-    m = train_medians(_train(spark, sf_dir), NUMERIC)
+    m = train_medians(pools(spark, sf_dir, columns=NUMERIC).where(F.col("pool") == "TRAIN"), NUMERIC)
     return m.select("feature", F.round("median", 6).alias("median"))
 
 
