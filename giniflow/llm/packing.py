@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from giniflow.llm.common import stored
+from giniflow.llm.common import few_partitions, stored
 from giniflow.llm.tokens import TOKENIZER, encoder, text_batches, tokenizer_path
 
 CAPACITY = 2048
@@ -158,6 +158,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, cell_rows: int = CELL_ROWS
     rank = F.row_number().over(Window.partitionBy("len", "cell").orderBy("salt")) - 1
     ranked = (rows.withColumn("nth", rank).join(before, ["len", "cell"])
               .select("row", "len", (F.col("before") + F.col("nth")).alias("rank")))
+    ranked = few_partitions(ranked, sum(histogram.values()))
     k = F.col("rank") - F.col("first")
     placed = ranked.join(F.broadcast(places), (ranked["len"] == places["len"]) & (F.col("rank") >= F.col("first"))
                          & (F.col("rank") < F.col("past")))

@@ -28,6 +28,8 @@ SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 LOWER_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Benchmark fingerprints are broadcast up to this many bytes and joined by a shuffle beyond.
 BROADCAST_BYTES = 32 << 20
+#: Documents with a hit are broadcast up to so many and joined by a shuffle of all documents beyond.
+BROADCAST_HITS = 1_000_000
 #: Equal rows that one list brings back.
 SOME_ROWS = 10_000
 
@@ -94,7 +96,7 @@ def window_hits(keyed: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int
     items = stored(benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
                    .select("item_id", F.explode(fingerprints(F.col("text"), "\n", span, k)).alias("f"))
                    .select("item_id", F.col("f.hash").alias("item_hash"), F.col("f.near").alias("other")),
-                   "benchmark-prints")
+                   "benchmark-prints", few=True, rows=100 * benchmark.count())
     size = items.agg(F.sum(F.octet_length(F.array_join("other", " ")) + 200)).first()[0] or 0
     prints = keyed.select("doc_id", "key", F.explode(fingerprints(F.col("text"), "", span, k, sized)).alias("f")).select(
         "doc_id", "key", F.col("f.pos").alias("pos"), F.col("f.hash").alias("hash"), F.col("f.near").alias("near"))
@@ -116,7 +118,7 @@ def short_hits(keyed: DataFrame, benchmark: DataFrame, span: int = SPAN) -> Data
     items = stored(benchmark.select(F.col("item_id").cast("string").alias("item_id"), words(F.col("text")).alias("ws"))
                    .where((F.size("ws") > 0) & (F.size("ws") < span))
                    .select("item_id", F.size("ws").alias("n"), F.array_join("ws", " ").alias("window")).distinct(),
-                   "benchmark-short")
+                   "benchmark-short", few=True, rows=benchmark.count())
     stats = items.groupBy("n").agg(F.sum(F.octet_length("window") + 100).alias("bytes")).collect()  # below `span` rows
     if not stats:
         return None
@@ -173,6 +175,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k
     hits = benchmark_hits(docs.select("doc_id", "text"), benchmark, span, k)
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs["doc_id"].alias("_id"),
                        F.xxhash64(docs["text"]).alias("_key"))
-    hits = hits.select(F.col("doc_id").alias("_hit_id"), F.col("key").alias("_hit_key"))
+    hits = stored(hits.select(F.col("doc_id").alias("_hit_id"), F.col("key").alias("_hit_key")), "hits", few=True)
+    hits = F.broadcast(hits) if hits.count() <= BROADCAST_HITS else hits
     on = rows["_id"].eqNullSafe(hits["_hit_id"]) & (rows["_key"] == hits["_hit_key"])
     return rows.join(hits, on, "left_anti").select("row.*")

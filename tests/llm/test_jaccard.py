@@ -4,10 +4,12 @@ import random
 
 import pytest
 
-from giniflow.llm import jaccard
+from giniflow.llm import common, jaccard, lists, packing, winnow
+from giniflow.llm import components as components_module
 from giniflow.llm.common import read_table
 from giniflow.llm.components import components
 from giniflow.llm.queries import QUERIES
+from test_winnow import naive_report
 
 SF = "/root/testdata/sf0.001"
 
@@ -108,3 +110,44 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{k: 100 for k in range(100, 161)}, **{k: 0 for k in range(40)}}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_files_follow_the_rows_not_the_shuffle_partitions(spark, monkeypatch):
+    """Every stored file is a ``chmod`` of the executor on a local folder: few rows need few files, however many shuffle
+    partitions there are. Lists of pairs and their pivots are joined by an exchange each, which Spark can split."""
+    files = {}
+
+    def counted(df, name, *a, **b):
+        out = common.stored(df, name, *a, **b)
+        files[name] = max(files.get(name, 0), len(out.inputFiles()))
+        return out
+
+    for module in (jaccard, components_module, lists, winnow, packing):
+        monkeypatch.setattr(module, "stored", counted)
+    rng = random.Random(4)
+    base = [f"w{k}" for k in range(40)]
+    docs = []
+    for k in range(120):  # one large group of near copies, whose tokens are all frequent
+        words = base * 3
+        words[rng.randrange(120)] = f"x{k % 30}"
+        docs.append((k, " ".join(words)))
+    docs += [(1000 + k, " ".join(rng.choices(base, k=90))) for k in range(60)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "37")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = rows(jaccard.jaccard_components(frame, 5, 80))
+        item = spark.createDataFrame([("i", docs[0][1])], "item_id string, text string")
+        left = winnow.drop_contaminated(frame, item)
+        n_left = left.count()
+        packed = packing.pack_documents(frame)
+        assert packed.rdd.getNumPartitions() == 1 and packed.count() == len(docs)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == naive(docs, 5, 80)
+    assert n_left == sum(not r[-1] for r in naive_report(docs, [("i", docs[0][1])]))
+    few = {"classes", "frequent", "hot", "dense", "wanted", "sets", "postings", "pivots", "edges", "benchmark-prints"}
+    assert few <= set(files)
+    assert {k: n for k, n in files.items() if k in few and n > (2 if k == "postings" else 1)} == {}
