@@ -151,3 +151,14 @@ def test_files_follow_the_rows_not_the_shuffle_partitions(spark, monkeypatch):
     few = {"classes", "frequent", "hot", "dense", "wanted", "sets", "postings", "pivots", "edges", "benchmark-prints"}
     assert few <= set(files)
     assert {k: n for k, n in files.items() if k in few and n > (2 if k == "postings" else 1)} == {}
+
+
+def test_a_worker_gives_back_what_an_operator_held(monkeypatch):
+    calls = []
+    monkeypatch.setattr(common, "_HELD", {("encoder",): [1]})
+    monkeypatch.setattr(common.ctypes, "CDLL", lambda name: type("C", (), {"malloc_trim": staticmethod(calls.append)}))
+    assert common.held(("encoder",), list) == [1] and calls == []
+    assert common.held(("word hashes",), dict) == {} and calls == [0]
+    common.release()
+    common.release()
+    assert common._HELD == {} and calls == [0, 0]
