@@ -84,3 +84,29 @@ def test_row_gini_equals_gini(spark, monkeypatch):
     got = {r["g"]: r["gini"] for r in metrics.row_gini(df, "s", "y", by=["g"], digits=None).collect()}
     assert got == pytest.approx(want, abs=1e-9) and set(got) == set(want) and got["one"] is None
     assert metrics.row_gini(df, "s", "y").first()["gini"] == metrics.gini(df, "s", "y").first()["gini"]
+
+
+@pytest.mark.parametrize("learner, params", [("LR", None), ("GBT", {"n_iter": 6}), ("GBT", {"n_iter": 3, "depth": 8, "rsm": 0.5})])
+def test_variants_on_arrays_equal_variants_as_rows(rows, monkeypatch, learner, params):
+    from giniflow.operators import importance
+    fitted = models.fit(rows, NUM, CAT, "y", learner, params)
+    some = rows.withColumn("c", F.when(F.col("id") % 7 == 0, "unseen").otherwise(F.col("c"))).withColumn(
+        "y", F.when(F.col("id") % 11 != 0, F.col("y")))
+    ask = lambda scorer: {r["feature"]: r["importance"] for r in importance.permutation_importance(
+        some, [*CAT, *NUM], "y", "id", scorer, 4, 7).collect()}
+    want = ask(lambda frame: models.score(fitted, frame, NUM, CAT))
+    monkeypatch.setattr(models.Scorer, "__call__", None)         # the rows of the variants are not built
+    for name, value in (("PASS_ROWS", 3000), ("CHUNK_ROWS", 400), ("HELD_ROWS", 900)):
+        monkeypatch.setattr(importance, name, value)
+    monkeypatch.setattr(metrics, "RANGE_ROWS", 300)
+    got = ask(models.Scorer(fitted, NUM, CAT))
+    assert got == pytest.approx(want, abs=1e-9) and set(got) == {*NUM, *CAT}
+
+
+def test_passes_give_their_shuffles_back(rows, monkeypatch):
+    from giniflow.operators import importance
+    fitted, calls = models.fit(rows, NUM, CAT, "y", "LR"), []
+    monkeypatch.setattr(importance, "PASS_ROWS", 1)
+    monkeypatch.setattr(importance, "release_shuffles", lambda spark: calls.append(1))
+    importance.permutation_importance(rows, ["a"], "y", "id", models.Scorer(fitted, NUM, CAT), 5, 7).collect()
+    assert len(calls) == 4
