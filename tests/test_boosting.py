@@ -110,3 +110,27 @@ def test_passes_give_their_shuffles_back(rows, monkeypatch):
     monkeypatch.setattr(importance, "release_shuffles", lambda spark: calls.append(1))
     importance.permutation_importance(rows, ["a"], "y", "id", models.Scorer(fitted, NUM, CAT), 5, 7).collect()
     assert len(calls) == 4
+
+
+def test_cells_of_a_search_share_folds_and_splits(spark, rows, monkeypatch):
+    from giniflow.operators import sampling
+    from giniflow.plans import stages
+    from giniflow.spec import SampleSpec
+    calls, plain = [], sampling.stratified_folds
+    monkeypatch.setattr(sampling, "stratified_folds", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    spec = SampleSpec(key="id", date_col="id", target="y", numeric=("a", "b"), categorical=("c",))
+    cells = stages.grid_cells(spark, ["LR"], [("ORIG", 0), ("OS", 60)], 0.3)
+    rep = {r["label"]: r["gini"] for r in stages.search_grid(rows.drop("w", "z"), spec, cells, k=2, seed=5).collect()}
+    assert len(calls) == 1 and set(rep) == {"LR", "LR_OS_60%"}
+    oof, folds = models.cross_validate(rows, ["a", "b"], CAT, "y", "id", "LR", k=2, seed=5)
+    assert models.cv_summary(oof, folds, "y")["gini"] == rep["LR"]
+
+
+def test_uneven_partitions_are_evened(spark, monkeypatch):
+    monkeypatch.setattr(models, "EVEN_ROWS", 100)
+    df = spark.range(0, 1000, 1, 1).union(spark.range(1000, 1010, 1, 4))
+    even = models.evened(df.cache())
+    sizes = even.rdd.glom().map(len).collect()
+    assert sum(sizes) == 1010 and max(sizes) <= 2 * 1010 / spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(models, "EVEN_ROWS", 2000)
+    assert models.evened(df) is df
