@@ -134,3 +134,12 @@ def test_uneven_partitions_are_evened(spark, monkeypatch):
     assert sum(sizes) == 1010 and max(sizes) <= 2 * 1010 / spark.sparkContext.defaultParallelism
     monkeypatch.setattr(models, "EVEN_ROWS", 2000)
     assert models.evened(df) is df
+
+
+def test_missing_labels_and_infinite_values_raise(spark, rows):
+    broken = rows.withColumn("y", F.when(F.col("id") != 5, F.col("y")))
+    with pytest.raises(Exception, match="label"):
+        models.fit(broken, NUM, CAT, "y", "GBT", {"n_iter": 2})
+    broken = rows.withColumn("b", F.when(F.col("id") == 5, float("inf")).otherwise(F.col("b")))
+    with pytest.raises(Exception, match="infinity"):
+        models.fit(broken, NUM, CAT, "y", "GBT", {"n_iter": 2})
